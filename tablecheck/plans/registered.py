@@ -154,3 +154,308 @@ def per_table_threshold(spark, sf_dir):
     rules = union_all([fused(spark, sf_dir, s).rule_results() for s in ALL_SUITES])
     thresholds = spark.createDataFrame(list(TABLE_THRESHOLDS.items()), "table_name string, threshold double")
     return rollup_rule_results(rules, thresholds)
+
+
+# -- S1..S3: scans ---------------------------------------------------------------------
+
+from ..sources.tables import incremental_slice, pruned_filtered_read, read_table  # noqa: E402
+
+
+@register("read_table_columns",
+          "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def read_table_columns(spark, sf_dir):
+    return read_table(spark, f"{sf_dir}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity"])
+
+
+@register("pruned_filtered_read",
+          "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_discount > 0.05")
+def pruned_filtered_read_q(spark, sf_dir):
+    return pruned_filtered_read(spark, f"{sf_dir}/lineitem.parquet",
+                                ["l_orderkey", "l_linenumber", "l_extendedprice"], "l_discount > 0.05")
+
+
+SLICE = ("2024-01-15 10:00:00", "2024-01-15 11:00:00")
+SLICE_WHERE = f"ts >= TIMESTAMP '{SLICE[0]}' AND ts < TIMESTAMP '{SLICE[1]}'"
+
+
+@register("incremental_slice", f"SELECT event_id, value FROM events WHERE {SLICE_WHERE}")
+def incremental_slice_q(spark, sf_dir):
+    return incremental_slice(table(spark, sf_dir, "events"), "ts", *SLICE, columns=["event_id", "value"])
+
+
+SLICE_SUITE = Suite("events", (
+    Check(in_range("value", 1, 200), "value < 1 OR value > 200"),
+    Check(expression("errors_are_small", "event_type <> 'error' OR value < 100"),
+          "NOT (event_type <> 'error' OR value < 100)"),
+))
+
+
+@register("incremental_validation", O.validation_results_sql([SLICE_SUITE], where=SLICE_WHERE))
+def incremental_validation(spark, sf_dir):
+    df = incremental_slice(table(spark, sf_dir, "events"), "ts", *SLICE)
+    return FusedCheck(df, SLICE_SUITE.table_rules()).validation_results()
+
+
+# -- M1..M8: metadata ------------------------------------------------------------------
+
+from ..operators import schema as S  # noqa: E402
+from ..operators.gate import TableSpec, stop_decision  # noqa: E402
+from ..plans.run import run_suite  # noqa: E402
+
+TEST_TABLES = ("region nation customer supplier part orders lineitem events documents "
+               "embeddings pages benchmark labels conversations").split()
+
+# Spark class and simple-string spelling of each DuckDB type found in the test tables.
+DUCK_TYPE_CLASS = ("CASE data_type WHEN 'BIGINT' THEN 'LongType()' WHEN 'INTEGER' THEN 'IntegerType()' "
+                   "WHEN 'DOUBLE' THEN 'DoubleType()' WHEN 'VARCHAR' THEN 'StringType()' "
+                   "WHEN 'TIMESTAMP' THEN 'TimestampNTZType()' WHEN 'BOOLEAN' THEN 'BooleanType()' "
+                   "WHEN 'FLOAT[]' THEN 'ArrayType(FloatType(), True)' ELSE data_type END")
+DUCK_TYPE_SIMPLE = ("CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
+                    "WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' "
+                    "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'BOOLEAN' THEN 'boolean' "
+                    "WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END")
+DUCK_COLUMNS = (f"(SELECT table_name, CAST(ordinal_position AS INTEGER) AS ordinal, column_name, "
+                f"{DUCK_TYPE_SIMPLE} AS data_type, {DUCK_TYPE_CLASS} AS type_class "
+                f"FROM information_schema.columns)")
+
+
+def _in_list(names):
+    return ", ".join(O.q(n) for n in names)
+
+
+def _exists(spark, sf_dir, name):
+    from ..sources.tables import table_exists
+    return table_exists(spark, f"{sf_dir}/{name}.parquet")
+
+
+EXISTS_PROBE = ("lineitem", "orders", "events", "no_such_table")
+
+
+@register("table_exists",
+          " UNION ALL ".join(
+              f"SELECT {O.q(n)} AS table_name, (SELECT count(*) FROM information_schema.tables "
+              f"WHERE table_name = {O.q(n)}) > 0 AS \"exists\"" for n in EXISTS_PROBE))
+def table_exists_q(spark, sf_dir):
+    return S.exists_frame(spark, {n: f"{sf_dir}/{n}.parquet" for n in EXISTS_PROBE})
+
+
+@register("table_schema",
+          f"SELECT * FROM {DUCK_COLUMNS} WHERE table_name IN ({_in_list(TEST_TABLES)})")
+def table_schema_q(spark, sf_dir):
+    return union_all([S.table_schema(spark, f"{sf_dir}/{n}.parquet", n) for n in TEST_TABLES])
+
+
+# Expected schemas used by the schema keys: declared types in PySpark class
+# spelling; a list means names only.
+EXPECTED = {
+    "lineitem": {"l_orderkey": "long", "l_partkey": "integer", "l_suppkey": "long",
+                 "l_linenumber": "long", "l_quantity": "decimal(12,2)", "l_extendedprice": "double",
+                 "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
+                 "l_linestatus": "string", "l_shipdate": "timestamp", "l_comment": "string"},
+    "orders": {"o_orderkey": "long", "o_custkey": "long", "o_orderstatus": "string",
+               "o_totalprice": "decimal(15,2)", "o_orderdate": "date"},
+    "embeddings": {"vec_id": "long", "embedding": "float", "label": "long"},
+    "customer": {"c_custkey": "long", "c_name": "string", "c_nationkey": "integer",
+                 "c_acctbal": "double", "c_mktsegment": "string"},
+}
+
+
+def _expected_values(expected):
+    rows = []
+    for t, cols in expected.items():
+        for c, ty in cols.items():
+            rows.append(f"({O.q(t)}, {O.q(c)}, {O.q(ty)})")
+    return "(VALUES " + ", ".join(rows) + ") AS e(table_name, column_name, expected_type)"
+
+
+def _norm(x):
+    return f"replace(replace(lower({x}), 'type()', ''), '()', '')"
+
+
+_E, _A = _norm("e.expected_type"), _norm("a.type_class")
+LOOSE_OK = (f"(contains({_A}, {_E}) OR contains({_E}, {_A}) "
+            f"OR (contains({_E}, 'decimal') AND contains({_A}, 'decimal')) "
+            f"OR ({_E} IN ('timestamp', 'date') AND {_A} IN ('timestamptype', 'datetype', 'timestamp', 'date')) "
+            f"OR {_E} = {_A})")
+_TABLES_WITH_EXPECTED = _in_list(EXPECTED)
+SCHEMA_DIFFS_SQL = (
+    f"WITH e AS (SELECT * FROM {_expected_values(EXPECTED)}), "
+    f"a AS (SELECT * FROM {DUCK_COLUMNS} WHERE table_name IN ({_TABLES_WITH_EXPECTED})) "
+    "SELECT e.table_name, 'missing' AS kind, e.column_name, e.expected_type, CAST(NULL AS VARCHAR) AS actual_type "
+    "FROM e LEFT JOIN a ON e.table_name = a.table_name AND e.column_name = a.column_name WHERE a.column_name IS NULL "
+    "UNION ALL SELECT a.table_name, 'extra', a.column_name, NULL, a.data_type "
+    "FROM a LEFT JOIN e ON e.table_name = a.table_name AND e.column_name = a.column_name WHERE e.column_name IS NULL "
+    "UNION ALL SELECT e.table_name, 'type_mismatch', e.column_name, e.expected_type, a.data_type "
+    f"FROM e JOIN a ON e.table_name = a.table_name AND e.column_name = a.column_name WHERE NOT {LOOSE_OK}")
+
+
+def _diffs(spark, sf_dir, mode="loose"):
+    return union_all([S.schema_check(spark, f"{sf_dir}/{t}.parquet", t, exp, True, mode)
+                      for t, exp in EXPECTED.items()])
+
+
+@register("schema_check", SCHEMA_DIFFS_SQL)
+def schema_check_q(spark, sf_dir):
+    return _diffs(spark, sf_dir)
+
+
+@register("schema_missing_columns", f"SELECT * FROM ({SCHEMA_DIFFS_SQL}) WHERE kind = 'missing'")
+def schema_missing_columns(spark, sf_dir):
+    return _diffs(spark, sf_dir).filter("kind = 'missing'")
+
+
+@register("schema_extra_columns", f"SELECT * FROM ({SCHEMA_DIFFS_SQL}) WHERE kind = 'extra'")
+def schema_extra_columns(spark, sf_dir):
+    return _diffs(spark, sf_dir).filter("kind = 'extra'")
+
+
+@register("schema_type_mismatches", f"SELECT * FROM ({SCHEMA_DIFFS_SQL}) WHERE kind = 'type_mismatch'")
+def schema_type_mismatches(spark, sf_dir):
+    return _diffs(spark, sf_dir).filter("kind = 'type_mismatch'")
+
+
+@register("schema_verdict",
+          f"SELECT t.table_name, CAST(count(d.kind) AS BIGINT) AS errors, count(d.kind) = 0 AS is_valid "
+          f"FROM (VALUES {', '.join('(' + O.q(t) + ')' for t in EXPECTED)}) AS t(table_name) "
+          f"LEFT JOIN ({SCHEMA_DIFFS_SQL}) d ON d.table_name = t.table_name GROUP BY t.table_name")
+def schema_verdict_q(spark, sf_dir):
+    tables = spark.createDataFrame([(t,) for t in EXPECTED], "table_name string")
+    return S.schema_verdict(_diffs(spark, sf_dir), tables)
+
+
+@register("row_count", " UNION ALL ".join(
+    f"SELECT {O.q(t)} AS table_name, count(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM {t}"
+    for t in TEST_TABLES))
+def row_count_q(spark, sf_dir):
+    return union_all([S.row_count(table(spark, sf_dir, t), t) for t in TEST_TABLES])
+
+
+ROW_FILTERS = (("lineitem", "l_returnflag = 'R'"), ("orders", "o_orderstatus = 'F'"),
+               ("events", "event_type = 'error' AND value > 100"))
+
+
+@register("row_count_filtered", " UNION ALL ".join(
+    [f"SELECT {O.q(t)} AS table_name, count(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM {t} WHERE {w}"
+     for t, w in ROW_FILTERS]
+    + ["SELECT 'events' AS table_name, CAST(NULL AS BIGINT) AS row_count, "
+       "'UNRESOLVED_COLUMN.WITH_SUGGESTION' AS error"]))
+def row_count_filtered(spark, sf_dir):
+    frames = [S.row_count(table(spark, sf_dir, t), t, w) for t, w in ROW_FILTERS]
+    frames.append(S.row_count(table(spark, sf_dir, "events"), "events", "no_such_column > 1"))
+    return union_all(frames)
+
+
+@register("not_empty_check",
+          "SELECT 'lineitem' AS table_name, count(*) AS row_count, count(*) > 0 AS not_empty FROM lineitem "
+          "UNION ALL SELECT 'orders', count(*), count(*) > 0 FROM orders "
+          "UNION ALL SELECT 'lineitem_future', count(*), count(*) > 0 FROM lineitem "
+          "WHERE l_shipdate > TIMESTAMP '2100-01-01 00:00:00'")
+def not_empty_check(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    future = li.filter(F.col("l_shipdate") > F.lit("2100-01-01 00:00:00").cast("timestamp_ntz"))
+    return union_all([S.not_empty(li, "lineitem"), S.not_empty(table(spark, sf_dir, "orders"), "orders"),
+                      S.not_empty(future, "lineitem_future")])
+
+
+# -- G1..G5: gate ----------------------------------------------------------------------
+
+GATE_COLUMNS = {
+    # names only; lineitem and customer as they are, orders with one more column
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority", "o_comment"],
+    "no_such_table": ["x"],
+}
+
+ORDERS_SUITE = Suite("orders", (
+    Check(in_range("o_totalprice", 0, 500000), "o_totalprice < 0 OR o_totalprice > 500000"),
+))
+MISSING_SUITE = Suite("no_such_table", (Check(in_range("x", 0, 1), None),))
+GATED = (LINEITEM, CUSTOMER, ORDERS_SUITE, MISSING_SUITE)
+
+
+def _gated_run(spark, sf_dir):
+    pairs = [(TableSpec(s.table_name, f"{sf_dir}/{s.table_name}.parquet", GATE_COLUMNS[s.table_name]),
+              s.table_rules()) for s in GATED]
+    prepare = {"lineitem": lambda df: df.withColumns({
+        "l_returnflag": F.expr("nullif(l_returnflag, 'R')"),
+        "l_linestatus": F.expr("nullif(l_linestatus, 'F')")})}
+    return run_suite(spark, pairs, prepare)
+
+
+def _gate_diff_sql():
+    vals = ", ".join(f"({O.q(t)}, {O.q(c)})" for t, cols in GATE_COLUMNS.items() for c in cols)
+    tables = _in_list(GATE_COLUMNS)
+    return (f"WITH e AS (SELECT * FROM (VALUES {vals}) AS e(table_name, column_name)), "
+            f"a AS (SELECT table_name, column_name FROM information_schema.columns WHERE table_name IN ({tables})), "
+            "d AS (SELECT e.table_name, 'missing' AS kind, e.column_name FROM e LEFT JOIN a "
+            "ON e.table_name = a.table_name AND e.column_name = a.column_name WHERE a.column_name IS NULL "
+            "UNION ALL SELECT a.table_name, 'extra', a.column_name FROM a LEFT JOIN e "
+            "ON e.table_name = a.table_name AND e.column_name = a.column_name WHERE e.column_name IS NULL), "
+            f"t AS (SELECT * FROM (VALUES {', '.join('(' + O.q(x) + ')' for x in GATE_COLUMNS)}) AS t(table_name)), "
+            "x AS (SELECT t.table_name, (SELECT count(*) FROM information_schema.tables i "
+            "WHERE i.table_name = t.table_name) > 0 AS ex FROM t), "
+            "g AS (SELECT x.table_name, x.ex, "
+            "string_agg(d.kind || ' ' || d.column_name, '; ' ORDER BY d.kind, d.column_name) AS errs "
+            "FROM x LEFT JOIN d ON d.table_name = x.table_name GROUP BY x.table_name, x.ex) "
+            "SELECT table_name, ex AS \"exists\", CASE WHEN ex THEN errs IS NULL END AS schema_valid, "
+            "CASE WHEN ex THEN errs END AS schema_errors, ex AND errs IS NULL AS is_open, "
+            "CASE WHEN NOT ex THEN 'table not found' WHEN errs IS NOT NULL THEN 'schema: ' || errs END AS reason "
+            "FROM g")
+
+
+GATE_SQL = _gate_diff_sql()
+
+
+@register("circuit_breaker_gate", GATE_SQL)
+def circuit_breaker_gate(spark, sf_dir):
+    return _gated_run(spark, sf_dir).gate
+
+
+def _skipped_sql():
+    parts = []
+    for s in GATED:
+        for c in s.checks:
+            parts.append(f"SELECT {O.q(s.table_name)} AS table_name, {O.q(c.rule.validation_type)} AS validation_type, "
+                         f"{O.q(c.rule.rule_name)} AS rule_name")
+    rules = " UNION ALL ".join(parts)
+    return (f"SELECT r.table_name, r.validation_type, r.rule_name, 'skipped' AS status, 'blocker' AS severity, "
+            f"g.reason FROM ({rules}) r JOIN ({GATE_SQL}) g ON g.table_name = r.table_name WHERE NOT g.is_open")
+
+
+@register("skipped_rules", _skipped_sql())
+def skipped_rules(spark, sf_dir):
+    return _gated_run(spark, sf_dir).skipped
+
+
+@register("gated_suite_results",
+          O.validation_results_sql([s for s in GATED if s.table_name in ("lineitem", "customer")]))
+def gated_suite_results(spark, sf_dir):
+    return _gated_run(spark, sf_dir).validation_results
+
+
+POLICIES = {"lineitem": (True, True), "customer": (True, False), "orders": (True, True),
+            "no_such_table": (False, True)}
+
+
+def _stop_sql():
+    vals = ", ".join(f"({O.q(t)}, {str(m).lower()}, {str(d).lower()})" for t, (m, d) in POLICIES.items())
+    val = O.validation_results_sql([s for s in GATED if s.table_name in ("lineitem", "customer")])
+    return (f"WITH p AS (SELECT * FROM (VALUES {vals}) AS p(table_name, ms, ds)), "
+            f"g AS ({GATE_SQL}), v AS (SELECT table_name, bool_and(passed) AS data_passed FROM ({val}) GROUP BY 1) "
+            "SELECT p.table_name, coalesce(g.is_open, false) AS metadata_passed, v.data_passed, "
+            "CASE WHEN NOT coalesce(g.is_open, false) AND p.ms THEN 'stop' "
+            "WHEN coalesce(g.is_open, false) AND NOT coalesce(v.data_passed, true) AND p.ds THEN 'stop' "
+            "WHEN NOT coalesce(g.is_open, false) OR NOT coalesce(v.data_passed, true) THEN 'warn' "
+            "ELSE 'continue' END AS decision "
+            "FROM p LEFT JOIN g ON g.table_name = p.table_name LEFT JOIN v ON v.table_name = p.table_name")
+
+
+@register("stop_decision", _stop_sql())
+def stop_decision_q(spark, sf_dir):
+    run = _gated_run(spark, sf_dir)
+    pol = spark.createDataFrame([(t, m, d) for t, (m, d) in POLICIES.items()],
+                                "table_name string, metadata_stop_on_failure boolean, data_stop_on_threshold boolean")
+    return stop_decision(run.validation_results, run.gate, pol)

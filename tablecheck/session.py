@@ -63,6 +63,7 @@ def local_test_session(app: str = "tablecheck-tests", cores: int | str = "*", **
     """Local session used by tests and the bench (the library never calls it)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", os.environ.get("TABLECHECK_DRIVER_MEMORY", "8g")))
