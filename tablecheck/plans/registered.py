@@ -459,3 +459,142 @@ def stop_decision_q(spark, sf_dir):
     pol = spark.createDataFrame([(t, m, d) for t, (m, d) in POLICIES.items()],
                                 "table_name string, metadata_stop_on_failure boolean, data_stop_on_threshold boolean")
     return stop_decision(run.validation_results, run.gate, pol)
+
+
+# -- R1..R10: reports ------------------------------------------------------------------
+
+from ..operators import report as R  # noqa: E402
+from ..operators import tags as TG  # noqa: E402
+from .windows import windowed_validation  # noqa: E402
+
+ALL_VALIDATION_SQL = O.validation_results_sql(list(ALL_SUITES))
+
+
+def _all_results(spark, sf_dir):
+    return multi_table_suite(spark, sf_dir)
+
+
+@register("results_rollup",
+          f"SELECT count(*) AS total_validations, count_if(coalesce(passed, false)) AS passed, "
+          f"count(*) - count_if(coalesce(passed, false)) AS failed, "
+          f"count(*) - count_if(coalesce(passed, false)) = 0 AS overall_passed FROM ({ALL_VALIDATION_SQL})")
+def results_rollup(spark, sf_dir):
+    return R.results_rollup(_all_results(spark, sf_dir))
+
+
+@register("summary_overall",
+          f"SELECT count(*) AS total_validations, count_if(coalesce(passed, false)) AS passed, "
+          f"count_if(NOT coalesce(passed, false)) AS failed, "
+          f"CAST(coalesce(sum(total_rows), 0) AS BIGINT) AS total_rows_validated, "
+          f"CAST(coalesce(sum(total_violations), 0) AS BIGINT) AS total_violations, "
+          f"array_to_string(list_sort(list(DISTINCT table_name)), ',') AS tables_validated, "
+          f"CAST(count(DISTINCT table_name) AS INTEGER) AS tables_validated_count FROM ({ALL_VALIDATION_SQL})")
+def summary_overall(spark, sf_dir):
+    return R.summary_overall(_all_results(spark, sf_dir))
+
+
+@register("summary_by_type",
+          f"SELECT coalesce(validation_type, 'unknown') AS validation_type, count(*) AS count, "
+          f"count_if(coalesce(passed, false)) AS passed, count_if(NOT coalesce(passed, false)) AS failed "
+          f"FROM ({ALL_VALIDATION_SQL}) GROUP BY 1")
+def summary_by_type(spark, sf_dir):
+    return R.summary_by_type(_all_results(spark, sf_dir))
+
+
+@register("validation_summary",
+          f"SELECT table_name, validation_type, passed, total_rows, total_violations, "
+          f"coalesce(CAST(total_violations AS DOUBLE) / nullif(CAST(total_rows AS DOUBLE), 0) * 100.0, 0.0) "
+          f"AS violations_per_row_pct, threshold * 100.0 AS threshold_pct, "
+          f"CASE WHEN coalesce(passed, false) THEN 'normal' ELSE 'critical' END AS severity "
+          f"FROM ({ALL_VALIDATION_SQL})")
+def validation_summary(spark, sf_dir):
+    return R.validation_summary(_all_results(spark, sf_dir))
+
+
+@register("alert_messages")
+def alert_messages(spark, sf_dir):
+    return R.alert_messages(_all_results(spark, sf_dir))
+
+
+@register("results_as_json")
+def results_as_json(spark, sf_dir):
+    return R.results_as_json(_all_results(spark, sf_dir))
+
+
+def _tag_sql(suite: Suite, keys: list[str]) -> str:
+    whens = ", ".join(f"CASE WHEN {c.duck} THEN {O.q(c.rule.rule_name)} END" for c in suite.checks
+                      if c.duck is not None and c.status == "evaluate")
+    return (f"SELECT {', '.join(keys)}, concat_ws('|', {whens}) AS violated_rules "
+            f"FROM {suite.source_sql} AS src WHERE concat_ws('|', {whens}) <> ''")
+
+
+TAG_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def _tagged(spark, sf_dir):
+    df = lineitem_with_nulls(spark, sf_dir)
+    return TG.failed_records(df, LINEITEM.table_rules())
+
+
+@register("row_violation_tags", _tag_sql(LINEITEM, TAG_KEYS))
+def row_violation_tags(spark, sf_dir):
+    return _tagged(spark, sf_dir).select(*TAG_KEYS, F.array_join("violated_rules", "|").alias("violated_rules"))
+
+
+@register("failed_records_sample",
+          f"SELECT * FROM ({_tag_sql(LINEITEM, TAG_KEYS)}) ORDER BY l_orderkey, l_linenumber LIMIT 100")
+def failed_records_sample(spark, sf_dir):
+    df = lineitem_with_nulls(spark, sf_dir)
+    return (TG.failed_records_sample(df, LINEITEM.table_rules(), TAG_KEYS, 100)
+            .select(*TAG_KEYS, F.array_join("violated_rules", "|").alias("violated_rules")))
+
+
+@register("failed_records_count",
+          f"SELECT (SELECT count(*) FROM lineitem) AS total_rows, "
+          f"(SELECT count(*) FROM ({_tag_sql(LINEITEM, TAG_KEYS)})) AS failed_rows")
+def failed_records_count(spark, sf_dir):
+    return TG.failed_records_count(lineitem_with_nulls(spark, sf_dir), LINEITEM.table_rules())
+
+
+def _windowed_sql(suite: Suite, ts: str, unit: str, threshold: float) -> str:
+    """Validation rows per window, DuckDB side (date_trunc buckets)."""
+    ev = [(i, c) for i, c in enumerate(suite.checks) if c.duck is not None and c.status == "evaluate"]
+    counts = ", ".join(f"CAST(count_if({c.duck}) AS BIGINT) AS v{i}" for i, c in ev)
+    fams: dict[str, list[int]] = {}
+    for i, c in enumerate(suite.checks):
+        fams.setdefault(c.rule.validation_type, []).append(i)
+    parts = []
+    for fam, idx in fams.items():
+        tv = " + ".join(f"v{i}" if any(i == j for j, _ in ev) else "0" for i in idx)
+        k = len(idx)
+        rate = f"CASE WHEN ({tv}) > 0 THEN CAST(({tv}) AS DOUBLE) / CAST(total_rows * {k} AS DOUBLE) ELSE 0.0 END"
+        parts.append(f"SELECT ws AS window_start, ws + INTERVAL 1 {unit} AS window_end, {O.q(suite.table_name)} "
+                     f"AS table_name, {O.q(fam)} AS validation_type, total_rows, CAST({k} AS INTEGER) "
+                     f"AS rules_configured, CAST(({tv}) AS BIGINT) AS total_violations, {rate} AS "
+                     f"violation_percentage, CAST({threshold!r} AS DOUBLE) AS threshold, "
+                     f"({rate}) <= {threshold!r} AS passed FROM c")
+    return (f"WITH c AS (SELECT date_trunc('{unit}', {ts}) AS ws, count(*) AS total_rows, {counts} "
+            f"FROM {suite.source_sql} AS src GROUP BY 1) " + " UNION ALL ".join(parts))
+
+
+@register("hourly_validation", _windowed_sql(EVENTS, "ts", "hour", 0.10))
+def hourly_validation(spark, sf_dir):
+    return windowed_validation(table(spark, sf_dir, "events"), EVENTS.table_rules(), "ts", "1 hour")
+
+
+TREND_RETENTION_DAYS = 20
+
+
+@register("results_trend",
+          f"WITH h AS (SELECT window_start AS run_ts, * EXCLUDE (window_start, window_end) "
+          f"FROM ({_windowed_sql(EVENTS, 'ts', 'day', 0.10)})), "
+          f"k AS (SELECT * FROM h WHERE run_ts >= (SELECT max(run_ts) FROM h) - INTERVAL {TREND_RETENTION_DAYS} DAY) "
+          f"SELECT run_ts, table_name, validation_type, total_rows, total_violations, violation_percentage, passed, "
+          f"lag(violation_percentage) OVER w AS previous_percentage, "
+          f"violation_percentage - lag(violation_percentage) OVER w AS change, "
+          f"lag(passed) OVER w AS previous_passed FROM k "
+          f"WINDOW w AS (PARTITION BY table_name, validation_type ORDER BY run_ts)")
+def results_trend(spark, sf_dir):
+    daily = windowed_validation(table(spark, sf_dir, "events"), EVENTS.table_rules(), "ts", "1 day")
+    history = daily.withColumnRenamed("window_start", "run_ts").drop("window_end")
+    return R.results_trend(history, "run_ts", TREND_RETENTION_DAYS)
