@@ -598,3 +598,163 @@ def results_trend(spark, sf_dir):
     daily = windowed_validation(table(spark, sf_dir, "events"), EVENTS.table_rules(), "ts", "1 day")
     history = daily.withColumnRenamed("window_start", "run_ts").drop("window_end")
     return R.results_trend(history, "run_ts", TREND_RETENTION_DAYS)
+
+
+# -- U1..U7, S5, S6, K3: documents and files ------------------------------------------
+
+from ..operators import files as FC  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+
+KEY_SETS = (("required_k", ["k"]), ("required_k_z", ["k", "z"]))
+
+
+def _duck_doc_invalid(col, keys):
+    lst = "[" + ", ".join(O.q(k) for k in keys) + "]"
+    return (f"NOT coalesce(CASE WHEN json_valid({col}) AND json_type({col}) = 'OBJECT' "
+            f"THEN list_has_all(json_keys({col}), {lst}) END, false)")
+
+
+def _duck_rate(total, bad, t):
+    return (f"coalesce(CAST({bad} AS DOUBLE) / nullif(CAST({total} AS DOUBLE), 0), 0.0) AS violation_percentage, "
+            f"CAST({t!r} AS DOUBLE) AS threshold, "
+            f"coalesce(CAST({bad} AS DOUBLE) / nullif(CAST({total} AS DOUBLE), 0), 0.0) <= {t!r} AS passed")
+
+
+@register("json_required_keys", " UNION ALL ".join(
+    f"SELECT 'events' AS table_name, {O.q(n)} AS check_name, total_files, violations, "
+    f"{_duck_rate('total_files', 'violations', 0.10)} FROM (SELECT count(*) AS total_files, "
+    f"CAST(count_if({_duck_doc_invalid('props', ks)}) AS BIGINT) AS violations FROM events)"
+    for n, ks in KEY_SETS))
+def json_required_keys(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return union_all([FC.required_keys_check(ev, "props", ks, "events", n) for n, ks in KEY_SETS])
+
+
+@register("json_invalid_details",
+          f"SELECT event_id, 'z' AS missing_keys, 'missing keys' AS error FROM events "
+          f"WHERE {_duck_doc_invalid('props', ['k', 'z'])} ORDER BY event_id LIMIT 10")
+def json_invalid_details(spark, sf_dir):
+    return FC.invalid_document_details(table(spark, sf_dir, "events"), "props", ["k", "z"], ["event_id"], 10)
+
+
+PAGE_EXT = [".html", ".htm"]
+PAGE_SIZE = (1024, 20000)
+_DUCK_EXT = "lower(regexp_extract(regexp_replace(url, '[?#].*$', ''), '(\\.[^./]+)$', 1))"
+
+
+@register("file_extension_check",
+          f"SELECT 'pages' AS table_name, 'file_extension' AS check_name, total_files, violations, "
+          f"{_duck_rate('total_files', 'violations', 0.0)} FROM (SELECT count(*) AS total_files, "
+          f"CAST(count_if({_DUCK_EXT} NOT IN ({_in_list(PAGE_EXT)})) AS BIGINT) AS violations FROM pages)")
+def file_extension_check(spark, sf_dir):
+    return FC.extension_check(table(spark, sf_dir, "pages"), F.col("url"), PAGE_EXT, "pages")
+
+
+@register("file_size_check",
+          f"SELECT 'pages' AS table_name, 'file_size' AS check_name, total_files, violations, "
+          f"{_duck_rate('total_files', 'violations', 0.0)} FROM (SELECT count(*) AS total_files, "
+          f"CAST(count_if(strlen(html) < {PAGE_SIZE[0]} OR strlen(html) > {PAGE_SIZE[1]}) AS BIGINT) "
+          f"AS violations FROM pages)")
+def file_size_check(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return FC.bound_check(p, F.octet_length("html"), *PAGE_SIZE, "pages", "file_size")
+
+
+PAGE_REQUIRED = ["page_id", "file_path", "file_size", "image_format"]
+
+
+@register("file_metadata_check",
+          "SELECT total_files, 'image_format' AS missing_keys, size_violations, extension_violations, errors, "
+          "errors = '' AS passed FROM (SELECT *, concat_ws('; ', 'Missing metadata keys: image_format', "
+          "CASE WHEN size_violations > 0 THEN size_violations || ' files violate size constraints' END, "
+          "CASE WHEN extension_violations > 0 THEN extension_violations || ' files violate extension constraints' END"
+          ") AS errors FROM (SELECT count(*) AS total_files, "
+          f"CAST(count_if(strlen(html) < {PAGE_SIZE[0]} OR strlen(html) > {PAGE_SIZE[1]}) AS BIGINT) AS size_violations, "
+          f"CAST(count_if({_DUCK_EXT} NOT IN ({_in_list(PAGE_EXT)})) AS BIGINT) AS extension_violations FROM pages))")
+def file_metadata_check(spark, sf_dir):
+    meta = table(spark, sf_dir, "pages").select(
+        "page_id", F.col("url").alias("file_path"), F.octet_length("html").alias("file_size"))
+    return FC.validate_file_metadata(meta, PAGE_REQUIRED, *PAGE_SIZE, PAGE_EXT)
+
+
+# Event documents derived from the events table: error events carry only their
+# id (the faulty documents); the others carry every required key.  The JSON
+# writer drops NULL fields, which removes the keys of the faulty documents.
+EVENT_DOC_KEYS = ["event_id", "event_type", "event_time", "user_id", "payload"]
+
+
+def event_documents(spark, sf_dir) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    ok = F.col("event_type") != "error"
+    return ev.select(
+        "event_id",
+        F.when(ok, F.col("event_type")).alias("event_type"),
+        F.when(ok, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("event_time"),
+        F.when(ok, F.col("user_id")).alias("user_id"),
+        F.when(ok, F.from_json("props", "k bigint")).alias("payload"))
+
+
+def _event_json_dir(spark, sf_dir):
+    d = scratch_path(spark, "event_logs")
+    FS.write_json_documents(event_documents(spark, sf_dir), d)
+    return d
+
+
+def _event_docs(spark, sf_dir):
+    return FS.scan_json_files(spark, _event_json_dir(spark, sf_dir), "*.json", mode="lines")
+
+
+@register("json_dir_exists")
+def json_dir_exists(spark, sf_dir):
+    return FS.directory_status(spark, _event_json_dir(spark, sf_dir)).drop("path")
+
+
+@register("json_file_count")
+def json_file_count(spark, sf_dir):
+    m = FS.file_manifest(spark, _event_json_dir(spark, sf_dir), "*.json")
+    first = m.orderBy("file_name").limit(5).agg(F.array_join(F.array_sort(F.collect_list("file_name")), ",")
+                                                 .alias("sample"))
+    return first.select(m.select(F.count(F.lit(1))).scalar().alias("json_files"), "sample")
+
+
+@register("file_manifest")
+def file_manifest(spark, sf_dir):
+    return FS.file_manifest(spark, _event_json_dir(spark, sf_dir), "*.json").drop("modification_time", "file_path")
+
+
+@register("json_dir_scan")
+def json_dir_scan(spark, sf_dir):
+    docs = FC.document_status(_event_docs(spark, sf_dir), "value", EVENT_DOC_KEYS)
+    return docs.select(F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"),
+                       "valid_json", F.array_join("missing_keys", ",").alias("missing_keys"), "is_valid")
+
+
+@register("json_dir_required_keys",
+          "SELECT 'event_logs' AS table_name, 'required_keys' AS check_name, total_files, violations, "
+          f"{_duck_rate('total_files', 'violations', 0.10)} FROM (SELECT count(*) AS total_files, "
+          "CAST(count_if(event_type = 'error') AS BIGINT) AS violations FROM events)")
+def json_dir_required_keys(spark, sf_dir):
+    return FC.required_keys_check(_event_docs(spark, sf_dir), "value", EVENT_DOC_KEYS, "event_logs")
+
+
+PAGE_DOC_KEYS = ["page_id", "url", "n_bytes"]
+
+
+def _page_docs_dir(spark, sf_dir):
+    """One JSON file per page; pages served over plain http lose their url key."""
+    p = table(spark, sf_dir, "pages")
+    docs = p.select("page_id", F.when(~F.col("url").startswith("http://"), F.col("url")).alias("url"),
+                    F.octet_length("html").alias("n_bytes"))
+    d = scratch_path(spark, "page_docs")
+    FS.write_json_documents(docs, d, one_per_file=True)
+    return d
+
+
+@register("json_file_documents",
+          "SELECT 'page_docs' AS table_name, 'required_keys' AS check_name, total_files, violations, "
+          f"{_duck_rate('total_files', 'violations', 0.10)} FROM (SELECT count(*) AS total_files, "
+          "CAST(count_if(starts_with(url, 'http://')) AS BIGINT) AS violations FROM pages)")
+def json_file_documents(spark, sf_dir):
+    docs = FS.scan_json_files(spark, _page_docs_dir(spark, sf_dir), "*.json", mode="document")
+    return FC.required_keys_check(docs, "value", PAGE_DOC_KEYS, "page_docs")
