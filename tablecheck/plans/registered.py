@@ -758,3 +758,102 @@ def _page_docs_dir(spark, sf_dir):
 def json_file_documents(spark, sf_dir):
     docs = FS.scan_json_files(spark, _page_docs_dir(spark, sf_dir), "*.json", mode="document")
     return FC.required_keys_check(docs, "value", PAGE_DOC_KEYS, "page_docs")
+
+
+# -- K1, K2, K4, D1..D4: sinks and generated data ------------------------------------
+
+import uuid as _uuid  # noqa: E402
+
+from ..sources import sinks as SK  # noqa: E402
+from ..sources import synth as SY  # noqa: E402
+from ..sources.tables import append_table, create_table  # noqa: E402
+from .registry import EXAMPLE_REGISTRY, Registry  # noqa: E402
+
+ROUNDTRIP_SQL = ("SELECT o_orderstatus, count(*) AS orders, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key "
+                 "FROM orders GROUP BY o_orderstatus")
+
+
+def _by_status(df):
+    return df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.min("o_orderkey").alias("min_key"),
+                                           F.max("o_orderkey").alias("max_key"))
+
+
+@register("create_table_roundtrip", ROUNDTRIP_SQL)
+def create_table_roundtrip(spark, sf_dir):
+    name = f"tablecheck_rt.orders_{_uuid.uuid4().hex[:10]}"
+    create_table(spark, name, table(spark, sf_dir, "orders"), partition_cols=["o_orderstatus"],
+                 location=scratch_path(spark, "create_roundtrip"))
+    return _by_status(spark.table(name))
+
+
+@register("append_table_roundtrip", ROUNDTRIP_SQL)
+def append_table_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "append_roundtrip")
+    orders = table(spark, sf_dir, "orders")
+    create_table(spark, path, orders.filter("o_orderstatus = 'F'"))
+    append_table(spark, path, orders.filter("o_orderstatus <> 'F'"))
+    return _by_status(spark.read.parquet(path))
+
+
+@register("results_sink", ALL_VALIDATION_SQL)
+def results_sink(spark, sf_dir):
+    path = scratch_path(spark, "results")
+    results = _all_results(spark, sf_dir)
+    SK.write_results(results, path, "run-1")
+    SK.write_results(results, path, "run-1")  # a retried run replaces its partition
+    return SK.read_results(spark, path, "run-1").drop("run_id", "run_ts")
+
+
+SYNTH_AS_OF = "2024-02-01 00:00:00"
+
+
+@register("synth_transactions")
+def synth_transactions(spark, sf_dir):
+    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return SY.generate_transactions(spark, ids=ids, as_of=SYNTH_AS_OF, with_fault_kind=True)
+
+
+@register("synth_user_profiles")
+def synth_user_profiles(spark, sf_dir):
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    return SY.generate_users(spark, ids=ids, as_of=SYNTH_AS_OF, with_fault_kind=True)
+
+
+@register("synth_event_logs")
+def synth_event_logs(spark, sf_dir):
+    """Generate one log document per event id, write JSON Lines, read back, check keys."""
+    ids = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    d = scratch_path(spark, "synth_event_logs")
+    FS.write_json_documents(SY.generate_event_logs(spark, ids=ids, as_of=SYNTH_AS_OF), d)
+    docs = FS.scan_json_files(spark, d, "*.json", mode="lines")
+    keys = EXAMPLE_REGISTRY["tables"]["event_logs"]["validations"]["metadata_keys"]["required"]
+    return FC.required_keys_check(docs, "value", keys, "event_logs")
+
+
+@register("synth_suite")
+def synth_suite(spark, sf_dir):
+    """The example registry's rules on generated transactions and users: the
+    fault rates found equal the injected ones."""
+    reg = Registry(EXAMPLE_REGISTRY)
+    txn = synth_transactions(spark, sf_dir).drop("fault_kind")
+    usr = synth_user_profiles(spark, sf_dir).drop("fault_kind")
+    return union_all([FusedCheck(txn, reg.table_rules("transactions")).validation_results(),
+                      FusedCheck(usr, reg.table_rules("user_profiles")).validation_results()])
+
+
+# -- T1..T4: streaming -----------------------------------------------------------------
+
+from ..streaming import hourly as ST  # noqa: E402
+
+
+@register("stream_hourly_validation", _windowed_sql(EVENTS, "ts", "hour", 0.10))
+def stream_hourly_validation(spark, sf_dir):
+    schema = table(spark, sf_dir, "events").schema
+    return ST.stream_windowed_validation(spark, sf_dir, schema, EVENTS.table_rules(), "ts",
+                                         glob="events.parquet", output_mode="complete")
+
+
+@register("stream_batch_suite")
+def stream_batch_suite(spark, sf_dir):
+    schema = table(spark, sf_dir, "events").schema
+    return ST.stream_batch_suite(spark, sf_dir, schema, EVENTS.table_rules(), glob="events.parquet")
