@@ -3,6 +3,8 @@
 Document check (per document): valid when it is one strict JSON value, an
 object, and holds every required top-level key (a null value counts as
 present).  The verdict is ``invalid / total <= threshold`` (10 % by default).
+Duplicate keys make a document invalid unless the session sets
+``spark.sql.variant.allowDuplicateKeys=true`` (Python's ``json`` accepts them).
 
 File-metadata check (per file-metadata frame): required *columns* must be
 present, sizes must lie in bounds, extensions must be allowed; zero
