@@ -18,8 +18,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import read_table, table_exists
-from .schema import schema_check
+from ..sources.tables import try_read_table
+from .schema import EXPECTED_SCHEMA, SCHEMA_SCHEMA, _canonical, schema_differences
 
 GATE_DDL = "table_name string, exists boolean, schema_valid boolean, schema_errors string, is_open boolean, reason string"
 
@@ -46,29 +46,66 @@ class GateState:
     reason: str | None
 
 
+def _load(spark: SparkSession, spec: TableSpec):
+    """The table's DataFrame, or None when it does not exist (one footer read)."""
+    return try_read_table(spark, spec.source, spec.fmt)
+
+
+def evaluate_gates(spark: SparkSession, specs: Sequence[TableSpec]) -> tuple[list[GateState], dict[str, DataFrame]]:
+    """Metadata checks of many tables with one schema-comparison job per
+    (strict, mode) group and one emptiness probe job for all tables that
+    ask for it.  Returns the states and the loaded DataFrames of open tables.
+    """
+    frames: dict[str, DataFrame] = {}
+    for spec in specs:
+        df = _load(spark, spec)
+        if df is not None:
+            frames[spec.table_name] = df
+    errors: dict[str, list[str]] = {}
+    groups: dict[tuple[bool, str], list[TableSpec]] = {}
+    for spec in specs:
+        if spec.table_name in frames and spec.expected_schema is not None:
+            groups.setdefault((spec.strict, spec.mode), []).append(spec)
+    for (strict, mode), group in groups.items():
+        actual_rows, expected_rows = [], []
+        for spec in group:
+            for i, f in enumerate(frames[spec.table_name].schema.fields):
+                actual_rows.append((spec.table_name, i + 1, f.name, f.dataType.simpleString(), str(f.dataType)))
+            exp = spec.expected_schema
+            if isinstance(exp, Mapping):
+                expected_rows += [(spec.table_name, c, t, _canonical(t)) for c, t in exp.items()]
+            else:
+                expected_rows += [(spec.table_name, c, None, None) for c in exp]
+        diffs = schema_differences(spark.createDataFrame(actual_rows, SCHEMA_SCHEMA),
+                                   spark.createDataFrame(expected_rows, EXPECTED_SCHEMA), strict, mode)
+        # at most one row per declared or actual column of the group
+        for r in diffs.orderBy("table_name", "kind", "column_name").collect():
+            errors.setdefault(r["table_name"], []).append(f"{r['kind']} {r['column_name']}")
+    wants_rows = [s for s in specs if s.require_rows and s.table_name in frames]
+    non_empty: set[str] = set()
+    if wants_rows:
+        probe = None
+        for s in wants_rows:
+            p = frames[s.table_name].limit(1).select(F.lit(s.table_name).alias("t"))
+            probe = p if probe is None else probe.unionByName(p)
+        non_empty = {r["t"] for r in probe.collect()}
+    states = []
+    for spec in specs:
+        if spec.table_name not in frames:
+            states.append(GateState(spec.table_name, False, None, None, None, False, "table not found"))
+            continue
+        errs = errors.get(spec.table_name)
+        valid = not errs
+        ne = (spec.table_name in non_empty) if spec.require_rows else None
+        reason = f"schema: {'; '.join(errs)}" if errs else ("table is empty" if ne is False else None)
+        states.append(GateState(spec.table_name, True, valid, "; ".join(errs) if errs else None, ne,
+                                valid and ne is not False, reason))
+    return states, {s.table_name: frames[s.table_name] for s in states if s.is_open}
+
+
 def evaluate_gate(spark: SparkSession, spec: TableSpec) -> GateState:
-    """Metadata checks of one table; reads only metadata unless ``require_rows``."""
-    if not table_exists(spark, spec.source, spec.fmt):
-        return GateState(spec.table_name, False, None, None, None, False, "table not found")
-    valid, errors = True, None
-    if spec.expected_schema is not None:
-        diffs = schema_check(spark, spec.source, spec.table_name, spec.expected_schema,
-                             spec.strict, spec.mode)
-        # The difference frame has one row per schema field at most.
-        found = diffs.orderBy("kind", "column_name").collect()
-        if found:
-            valid = False
-            errors = "; ".join(f"{r['kind']} {r['column_name']}" for r in found)
-    not_empty = None
-    if spec.require_rows:
-        not_empty = not read_table(spark, spec.source, fmt=spec.fmt).isEmpty()
-    reason = None
-    if not valid:
-        reason = f"schema: {errors}"
-    elif not_empty is False:
-        reason = "table is empty"
-    return GateState(spec.table_name, True, valid, errors, not_empty,
-                     valid and not_empty is not False, reason)
+    """Metadata checks of one table (see :func:`evaluate_gates`)."""
+    return evaluate_gates(spark, [spec])[0][0]
 
 
 def gate_frame(spark: SparkSession, states: Sequence[GateState]) -> DataFrame:

@@ -62,7 +62,7 @@ def table_schema(spark: SparkSession, source: str, table_name: str | None = None
     return schema_frame(spark, table_name or source, df.schema)
 
 
-def _canonical(spark: SparkSession, type_string: str) -> str | None:
+def _canonical(type_string: str) -> str | None:
     try:
         from pyspark.sql.types import _parse_datatype_string
         return _parse_datatype_string(type_string).simpleString()
@@ -73,7 +73,7 @@ def _canonical(spark: SparkSession, type_string: str) -> str | None:
 def expected_frame(spark: SparkSession, table_name: str, expected: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """Expected schema as a frame; a plain column list means 'any type'."""
     if isinstance(expected, Mapping):
-        rows = [(table_name, c, t, _canonical(spark, t)) for c, t in expected.items()]
+        rows = [(table_name, c, t, _canonical(t)) for c, t in expected.items()]
     else:
         rows = [(table_name, c, None, None) for c in expected]
     return spark.createDataFrame(rows, EXPECTED_SCHEMA)

@@ -1,9 +1,15 @@
 """Row-level tags: which rules each row violates, and samples of failing rows.
 
-The tag is one ``array<string>`` column built from the same violation
-columns as the fused check, so it is a projection (no shuffle).  A sample is
-``orderBy(key).limit(n)``: Spark plans it as a distributed top-k
-(``TakeOrderedAndProject``), keeping n rows per task, never the whole set.
+Tags are built from the same violation columns as the fused check, as a
+projection (no shuffle).  They are assembled with ``concat_ws`` (which skips
+NULLs and stays in whole-stage codegen) rather than a higher-order
+``filter`` over an array, which runs an interpreted lambda per row and
+measured about 4x slower.  Failing rows are selected with the OR of the
+violation predicates first, so tags are computed only for rows that need them.
+
+A sample is ``filter(any) -> orderBy(key) -> limit(n)`` with the tags added
+after the limit: Spark plans a distributed top-k (``TakeOrderedAndProject``,
+n rows per task), and only n rows are tagged.
 """
 
 from __future__ import annotations
@@ -14,16 +20,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..rules import TableRules
-from .validate import compile_rules
+from .validate import CompiledRule, compile_rules
+
+# Separator between rule names inside the tag string (a control character
+# that does not occur in rule names).
+TAG_SEPARATOR = "\u001f"
+
+
+def _compiled(df: DataFrame, table_rules: TableRules, on_error: str) -> list[CompiledRule]:
+    return [c for c in compile_rules(df, table_rules.rules, on_error) if c.violation is not None]
+
+
+def any_violation(compiled: Sequence[CompiledRule]) -> Column:
+    """TRUE when the row violates at least one rule (NULL counts as no)."""
+    if not compiled:
+        return F.lit(False)
+    out = F.coalesce(compiled[0].violation, F.lit(False))
+    for c in compiled[1:]:
+        out = out | F.coalesce(c.violation, F.lit(False))
+    return out
+
+
+def violation_tag_string(compiled: Sequence[CompiledRule], sep: str = "|") -> Column:
+    """Violated rule names joined by ``sep`` in rule order ('' if none)."""
+    if not compiled:
+        return F.lit("")
+    return F.concat_ws(sep, *[F.when(c.violation, F.lit(c.rule.rule_name)) for c in compiled])
+
+
+def _tags_array(compiled: Sequence[CompiledRule]) -> Column:
+    s = violation_tag_string(compiled, TAG_SEPARATOR)
+    return F.when(s == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(s, TAG_SEPARATOR))
 
 
 def violation_tags(df: DataFrame, table_rules: TableRules, on_error: str = "fail") -> Column:
     """``array<string>`` of violated rule names, in rule order (empty if none)."""
-    compiled = [c for c in compile_rules(df, table_rules.rules, on_error) if c.violation is not None]
-    if not compiled:
-        return F.array().cast("array<string>")
-    tagged = F.array(*[F.when(c.violation, F.lit(c.rule.rule_name)) for c in compiled])
-    return F.filter(tagged, lambda x: x.isNotNull())
+    return _tags_array(_compiled(df, table_rules, on_error))
 
 
 def tag_violations(df: DataFrame, table_rules: TableRules, tag_col: str = "violated_rules",
@@ -32,19 +64,25 @@ def tag_violations(df: DataFrame, table_rules: TableRules, tag_col: str = "viola
 
 
 def failed_records(df: DataFrame, table_rules: TableRules, tag_col: str = "violated_rules",
-                   on_error: str = "fail") -> DataFrame:
-    """Rows violating at least one rule, with their tags."""
-    return tag_violations(df, table_rules, tag_col, on_error).filter(F.size(tag_col) > 0)
+                   on_error: str = "fail", sep: str | None = None) -> DataFrame:
+    """Rows violating at least one rule, with their tags (an array, or a
+    string joined by ``sep`` when given)."""
+    compiled = _compiled(df, table_rules, on_error)
+    tags = _tags_array(compiled) if sep is None else violation_tag_string(compiled, sep)
+    return df.filter(any_violation(compiled)).withColumn(tag_col, tags)
 
 
 def failed_records_sample(df: DataFrame, table_rules: TableRules, order_by: Sequence[str],
-                          limit: int = 100, tag_col: str = "violated_rules") -> DataFrame:
-    """The first ``limit`` failing rows by ``order_by`` (deterministic sample)."""
-    return failed_records(df, table_rules, tag_col).orderBy(*order_by).limit(limit)
+                          limit: int = 100, tag_col: str = "violated_rules", sep: str | None = None) -> DataFrame:
+    """The first ``limit`` failing rows by ``order_by`` (deterministic when the key is unique)."""
+    compiled = _compiled(df, table_rules, "fail")
+    top = df.filter(any_violation(compiled)).orderBy(*order_by).limit(limit)
+    tags = _tags_array(compiled) if sep is None else violation_tag_string(compiled, sep)
+    return top.withColumn(tag_col, tags)
 
 
 def failed_records_count(df: DataFrame, table_rules: TableRules) -> DataFrame:
     """Total rows and failing rows in one aggregation (for 'showing n of m')."""
-    tags = violation_tags(df, table_rules)
+    compiled = _compiled(df, table_rules, "fail")
     return df.agg(F.count(F.lit(1)).alias("total_rows"),
-                  F.count_if(F.size(tags) > 0).alias("failed_rows"))
+                  F.count_if(any_violation(compiled)).alias("failed_rows"))

@@ -129,9 +129,25 @@ def compile_rule(df: DataFrame, rule: Rule, on_error: str = "fail") -> CompiledR
 
 
 def compile_rules(df: DataFrame, rules: Iterable[Rule], on_error: str = "fail") -> list[CompiledRule]:
+    """Compile all rules; cross-column expressions are analysed together in
+    one pass, and one by one only when that pass fails."""
+    rules = list(rules)
+    exprs = [r.expression for r in rules if r.validation_type == CROSS_COLUMN and r.expression]
+    if exprs:
+        try:
+            types = df.select(*[F.expr(e).alias(f"_e{i}") for i, e in enumerate(exprs)]).schema
+            if all(isinstance(f.dataType, (T.BooleanType, T.NullType)) for f in types.fields):
+                return [_compile_checked(df, r) if r.validation_type == CROSS_COLUMN and r.expression
+                        else compile_rule(df, r, on_error) for r in rules]
+        except (AnalysisException, PySparkException):
+            pass
     return [compile_rule(df, r, on_error) for r in rules]
 
 
+def _compile_checked(df: DataFrame, rule: Rule) -> CompiledRule:
+    return CompiledRule(rule, P.expression_violation(rule.expression), "evaluate")
+
+
 class FusedCheck:
     """All rules of one table against one DataFrame, evaluated in one pass.
 
@@ -217,12 +233,11 @@ def violation_rate(total_violations: Column, total_rows: Column, rules_configure
 
 def verdict(df: DataFrame, threshold: float | Column = DEFAULT_THRESHOLD) -> DataFrame:
     """Add ``violation_percentage``, ``threshold`` and ``passed`` (inclusive)."""
-    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return (df.withColumn("violation_percentage",
-                          violation_rate(F.col("total_violations"), F.col("total_rows"),
-                                         F.col("rules_configured")))
-              .withColumn("threshold", t.cast("double"))
-              .withColumn("passed", F.col("violation_percentage") <= F.col("threshold")))
+    t = (threshold if isinstance(threshold, Column) else F.lit(float(threshold))).cast("double")
+    rate = violation_rate(F.col("total_violations"), F.col("total_rows"), F.col("rules_configured"))
+    keep = [c for c in df.columns if c not in ("violation_percentage", "threshold", "passed")]
+    return df.select(*keep, rate.alias("violation_percentage"), t.alias("threshold"),
+                     (rate <= t).alias("passed"))
 
 
 def rollup_rule_results(rule_results: DataFrame, thresholds: DataFrame | float = DEFAULT_THRESHOLD) -> DataFrame:

@@ -531,22 +531,18 @@ def _tag_sql(suite: Suite, keys: list[str]) -> str:
 TAG_KEYS = ["l_orderkey", "l_linenumber"]
 
 
-def _tagged(spark, sf_dir):
-    df = lineitem_with_nulls(spark, sf_dir)
-    return TG.failed_records(df, LINEITEM.table_rules())
-
-
 @register("row_violation_tags", _tag_sql(LINEITEM, TAG_KEYS))
 def row_violation_tags(spark, sf_dir):
-    return _tagged(spark, sf_dir).select(*TAG_KEYS, F.array_join("violated_rules", "|").alias("violated_rules"))
+    df = lineitem_with_nulls(spark, sf_dir)
+    return TG.failed_records(df, LINEITEM.table_rules(), sep="|").select(*TAG_KEYS, "violated_rules")
 
 
 @register("failed_records_sample",
           f"SELECT * FROM ({_tag_sql(LINEITEM, TAG_KEYS)}) ORDER BY l_orderkey, l_linenumber LIMIT 100")
 def failed_records_sample(spark, sf_dir):
     df = lineitem_with_nulls(spark, sf_dir)
-    return (TG.failed_records_sample(df, LINEITEM.table_rules(), TAG_KEYS, 100)
-            .select(*TAG_KEYS, F.array_join("violated_rules", "|").alias("violated_rules")))
+    return (TG.failed_records_sample(df, LINEITEM.table_rules(), TAG_KEYS, 100, sep="|")
+            .select(*TAG_KEYS, "violated_rules"))
 
 
 @register("failed_records_count",

@@ -14,10 +14,9 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.gate import GateState, TableSpec, evaluate_gate, gate_frame
+from ..operators.gate import GateState, TableSpec, evaluate_gates, gate_frame
 from ..operators.validate import (RULE_RESULT_SCHEMA, VALIDATION_RESULT_SCHEMA, FusedCheck)
 from ..rules import TableRules
-from ..sources.tables import read_table
 
 SKIPPED_DDL = ("table_name string, validation_type string, rule_name string, status string, "
                "severity string, reason string")
@@ -48,16 +47,17 @@ def run_suite(spark: SparkSession, tables: Sequence[tuple[TableSpec, TableRules]
     incremental slice, derived columns).
     """
     prepare = prepare or {}
-    states, rule_frames, val_frames, skipped_rows = [], [], [], []
+    rule_frames, val_frames, skipped_rows = [], [], []
+    states, frames = evaluate_gates(spark, [spec for spec, _ in tables])
+    by_name = {st.table_name: st for st in states}
     for spec, rules in tables:
-        st = evaluate_gate(spark, spec)
-        states.append(st)
+        st = by_name[spec.table_name]
         if not st.is_open:
             for r in rules.rules:
                 skipped_rows.append((rules.table_name, r.validation_type, r.rule_name, "skipped",
                                      "blocker", st.reason))
             continue
-        df = read_table(spark, spec.source, fmt=spec.fmt)
+        df = frames[spec.table_name]
         if spec.table_name in prepare:
             df = prepare[spec.table_name](df)
         check = FusedCheck(df, rules, on_error)

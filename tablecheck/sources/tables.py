@@ -99,19 +99,25 @@ def default_interval(env: Mapping[str, str] | None = None,
 
 # -- existence ---------------------------------------------------------------
 
-def table_exists(spark: SparkSession, source: str, fmt: str = "parquet") -> bool:
-    """False only when the table/path is not found; other errors propagate."""
+def try_read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table, or None when it is not found; other errors propagate."""
     if not is_path(source):
-        return spark.catalog.tableExists(source)
+        return spark.table(source) if spark.catalog.tableExists(source) else None
     try:
-        spark.read.format(fmt).load(source).schema
-        return True
+        df = spark.read.format(fmt).load(source)
+        df.schema
+        return df
     except AnalysisException as e:
         if (e.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
-            return False
+            return None
         raise
 
 
+def table_exists(spark: SparkSession, source: str, fmt: str = "parquet") -> bool:
+    """False only when the table/path is not found; other errors propagate."""
+    return try_read_table(spark, source, fmt) is not None
+
+
 # -- sinks ---------------------------------------------------------------------
 
 def _namespace(name: str) -> str | None:
