@@ -13,7 +13,7 @@ tolerance by default.  Everything is one aggregation over the frame.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,10 +48,28 @@ def _verdict(total: Column, bad: Column, threshold: float) -> list[Column]:
 def required_keys_check(df: DataFrame, value_col: str, required: Sequence[str], table_name: str,
                         check_name: str = "required_keys", threshold: float = 0.10) -> DataFrame:
     """One row: documents, invalid documents, rate and verdict."""
-    s = document_status(df, value_col, required)
-    agg = s.agg(F.count(F.lit(1)).alias("total_files"), F.count_if(~F.col("is_valid")).alias("violations"))
-    return agg.select(F.lit(table_name).alias("table_name"), F.lit(check_name).alias("check_name"),
-                      "total_files", "violations", *_verdict(F.col("total_files"), F.col("violations"), threshold))
+    return required_keys_checks(df, value_col, {check_name: required}, table_name, threshold)
+
+
+def required_keys_checks(df: DataFrame, value_col: str, key_sets: Mapping[str, Sequence[str]], table_name: str,
+                         threshold: float = 0.10) -> DataFrame:
+    """Several named required-key sets over the same documents, one scan.
+
+    The document is parsed once per row; each set adds one ``count_if``.
+    """
+    v = F.col(value_col)
+    ok = F.coalesce(json_document_ok(v), F.lit(False))
+    aggs = [F.count(F.lit(1)).alias("total_files")]
+    names = list(key_sets)
+    for i, n in enumerate(names):
+        missing = json_missing_keys(v, key_sets[n])
+        aggs.append(F.count_if(~(ok & F.coalesce(F.size(missing) == 0, F.lit(False)))).alias(f"_k{i}"))
+    agg = df.agg(*aggs)
+    structs = [F.struct(F.lit(n).alias("check_name"), F.col(f"_k{i}").alias("violations"))
+               for i, n in enumerate(names)]
+    rows = agg.select("total_files", F.inline(F.array(*structs)))
+    return rows.select(F.lit(table_name).alias("table_name"), "check_name", "total_files", "violations",
+                       *_verdict(F.col("total_files"), F.col("violations"), threshold))
 
 
 def invalid_document_details(df: DataFrame, value_col: str, required: Sequence[str], order_by: Sequence[str],

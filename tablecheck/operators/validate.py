@@ -243,8 +243,10 @@ def verdict(df: DataFrame, threshold: float | Column = DEFAULT_THRESHOLD) -> Dat
 def rollup_rule_results(rule_results: DataFrame, thresholds: DataFrame | float = DEFAULT_THRESHOLD) -> DataFrame:
     """Validation results from any rule-results DataFrame (e.g. many tables).
 
-    ``thresholds`` is a float or a DataFrame ``(table_name, threshold)``
-    (broadcast: one row per table).
+    ``thresholds`` is a float or a DataFrame ``(table_name, threshold)``,
+    one row per table.  No broadcast hint: a frame built from configuration
+    is a local relation with exact statistics, so the planner broadcasts it
+    when it is small and shuffles it otherwise.
     """
     agg = (rule_results.groupBy("table_name", "validation_type")
            .agg(F.max("total_rows").alias("total_rows"),
@@ -252,7 +254,7 @@ def rollup_rule_results(rule_results: DataFrame, thresholds: DataFrame | float =
                 F.sum("violations").cast("bigint").alias("total_violations")))
     if isinstance(thresholds, DataFrame):
         t = thresholds.select("table_name", F.col("threshold").alias("_t"))
-        agg = agg.join(F.broadcast(t), "table_name", "left")
+        agg = agg.join(t, "table_name", "left")
         return verdict(agg, F.coalesce(F.col("_t"), F.lit(DEFAULT_THRESHOLD))).select(*VALIDATION_RESULT_COLUMNS)
     return verdict(agg, thresholds).select(*VALIDATION_RESULT_COLUMNS)
 

@@ -623,8 +623,7 @@ def _duck_rate(total, bad, t):
     f"CAST(count_if({_duck_doc_invalid('props', ks)}) AS BIGINT) AS violations FROM events)"
     for n, ks in KEY_SETS))
 def json_required_keys(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    return union_all([FC.required_keys_check(ev, "props", ks, "events", n) for n, ks in KEY_SETS])
+    return FC.required_keys_checks(table(spark, sf_dir, "events"), "props", dict(KEY_SETS), "events")
 
 
 @register("json_invalid_details",

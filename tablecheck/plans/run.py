@@ -32,10 +32,12 @@ class SuiteRun:
 
 
 def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
-    out = empty
-    for f in frames:
-        out = out.unionByName(f)
-    return out
+    """Balanced union tree (O(n log n) analysis for n tables)."""
+    frames = list(frames) or [empty]
+    while len(frames) > 1:
+        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i]
+                  for i in range(0, len(frames), 2)]
+    return frames[0]
 
 
 def run_suite(spark: SparkSession, tables: Sequence[tuple[TableSpec, TableRules]],
