@@ -853,3 +853,113 @@ def stream_hourly_validation(spark, sf_dir):
 def stream_batch_suite(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     return ST.stream_batch_suite(spark, sf_dir, schema, EVENTS.table_rules(), glob="events.parquet")
+
+
+# -- whole-registry runs and annotations (G4, R9) ------------------------------------
+
+from .registry_run import annotate_results, run_registry  # noqa: E402
+
+
+def suite_block(suite: Suite) -> dict:
+    """A registry ``validations`` block holding the suite's rules."""
+    b: dict = {"not_null": {"columns": []}, "range": {}, "regex": {}, "cross_column": []}
+    for c in suite.checks:
+        r = c.rule
+        if r.validation_type == "not_null":
+            b["not_null"]["columns"].append(r.column)
+        elif r.validation_type == "range":
+            b["range"][r.column] = {k: v for k, v in (("min", r.min), ("max", r.max)) if v is not None}
+        elif r.validation_type == "regex":
+            b["regex"][r.column] = r.pattern
+        else:
+            b["cross_column"].append({"name": r.rule_name, "expression": r.expression,
+                                      "description": r.description})
+    return b
+
+
+LINEITEM_PLAIN = Suite("lineitem", LINEITEM.checks)
+ORDERS_REG = Suite("orders", ORDERS_SUITE.checks)
+
+
+def _structured(suite: Suite, schema, ts=None, threshold=0.10):
+    return {"type": "structured", "format": "parquet", "namespace": "tpch", "incremental": ts is not None,
+            "timestamp_column": ts, "schema": schema,
+            "validations": {"schema_check": {"enabled": True, "strict_mode": True}, **suite_block(suite)},
+            "quality_threshold": threshold,
+            "circuit_breaker": {"metadata_stop_on_failure": True, "data_stop_on_threshold": True}}
+
+
+TESTDATA_REGISTRY = {"tables": {
+    "lineitem": _structured(LINEITEM_PLAIN, {
+        "l_orderkey": "long", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double",
+        "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp", "l_partkey": "long",
+        "l_suppkey": "long", "l_linenumber": "integer", "l_tax": "double"}, "l_shipdate", 0.05),
+    "customer": _structured(CUSTOMER, EXPECTED["customer"], None, 0.15),
+    "events": _structured(EVENTS, {"event_id": "long", "ts": "timestamp", "user_id": "long",
+                                   "event_type": "string", "value": "double", "props": "string"}, "ts"),
+    "orders": _structured(ORDERS_REG, {c: "string" for c in GATE_COLUMNS["orders"]}),
+    "event_logs": {"type": "unstructured", "format": "json", "layout": "lines", "namespace": "raw",
+                   "incremental": False,
+                   "validations": {"metadata_keys": {"required": EVENT_DOC_KEYS}},
+                   "quality_threshold": 0.10,
+                   "circuit_breaker": {"metadata_stop_on_failure": True, "data_stop_on_threshold": False}},
+}}
+REG_THRESHOLDS = {"lineitem": 0.05, "customer": 0.15, "events": 0.10}
+
+
+def _registry_locations(spark, sf_dir):
+    loc = {t: f"{sf_dir}/{t}.parquet" for t in ("lineitem", "customer", "events", "orders")}
+    loc["event_logs"] = _event_json_dir(spark, sf_dir)
+    return loc
+
+
+def _event_logs_sql(where=None):
+    w = f" WHERE {where}" if where else ""
+    return ("SELECT 'event_logs' AS table_name, 'required_keys' AS validation_type, total_rows, "
+            "CAST(1 AS INTEGER) AS rules_configured, total_violations, "
+            f"{_duck_rate('total_rows', 'total_violations', 0.10)} FROM (SELECT count(*) AS total_rows, "
+            f"CAST(count_if(event_type = 'error') AS BIGINT) AS total_violations FROM events{w})")
+
+
+@register("registry_suite",
+          O.validation_results_sql([LINEITEM_PLAIN, CUSTOMER, EVENTS], REG_THRESHOLDS)
+          + " UNION ALL " + _event_logs_sql())
+def registry_suite(spark, sf_dir):
+    run = run_registry(spark, Registry(TESTDATA_REGISTRY), _registry_locations(spark, sf_dir))
+    return run.validation_results
+
+
+REG_INTERVAL = ("2024-01-15 00:00:00", "2024-01-16 00:00:00")
+_EV_WHERE = f"ts >= TIMESTAMP '{REG_INTERVAL[0]}' AND ts < TIMESTAMP '{REG_INTERVAL[1]}'"
+_LI_WHERE = f"l_shipdate >= TIMESTAMP '{REG_INTERVAL[0]}' AND l_shipdate < TIMESTAMP '{REG_INTERVAL[1]}'"
+
+
+@register("registry_incremental",
+          O.validation_results_sql([LINEITEM_PLAIN], REG_THRESHOLDS, where=_LI_WHERE)
+          + " UNION ALL " + O.validation_results_sql([CUSTOMER], REG_THRESHOLDS)
+          + " UNION ALL " + O.validation_results_sql([EVENTS], REG_THRESHOLDS, where=_EV_WHERE)
+          + " UNION ALL " + _event_logs_sql())
+def registry_incremental(spark, sf_dir):
+    run = run_registry(spark, Registry(TESTDATA_REGISTRY), _registry_locations(spark, sf_dir),
+                       interval=REG_INTERVAL)
+    return run.validation_results
+
+
+ENV_TAGS = {"environment": "test", "runner": "spark"}
+_TABLE_META = {"lineitem": ("structured", "tpch", True), "customer": ("structured", "tpch", False),
+               "events": ("structured", "tpch", True), "orders": ("structured", "tpch", False),
+               "event_logs": ("unstructured", "raw", False)}
+
+
+@register("annotated_results",
+          "SELECT r.*, m.table_type, m.namespace, m.incremental, "
+          "'{\"environment\":\"test\",\"runner\":\"spark\"}' AS tags FROM ("
+          + O.validation_results_sql([LINEITEM_PLAIN, CUSTOMER, EVENTS], REG_THRESHOLDS)
+          + " UNION ALL " + _event_logs_sql() + ") r LEFT JOIN (VALUES "
+          + ", ".join(f"({O.q(t)}, {O.q(a)}, {O.q(b)}, {str(c).lower()})" for t, (a, b, c) in _TABLE_META.items())
+          + ") AS m(table_name, table_type, namespace, incremental) ON m.table_name = r.table_name")
+def annotated_results(spark, sf_dir):
+    reg = Registry(TESTDATA_REGISTRY)
+    run = run_registry(spark, reg, _registry_locations(spark, sf_dir))
+    out = annotate_results(run.validation_results, reg.tables_df(spark), ENV_TAGS)
+    return out.withColumn("tags", F.to_json("tags"))
