@@ -161,6 +161,7 @@ class FusedCheck:
                  group_by: Sequence[Column] = ()):
         self.df = df
         self.table_rules = table_rules
+        self.on_error = on_error
         self.compiled = compile_rules(df, table_rules.rules, on_error)
         aggs = [F.count(F.lit(1)).alias("total_rows")]
         for i, c in enumerate(self.compiled):
@@ -171,6 +172,36 @@ class FusedCheck:
         self.counts: DataFrame = df.groupBy(*group_by).agg(*aggs) if group_by else df.agg(*aggs)
         self.group_names = self.counts.columns[:len(group_by)]
 
+    def materialize(self) -> "FusedCheck":
+        """Run the fused aggregation now and keep its one-row result locally.
+
+        With ``on_error='ignore'``, a runtime failure of the fused job (an ANSI
+        cast, ``raise_error``, overflow) is isolated: the total and each rule
+        are recounted alone, and the rules that fail get ``status='error'``
+        with the error class.  Without a failure this is one job.
+        """
+        if self.group_names:
+            raise ValueError("materialize() is for ungrouped checks")
+        spark = self.counts.sparkSession
+        try:
+            row = self.counts.first()
+            values = row.asDict()
+        except PySparkException:
+            if self.on_error != "ignore":
+                raise
+            values = {"total_rows": self.df.agg(F.count(F.lit(1))).first()[0]}
+            for i, c in enumerate(self.compiled):
+                if c.violation is None:
+                    continue
+                try:
+                    values[f"_v{i}"] = self.df.agg(F.count_if(c.violation)).first()[0]
+                except PySparkException as e:
+                    self.compiled[i] = CompiledRule(c.rule, None, "error", _error_code(e))
+        cols = ["total_rows"] + [f"_v{i}" for i, c in enumerate(self.compiled) if c.violation is not None]
+        schema = T.StructType([T.StructField(c, T.LongType()) for c in cols])
+        self.counts = spark.createDataFrame([tuple(values[c] for c in cols)], schema)
+        return self
+
     # -- helpers -----------------------------------------------------------
     def _violations(self, i: int) -> Column:
         if self.compiled[i].violation is None:

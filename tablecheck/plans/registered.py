@@ -963,3 +963,18 @@ def annotated_results(spark, sf_dir):
     run = run_registry(spark, reg, _registry_locations(spark, sf_dir))
     out = annotate_results(run.validation_results, reg.tables_df(spark), ENV_TAGS)
     return out.withColumn("tags", F.to_json("tags"))
+
+
+RUNTIME_BAD = Suite("events", (
+    Check(expression("errors_are_small", "event_type <> 'error' OR value < 100"),
+          "NOT (event_type <> 'error' OR value < 100)"),
+    Check(expression("raises_on_first_event", "CASE WHEN event_id = 0 THEN raise_error('boom') ELSE true END"),
+          None, status="error", error="USER_RAISED_EXCEPTION"),
+    Check(in_range("value", 1, 200), "value < 1 OR value > 200"),
+))
+
+
+@register("cross_column_runtime_error", O.rule_results_sql([RUNTIME_BAD]))
+def cross_column_runtime_error(spark, sf_dir):
+    """A rule that fails while running is isolated; the others keep their counts."""
+    return fused(spark, sf_dir, RUNTIME_BAD, on_error="ignore").materialize().rule_results()

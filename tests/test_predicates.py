@@ -91,3 +91,34 @@ def test_interval_is_half_open(spark):
     assert incremental_slice(df, "ts", "2024-01-01 10:00:00", "2024-01-01 11:00:00").count() == 1
     df2 = df.select(F.col("ts").cast("timestamp").alias("ts"))
     assert incremental_slice(df2, "ts", "2024-01-01 10:00:00", "2024-01-01 11:00:00").count() == 1
+
+
+def test_runtime_error_isolated_with_ignore(spark):
+    from pyspark.errors import PySparkException
+    df = spark.createDataFrame([(0, 5.0), (1, 500.0)], "id int, v double")
+    tr = TableRules("t", (expression("boom", "CASE WHEN id = 0 THEN raise_error('x') ELSE true END"),
+                          in_range("v", 0, 100)))
+    rows = {r["rule_name"]: r for r in FusedCheck(df, tr, "ignore").materialize().rule_results().collect()}
+    assert rows["boom"]["status"] == "error" and rows["boom"]["error"] == "USER_RAISED_EXCEPTION"
+    assert rows["v"]["violations"] == 1 and rows["v"]["total_rows"] == 2
+    with pytest.raises(PySparkException):
+        FusedCheck(df, tr, "fail").materialize()
+
+
+def test_validator_family_methods(spark):
+    df = spark.createDataFrame([("TXN0000000001", 5.0), (None, -1.0)], "id string, amount double")
+    v = Validator(0.10)
+    assert v.validate_not_null(df, ["id", "missing"], "t").first()["total_violations"] == 1
+    r = v.validate_range(df, {"amount": {"min": 0.01}}, "t").first()
+    assert r["total_violations"] == 1 and r["violation_percentage"] == 0.5 and r["passed"] is False
+    assert v.validate_regex(df, {"id": r"^TXN[0-9]{10}$"}, "t").first()["total_violations"] == 0
+    c = v.validate_cross_column(df, [{"name": "pos", "expression": "amount > 0"}, {"name": "empty"}], "t").first()
+    assert c["rules_configured"] == 2 and c["total_violations"] == 1
+
+
+def test_default_interval():
+    import datetime as dt
+    from tablecheck.sources.tables import default_interval
+    assert default_interval({"DATA_INTERVAL_START": "a", "DATA_INTERVAL_END": "b"}) == ("a", "b")
+    s, e = default_interval({"DATA_INTERVAL_START": "a"}, now=dt.datetime(2024, 1, 1, 12, 0, 0))
+    assert (s, e) == ("2024-01-01 11:00:00", "2024-01-01 12:00:00")
