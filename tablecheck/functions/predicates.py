@@ -85,6 +85,23 @@ def json_document_ok(doc: Column) -> Column:
     return F.try_parse_json(doc).isNotNull() & F.coalesce(one, F.lit(False))
 
 
+def json_is_object(doc: Column) -> Column:
+    """For a valid document: TRUE when it is an object (cheap text test)."""
+    return F.ltrim(doc, F.lit(" \t\r\n")).startswith("{")
+
+
+def _key_path(key: str) -> str:
+    if key.replace("_", "a").isalnum() and not key[:1].isdigit():
+        return f"$.{key}"
+    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+
+def json_key_present(parsed: Column, key: str) -> Column:
+    """Top-level ``key`` exists in the parsed variant; a JSON null value counts
+    as present (it is a variant null, not a SQL NULL)."""
+    return F.try_variant_get(parsed, _key_path(key), "variant").isNotNull()
+
+
 def json_missing_keys(doc: Column, required: Sequence[str]) -> Column:
     """Required top-level keys absent from a JSON object, in required order.
 

@@ -18,23 +18,37 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import bound_violation, extension_of, json_document_ok, json_missing_keys
+from ..functions.predicates import bound_violation, extension_of, json_document_ok, json_is_object, json_key_present
 
 FILE_CHECK_COLUMNS = ["table_name", "check_name", "total_files", "violations", "violation_percentage",
                       "threshold", "passed"]
 
 
+def _valid_object(v: Column) -> Column:
+    return F.coalesce(json_document_ok(v) & json_is_object(v), F.lit(False))
+
+
+def _all_present(v: Column, required: Sequence[str]) -> Column:
+    """Every required key present; keys are read from one parsed variant."""
+    parsed = F.try_parse_json(v)
+    out = F.lit(True)
+    for k in required:
+        out = out & json_key_present(parsed, k)
+    return F.coalesce(out, F.lit(False))
+
+
 def document_status(df: DataFrame, value_col: str, required: Sequence[str]) -> DataFrame:
     """Adds ``valid_json``, ``missing_keys`` (array) and ``is_valid``.
 
     A document that is not an object has every key missing.
     """
     v = F.col(value_col)
-    ok = F.coalesce(json_document_ok(v), F.lit(False))
-    missing = F.when(ok, json_missing_keys(v, required))
-    all_missing = F.array(*[F.lit(k) for k in required]) if required else F.array().cast("array<string>")
-    missing = F.coalesce(missing, all_missing)
-    return (df.withColumn("valid_json", ok)
+    ok = _valid_object(v)
+    parsed = F.try_parse_json(v)
+    missing = F.array_compact(F.array(*[F.when(~F.coalesce(ok & json_key_present(parsed, k), F.lit(False)),
+                                               F.lit(k)) for k in required])) \
+        if required else F.array().cast("array<string>")
+    return (df.withColumn("valid_json", F.coalesce(json_document_ok(v), F.lit(False)))
               .withColumn("missing_keys", missing)
               .withColumn("is_valid", ok & (F.size("missing_keys") == 0)))
 
@@ -58,12 +72,11 @@ def required_keys_checks(df: DataFrame, value_col: str, key_sets: Mapping[str, S
     The document is parsed once per row; each set adds one ``count_if``.
     """
     v = F.col(value_col)
-    ok = F.coalesce(json_document_ok(v), F.lit(False))
+    ok = _valid_object(v)
     aggs = [F.count(F.lit(1)).alias("total_files")]
     names = list(key_sets)
     for i, n in enumerate(names):
-        missing = json_missing_keys(v, key_sets[n])
-        aggs.append(F.count_if(~(ok & F.coalesce(F.size(missing) == 0, F.lit(False)))).alias(f"_k{i}"))
+        aggs.append(F.count_if(~(ok & _all_present(v, key_sets[n]))).alias(f"_k{i}"))
     agg = df.agg(*aggs)
     structs = [F.struct(F.lit(n).alias("check_name"), F.col(f"_k{i}").alias("violations"))
                for i, n in enumerate(names)]
@@ -76,7 +89,9 @@ def invalid_document_details(df: DataFrame, value_col: str, required: Sequence[s
                              limit: int = 10) -> DataFrame:
     """The first ``limit`` invalid documents by ``order_by`` with their reasons."""
     s = document_status(df, value_col, required).filter(~F.col("is_valid"))
-    reason = F.when(~F.col("valid_json"), F.lit("invalid JSON document")).otherwise(F.lit("missing keys"))
+    reason = (F.when(~F.col("valid_json"), F.lit("invalid JSON document"))
+              .when(~json_is_object(F.col(value_col)), F.lit("not a JSON object"))
+              .otherwise(F.lit("missing keys")))
     return (s.orderBy(*order_by).limit(limit)
             .select(*order_by, F.array_join("missing_keys", ",").alias("missing_keys"), reason.alias("error")))
 

@@ -10,10 +10,11 @@ from tablecheck.sources import files as FS
 
 def test_strict_document_rule(spark):
     docs = ['{"a": null, "b": 1}', '{"a":1} x', '{"a":1}{"b":2}', "{'a':1}", "[1,2]", "", '{"a":',
-            '{"a":1,"a":2}', None]
+            '{"a":1,"a":2}', None, '\n\t {"a": [1]}', '{"b": {"a": 1}}', '{"x.y": 1, "a": 2}']
     df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "id int, v string")
     strict = {r["id"]: r for r in FC.document_status(df, "v", ["a"]).collect()}
-    assert sorted(i for i, r in strict.items() if r["is_valid"]) == [0]  # null value counts as present
+    # null value counts as present; leading JSON whitespace is fine; nested keys do not count
+    assert sorted(i for i, r in strict.items() if r["is_valid"]) == [0, 9, 11]
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     try:
         s = {r["id"]: r for r in FC.document_status(df, "v", ["a"]).collect()}
@@ -21,9 +22,11 @@ def test_strict_document_rule(spark):
     finally:
         spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
     # with duplicates allowed (as Python's json module does)
-    assert sorted(i for i, x in s.items() if x["is_valid"]) == [0, 7]
+    assert sorted(i for i, x in s.items() if x["is_valid"]) == [0, 7, 9, 11]
     assert s[4]["missing_keys"] == ["a"]  # an array is not an object
-    assert (r["total_files"], r["violations"]) == (9, 7) and r["passed"] is False
+    assert (r["total_files"], r["violations"]) == (12, 8) and r["passed"] is False
+    dotted = FC.required_keys_check(df, "v", ["x.y"], "t").first()
+    assert dotted["violations"] == 11
 
 
 def _write(d, name, content):
