@@ -777,7 +777,8 @@ def _by_status(df):
 def create_table_roundtrip(spark, sf_dir):
     name = f"tablecheck_rt.orders_{_uuid.uuid4().hex[:10]}"
     create_table(spark, name, table(spark, sf_dir, "orders"), partition_cols=["o_orderstatus"],
-                 location=scratch_path(spark, "create_roundtrip"))
+                 location=scratch_path(spark, "create_roundtrip"),
+                 namespace_location=scratch_path(spark, "tablecheck_rt.db", unique=False))
     return _by_status(spark.table(name))
 
 

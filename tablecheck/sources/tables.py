@@ -127,11 +127,12 @@ def _namespace(name: str) -> str | None:
 
 def create_table(spark: SparkSession, target: str, df: DataFrame,
                  partition_cols: Sequence[str] | None = None, fmt: str = "parquet",
-                 location: str | None = None) -> None:
+                 location: str | None = None, namespace_location: str | None = None) -> None:
     """Create or replace a table with ``df``'s rows.
 
     Path targets are overwritten in place; catalog targets get their namespace
-    created first.  ``location`` makes a catalog table external (shared path).
+    created first (at ``namespace_location`` when given).  ``location`` makes a
+    catalog table external (shared path).
     """
     w = df.write.format(fmt).mode("overwrite")
     if partition_cols:
@@ -141,7 +142,8 @@ def create_table(spark: SparkSession, target: str, df: DataFrame,
         return
     ns = _namespace(target)
     if ns:
-        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
+        where = f" LOCATION '{namespace_location}'" if namespace_location else ""
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}{where}")
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     if location:
         w = w.option("path", location)
