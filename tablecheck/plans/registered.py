@@ -475,16 +475,16 @@ def _all_results(spark, sf_dir):
 
 
 @register("results_rollup",
-          f"SELECT count(*) AS total_validations, count_if(coalesce(passed, false)) AS passed, "
-          f"count(*) - count_if(coalesce(passed, false)) AS failed, "
+          f"SELECT count(*) AS total_validations, CAST(count_if(coalesce(passed, false)) AS BIGINT) AS passed, "
+          f"CAST(count(*) - count_if(coalesce(passed, false)) AS BIGINT) AS failed, "
           f"count(*) - count_if(coalesce(passed, false)) = 0 AS overall_passed FROM ({ALL_VALIDATION_SQL})")
 def results_rollup(spark, sf_dir):
     return R.results_rollup(_all_results(spark, sf_dir))
 
 
 @register("summary_overall",
-          f"SELECT count(*) AS total_validations, count_if(coalesce(passed, false)) AS passed, "
-          f"count_if(NOT coalesce(passed, false)) AS failed, "
+          f"SELECT count(*) AS total_validations, CAST(count_if(coalesce(passed, false)) AS BIGINT) AS passed, "
+          f"CAST(count_if(NOT coalesce(passed, false)) AS BIGINT) AS failed, "
           f"CAST(coalesce(sum(total_rows), 0) AS BIGINT) AS total_rows_validated, "
           f"CAST(coalesce(sum(total_violations), 0) AS BIGINT) AS total_violations, "
           f"array_to_string(list_sort(list(DISTINCT table_name)), ',') AS tables_validated, "
@@ -495,7 +495,8 @@ def summary_overall(spark, sf_dir):
 
 @register("summary_by_type",
           f"SELECT coalesce(validation_type, 'unknown') AS validation_type, count(*) AS count, "
-          f"count_if(coalesce(passed, false)) AS passed, count_if(NOT coalesce(passed, false)) AS failed "
+          f"CAST(count_if(coalesce(passed, false)) AS BIGINT) AS passed, "
+          f"CAST(count_if(NOT coalesce(passed, false)) AS BIGINT) AS failed "
           f"FROM ({ALL_VALIDATION_SQL}) GROUP BY 1")
 def summary_by_type(spark, sf_dir):
     return R.summary_by_type(_all_results(spark, sf_dir))

@@ -9,6 +9,11 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 
+# Spark simple type -> DuckDB type of the same values
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else float(f"{v:.9g}")
@@ -30,6 +35,8 @@ def test_query_matches_oracle(spark, duck, name):
         return
     rel = duck.sql(sql)
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == duck_types
     assert _rows(df.columns, rows) == _rows(rel.columns, rel.fetchall())
 
 
