@@ -980,3 +980,20 @@ RUNTIME_BAD = Suite("events", (
 def cross_column_runtime_error(spark, sf_dir):
     """A rule that fails while running is isolated; the others keep their counts."""
     return fused(spark, sf_dir, RUNTIME_BAD, on_error="ignore").materialize().rule_results()
+
+
+@register("stream_hourly_validation_append")
+def stream_hourly_validation_append(spark, sf_dir):
+    """Continuous form: append mode emits a window once the watermark passes it,
+    so state stays bounded; windows newer than the watermark wait for more data."""
+    schema = table(spark, sf_dir, "events").schema
+    return ST.stream_windowed_validation(spark, sf_dir, schema, EVENTS.table_rules(), "ts",
+                                         glob="events.parquet", output_mode="append")
+
+
+@register("registry_gate")
+def registry_gate(spark, sf_dir):
+    """Gates of a whole registry run: tables (existence, schema) and file sets (directory)."""
+    run = run_registry(spark, Registry(TESTDATA_REGISTRY), _registry_locations(spark, sf_dir))
+    tables = run.suite.gate.select("table_name", "exists", "is_open", "reason")
+    return tables.unionByName(run.file_gate)

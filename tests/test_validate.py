@@ -66,3 +66,30 @@ def test_odd_column_names(spark):
     r = {x["rule_name"]: x["violations"] for x in FusedCheck(df, tr).rule_results().collect()}
     assert r["a.b"] == 0
     assert qcol("a.b") is not None
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_interval_filter_is_pushed_to_parquet(spark):
+    from tablecheck.sources.tables import incremental_slice
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    plan = _plan(incremental_slice(ev, "ts", "2024-01-15 10:00:00", "2024-01-15 11:00:00", ["event_id"]))
+    pushed = [l for l in plan.split("\n") if "PushedFilters" in l][0]
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+    assert "ReadSchema: struct<event_id:bigint>" in plan
+
+
+def test_key_sets_share_one_scan(spark):
+    from tablecheck.operators.files import required_keys_checks
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    df = required_keys_checks(ev, "props", {"a": ["k"], "b": ["k", "z"], "c": ["z"]}, "events")
+    assert _plan(df).count("FileScan parquet") == 1 and df.count() == 3
+
+
+def test_sample_is_distributed_top_k(spark):
+    from tablecheck.operators.tags import failed_records_sample
+    df = lineitem_with_nulls(spark, SF_SMALL)
+    plan = _plan(failed_records_sample(df, LINEITEM.table_rules(), ["l_orderkey", "l_linenumber"], 10))
+    assert "TakeOrderedAndProject(limit=10" in plan
