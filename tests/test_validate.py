@@ -93,3 +93,15 @@ def test_sample_is_distributed_top_k(spark):
     df = lineitem_with_nulls(spark, SF_SMALL)
     plan = _plan(failed_records_sample(df, LINEITEM.table_rules(), ["l_orderkey", "l_linenumber"], 10))
     assert "TakeOrderedAndProject(limit=10" in plan
+
+
+def test_rule_names_with_quotes_and_backslashes(spark):
+    from tablecheck.rules import Rule
+    df = spark.createDataFrame([(1,), (None,)], "x int")
+    names = ["it's", "back\\slash", 'dq"uote', "tab\tname"]
+    tr = TableRules("t'able", tuple(Rule("not_null", n, column="x") for n in names), threshold=1e-05)
+    chk = FusedCheck(df, tr)
+    got = [(r["table_name"], r["rule_name"], r["violations"]) for r in chk.rule_results().collect()]
+    assert got == [("t'able", n, 1) for n in names]
+    v = chk.validation_results().first()
+    assert v["threshold"] == 1e-05 and v["passed"] is False and v["rules_configured"] == 4
