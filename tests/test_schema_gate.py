@@ -70,3 +70,36 @@ def test_gate_skips_closed_tables_without_scanning(spark):
     assert skipped == {"orders", "gone"}
     plan = run.validation_results._jdf.queryExecution().executedPlan().toString()
     assert "orders.parquet" not in plan and "lineitem.parquet" in plan
+
+
+def test_gate_from_check_rows_and_stop_policy(spark):
+    from tablecheck.operators.gate import gate_from_checks, stop_decision
+    checks = spark.createDataFrame([("a", "exists", True), ("a", "schema", True), ("b", "exists", True),
+                                    ("b", "schema", False), ("c", "exists", None)],
+                                   "table_name string, check_name string, passed boolean")
+    g = {r["table_name"]: r for r in gate_from_checks(checks).collect()}
+    assert g["a"]["is_open"] and not g["b"]["is_open"] and g["b"]["failed_checks"] == ["schema"]
+    assert not g["c"]["is_open"]
+    val = spark.createDataFrame([("a", False)], "table_name string, passed boolean")
+    pol = spark.createDataFrame([("a", True, False), ("b", True, True), ("d", False, True)],
+                                "table_name string, metadata_stop_on_failure boolean, data_stop_on_threshold boolean")
+    d = {r["table_name"]: r["decision"] for r in stop_decision(val, gate_from_checks(checks), pol).collect()}
+    assert d == {"a": "warn", "b": "stop", "d": "warn"}
+
+
+def test_incremental_read_by_path(spark):
+    from tablecheck.sources.tables import get_incremental_data
+    df = get_incremental_data(spark, f"{SF_SMALL}/events.parquet", "ts", "2024-01-01 00:00:00",
+                              "2024-01-02 00:00:00", ["event_id"])
+    assert df.columns == ["event_id"] and df.count() > 0
+
+
+def test_require_rows_closes_gate_on_empty_table(spark, tmp_path):
+    from tablecheck.operators.gate import evaluate_gates
+    empty = str(tmp_path / "empty")
+    spark.read.parquet(f"{SF_SMALL}/region.parquet").limit(0).write.parquet(empty)
+    states, frames = evaluate_gates(spark, [TableSpec("e", empty, require_rows=True),
+                                            TableSpec("r", f"{SF_SMALL}/region.parquet", require_rows=True)])
+    by = {s.table_name: s for s in states}
+    assert by["e"].reason == "table is empty" and not by["e"].is_open
+    assert by["r"].is_open and set(frames) == {"r"}
