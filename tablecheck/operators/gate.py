@@ -46,19 +46,33 @@ class GateState:
     reason: str | None
 
 
+def _map_threads(fn, items, max_workers: int):
+    """``map`` on a driver thread pool (Spark sessions are thread-safe)."""
+    items = list(items)
+    if max_workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(items))) as ex:
+        return list(ex.map(fn, items))
+
+
 def _load(spark: SparkSession, spec: TableSpec):
     """The table's DataFrame, or None when it does not exist (one footer read)."""
     return try_read_table(spark, spec.source, spec.fmt)
 
 
-def evaluate_gates(spark: SparkSession, specs: Sequence[TableSpec]) -> tuple[list[GateState], dict[str, DataFrame]]:
+def evaluate_gates(spark: SparkSession, specs: Sequence[TableSpec],
+                   max_workers: int = 8) -> tuple[list[GateState], dict[str, DataFrame]]:
     """Metadata checks of many tables with one schema-comparison job per
     (strict, mode) group and one emptiness probe job for all tables that
     ask for it.  Returns the states and the loaded DataFrames of open tables.
+
+    Tables are resolved (catalog lookup or footer read) on ``max_workers``
+    driver threads: with thousands of tables the latency of these metadata
+    reads, not Spark work, bounds the run.
     """
     frames: dict[str, DataFrame] = {}
-    for spec in specs:
-        df = _load(spark, spec)
+    for spec, df in zip(specs, _map_threads(lambda sp: _load(spark, sp), specs, max_workers)):
         if df is not None:
             frames[spec.table_name] = df
     errors: dict[str, list[str]] = {}

@@ -189,7 +189,14 @@ class FusedCheck:
         except PySparkException:
             if self.on_error != "ignore":
                 raise
-            values = {"total_rows": self.df.agg(F.count(F.lit(1))).first()[0]}
+            try:
+                values = {"total_rows": self.df.agg(F.count(F.lit(1))).first()[0]}
+            except PySparkException as e:
+                # the table itself cannot be read: every rule is an error
+                code = _error_code(e)
+                values = {"total_rows": None}
+                self.compiled = [CompiledRule(c.rule, None, "error", code) if c.violation is not None else c
+                                 for c in self.compiled]
             for i, c in enumerate(self.compiled):
                 if c.violation is None:
                     continue

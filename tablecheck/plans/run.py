@@ -14,7 +14,7 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.gate import GateState, TableSpec, evaluate_gates, gate_frame
+from ..operators.gate import GateState, TableSpec, _map_threads, evaluate_gates, gate_frame
 from ..operators.validate import (RULE_RESULT_SCHEMA, VALIDATION_RESULT_SCHEMA, FusedCheck)
 from ..rules import TableRules
 
@@ -42,16 +42,23 @@ def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
 
 def run_suite(spark: SparkSession, tables: Sequence[tuple[TableSpec, TableRules]],
               prepare: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
-              on_error: str = "fail") -> SuiteRun:
+              on_error: str = "fail", isolate_tables: bool = False, max_workers: int = 8) -> SuiteRun:
     """Run the gated suite.
 
     ``prepare[table_name]`` may transform a table before its checks (an
     incremental slice, derived columns).
+
+    By default the open tables' aggregates form one lazy plan (one job when
+    the caller acts).  With ``isolate_tables=True`` each table's fused job runs
+    now, ``max_workers`` at a time, and a table whose job fails at runtime
+    gets ``status='error'`` rows instead of failing the run (``on_error`` is
+    then ``'ignore'`` for runtime errors).
     """
     prepare = prepare or {}
-    rule_frames, val_frames, skipped_rows = [], [], []
-    states, frames = evaluate_gates(spark, [spec for spec, _ in tables])
+    skipped_rows = []
+    states, frames = evaluate_gates(spark, [spec for spec, _ in tables], max_workers)
     by_name = {st.table_name: st for st in states}
+    open_pairs = []
     for spec, rules in tables:
         st = by_name[spec.table_name]
         if not st.is_open:
@@ -59,12 +66,21 @@ def run_suite(spark: SparkSession, tables: Sequence[tuple[TableSpec, TableRules]
                 skipped_rows.append((rules.table_name, r.validation_type, r.rule_name, "skipped",
                                      "blocker", st.reason))
             continue
+        open_pairs.append((spec, rules))
+
+    def build(pair):
+        spec, rules = pair
         df = frames[spec.table_name]
         if spec.table_name in prepare:
             df = prepare[spec.table_name](df)
-        check = FusedCheck(df, rules, on_error)
-        rule_frames.append(check.rule_results())
-        val_frames.append(check.validation_results())
+        check = FusedCheck(df, rules, "ignore" if isolate_tables else on_error)
+        if isolate_tables:
+            check.materialize()
+        return check.rule_results(), check.validation_results()
+
+    built = _map_threads(build, open_pairs, max_workers)
+    rule_frames = [r for r, _ in built]
+    val_frames = [v for _, v in built]
     skipped = spark.createDataFrame(skipped_rows, SKIPPED_DDL)
     skipped_as_results = skipped.select(
         "table_name", "validation_type", "rule_name",

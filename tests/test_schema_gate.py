@@ -103,3 +103,17 @@ def test_require_rows_closes_gate_on_empty_table(spark, tmp_path):
     by = {s.table_name: s for s in states}
     assert by["e"].reason == "table is empty" and not by["e"].is_open
     assert by["r"].is_open and set(frames) == {"r"}
+
+
+def test_isolated_tables_survive_a_failing_table(spark):
+    from tablecheck import expression
+    li = TableSpec("lineitem", f"{SF_SMALL}/lineitem.parquet")
+    ev = TableSpec("events", f"{SF_SMALL}/events.parquet")
+    boom = TableRules("events", (expression("boom", "CASE WHEN event_id = 0 THEN raise_error('x') ELSE true END"),
+                                 in_range("value", 1, 200)))
+    run = run_suite(spark, [(li, TableRules("lineitem", (in_range("l_quantity", 1, 45),))), (ev, boom)],
+                    isolate_tables=True)
+    rows = {(r["table_name"], r["rule_name"]): r for r in run.rule_results.collect()}
+    assert rows[("events", "boom")]["status"] == "error"
+    assert rows[("events", "value")]["status"] in ("ok", "violated")
+    assert rows[("lineitem", "l_quantity")]["total_rows"] > 0
