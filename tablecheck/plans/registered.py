@@ -997,3 +997,69 @@ def registry_gate(spark, sf_dir):
     run = run_registry(spark, Registry(TESTDATA_REGISTRY), _registry_locations(spark, sf_dir))
     tables = run.suite.gate.select("table_name", "exists", "is_open", "reason")
     return tables.unionByName(run.file_gate)
+
+
+# -- S7, C1-C3: the registry against the actual tables -------------------------------
+
+def _reg_structured_sources(sf_dir):
+    reg = Registry(TESTDATA_REGISTRY)
+    return reg, {n: f"{sf_dir}/{n}.parquet" for n in reg.get_structured_tables()}
+
+
+def _rule_rows_sql():
+    reg = Registry(TESTDATA_REGISTRY)
+    rows = []
+    for tr in reg.all_table_rules():
+        for r in tr.rules:
+            d = r.as_row(tr.table_name)
+            num = lambda x: "CAST(NULL AS DOUBLE)" if x is None else f"CAST({x!r} AS DOUBLE)"
+            rows.append(f"({O.q(d['table_name'])}, {O.q(d['validation_type'])}, {O.q(d['rule_name'])}, "
+                        f"{O.q(d['column'])}, {num(d['min'])}, {num(d['max'])}, {O.q(d['pattern'])}, "
+                        f"{O.q(d['expression'])}, {O.q(d['description'])})")
+    return ("(VALUES " + ", ".join(rows) + ") AS r(table_name, validation_type, rule_name, \"column\", "
+            "\"min\", \"max\", pattern, expression, description)")
+
+
+@register("rules_table",
+          f"SELECT r.*, c.data_type AS column_type FROM {_rule_rows_sql()} "
+          f"LEFT JOIN {DUCK_COLUMNS} c ON c.table_name = r.table_name AND c.column_name = r.\"column\"")
+def rules_table(spark, sf_dir):
+    """Configured rules with the actual type of the column each names (NULL when absent)."""
+    reg, sources = _reg_structured_sources(sf_dir)
+    schemas = union_all([S.table_schema(spark, src, n) for n, src in sources.items()])
+    cols = schemas.select("table_name", F.col("column_name").alias("column"), F.col("data_type").alias("column_type"))
+    return reg.rules_df(spark).join(cols, ["table_name", "column"], "left")
+
+
+def _tables_sql(where=""):
+    rows = []
+    for n, c in TESTDATA_REGISTRY["tables"].items():
+        cb = c.get("circuit_breaker", {})
+        ts = c.get("timestamp_column")
+        rows.append(f"({O.q(n)}, {O.q(c.get('type'))}, {O.q(c.get('format'))}, {O.q(c.get('namespace'))}, "
+                    f"{str(bool(c.get('incremental'))).lower()}, {O.q(ts)}, "
+                    f"CAST({float(c.get('quality_threshold', 0.1))!r} AS DOUBLE), "
+                    f"{str(bool(cb.get('metadata_stop_on_failure', True))).lower()}, "
+                    f"{str(bool(cb.get('data_stop_on_threshold', True))).lower()})")
+    counts = " UNION ALL ".join(f"SELECT {O.q(n)} AS table_name, count(*) AS row_count FROM {n}"
+                                for n, c in TESTDATA_REGISTRY["tables"].items() if c.get("type") == "structured")
+    return (f"SELECT t.*, k.row_count FROM (VALUES {', '.join(rows)}) AS t(table_name, table_type, format, "
+            "namespace, incremental, timestamp_column, threshold, metadata_stop_on_failure, data_stop_on_threshold) "
+            f"LEFT JOIN ({counts}) k ON k.table_name = t.table_name {where}")
+
+
+def _tables_with_counts(spark, sf_dir):
+    reg, sources = _reg_structured_sources(sf_dir)
+    counts = union_all([S.row_count(table(spark, sf_dir, n), n).drop("error") for n in sources])
+    return reg, reg.tables_df(spark).join(counts, "table_name", "left")
+
+
+@register("tables_table", _tables_sql())
+def tables_table(spark, sf_dir):
+    """Registry tables with their actual row counts (structured ones)."""
+    return _tables_with_counts(spark, sf_dir)[1]
+
+
+@register("tables_by_type", _tables_sql("WHERE t.table_type = 'structured'"))
+def tables_by_type(spark, sf_dir):
+    return _tables_with_counts(spark, sf_dir)[1].filter("table_type = 'structured'")
