@@ -7,16 +7,32 @@ listings).
 
 from __future__ import annotations
 
+import uuid as _uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import files as FC
+from ..operators import report as R
+from ..operators import schema as S
+from ..operators import tags as TG
+from ..operators.gate import TableSpec, stop_decision
 from ..operators.validate import FusedCheck, rollup_rule_results
-from ..rules import Rule, TableRules, expression, in_range
+from ..rules import expression, in_range
+from ..session import scratch_path
+from ..sources import files as FS
+from ..sources import sinks as SK
+from ..sources import synth as SY
+from ..sources.tables import append_table, create_table, incremental_slice, pruned_filtered_read, read_table
+from ..streaming import hourly as ST
 from . import oracle_sql as O
+from .registry import EXAMPLE_REGISTRY, Registry
+from .registry_run import annotate_results, run_registry
+from .run import run_suite
 from .testdata_checks import (ALL_SUITES, CUSTOMER, DOCUMENTS, EVENTS, LINEITEM, PAGES, TABLE_THRESHOLDS,
-                              Check, Suite, fused, lineitem_with_nulls, suite_frame, table, union_all)
+                              Check, Suite, fused, lineitem_with_nulls, table, union_all)
+from .windows import windowed_validation
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -158,8 +174,6 @@ def per_table_threshold(spark, sf_dir):
 
 # -- S1..S3: scans ---------------------------------------------------------------------
 
-from ..sources.tables import incremental_slice, pruned_filtered_read, read_table  # noqa: E402
-
 
 @register("read_table_columns",
           "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
@@ -198,9 +212,6 @@ def incremental_validation(spark, sf_dir):
 
 # -- M1..M8: metadata ------------------------------------------------------------------
 
-from ..operators import schema as S  # noqa: E402
-from ..operators.gate import TableSpec, stop_decision  # noqa: E402
-from ..plans.run import run_suite  # noqa: E402
 
 TEST_TABLES = ("region nation customer supplier part orders lineitem events documents "
                "embeddings pages benchmark labels conversations").split()
@@ -463,9 +474,6 @@ def stop_decision_q(spark, sf_dir):
 
 # -- R1..R10: reports ------------------------------------------------------------------
 
-from ..operators import report as R  # noqa: E402
-from ..operators import tags as TG  # noqa: E402
-from .windows import windowed_validation  # noqa: E402
 
 ALL_VALIDATION_SQL = O.validation_results_sql(list(ALL_SUITES))
 
@@ -599,9 +607,6 @@ def results_trend(spark, sf_dir):
 
 # -- U1..U7, S5, S6, K3: documents and files ------------------------------------------
 
-from ..operators import files as FC  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import files as FS  # noqa: E402
 
 KEY_SETS = (("required_k", ["k"]), ("required_k_z", ["k", "z"]))
 
@@ -758,12 +763,6 @@ def json_file_documents(spark, sf_dir):
 
 # -- K1, K2, K4, D1..D4: sinks and generated data ------------------------------------
 
-import uuid as _uuid  # noqa: E402
-
-from ..sources import sinks as SK  # noqa: E402
-from ..sources import synth as SY  # noqa: E402
-from ..sources.tables import append_table, create_table  # noqa: E402
-from .registry import EXAMPLE_REGISTRY, Registry  # noqa: E402
 
 ROUNDTRIP_SQL = ("SELECT o_orderstatus, count(*) AS orders, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key "
                  "FROM orders GROUP BY o_orderstatus")
@@ -841,8 +840,6 @@ def synth_suite(spark, sf_dir):
 
 # -- T1..T4: streaming -----------------------------------------------------------------
 
-from ..streaming import hourly as ST  # noqa: E402
-
 
 @register("stream_hourly_validation", _windowed_sql(EVENTS, "ts", "hour", 0.10))
 def stream_hourly_validation(spark, sf_dir):
@@ -859,8 +856,6 @@ def stream_batch_suite(spark, sf_dir):
 
 # -- whole-registry runs and annotations (G4, R9) ------------------------------------
 
-from .registry_run import annotate_results, run_registry  # noqa: E402
-
 
 def suite_block(suite: Suite) -> dict:
     """A registry ``validations`` block holding the suite's rules."""
