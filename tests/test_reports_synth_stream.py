@@ -99,3 +99,33 @@ def test_stream_equals_batch(spark):
     stream = stream_windowed_validation(spark, SF_SMALL, ev.schema, EVENTS.table_rules(), "ts",
                                         glob="events.parquet")
     assert batch.exceptAll(stream).count() == 0 and stream.exceptAll(batch).count() == 0
+
+
+def test_stream_batches_sum_to_batch_and_replay_is_idempotent(spark, tmp_path):
+    from tablecheck.plans.testdata_checks import EVENTS
+    from tablecheck.streaming.hourly import stream_batch_suite
+    src = str(tmp_path / "events_src")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev.repartition(4).write.parquet(src)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    res = stream_batch_suite(spark, src, ev.schema, EVENTS.table_rules(), results_path=out, checkpoint=ckpt,
+                             max_files_per_trigger=1)
+    batches = {r["batch_id"] for r in res.collect()}
+    assert len(batches) == 4
+    per_family = {r["validation_type"]: r["n"] for r in
+                  res.groupBy("validation_type").agg(F.sum("total_rows").alias("n")).collect()}
+    assert set(per_family.values()) == {ev.count()}
+    again = stream_batch_suite(spark, src, ev.schema, EVENTS.table_rules(), results_path=out, checkpoint=ckpt,
+                               max_files_per_trigger=1)
+    assert again.count() == res.count()
+
+
+def test_append_windows_are_a_subset_of_complete(spark):
+    from tablecheck.plans.testdata_checks import EVENTS
+    from tablecheck.streaming.hourly import stream_windowed_validation
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    complete = stream_windowed_validation(spark, SF_SMALL, ev.schema, EVENTS.table_rules(), "ts",
+                                          glob="events.parquet", output_mode="complete")
+    append = stream_windowed_validation(spark, SF_SMALL, ev.schema, EVENTS.table_rules(), "ts",
+                                        glob="events.parquet", output_mode="append")
+    assert append.exceptAll(complete).count() == 0 and 0 < append.count() <= complete.count()
