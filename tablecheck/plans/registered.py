@@ -197,6 +197,17 @@ def incremental_slice_q(spark, sf_dir):
     return incremental_slice(table(spark, sf_dir, "events"), "ts", *SLICE, columns=["event_id", "value"])
 
 
+@register("incremental_slice_partitioned", f"SELECT event_id, value FROM events WHERE {SLICE_WHERE}")
+def incremental_slice_partitioned(spark, sf_dir):
+    """The same slice over a copy of events partitioned by day: only one
+    partition directory is listed and read."""
+    d = scratch_path(spark, "events_by_day")
+    ev = table(spark, sf_dir, "events")
+    ev.withColumn("dt", F.to_date("ts")).write.mode("overwrite").partitionBy("dt").parquet(d)
+    return incremental_slice(spark.read.parquet(d), "ts", *SLICE, columns=["event_id", "value"],
+                             partition_column="dt")
+
+
 SLICE_SUITE = Suite("events", (
     Check(in_range("value", 1, 200), "value < 1 OR value > 200"),
     Check(expression("errors_are_small", "event_type <> 'error' OR value < 100"),

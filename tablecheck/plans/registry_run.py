@@ -59,9 +59,11 @@ def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str
         if interval is not None and tr.incremental and tr.timestamp_column:
             base = slices.get(name)
 
-            def cut(df, ts=tr.timestamp_column, base=base):
+            part = registry.get_table_config(name).get("partition_column")
+
+            def cut(df, ts=tr.timestamp_column, base=base, part=part):
                 df = base(df) if base else df
-                return incremental_slice(df, ts, *interval)
+                return incremental_slice(df, ts, *interval, partition_column=part)
             slices[name] = cut
     suite = run_suite(spark, pairs, slices)
 

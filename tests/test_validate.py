@@ -105,3 +105,16 @@ def test_rule_names_with_quotes_and_backslashes(spark):
     assert got == [("t'able", n, 1) for n in names]
     v = chk.validation_results().first()
     assert v["threshold"] == 1e-05 and v["passed"] is False and v["rules_configured"] == 4
+
+
+def test_partition_column_prunes_partitions(spark, tmp_path):
+    from tablecheck.sources.tables import incremental_slice
+    d = str(tmp_path / "by_day")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev.withColumn("dt", F.to_date("ts")).write.partitionBy("dt").parquet(d)
+    part = spark.read.parquet(d)
+    s = incremental_slice(part, "ts", "2024-01-15 10:00:00", "2024-01-15 11:00:00", ["event_id"], "dt")
+    plan = _plan(s)
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-15" in plan
+    plain = incremental_slice(ev, "ts", "2024-01-15 10:00:00", "2024-01-15 11:00:00", ["event_id"])
+    assert sorted(s.collect()) == sorted(plain.collect())
