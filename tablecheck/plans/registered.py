@@ -29,9 +29,9 @@ from ..streaming import hourly as ST
 from . import oracle_sql as O
 from .registry import EXAMPLE_REGISTRY, Registry
 from .registry_run import annotate_results, run_registry
-from .run import run_suite
+from .run import run_suite, validate_many
 from .testdata_checks import (ALL_SUITES, CUSTOMER, DOCUMENTS, EVENTS, LINEITEM, PAGES, TABLE_THRESHOLDS,
-                              Check, Suite, fused, lineitem_with_nulls, table, union_all)
+                              Check, Suite, fused, lineitem_with_nulls, suite_frame, table, union_all)
 from .windows import windowed_validation
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -160,14 +160,19 @@ def suite_results(spark, sf_dir):
     return fused(spark, sf_dir, LINEITEM).rule_results()
 
 
+def _all_suites(spark, sf_dir):
+    """(rule results, validation results) of every suite, planned on driver threads."""
+    return validate_many([(suite_frame(spark, sf_dir, s), s.table_rules()) for s in ALL_SUITES])
+
+
 @register("multi_table_suite", O.validation_results_sql(list(ALL_SUITES)))
 def multi_table_suite(spark, sf_dir):
-    return union_all([fused(spark, sf_dir, s).validation_results() for s in ALL_SUITES])
+    return _all_suites(spark, sf_dir)[1]
 
 
 @register("per_table_threshold", O.validation_results_sql(list(ALL_SUITES), TABLE_THRESHOLDS))
 def per_table_threshold(spark, sf_dir):
-    rules = union_all([fused(spark, sf_dir, s).rule_results() for s in ALL_SUITES])
+    rules = _all_suites(spark, sf_dir)[0]
     thresholds = spark.createDataFrame(list(TABLE_THRESHOLDS.items()), "table_name string, threshold double")
     return rollup_rule_results(rules, thresholds)
 

@@ -40,6 +40,22 @@ def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
     return frames[0]
 
 
+def validate_many(checks: Sequence[tuple[DataFrame, TableRules]], on_error: str = "fail",
+                  max_workers: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Fused checks of many (DataFrame, rules) pairs, planned on driver threads
+    and unioned: ``(rule_results, validation_results)`` as two lazy frames."""
+    def build(pair):
+        check = FusedCheck(pair[0], pair[1], on_error)
+        return check.rule_results(), check.validation_results()
+
+    built = _map_threads(build, checks, max_workers)
+    spark = checks[0][0].sparkSession if checks else None
+    if spark is None:
+        raise ValueError("no tables to validate")
+    return (_union([r for r, _ in built], spark.createDataFrame([], RULE_RESULT_SCHEMA)),
+            _union([v for _, v in built], spark.createDataFrame([], VALIDATION_RESULT_SCHEMA)))
+
+
 def run_suite(spark: SparkSession, tables: Sequence[tuple[TableSpec, TableRules]],
               prepare: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
               on_error: str = "fail", isolate_tables: bool = False, max_workers: int = 8) -> SuiteRun:
