@@ -116,3 +116,20 @@ def results_trend(history: DataFrame, run_col: str = "run_ts", retention_days: i
                      prev.alias("previous_percentage"),
                      (F.col("violation_percentage") - prev).alias("change"),
                      F.lag("passed").over(w).alias("previous_passed")))
+
+
+def validation_details(rule_results: DataFrame) -> DataFrame:
+    """Per ``(table_name, validation_type)``: the rules validated (in name order)
+    and a map of the rules that have violations to their counts.
+
+    ``collect_list`` is bounded by the number of rules of one table and family.
+    """
+    named = F.struct(F.col("rule_name"), F.col("violations"))
+    # one entry per name even if a name is configured twice in a family
+    per_name = (rule_results.groupBy("table_name", "validation_type", "rule_name")
+                .agg(F.sum("violations").cast("bigint").alias("violations")))
+    return (per_name.groupBy("table_name", "validation_type")
+            .agg(F.array_sort(F.collect_list("rule_name")).alias("rules_validated"),
+                 F.array_sort(F.collect_list(F.when(F.col("violations") > 0, named))).alias("_nz"))
+            .select("table_name", "validation_type", "rules_validated",
+                    F.map_from_entries("_nz").alias("violations")))

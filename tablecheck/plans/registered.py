@@ -536,6 +536,21 @@ def validation_summary(spark, sf_dir):
     return R.validation_summary(_all_results(spark, sf_dir))
 
 
+@register("validation_details",
+          "SELECT table_name, validation_type, string_agg(rule_name, ',' ORDER BY rule_name) AS rules_validated, "
+          "coalesce(string_agg(CASE WHEN violations > 0 THEN rule_name || '=' || violations END, ',' "
+          "ORDER BY rule_name), '') AS violations "
+          f"FROM ({O.rule_results_sql(list(ALL_SUITES))}) GROUP BY table_name, validation_type")
+def validation_details(spark, sf_dir):
+    """The per-family detail of every suite, as text (names, and name=count
+    for rules with violations)."""
+    d = R.validation_details(_all_suites(spark, sf_dir)[0])
+    pairs = F.transform(F.map_entries("violations"),
+                        lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return d.select("table_name", "validation_type", F.array_join("rules_validated", ",").alias("rules_validated"),
+                    F.array_join(pairs, ",").alias("violations"))
+
+
 @register("alert_messages")
 def alert_messages(spark, sf_dir):
     return R.alert_messages(_all_results(spark, sf_dir))

@@ -129,3 +129,11 @@ def test_append_windows_are_a_subset_of_complete(spark):
     append = stream_windowed_validation(spark, SF_SMALL, ev.schema, EVENTS.table_rules(), "ts",
                                         glob="events.parquet", output_mode="append")
     assert append.exceptAll(complete).count() == 0 and 0 < append.count() <= complete.count()
+
+
+def test_validation_details_map(spark):
+    rr = spark.createDataFrame([("t", "regex", "a", 10, 0), ("t", "regex", "b", 10, 3), ("t", "regex", "b", 10, 1)],
+                               "table_name string, validation_type string, rule_name string, total_rows bigint, "
+                               "violations bigint")
+    d = R.validation_details(rr).first()
+    assert d["rules_validated"] == ["a", "b"] and d["violations"] == {"b": 4}
