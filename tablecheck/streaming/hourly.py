@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.predicates import col as qcol
+from ..functions.time import ntz_as_utc_instant, utc_instant_as_ntz
 from ..operators.validate import FusedCheck
 from ..rules import TableRules
 from ..session import scratch_path
@@ -42,9 +43,12 @@ def file_stream(spark: SparkSession, directory: str, schema: T.StructType, glob:
 
 
 def _event_time(df: DataFrame, ts: str) -> tuple[DataFrame, bool]:
-    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column is cast (and cast back later)."""
+    """Watermarks need TIMESTAMP: a TIMESTAMP_NTZ column is read as a UTC wall
+    clock (and window bounds are turned back into wall-clock times later), so
+    windows do not depend on the session time zone."""
     ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
-    return df.withColumn(EVENT_TIME, qcol(ts).cast("timestamp")), ntz
+    event = ntz_as_utc_instant(qcol(ts)) if ntz else qcol(ts)
+    return df.withColumn(EVENT_TIME, event), ntz
 
 
 def windowed_stream(df: DataFrame, table_rules: TableRules, timestamp_column: str, duration: str = "1 hour",
@@ -56,7 +60,7 @@ def windowed_stream(df: DataFrame, table_rules: TableRules, timestamp_column: st
     out = check.validation_results()
     start, end = F.col("window.start"), F.col("window.end")
     if ntz:
-        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+        start, end = utc_instant_as_ntz(start), utc_instant_as_ntz(end)
     rest = [c for c in out.columns if c != "window"]
     return out.select(start.alias("window_start"), end.alias("window_end"), *rest)
 

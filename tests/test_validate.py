@@ -118,3 +118,19 @@ def test_partition_column_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-15" in plan
     plain = incremental_slice(ev, "ts", "2024-01-15 10:00:00", "2024-01-15 11:00:00", ["event_id"])
     assert sorted(s.collect()) == sorted(plain.collect())
+
+
+def test_wall_clock_round_trip_is_zone_independent(spark):
+    from tablecheck.functions.time import ntz_as_utc_instant, utc_instant_as_ntz
+    vals = ["2024-03-10 02:30:00.123456", "2024-11-03 01:30:00", "2024-01-15 10:00:00"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame([(v,) for v in vals], "s string").select(F.col("s").cast("timestamp_ntz").alias("w"))
+            out = df.select("w", F.unix_micros(ntz_as_utc_instant(F.col("w"))).alias("m"),
+                            utc_instant_as_ntz(ntz_as_utc_instant(F.col("w"))).alias("back")).collect()
+            assert [r["m"] for r in out] == [1710037800123456, 1730597400000000, 1705312800000000]
+            assert all(r["w"] == r["back"] for r in out)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
