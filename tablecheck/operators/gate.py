@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import try_read_table
+from .joins import join_small
 from .schema import EXPECTED_SCHEMA, SCHEMA_SCHEMA, _canonical, schema_differences
 
 GATE_DDL = "table_name string, exists boolean, schema_valid boolean, schema_errors string, is_open boolean, reason string"
@@ -146,7 +147,8 @@ def stop_decision(validation_results: DataFrame, gate: DataFrame, policies: Data
     """
     data = (validation_results.groupBy("table_name")
             .agg(F.bool_and("passed").alias("data_passed")))
-    j = (policies.join(gate.select("table_name", "is_open"), "table_name", "left")
+    # policies and gate are configuration-sized: size-checked broadcast
+    j = (join_small(policies, gate.select("table_name", "is_open"), "table_name", "left")
          .join(data, "table_name", "left"))
     meta_ok = F.coalesce(F.col("is_open"), F.lit(False))
     data_ok = F.coalesce(F.col("data_passed"), F.lit(True))

@@ -284,22 +284,29 @@ def verdict(df: DataFrame, threshold: float | Column = DEFAULT_THRESHOLD) -> Dat
                      (rate <= t).alias("passed"))
 
 
-def rollup_rule_results(rule_results: DataFrame, thresholds: DataFrame | float = DEFAULT_THRESHOLD) -> DataFrame:
+def rollup_rule_results(rule_results: DataFrame,
+                        thresholds: float | Mapping[str, float] | DataFrame = DEFAULT_THRESHOLD) -> DataFrame:
     """Validation results from any rule-results DataFrame (e.g. many tables).
 
-    ``thresholds`` is a float or a DataFrame ``(table_name, threshold)``,
-    one row per table.  No broadcast hint: a frame built from configuration
-    is a local relation with exact statistics, so the planner broadcasts it
-    when it is small and shuffles it otherwise.
+    ``thresholds`` is one float, a ``{table_name: threshold}`` dict (looked up
+    through a map literal, no join), or a DataFrame ``(table_name,
+    threshold)`` joined with a size-checked broadcast.  Tables without a
+    threshold use the default.
     """
+    from .joins import join_small, lookup
+
     agg = (rule_results.groupBy("table_name", "validation_type")
            .agg(F.max("total_rows").alias("total_rows"),
                 F.count(F.lit(1)).cast("int").alias("rules_configured"),
                 F.sum("violations").cast("bigint").alias("total_violations")))
     if isinstance(thresholds, DataFrame):
         t = thresholds.select("table_name", F.col("threshold").alias("_t"))
-        agg = agg.join(t, "table_name", "left")
+        agg = join_small(agg, t, "table_name", "left")
         return verdict(agg, F.coalesce(F.col("_t"), F.lit(DEFAULT_THRESHOLD))).select(*VALIDATION_RESULT_COLUMNS)
+    if isinstance(thresholds, Mapping):
+        t = {k: float(v) for k, v in thresholds.items()}
+        return verdict(agg, F.coalesce(lookup(t, F.col("table_name")), F.lit(DEFAULT_THRESHOLD))) \
+            .select(*VALIDATION_RESULT_COLUMNS)
     return verdict(agg, thresholds).select(*VALIDATION_RESULT_COLUMNS)
 
 

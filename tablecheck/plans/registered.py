@@ -172,9 +172,7 @@ def multi_table_suite(spark, sf_dir):
 
 @register("per_table_threshold", O.validation_results_sql(list(ALL_SUITES), TABLE_THRESHOLDS))
 def per_table_threshold(spark, sf_dir):
-    rules = _all_suites(spark, sf_dir)[0]
-    thresholds = spark.createDataFrame(list(TABLE_THRESHOLDS.items()), "table_name string, threshold double")
-    return rollup_rule_results(rules, thresholds)
+    return rollup_rule_results(_all_suites(spark, sf_dir)[0], TABLE_THRESHOLDS)
 
 
 # -- S1..S3: scans ---------------------------------------------------------------------

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import files as FC
+from ..operators.joins import join_small
 from ..operators.gate import TableSpec
 from ..operators.validate import VALIDATION_RESULT_COLUMNS, VALIDATION_RESULT_SCHEMA
 from ..sources import files as FS
@@ -125,7 +126,7 @@ def annotate_results(results: DataFrame, tables: DataFrame, tags: Mapping[str, s
     """Add ``table_type, namespace, incremental`` from the registry's tables
     frame and a ``tags`` map (environment labels) to every result row."""
     meta = tables.select("table_name", "table_type", "namespace", "incremental")
-    out = results.join(meta, "table_name", "left")
+    out = join_small(results, meta, "table_name", "left")
     tag_map = F.create_map(*[x for k, v in sorted((tags or {}).items()) for x in (F.lit(k), F.lit(v))]) \
         if tags else F.create_map().cast("map<string,string>")
     return out.withColumn("tags", tag_map)

@@ -134,3 +134,20 @@ def test_wall_clock_round_trip_is_zone_independent(spark):
             assert all(r["w"] == r["back"] for r in out)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_thresholds_by_dict_and_by_frame(spark):
+    from tablecheck.operators.joins import join_small
+    from tablecheck.operators.validate import rollup_rule_results
+    rr = spark.createDataFrame([("a", "range", "x", 10, 2), ("b", "range", "y", 10, 2)],
+                               "table_name string, validation_type string, rule_name string, total_rows bigint, "
+                               "violations bigint")
+    by_dict = {r["table_name"]: r["passed"] for r in rollup_rule_results(rr, {"a": 0.5}).collect()}
+    assert by_dict == {"a": True, "b": False}
+    plan = _plan(rollup_rule_results(rr, {"a": 0.5}))
+    assert "Join" not in plan
+    frame = spark.createDataFrame([("a", 0.5)], "table_name string, threshold double")
+    by_frame = {r["table_name"]: r["passed"] for r in rollup_rule_results(rr, frame).collect()}
+    assert by_frame == by_dict
+    assert "BroadcastHashJoin" in _plan(join_small(rr, frame, "table_name"))
+    assert "BroadcastHashJoin" not in _plan(join_small(rr, frame, "table_name", max_rows=0))
