@@ -86,3 +86,24 @@ def failed_records_count(df: DataFrame, table_rules: TableRules) -> DataFrame:
     compiled = _compiled(df, table_rules, "fail")
     return df.agg(F.count(F.lit(1)).alias("total_rows"),
                   F.count_if(any_violation(compiled)).alias("failed_rows"))
+
+
+def failed_records_sample_per_rule(df: DataFrame, table_rules: TableRules, order_by: Sequence[str],
+                                   limit: int = 100, columns: Sequence[str] | None = None) -> DataFrame:
+    """The first ``limit`` failing rows of every rule, by ``order_by``.
+
+    One scan: failing rows are exploded into (rule, row) pairs and ranked with
+    ``row_number() <= limit`` per rule.  Spark inserts a partial
+    ``WindowGroupLimit`` before the shuffle, so each task ships at most
+    ``limit`` rows per rule, even when one rule holds most of the failures.
+    """
+    from pyspark.sql import Window
+
+    compiled = _compiled(df, table_rules, "fail")
+    keep = list(columns) if columns is not None else list(order_by)
+    rule_col = F.explode(_tags_array(compiled)).alias("rule_name")
+    pairs = df.filter(any_violation(compiled)).select(rule_col, *[F.col(c) for c in keep if c])
+    w = Window.partitionBy("rule_name").orderBy(*order_by)
+    return (pairs.withColumn("_rank", F.row_number().over(w))
+            .filter(F.col("_rank") <= limit)
+            .withColumnRenamed("_rank", "rank"))

@@ -151,3 +151,13 @@ def test_thresholds_by_dict_and_by_frame(spark):
     assert by_frame == by_dict
     assert "BroadcastHashJoin" in _plan(join_small(rr, frame, "table_name"))
     assert "BroadcastHashJoin" not in _plan(join_small(rr, frame, "table_name", max_rows=0))
+
+
+def test_per_rule_sample_limits_before_the_shuffle(spark):
+    from tablecheck.operators.tags import failed_records_sample_per_rule
+    df = lineitem_with_nulls(spark, SF_SMALL)
+    s = failed_records_sample_per_rule(df, LINEITEM.table_rules(), ["l_orderkey", "l_linenumber"], 3)
+    plan = _plan(s)
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    counts = {r["rule_name"]: r["count"] for r in s.groupBy("rule_name").count().collect()}
+    assert max(counts.values()) <= 6  # names shared by two families rank together
