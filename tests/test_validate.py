@@ -160,4 +160,4 @@ def test_per_rule_sample_limits_before_the_shuffle(spark):
     plan = _plan(s)
     assert "WindowGroupLimit" in plan and "Partial" in plan
     counts = {r["rule_name"]: r["count"] for r in s.groupBy("rule_name").count().collect()}
-    assert max(counts.values()) <= 6  # names shared by two families rank together
+    assert max(counts.values()) <= 3  # a name shared by two families ranks as one group
