@@ -135,7 +135,32 @@ PAGES = Suite("pages", (
           "NOT regexp_matches(url, '[.](com|org)/') AND url IS NOT NULL"),
 ))
 
-ALL_SUITES = (LINEITEM, CUSTOMER, EVENTS, DOCUMENTS, PAGES)
+EMBEDDINGS = Suite("embeddings", (
+    Check(not_null("embedding"), "embedding IS NULL"),
+    Check(in_range("label", 0, 8), "label < 0 OR label > 8"),
+    Check(expression("dimension_is_64", "size(embedding) = 64", "every vector has 64 components"),
+          "NOT (len(embedding) = 64)"),
+    Check(expression("components_below_0_4", "array_max(embedding) < 0.4", "no component reaches 0.4"),
+          "NOT (list_max(embedding) < 0.4)"),
+))
+
+CONVERSATIONS = Suite("conversations", (
+    Check(not_null("text"), "text IS NULL"),
+    Check(in_range("turn", 0, 6), "turn < 0 OR turn > 6"),
+    Check(matches("role", "^(user|assistant)$"),
+          "NOT regexp_matches(role, '^(user|assistant)$') AND role IS NOT NULL"),
+    Check(expression("system_only_first", "role <> 'system' OR turn = 0", "a system turn opens the conversation"),
+          "NOT (role <> 'system' OR turn = 0)"),
+))
+
+LABELS = Suite("labels", (
+    Check(in_range("quality", 0, 1), "quality < 0 OR quality > 1"),
+    Check(in_range("toxic", 0, 1), "toxic < 0 OR toxic > 1"),
+    Check(expression("toxic_not_quality", "NOT (quality = 1 AND toxic = 1)", "toxic text is never high quality"),
+          "NOT (NOT (quality = 1 AND toxic = 1))"),
+))
+
+ALL_SUITES = (LINEITEM, CUSTOMER, EVENTS, DOCUMENTS, PAGES, EMBEDDINGS, CONVERSATIONS, LABELS)
 
 # Per-table thresholds, as a registry would hold them (V7).
 TABLE_THRESHOLDS = {"lineitem": 0.05, "customer": 0.15, "events": 0.10, "documents": 0.02, "pages": 0.30}
