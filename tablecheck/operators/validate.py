@@ -26,6 +26,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Iterable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +76,8 @@ class CompiledRule:
 
 def _error_code(e: Exception) -> str:
     cond = None
+    if isinstance(e, Py4JJavaError):
+        return e.java_exception.getClass().getSimpleName()
     if isinstance(e, PySparkException):
         try:
             cond = e.getCondition()
@@ -183,15 +186,17 @@ class FusedCheck:
         if self.group_names:
             raise ValueError("materialize() is for ungrouped checks")
         spark = self.counts.sparkSession
+        # errors PySpark does not classify arrive as raw Py4JJavaError
+        job_errors = (PySparkException, Py4JJavaError)
         try:
             row = self.counts.first()
             values = row.asDict()
-        except PySparkException:
+        except job_errors:
             if self.on_error != "ignore":
                 raise
             try:
                 values = {"total_rows": self.df.agg(F.count(F.lit(1))).first()[0]}
-            except PySparkException as e:
+            except job_errors as e:
                 # the table itself cannot be read: every rule is an error
                 code = _error_code(e)
                 values = {"total_rows": None}
@@ -202,7 +207,7 @@ class FusedCheck:
                     continue
                 try:
                     values[f"_v{i}"] = self.df.agg(F.count_if(c.violation)).first()[0]
-                except PySparkException as e:
+                except job_errors as e:
                     self.compiled[i] = CompiledRule(c.rule, None, "error", _error_code(e))
         cols = ["total_rows"] + [f"_v{i}" for i, c in enumerate(self.compiled) if c.violation is not None]
         schema = T.StructType([T.StructField(c, T.LongType()) for c in cols])
