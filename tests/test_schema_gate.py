@@ -117,3 +117,22 @@ def test_isolated_tables_survive_a_failing_table(spark):
     assert rows[("events", "boom")]["status"] == "error"
     assert rows[("events", "value")]["status"] in ("ok", "violated")
     assert rows[("lineitem", "l_quantity")]["total_rows"] > 0
+
+
+def test_schema_check_on_missing_source_reports_error(spark):
+    d = S.schema_check(spark, f"{SF_SMALL}/nope.parquet", "nope", ["a"]).collect()
+    assert len(d) == 1 and d[0]["kind"] == "error" and d[0]["actual_type"].startswith("PATH_NOT_FOUND")
+
+
+def test_catalog_names_and_temp_views(spark, tmp_path):
+    from tablecheck.sources.tables import append_table, create_table, read_table, table_exists
+    spark.read.parquet(f"{SF_SMALL}/region.parquet").createOrReplaceTempView("tc_region")
+    assert table_exists(spark, "tc_region") and not table_exists(spark, "tc_no_such_view")
+    assert read_table(spark, "tc_region", ["r_name"]).columns == ["r_name"]
+    name = "tc_ns.regions"
+    create_table(spark, name, spark.table("tc_region"), namespace_location=str(tmp_path / "ns"),
+                 location=str(tmp_path / "t"))
+    append_table(spark, name, spark.table("tc_region"))
+    assert spark.table(name).count() == 2 * spark.table("tc_region").count()
+    with pytest.raises(ValueError):
+        append_table(spark, "tc_ns.missing", spark.table("tc_region"))
