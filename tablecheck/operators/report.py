@@ -133,3 +133,25 @@ def validation_details(rule_results: DataFrame) -> DataFrame:
                  F.array_sort(F.collect_list(F.when(F.col("violations") > 0, named))).alias("_nz"))
             .select("table_name", "validation_type", "rules_validated",
                     F.map_from_entries("_nz").alias("violations")))
+
+
+def cumulative_results(history: DataFrame, threshold: float | None = None) -> DataFrame:
+    """Validation results over many runs or windows, from their stored counts.
+
+    Counts add up across disjoint slices (hours, batches), so a table-level
+    verdict follows from the per-slice results without scanning the table
+    again.  ``rules_configured`` must be the same in every slice; the
+    threshold is the slices' (or ``threshold``).
+    """
+    agg = (history.groupBy("table_name", "validation_type")
+           .agg(F.sum("total_rows").cast("bigint").alias("total_rows"),
+                F.max("rules_configured").alias("rules_configured"),
+                F.sum("total_violations").cast("bigint").alias("total_violations"),
+                F.max("threshold").alias("threshold")))
+    rate = (F.when(F.col("total_violations") > 0,
+                   F.col("total_violations").cast("double")
+                   / (F.col("total_rows") * F.col("rules_configured")).cast("double"))
+            .otherwise(F.lit(0.0)))
+    t = F.col("threshold") if threshold is None else F.lit(float(threshold))
+    return agg.select("table_name", "validation_type", "total_rows", "rules_configured", "total_violations",
+                      rate.alias("violation_percentage"), t.alias("threshold"), (rate <= t).alias("passed"))

@@ -632,6 +632,16 @@ def hourly_validation(spark, sf_dir):
     return windowed_validation(table(spark, sf_dir, "events"), EVENTS.table_rules(), "ts", "1 hour")
 
 
+@register("cumulative_validation", O.validation_results_sql([EVENTS]))
+def cumulative_validation(spark, sf_dir):
+    """Hourly results stored once, then rolled up into the table's verdict: equal
+    to validating the whole table, without a second scan of it."""
+    path = scratch_path(spark, "hourly_history")
+    hourly = windowed_validation(table(spark, sf_dir, "events"), EVENTS.table_rules(), "ts", "1 hour")
+    hourly.write.mode("overwrite").parquet(path)
+    return R.cumulative_results(spark.read.parquet(path))
+
+
 TREND_RETENTION_DAYS = 20
 
 
