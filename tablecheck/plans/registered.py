@@ -233,11 +233,13 @@ TEST_TABLES = ("region nation customer supplier part orders lineitem events docu
 # Spark class and simple-string spelling of each DuckDB type found in the test tables.
 DUCK_TYPE_CLASS = ("CASE data_type WHEN 'BIGINT' THEN 'LongType()' WHEN 'INTEGER' THEN 'IntegerType()' "
                    "WHEN 'DOUBLE' THEN 'DoubleType()' WHEN 'VARCHAR' THEN 'StringType()' "
-                   "WHEN 'TIMESTAMP' THEN 'TimestampNTZType()' WHEN 'BOOLEAN' THEN 'BooleanType()' "
+                   "WHEN 'TIMESTAMP' THEN 'TimestampNTZType()' WHEN 'TIMESTAMP_NS' THEN 'TimestampNTZType()' "
+                   "WHEN 'TIMESTAMP_US' THEN 'TimestampNTZType()' WHEN 'BOOLEAN' THEN 'BooleanType()' "
                    "WHEN 'FLOAT[]' THEN 'ArrayType(FloatType(), True)' ELSE data_type END")
 DUCK_TYPE_SIMPLE = ("CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
                     "WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' "
-                    "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'BOOLEAN' THEN 'boolean' "
+                    "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP_NS' THEN 'timestamp_ntz' "
+                    "WHEN 'TIMESTAMP_US' THEN 'timestamp_ntz' WHEN 'BOOLEAN' THEN 'boolean' "
                     "WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END")
 DUCK_COLUMNS = (f"(SELECT table_name, CAST(ordinal_position AS INTEGER) AS ordinal, column_name, "
                 f"{DUCK_TYPE_SIMPLE} AS data_type, {DUCK_TYPE_CLASS} AS type_class "
