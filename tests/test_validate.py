@@ -161,3 +161,27 @@ def test_per_rule_sample_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
     counts = {r["rule_name"]: r["count"] for r in s.groupBy("rule_name").count().collect()}
     assert max(counts.values()) <= 3  # a name shared by two families ranks as one group
+
+
+def test_wide_suites_are_chunked_and_equal(spark):
+    from tablecheck.rules import Rule
+    df = lineitem_with_nulls(spark, SF_SMALL)
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    rules = TableRules("lineitem", tuple(Rule("range", f"r{i}", column=cols[i % 4], min=float(i % 7),
+                                              max=float(1000 + i)) for i in range(30))
+                       + (not_null("l_returnflag"), not_null("nope")) + LINEITEM.table_rules().rules)
+    one = FusedCheck(df, rules, max_rules_per_aggregate=1000)
+    many = FusedCheck(df, rules, max_rules_per_aggregate=7)
+    assert len(one.chunks) == 1 and len(many.chunks) == 6
+    key = lambda r: (r["validation_type"], r["rule_name"], r["violations"], r["status"])
+    assert sorted(map(key, one.rule_results().collect())) == sorted(map(key, many.rule_results().collect()))
+    assert sorted(one.validation_results().collect()) == sorted(many.validation_results().collect())
+    assert sorted(one.validation_results().collect()) == sorted(many.materialize().validation_results().collect())
+    # windows work chunked too
+    from pyspark.sql import functions as F2
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    tr = TableRules("events", tuple(in_range("value", i, 100 + i) for i in range(10)))
+    w = [F2.window("ts", "1 day").alias("window")]
+    a = FusedCheck(ev, tr, group_by=w).validation_results().collect()
+    b = FusedCheck(ev, tr, group_by=w, max_rules_per_aggregate=3).validation_results().collect()
+    assert sorted(a) == sorted(b)
