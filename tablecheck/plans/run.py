@@ -68,7 +68,9 @@ def run_suite(spark: SparkSession, tables: Sequence[tuple[TableSpec, TableRules]
     the caller acts).  With ``isolate_tables=True`` each table's fused job runs
     now, ``max_workers`` at a time, and a table whose job fails at runtime
     gets ``status='error'`` rows instead of failing the run (``on_error`` is
-    then ``'ignore'`` for runtime errors).
+    then ``'ignore'`` for runtime errors).  Acting on both ``rule_results`` and
+    ``validation_results`` of a lazy run scans each table twice; an isolated
+    run keeps the counts, so both are then read from memory.
     """
     prepare = prepare or {}
     skipped_rows = []
