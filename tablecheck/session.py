@@ -32,20 +32,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  When
     unset on a local master, a folder is created and set, as tests do; on a
     cluster an unset value is an error, since a machine-local folder would not
-    survive the loss of an executor.
+    survive the loss of an executor.  Works on Spark Connect through the
+    session configuration alone.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getCheckpointDir()
-    if root:
-        if sc.getCheckpointDir() is None:
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no sparkContext
+        sc = None
+    if sc is not None:
+        root = root or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        if root and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
+    if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/NFS)")
     root = tempfile.mkdtemp(prefix="tablecheck-ckpt-")
-    sc.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 

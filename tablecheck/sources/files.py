@@ -25,21 +25,45 @@ FILE_COLUMNS = ["file_path", "file_name", "file_size", "line", "value"]
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    """Hadoop ``FileSystem`` and ``Path`` on a classic session, else None
+    (Spark Connect exposes no JVM)."""
+    try:
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+    except Exception:  # noqa: BLE001 - Spark Connect: no sparkContext
+        return None
 
 
 def directory_status(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, exists, is_directory)`` for one path (driver metadata call)."""
-    fs, p = _fs(spark, path)
-    exists = bool(fs.exists(p))
-    is_dir = bool(exists and fs.getFileStatus(p).isDirectory())
+    """``(path, exists, is_directory)`` for one path (driver metadata call).
+
+    Without a JVM (Spark Connect) the answer comes from a listing probe:
+    a path that lists as more than itself is a directory.
+    """
+    handle = _fs(spark, path)
+    if handle is not None:
+        fs, p = handle
+        exists = bool(fs.exists(p))
+        is_dir = bool(exists and fs.getFileStatus(p).isDirectory())
+    else:
+        from pyspark.errors import AnalysisException
+        try:
+            first = spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+            exists = True
+            # a file lists as itself (maybe with a scheme prefix), a directory as its children
+            is_dir = not first or not first[0]["path"].rstrip("/").endswith(path.rstrip("/"))
+        except AnalysisException:
+            exists, is_dir = False, False
     return spark.createDataFrame([(path, exists, is_dir)], "path string, exists boolean, is_directory boolean")
 
 
 def _zero_length_files(spark: SparkSession, directory: str, glob: str) -> list[tuple[str, str]]:
-    fs, p = _fs(spark, directory)
+    """Zero-length files of a directory (none without a JVM: Spark Connect)."""
+    handle = _fs(spark, directory)
+    if handle is None:
+        return []
+    fs, p = handle
     if not fs.exists(p):
         return []
     out = []

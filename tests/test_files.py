@@ -76,3 +76,15 @@ def test_file_metadata_report(spark):
     # a bound of 0 is a bound; no size column -> no size test
     r = FC.validate_file_metadata(meta.drop("file_size"), ["file_path"], 0, None).first()
     assert r["size_violations"] == 0 and r["passed"] is True
+
+
+def test_directory_status_without_jvm(spark, tmp_path):
+    import unittest.mock as m
+    d = str(tmp_path / "logs2")
+    os.makedirs(d)
+    _write(d, "a.json", "{}")
+    with m.patch.object(FS, "_fs", return_value=None):
+        assert FS.directory_status(spark, d).first()["is_directory"] is True
+        f = FS.directory_status(spark, os.path.join(d, "a.json")).first()
+        assert f["exists"] and f["is_directory"] is False
+        assert FS.directory_status(spark, d + "/missing").first()["exists"] is False
