@@ -185,3 +185,14 @@ def test_wide_suites_are_chunked_and_equal(spark):
     a = FusedCheck(ev, tr, group_by=w).validation_results().collect()
     b = FusedCheck(ev, tr, group_by=w, max_rules_per_aggregate=3).validation_results().collect()
     assert sorted(a) == sorted(b)
+
+
+def test_per_rule_sample_strategies_agree(spark):
+    from tablecheck.operators.tags import failed_records_sample_per_rule
+    df = lineitem_with_nulls(spark, SF_SMALL)
+    rules = TableRules("l", tuple(r for r in LINEITEM.table_rules().rules if r.validation_type != "regex"))
+    keys = ["l_orderkey", "l_linenumber"]
+    a = failed_records_sample_per_rule(df, rules, keys, 4)
+    b = failed_records_sample_per_rule(df, rules, keys, 4, strategy="per_rule")
+    rows = lambda d: sorted(tuple(r) for r in d.select("rule_name", *keys, "rank").collect())
+    assert rows(a) == rows(b) and len(rows(a)) > 0
