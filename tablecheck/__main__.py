@@ -4,6 +4,7 @@
                               [--num-users N] [--num-logs N] [--start-time TS] [--end-time TS]
     python -m tablecheck run --registry FILE --location NAME=PATH [--location ...]
                              [--interval START END] [--threshold T] [--results DIR --run-id ID]
+    python -m tablecheck report --results DIR [--registry FILE] [--retention-days N]
 
 ``run`` prints one line per validation and exits with status 1 when any
 validation fails or any table's gate is closed (2 on usage errors).  The
@@ -74,6 +75,29 @@ def _run(args) -> int:
     return 1 if failed else 0
 
 
+def _report(args) -> int:
+    from .operators import report as R
+    from .plans.registry import Registry
+
+    retention = args.retention_days
+    if retention is None and args.registry:
+        retention = Registry.load(args.registry).get_global_settings().get("reporting", {}) \
+            .get("history_retention_days")
+    spark = _session()
+    history = spark.read.parquet(args.results)
+    overall = R.summary_overall(history).first().asDict()
+    print(json.dumps({"overall": overall}, default=str))
+    for r in R.summary_by_type(history).orderBy("validation_type").collect():
+        print(json.dumps({"by_type": r.asDict()}, default=str))
+    from pyspark.sql import functions as F
+
+    trend = R.results_trend(history, "run_ts", retention)
+    latest = trend.filter(F.col("run_ts") == history.select(F.max("run_ts")).scalar())
+    for r in latest.orderBy("table_name", "validation_type").collect():  # one row per table and family
+        print(json.dumps({"trend": r.asDict()}, default=str))
+    return 0
+
+
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="tablecheck")
     sub = p.add_subparsers(dest="command", required=True)
@@ -93,8 +117,12 @@ def main(argv=None) -> int:
     r.add_argument("--threshold", type=float)
     r.add_argument("--results")
     r.add_argument("--run-id")
+    rp = sub.add_parser("report", help="summaries and run-over-run trend of stored results")
+    rp.add_argument("--results", required=True)
+    rp.add_argument("--registry")
+    rp.add_argument("--retention-days", type=int)
     args = p.parse_args(argv)
-    return _seed(args) if args.command == "seed" else _run(args)
+    return {"seed": _seed, "run": _run, "report": _report}[args.command](args)
 
 
 if __name__ == "__main__":
