@@ -781,7 +781,10 @@ def file_manifest(spark, sf_dir):
     return FS.file_manifest(spark, _event_json_dir(spark, sf_dir), "*.json").drop("modification_time", "file_path")
 
 
-@register("json_dir_scan")
+@register("json_dir_scan",
+          "SELECT event_id, true AS valid_json, CASE WHEN event_type = 'error' THEN "
+          f"{O.q(','.join(EVENT_DOC_KEYS[1:]))} ELSE '' END AS missing_keys, "
+          "event_type <> 'error' AS is_valid FROM events")
 def json_dir_scan(spark, sf_dir):
     docs = FC.document_status(_event_docs(spark, sf_dir), "value", EVENT_DOC_KEYS)
     return docs.select(F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"),
@@ -905,7 +908,8 @@ def stream_hourly_validation(spark, sf_dir):
                                          glob="events.parquet", output_mode="complete")
 
 
-@register("stream_batch_suite")
+@register("stream_batch_suite",
+          f"SELECT *, CAST(0 AS BIGINT) AS batch_id FROM ({O.validation_results_sql([EVENTS])})")
 def stream_batch_suite(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     return ST.stream_batch_suite(spark, sf_dir, schema, EVENTS.table_rules(), glob="events.parquet")
@@ -1034,7 +1038,9 @@ def cross_column_runtime_error(spark, sf_dir):
     return fused(spark, sf_dir, RUNTIME_BAD, on_error="ignore").materialize().rule_results()
 
 
-@register("stream_hourly_validation_append")
+@register("stream_hourly_validation_append",
+          f"SELECT * FROM ({_windowed_sql(EVENTS, 'ts', 'hour', 0.10)}) "
+          "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
 def stream_hourly_validation_append(spark, sf_dir):
     """Continuous form: append mode emits a window once the watermark passes it,
     so state stays bounded; windows newer than the watermark wait for more data."""

@@ -120,4 +120,5 @@ def stream_batch_suite(spark: SparkSession, directory: str, schema: T.StructType
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(results_path)
+    # partition discovery reads batch_id back as int; batch ids are longs
+    return spark.read.parquet(results_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
