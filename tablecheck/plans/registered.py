@@ -551,7 +551,15 @@ def validation_details(spark, sf_dir):
                     F.array_join(pairs, ",").alias("violations"))
 
 
-@register("alert_messages")
+@register("alert_messages",
+          "SELECT table_name, validation_type, 'alert' AS kind, printf('DATA QUALITY ALERT: table %s failed %s - "
+          "violation rate %.2f%% exceeds threshold %.2f%% (%s violations); pipeline stopped for this table', "
+          "table_name, validation_type, violation_percentage * 100.0, threshold * 100.0, "
+          "format('{:,}', total_violations)) AS message "
+          f"FROM ({ALL_VALIDATION_SQL}) WHERE NOT coalesce(passed, false) "
+          "UNION ALL SELECT table_name, CAST(NULL AS VARCHAR), 'passed', printf('Data quality validation PASSED: "
+          "table %s, %s rows, %d validations passed', table_name, format('{:,}', max(total_rows)), count(*)) "
+          f"FROM ({ALL_VALIDATION_SQL}) GROUP BY table_name HAVING bool_and(coalesce(passed, false))")
 def alert_messages(spark, sf_dir):
     return R.alert_messages(_all_results(spark, sf_dir))
 
