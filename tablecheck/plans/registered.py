@@ -1057,7 +1057,40 @@ def stream_hourly_validation_append(spark, sf_dir):
                                          glob="events.parquet", output_mode="append")
 
 
-@register("registry_gate")
+def _typed_diffs_sql(expected: dict) -> str:
+    """Schema differences (missing / extra / loose type mismatch) in DuckDB, for
+    expected schemas given as {column: type} or as a list of names."""
+    rows = []
+    for t, cols in expected.items():
+        items = cols.items() if isinstance(cols, dict) else [(c, None) for c in cols]
+        for c, ty in items:
+            rows.append(f"({O.q(t)}, {O.q(c)}, {O.q(ty)})")
+    tables = _in_list(expected)
+    return (f"WITH e AS (SELECT * FROM (VALUES {', '.join(rows)}) AS e(table_name, column_name, expected_type)), "
+            f"a AS (SELECT * FROM {DUCK_COLUMNS} WHERE table_name IN ({tables})) "
+            "SELECT e.table_name, 'missing' AS kind, e.column_name FROM e LEFT JOIN a "
+            "ON e.table_name = a.table_name AND e.column_name = a.column_name WHERE a.column_name IS NULL "
+            "UNION ALL SELECT a.table_name, 'extra', a.column_name FROM a LEFT JOIN e "
+            "ON e.table_name = a.table_name AND e.column_name = a.column_name WHERE e.column_name IS NULL "
+            "UNION ALL SELECT e.table_name, 'type_mismatch', e.column_name FROM e JOIN a "
+            "ON e.table_name = a.table_name AND e.column_name = a.column_name "
+            f"WHERE e.expected_type IS NOT NULL AND NOT {LOOSE_OK}")
+
+
+def _registry_gate_sql() -> str:
+    structured = {n: c["schema"] for n, c in TESTDATA_REGISTRY["tables"].items() if c["type"] == "structured"}
+    names = ", ".join(f"({O.q(n)})" for n in structured)
+    return (f"WITH d AS ({_typed_diffs_sql(structured)}), t AS (SELECT * FROM (VALUES {names}) AS t(table_name)), "
+            "g AS (SELECT t.table_name, string_agg(d.kind || ' ' || d.column_name, '; ' "
+            "ORDER BY d.kind, d.column_name) AS errs FROM t LEFT JOIN d ON d.table_name = t.table_name "
+            "GROUP BY t.table_name) "
+            "SELECT table_name, (SELECT count(*) FROM information_schema.tables i "
+            "WHERE i.table_name = g.table_name) > 0 AS \"exists\", errs IS NULL AS is_open, "
+            "CASE WHEN errs IS NOT NULL THEN 'schema: ' || errs END AS reason FROM g "
+            "UNION ALL SELECT 'event_logs', true, true, CAST(NULL AS VARCHAR)")
+
+
+@register("registry_gate", _registry_gate_sql())
 def registry_gate(spark, sf_dir):
     """Gates of a whole registry run: tables (existence, schema) and file sets (directory)."""
     run = run_registry(spark, Registry(TESTDATA_REGISTRY), _registry_locations(spark, sf_dir))
