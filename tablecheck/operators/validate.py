@@ -5,7 +5,9 @@ The plan for a table with k rules is a single scan feeding one
 are computed map-side (k+1 longs per task), a single-partition exchange merges
 them, and the one-row result is unpivoted into rule rows and validation rows.
 Only the columns the rules name are read (Catalyst prunes the scan), and no
-Python runs per row.
+Python runs per row.  Suites above ``MAX_RULES_PER_AGGREGATE`` rules use one
+such aggregate per chunk of rules, so generated code stays small enough for
+the JIT.
 
 Result schemas (fixed, everything else composes on them):
 
