@@ -93,6 +93,9 @@ def failed_records_sample_per_rule(df: DataFrame, table_rules: TableRules, order
                                    strategy: str = "window") -> DataFrame:
     """The first ``limit`` failing rows of every rule, by ``order_by``.
 
+    Output: ``validation_type, rule_name, <columns>, rank``; a rule is its
+    family and name, so a not-null and a regex rule on one column rank apart.
+
     ``strategy="window"`` (default): one scan; failing rows are exploded into
     (rule, row) pairs and ranked with ``row_number() <= limit`` per rule.
     Spark inserts a partial ``WindowGroupLimit`` before the shuffle, so each
@@ -108,13 +111,16 @@ def failed_records_sample_per_rule(df: DataFrame, table_rules: TableRules, order
 
     compiled = _compiled(df, table_rules, "fail")
     keep = list(columns) if columns is not None else list(order_by)
+    ident = [F.col("_rule.validation_type").alias("validation_type"), F.col("_rule.rule_name").alias("rule_name")]
     if strategy == "per_rule":
         frames = [df.filter(F.coalesce(c.violation, F.lit(False))).orderBy(*order_by).limit(limit)
-                  .select(F.lit(c.rule.rule_name).alias("rule_name"), *[F.col(k) for k in keep],
+                  .select(F.lit(c.rule.validation_type).alias("validation_type"),
+                          F.lit(c.rule.rule_name).alias("rule_name"), *[F.col(k) for k in keep],
                           F.row_number().over(Window.orderBy(*order_by)).alias("rank"))
                   for c in compiled]
         if not frames:
-            return df.limit(0).select(F.lit(None).cast("string").alias("rule_name"), *keep,
+            return df.limit(0).select(F.lit(None).cast("string").alias("validation_type"),
+                                      F.lit(None).cast("string").alias("rule_name"), *keep,
                                       F.lit(None).cast("int").alias("rank"))
         out = frames[0]
         for f in frames[1:]:
@@ -122,9 +128,14 @@ def failed_records_sample_per_rule(df: DataFrame, table_rules: TableRules, order
         return out
     if strategy != "window":
         raise ValueError("strategy must be 'window' or 'per_rule'")
-    rule_col = F.explode(_tags_array(compiled)).alias("rule_name")
-    pairs = df.filter(any_violation(compiled)).select(rule_col, *[F.col(c) for c in keep if c])
-    w = Window.partitionBy("rule_name").orderBy(*order_by)
+    rules = F.array(*[F.when(c.violation, F.struct(F.lit(c.rule.validation_type).alias("validation_type"),
+                                                   F.lit(c.rule.rule_name).alias("rule_name")))
+                      for c in compiled])
+    pairs = (df.filter(any_violation(compiled))
+             .select(F.explode(rules).alias("_rule"), *[F.col(c) for c in keep if c])
+             .filter(F.col("_rule").isNotNull())
+             .select(*ident, *keep))
+    w = Window.partitionBy("validation_type", "rule_name").orderBy(*order_by)
     return (pairs.withColumn("_rank", F.row_number().over(w))
             .filter(F.col("_rank") <= limit)
             .withColumnRenamed("_rank", "rank"))

@@ -595,16 +595,17 @@ def failed_records_sample(spark, sf_dir):
 
 def _per_rule_sql(suite: Suite, keys: list[str], n: int) -> str:
     arms = " UNION ALL ".join(
-        f"SELECT {O.q(c.rule.rule_name)} AS rule_name, {', '.join(keys)} FROM {suite.source_sql} AS src "
-        f"WHERE {c.duck}" for c in suite.checks if c.duck is not None and c.status == "evaluate")
-    return (f"SELECT * FROM (SELECT rule_name, {', '.join(keys)}, CAST(row_number() OVER "
-            f"(PARTITION BY rule_name ORDER BY {', '.join(keys)}) AS INTEGER) AS rank FROM ({arms})) WHERE rank <= {n}")
+        f"SELECT {O.q(c.rule.validation_type)} AS validation_type, {O.q(c.rule.rule_name)} AS rule_name, "
+        f"{', '.join(keys)} FROM {suite.source_sql} AS src WHERE {c.duck}"
+        for c in suite.checks if c.duck is not None and c.status == "evaluate")
+    return (f"SELECT * FROM (SELECT validation_type, rule_name, {', '.join(keys)}, CAST(row_number() OVER "
+            f"(PARTITION BY validation_type, rule_name ORDER BY {', '.join(keys)}) AS INTEGER) AS rank "
+            f"FROM ({arms})) WHERE rank <= {n}")
 
 
 @register("failed_records_sample_per_rule", _per_rule_sql(LINEITEM, TAG_KEYS, 5))
 def failed_records_sample_per_rule(spark, sf_dir):
-    """The first five failing rows of every rule (rule names are unique per
-    family here, and a row failing two same-named rules appears once per rule)."""
+    """The first five failing rows of every rule (a rule is its family and name)."""
     df = lineitem_with_nulls(spark, sf_dir)
     return TG.failed_records_sample_per_rule(df, LINEITEM.table_rules(), TAG_KEYS, 5)
 
