@@ -564,7 +564,11 @@ def alert_messages(spark, sf_dir):
     return R.alert_messages(_all_results(spark, sf_dir))
 
 
-@register("results_as_json")
+@register("results_as_json",
+          "SELECT to_json({'table_name': table_name, 'validation_type': validation_type, 'total_rows': total_rows, "
+          "'rules_configured': rules_configured, 'total_violations': total_violations, "
+          "'violation_percentage': violation_percentage, 'threshold': threshold, 'passed': passed})::VARCHAR "
+          f"AS json FROM ({ALL_VALIDATION_SQL})")
 def results_as_json(spark, sf_dir):
     return R.results_as_json(_all_results(spark, sf_dir))
 
