@@ -149,6 +149,10 @@ def _namespace(name: str) -> str | None:
     return ".".join(parts[:-1]) if len(parts) > 1 else None
 
 
+# Table formats written through the DataSource V2 API (``writeTo``).
+V2_FORMATS = ("iceberg", "delta")
+
+
 def create_table(spark: SparkSession, target: str, df: DataFrame,
                  partition_cols: Sequence[str] | None = None, fmt: str = "parquet",
                  location: str | None = None, namespace_location: str | None = None) -> None:
@@ -156,8 +160,20 @@ def create_table(spark: SparkSession, target: str, df: DataFrame,
 
     Path targets are overwritten in place; catalog targets get their namespace
     created first (at ``namespace_location`` when given).  ``location`` makes a
-    catalog table external (shared path).
+    catalog table external (shared path).  Iceberg and Delta catalog tables
+    are written with ``writeTo(...).createOrReplace()``, an atomic replace.
     """
+    if fmt in V2_FORMATS and not is_path(target):
+        ns = _namespace(target)
+        if ns:
+            spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
+        w = df.writeTo(target).using(fmt)
+        if partition_cols:
+            w = w.partitionedBy(*[F.col(c) for c in partition_cols])
+        if location:
+            w = w.tableProperty("location", location)
+        w.createOrReplace()
+        return
     w = df.write.format(fmt).mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
@@ -178,6 +194,9 @@ def append_table(spark: SparkSession, target: str, df: DataFrame, fmt: str = "pa
     """Append rows; the table must already exist."""
     if not table_exists(spark, target, fmt):
         raise ValueError(f"table {target!r} does not exist")
+    if fmt in V2_FORMATS and not is_path(target):
+        df.writeTo(target).append()
+        return
     if is_path(target):
         df.write.format(fmt).mode("append").save(target)
     else:
