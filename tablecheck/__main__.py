@@ -4,7 +4,7 @@
                               [--num-users N] [--num-logs N] [--start-time TS] [--end-time TS]
     python -m tablecheck run --registry FILE --location NAME=PATH [--location ...]
                              [--interval START END] [--threshold T] [--results DIR --run-id ID]
-    python -m tablecheck report --results DIR [--registry FILE] [--retention-days N]
+    python -m tablecheck report --results DIR [--registry FILE] [--retention-days N] [--cumulative]
 
 ``run`` prints one line per validation and exits with status 1 when any
 validation fails or any table's gate is closed (2 on usage errors).  The
@@ -95,6 +95,10 @@ def _report(args) -> int:
     latest = trend.filter(F.col("run_ts") == history.select(F.max("run_ts")).scalar())
     for r in latest.orderBy("table_name", "validation_type").collect():  # one row per table and family
         print(json.dumps({"trend": r.asDict()}, default=str))
+    if args.cumulative:
+        # runs over disjoint intervals add up to the verdict over all of them
+        for r in R.cumulative_results(history).orderBy("table_name", "validation_type").collect():
+            print(json.dumps({"cumulative": r.asDict()}, default=str))
     return 0
 
 
@@ -121,6 +125,8 @@ def main(argv=None) -> int:
     rp.add_argument("--results", required=True)
     rp.add_argument("--registry")
     rp.add_argument("--retention-days", type=int)
+    rp.add_argument("--cumulative", action="store_true",
+                    help="verdicts over all stored runs (for runs over disjoint intervals)")
     args = p.parse_args(argv)
     return {"seed": _seed, "run": _run, "report": _report}[args.command](args)
 
