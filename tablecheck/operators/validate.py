@@ -118,6 +118,11 @@ def compile_rule(df: DataFrame, rule: Rule, on_error: str = "fail") -> CompiledR
         if vt == NOT_NULL:
             return CompiledRule(rule, P.null_violation(c), "evaluate")
         if vt == RANGE:
+            if not isinstance(dtype, (T.NumericType, T.StringType, T.VarcharType, T.CharType, T.NullType)):
+                err = f"NOT_NUMERIC:{dtype.simpleString()}"
+                if on_error == "fail":
+                    raise RuleError(f"range rule on {rule.column!r}: {err}")
+                return CompiledRule(rule, None, "error", err)
             v = P.range_violation(P.numeric_view(c, dtype), rule.min, rule.max)
             return CompiledRule(rule, v, "evaluate" if v is not None else "no_predicate")
         return CompiledRule(rule, P.regex_violation(c, rule.pattern, dtype), "evaluate")

@@ -122,3 +122,14 @@ def test_default_interval():
     assert default_interval({"DATA_INTERVAL_START": "a", "DATA_INTERVAL_END": "b"}) == ("a", "b")
     s, e = default_interval({"DATA_INTERVAL_START": "a"}, now=dt.datetime(2024, 1, 1, 12, 0, 0))
     assert (s, e) == ("2024-01-01 11:00:00", "2024-01-01 12:00:00")
+
+
+def test_range_on_non_numeric_column_is_a_rule_error(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", 5.0)], "t string, v double") \
+        .selectExpr("cast(t as timestamp_ntz) AS ts", "v")
+    tr = TableRules("t", (in_range("ts", 0, 1), in_range("v", 0, 1)))
+    rows = {r["rule_name"]: r for r in FusedCheck(df, tr, "ignore").rule_results().collect()}
+    assert rows["ts"]["status"] == "error" and rows["ts"]["error"] == "NOT_NUMERIC:timestamp_ntz"
+    assert rows["v"]["violations"] == 1
+    with pytest.raises(RuleError):
+        FusedCheck(df, tr, "fail")
