@@ -104,6 +104,24 @@ def _check_expression(df: DataFrame, expr: str) -> str | None:
     return None
 
 
+def _check_pattern(df: DataFrame, pattern: str) -> str | None:
+    """Java regex syntax check (the dialect ``rlike`` uses), without a job.
+
+    Returns an error code for an invalid pattern.  Needs the JVM; without one
+    (Spark Connect) the check is skipped and a bad pattern fails at run time,
+    where ``materialize()`` isolates it.
+    """
+    try:
+        jvm = df.sparkSession.sparkContext._jvm
+    except Exception:  # noqa: BLE001 - Spark Connect: no JVM handle
+        return None
+    try:
+        jvm.java.util.regex.Pattern.compile(pattern)
+    except Py4JJavaError:
+        return "INVALID_PARAMETER_VALUE.PATTERN"
+    return None
+
+
 def compile_rule(df: DataFrame, rule: Rule, on_error: str = "fail") -> CompiledRule:
     """Rule -> violation column, or a final status when it cannot be evaluated."""
     if on_error not in ON_ERROR:
@@ -125,6 +143,11 @@ def compile_rule(df: DataFrame, rule: Rule, on_error: str = "fail") -> CompiledR
                 return CompiledRule(rule, None, "error", err)
             v = P.range_violation(P.numeric_view(c, dtype), rule.min, rule.max)
             return CompiledRule(rule, v, "evaluate" if v is not None else "no_predicate")
+        err = _check_pattern(df, rule.pattern)
+        if err is not None:
+            if on_error == "fail":
+                raise RuleError(f"regex rule on {rule.column!r} ({rule.pattern!r}): {err}")
+            return CompiledRule(rule, None, "error", err)
         return CompiledRule(rule, P.regex_violation(c, rule.pattern, dtype), "evaluate")
     if vt == CROSS_COLUMN:
         if not rule.expression:

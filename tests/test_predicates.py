@@ -133,3 +133,13 @@ def test_range_on_non_numeric_column_is_a_rule_error(spark):
     assert rows["v"]["violations"] == 1
     with pytest.raises(RuleError):
         FusedCheck(df, tr, "fail")
+
+
+def test_invalid_regex_is_a_rule_error(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "s string")
+    tr = TableRules("t", (matches("s", "["), matches("s", "^a$")))
+    rows = {r["rule_name"] + str(i): r for i, r in enumerate(FusedCheck(df, tr, "ignore").rule_results().collect())}
+    statuses = sorted((r["status"], r["error"]) for r in rows.values())
+    assert statuses == [("error", "INVALID_PARAMETER_VALUE.PATTERN"), ("violated", None)]
+    with pytest.raises(RuleError):
+        FusedCheck(df, tr, "fail")
