@@ -117,7 +117,7 @@ def _check_pattern(df: DataFrame, pattern: str) -> str | None:
         return None
     try:
         jvm.java.util.regex.Pattern.compile(pattern)
-    except Py4JJavaError:
+    except (Py4JJavaError, PySparkException):  # PySpark converts IllegalArgumentException
         return "INVALID_PARAMETER_VALUE.PATTERN"
     return None
 
