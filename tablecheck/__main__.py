@@ -57,7 +57,8 @@ def _run(args) -> int:
         if not args.run_id:
             print("--results needs --run-id", file=sys.stderr)
             return 2
-        write_results(results, args.results, args.run_id)
+        # the interval start is the run's logical time: a retry lands in the same partition
+        write_results(results, args.results, args.run_id, run_ts=interval[0] if interval else None)
         results = spark.read.parquet(args.results).filter(f"run_id = '{args.run_id}'")
     rows = results.orderBy("table_name", "validation_type").collect()  # one row per table and family
     gates = run.suite.gate.collect() + run.file_gate.collect()

@@ -108,7 +108,11 @@ def results_trend(history: DataFrame, run_col: str = "run_ts", retention_days: i
     if retention_days is not None:
         # scalar subquery: planned once, its value is a literal in the filter
         newest = h.select(F.max(run_col)).scalar()
-        h = h.filter(F.col(run_col) >= newest - F.make_dt_interval(F.lit(retention_days)))
+        keep = F.col(run_col) >= newest - F.make_dt_interval(F.lit(retention_days))
+        if "run_date" in h.columns:
+            # a date-partitioned results table: prune the dates out of the window
+            keep = (F.col("run_date") >= F.date_sub(F.to_date(newest), retention_days + 1)) & keep
+        h = h.filter(keep)
     w = Window.partitionBy("table_name", "validation_type").orderBy(run_col)
     prev = F.lag("violation_percentage").over(w)
     return (h.select(run_col, "table_name", "validation_type", "total_rows", "total_violations",

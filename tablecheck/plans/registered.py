@@ -870,7 +870,7 @@ def results_sink(spark, sf_dir):
     results = _all_results(spark, sf_dir)
     SK.write_results(results, path, "run-1")
     SK.write_results(results, path, "run-1")  # a retried run replaces its partition
-    return SK.read_results(spark, path, "run-1").drop("run_id", "run_ts")
+    return SK.read_results(spark, path, "run-1").drop("run_id", "run_ts", "run_date")
 
 
 SYNTH_AS_OF = "2024-02-01 00:00:00"

@@ -137,3 +137,18 @@ def test_validation_details_map(spark):
                                "violations bigint")
     d = R.validation_details(rr).first()
     assert d["rules_validated"] == ["a", "b"] and d["violations"] == {"b": 4}
+
+
+def test_results_sink_partitions_and_trend_pruning(spark, tmp_path):
+    from tablecheck.sources.sinks import read_results, write_results
+    path = str(tmp_path / "results")
+    res = _results(spark)
+    for run_id, ts in (("h1", "2024-01-01 10:00:00"), ("h2", "2024-03-01 10:00:00"), ("h3", "2024-03-02 10:00:00")):
+        write_results(res, path, run_id, run_ts=ts)
+    write_results(res, path, "h3", run_ts="2024-03-02 10:00:00")  # a retry replaces its partition
+    hist = read_results(spark, path)
+    assert hist.count() == 9
+    trend = R.results_trend(hist, "run_ts", retention_days=10)
+    plan = trend._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan
+    assert {r["run_ts"].strftime("%m-%d") for r in trend.collect()} == {"03-01", "03-02"}
