@@ -197,3 +197,20 @@ def test_per_rule_sample_strategies_agree(spark):
     b = failed_records_sample_per_rule(df, rules, keys, 4, strategy="per_rule")
     rows = lambda d: sorted(tuple(r) for r in d.select("validation_type", "rule_name", *keys, "rank").collect())
     assert rows(a) == rows(b) and len(rows(a)) > 0
+
+
+def test_windowed_validation_aggregates_before_the_shuffle(spark):
+    from tablecheck.plans.windows import windowed_validation
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    # a hot hour: a third of all rows moved into one window
+    hot = ev.withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-10 10:30:00")
+                                     .cast("timestamp_ntz")).otherwise(F.col("ts")))
+    tr = TableRules("events", (in_range("value", 1, 200), not_null("event_id")))
+    out = windowed_validation(hot, tr, "ts")
+    plan = _plan(out)
+    lines = plan.split("\n")
+    ex = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
+    assert any("partial_count" in l for l in lines[ex:])  # partial aggregate below the exchange
+    n = out.filter("window_start = TIMESTAMP_NTZ '2024-01-10 10:00:00' AND validation_type = 'range'") \
+        .first()["total_rows"]
+    assert n >= ev.count() // 3
