@@ -21,7 +21,7 @@ import fnmatch
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_COLUMNS = ["file_path", "file_name", "file_size", "line", "value"]
+FILE_COLUMNS = ["file_path", "file_name", "file_size", "value"]
 
 
 def _fs(spark: SparkSession, path: str):
@@ -91,31 +91,29 @@ def file_manifest(spark: SparkSession, directory: str, glob: str = "*.json") ->
 
 def scan_json_files(spark: SparkSession, directory: str, glob: str = "*.json", mode: str = "document",
                     include_empty: bool = True) -> DataFrame:
-    """Documents of a directory: ``file_path, file_name, file_size, line, value``.
+    """Documents of a directory: ``file_path, file_name, file_size, value``.
 
-    ``line`` is NULL in document mode.  Zero-length files appear with a NULL
-    ``value`` when ``include_empty``.
+    Zero-length files appear with a NULL ``value`` when ``include_empty``
+    (document mode).  In lines mode a document is identified by its content
+    (the text source exposes no line numbers), blank lines are skipped.
     """
     reader = spark.read.option("pathGlobFilter", glob)
     if mode == "document":
         df = reader.option("wholetext", True).text(directory)
-        line = F.lit(None).cast("bigint")
     elif mode == "lines":
         df = reader.text(directory)
-        line = F.lit(None).cast("bigint")
     else:
         raise ValueError("mode must be 'document' or 'lines'")
     out = df.select(F.col("_metadata.file_path").alias("file_path"),
                     F.col("_metadata.file_name").alias("file_name"),
-                    F.col("_metadata.file_size").alias("file_size"),
-                    line.alias("line"), F.col("value"))
+                    F.col("_metadata.file_size").alias("file_size"), F.col("value"))
     if mode == "lines":
         out = out.filter(F.length(F.trim("value")) > 0)
     if include_empty and mode == "document":
         empties = _zero_length_files(spark, directory, glob)
         if empties:
-            e = spark.createDataFrame([(p, n, 0, None, None) for p, n in empties],
-                                      "file_path string, file_name string, file_size bigint, line bigint, value string")
+            e = spark.createDataFrame([(p, n, 0, None) for p, n in empties],
+                                      "file_path string, file_name string, file_size bigint, value string")
             out = out.unionByName(e)
     return out
 
