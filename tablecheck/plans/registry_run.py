@@ -15,7 +15,7 @@ summaries and trends apply to both kinds.  File checks use
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Mapping
+from typing import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +48,7 @@ def file_results_as_validation(df: DataFrame) -> DataFrame:
 def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str, str],
                  interval: tuple[str, str] | None = None, mode: str = "loose",
                  metadata_frames: Mapping[str, DataFrame] | None = None,
-                 prepare: Mapping[str, callable] | None = None) -> RegistryRun:
+                 prepare: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None) -> RegistryRun:
     """Run the registry against ``locations[table_name]`` (table names or paths)."""
     metadata_frames = metadata_frames or {}
     pairs, slices = [], dict(prepare or {})
