@@ -8,7 +8,7 @@ checks.  Every result is an ordinary DataFrame.
 
 from .operators.gate import TableSpec, evaluate_gates
 from .operators.validate import (FusedCheck, RuleError, Validator, compile_rules, rollup_rule_results,
-                                 verdict)
+                                 rule_counts, validations, verdict)
 from .plans.registry import EXAMPLE_REGISTRY, Registry
 from .plans.registry_run import annotate_results, run_registry
 from .plans.run import run_suite, validate_many
@@ -20,6 +20,7 @@ __all__ = [
     "CROSS_COLUMN", "DEFAULT_THRESHOLD", "NOT_NULL", "RANGE", "REGEX", "Rule", "TableRules",
     "expression", "in_range", "matches", "not_null", "rules_from_block",
     "FusedCheck", "RuleError", "Validator", "compile_rules", "rollup_rule_results", "verdict",
+    "validations", "rule_counts",
     "TableSpec", "evaluate_gates", "run_suite", "validate_many", "run_registry", "annotate_results",
     "Registry", "EXAMPLE_REGISTRY", "windowed_validation",
 ]

@@ -26,7 +26,7 @@ Result schemas (fixed, everything else composes on them):
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Iterable, Mapping, Sequence
+from typing import Callable, Iterable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -420,3 +420,14 @@ class Validator:
 
     def validate_cross_column(self, df: DataFrame, rules: Sequence[Mapping], table_name: str) -> DataFrame:
         return self._one(df, table_name, {CROSS_COLUMN: list(rules)})
+
+
+def validations(table_rules: TableRules, threshold: float | None = None,
+                on_error: str = "fail") -> Callable[[DataFrame], DataFrame]:
+    """For ``DataFrame.transform``: ``df.transform(validations(rules))``."""
+    return lambda df: FusedCheck(df, table_rules, on_error).validation_results(threshold)
+
+
+def rule_counts(table_rules: TableRules, on_error: str = "fail") -> Callable[[DataFrame], DataFrame]:
+    """For ``DataFrame.transform``: ``df.transform(rule_counts(rules))``."""
+    return lambda df: FusedCheck(df, table_rules, on_error).rule_results()

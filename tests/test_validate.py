@@ -214,3 +214,11 @@ def test_windowed_validation_aggregates_before_the_shuffle(spark):
     n = out.filter("window_start = TIMESTAMP_NTZ '2024-01-10 10:00:00' AND validation_type = 'range'") \
         .first()["total_rows"]
     assert n >= ev.count() // 3
+
+
+def test_transform_helpers(spark):
+    from tablecheck import rule_counts, validations
+    df = lineitem_with_nulls(spark, SF_SMALL)
+    tr = LINEITEM.table_rules()
+    assert sorted(df.transform(validations(tr)).collect()) == sorted(FusedCheck(df, tr).validation_results().collect())
+    assert df.transform(rule_counts(tr)).count() == len(tr.rules)
