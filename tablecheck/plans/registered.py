@@ -812,6 +812,18 @@ def json_dir_required_keys(spark, sf_dir):
     return FC.required_keys_check(_event_docs(spark, sf_dir), "value", EVENT_DOC_KEYS, "event_logs")
 
 
+@register("stream_json_required_keys",
+          "SELECT 'event_logs' AS table_name, 'required_keys' AS check_name, total_files, violations, "
+          f"{_duck_rate('total_files', 'violations', 0.10)}, CAST(0 AS BIGINT) AS batch_id "
+          "FROM (SELECT count(*) AS total_files, CAST(count_if(event_type = 'error') AS BIGINT) AS violations "
+          "FROM events)")
+def stream_json_required_keys(spark, sf_dir):
+    """The event documents checked by a file stream: each file is seen once."""
+    from ..streaming.documents import stream_required_keys
+    return stream_required_keys(spark, _event_json_dir(spark, sf_dir), {"required_keys": EVENT_DOC_KEYS},
+                                "event_logs", mode="lines")
+
+
 PAGE_DOC_KEYS = ["page_id", "url", "n_bytes"]
 
 

@@ -88,3 +88,23 @@ def test_directory_status_without_jvm(spark, tmp_path):
         f = FS.directory_status(spark, os.path.join(d, "a.json")).first()
         assert f["exists"] and f["is_directory"] is False
         assert FS.directory_status(spark, d + "/missing").first()["exists"] is False
+
+
+def test_streaming_document_checks_see_each_file_once(spark, tmp_path):
+    from pyspark.sql import functions as F2
+    from tablecheck.operators.report import cumulative_results
+    from tablecheck.streaming.documents import stream_required_keys
+    d = str(tmp_path / "incoming")
+    os.makedirs(d)
+    _write(d, "a.json", '{"event_id": 1, "k": 1}')
+    _write(d, "b.json", '{"event_id": 2}')
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    first = stream_required_keys(spark, d, {"keys": ["event_id", "k"]}, "logs", results_path=out, checkpoint=ckpt)
+    assert [(r["total_files"], r["violations"]) for r in first.collect()] == [(2, 1)]
+    _write(d, "c.json", "{broken")           # the next hour's file
+    res = stream_required_keys(spark, d, {"keys": ["event_id", "k"]}, "logs", results_path=out, checkpoint=ckpt)
+    assert sorted((r["batch_id"], r["total_files"], r["violations"]) for r in res.collect()) == [(0, 2, 1), (1, 1, 1)]
+    history = res.withColumn("rules_configured", F2.lit(1)).withColumnRenamed("check_name", "validation_type") \
+        .withColumnRenamed("total_files", "total_rows").withColumnRenamed("violations", "total_violations")
+    c = cumulative_results(history).first()
+    assert (c["total_rows"], c["total_violations"]) == (3, 2)
