@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.files import required_keys_checks
 from ..session import scratch_path
+from .hourly import read_batches, write_batch
 
 
 def stream_required_keys(spark: SparkSession, directory: str, key_sets: Mapping[str, Sequence[str]],
@@ -45,13 +46,11 @@ def stream_required_keys(spark: SparkSession, directory: str, key_sets: Mapping[
         docs = docs.filter(F.length(F.trim("value")) > 0)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        res = required_keys_checks(batch, "value", key_sets, table_name, threshold)
-        (res.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(results_path))
+        write_batch(required_keys_checks(batch, "value", key_sets, table_name, threshold), results_path, batch_id)
 
     w = docs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(results_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return read_batches(spark, results_path)

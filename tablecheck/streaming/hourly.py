@@ -32,6 +32,18 @@ from ..session import scratch_path
 EVENT_TIME = "_event_time"
 
 
+def write_batch(results: DataFrame, path: str, batch_id: int) -> None:
+    """Write one micro-batch's results under ``batch_id``; a replayed batch
+    overwrites its own partition only (idempotent sink)."""
+    (results.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Results written by ``write_batch`` (``batch_id`` back as bigint)."""
+    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
 def file_stream(spark: SparkSession, directory: str, schema: T.StructType, glob: str | None = None,
                 fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.format(fmt).schema(schema)
@@ -111,14 +123,11 @@ def stream_batch_suite(spark: SparkSession, directory: str, schema: T.StructType
         src = prepare(src)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        res = FusedCheck(batch, table_rules).validation_results().withColumn("batch_id", F.lit(batch_id))
-        (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(results_path))
+        write_batch(FusedCheck(batch, table_rules).validation_results(), results_path, batch_id)
 
     q = (src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    # partition discovery reads batch_id back as int; batch ids are longs
-    return spark.read.parquet(results_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return read_batches(spark, results_path)
