@@ -4,6 +4,7 @@
                               [--num-users N] [--num-logs N] [--start-time TS] [--end-time TS]
     python -m tablecheck run --registry FILE --location NAME=PATH [--location ...]
                              [--interval START END] [--threshold T] [--results DIR --run-id ID]
+                             [--state DIR]
     python -m tablecheck report --results DIR [--registry FILE] [--retention-days N] [--cumulative]
 
 ``run`` prints one line per validation and exits with status 1 when any
@@ -51,7 +52,7 @@ def _run(args) -> int:
     if interval is None and os.environ.get("DATA_INTERVAL_START") and os.environ.get("DATA_INTERVAL_END"):
         interval = (os.environ["DATA_INTERVAL_START"], os.environ["DATA_INTERVAL_END"])
     spark = _session()
-    run = run_registry(spark, registry, locations, interval)
+    run = run_registry(spark, registry, locations, interval, state_dir=args.state)
     results = run.validation_results
     if args.results:
         if not args.run_id:
@@ -122,6 +123,7 @@ def main(argv=None) -> int:
     r.add_argument("--threshold", type=float)
     r.add_argument("--results")
     r.add_argument("--run-id")
+    r.add_argument("--state", help="folder for file-stream state: incremental JSON sets check new files only")
     rp = sub.add_parser("report", help="summaries and run-over-run trend of stored results")
     rp.add_argument("--results", required=True)
     rp.add_argument("--registry")

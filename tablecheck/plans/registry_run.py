@@ -48,8 +48,14 @@ def file_results_as_validation(df: DataFrame) -> DataFrame:
 def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str, str],
                  interval: tuple[str, str] | None = None, mode: str = "loose",
                  metadata_frames: Mapping[str, DataFrame] | None = None,
-                 prepare: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None) -> RegistryRun:
-    """Run the registry against ``locations[table_name]`` (table names or paths)."""
+                 prepare: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
+                 state_dir: str | None = None) -> RegistryRun:
+    """Run the registry against ``locations[table_name]`` (table names or paths).
+
+    With ``state_dir``, JSON sets marked ``incremental`` are checked as a file
+    stream: this run covers only the files that arrived since the previous
+    run with the same ``state_dir``.
+    """
     metadata_frames = metadata_frames or {}
     pairs, slices = [], dict(prepare or {})
     for name in registry.get_structured_tables():
@@ -87,6 +93,12 @@ def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str
             layout = conf.get("layout", "document")
             docs = FS.scan_json_files(spark, path, conf.get("glob", "*.json"), mode=layout)
             keys = v.get("metadata_keys", {}).get("required", [])
+            if state_dir and tr.incremental:
+                from ..streaming.documents import check_new_documents
+                file_frames.append(check_new_documents(spark, path, {"required_keys": keys}, name,
+                                                       f"{state_dir}/{name}", conf.get("glob", "*.json"),
+                                                       layout, tr.threshold))
+                continue
             file_frames.append(FC.required_keys_check(docs, "value", keys, name, "required_keys", tr.threshold))
             if (lo is not None or hi is not None) and layout == "document":
                 # document layout: one row per file (zero-length files included)

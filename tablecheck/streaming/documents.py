@@ -54,3 +54,34 @@ def stream_required_keys(spark: SparkSession, directory: str, key_sets: Mapping[
     if q.exception() is not None:
         raise q.exception()
     return read_batches(spark, results_path)
+
+
+def check_new_documents(spark: SparkSession, directory: str, key_sets: Mapping[str, Sequence[str]],
+                        table_name: str, state_dir: str, glob: str = "*.json", mode: str = "document",
+                        threshold: float = 0.10) -> DataFrame:
+    """Checks over the files that arrived since the previous call with the same
+    ``state_dir`` (one row per key set; zero files when nothing arrived).
+
+    The stream's checkpoint and per-batch results live under ``state_dir``;
+    the batches this call commits are summed into one verdict.
+    """
+    from ..operators.files import _verdict
+    from ..operators.joins import join_small
+
+    results_path, checkpoint = f"{state_dir}/results", f"{state_dir}/checkpoint"
+    try:
+        before = spark.read.parquet(results_path).agg(F.max("batch_id")).first()[0]
+    except Exception:  # noqa: BLE001 - first run: no results yet
+        before = None
+    res = stream_required_keys(spark, directory, key_sets, table_name, glob, mode, threshold,
+                               results_path, checkpoint)
+    new = res if before is None else res.filter(F.col("batch_id") > F.lit(before))
+    names = spark.createDataFrame([(n,) for n in key_sets], "check_name string")
+    sums = (new.groupBy("check_name").agg(F.sum("total_files").cast("bigint").alias("total_files"),
+                                          F.sum("violations").cast("bigint").alias("violations")))
+    # one row per configured key set on both sides: a size-checked broadcast
+    rows = join_small(names, sums, "check_name", "left", rows=len(key_sets)).select(
+        "check_name", F.coalesce("total_files", F.lit(0)).cast("bigint").alias("total_files"),
+        F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+    return rows.select(F.lit(table_name).alias("table_name"), "check_name", "total_files", "violations",
+                       *_verdict(F.col("total_files"), F.col("violations"), threshold))
