@@ -206,15 +206,38 @@ class FusedCheck:
         self.on_error = on_error
         self.group_by = list(group_by)
         self.compiled = compile_rules(df, table_rules.rules, on_error)
-        evaluated = [i for i, c in enumerate(self.compiled) if c.violation is not None]
-        size = max(1, max_rules_per_aggregate)
-        groups = [evaluated[k:k + size] for k in range(0, len(evaluated), size)] or [[]]
-        # Each chunk: (rule indices, lazy aggregate).  Grouped form (e.g. one
-        # group per hourly window): the partial aggregate is map-side, so a hot
-        # group costs one row per task.
-        self.chunks: list[tuple[list[int], DataFrame]] = [(idx, self._aggregate(idx)) for idx in groups]
+        self._size = max(1, max_rules_per_aggregate)
+        try:
+            self.chunks = self._build_chunks()
+        except (AnalysisException, PySparkException):
+            # a predicate that cannot sit inside an aggregate (an aggregate or
+            # window expression): find it rule by rule, then build again
+            self._isolate_unaggregatable()
+            self.chunks = self._build_chunks()
         self.group_names = self.chunks[0][1].columns[:len(self.group_by)]
 
+    def _build_chunks(self) -> list[tuple[list[int], DataFrame]]:
+        """(rule indices, lazy aggregate) per chunk.  Grouped form (e.g. one
+        group per hourly window): the partial aggregate is map-side, so a hot
+        group costs one row per task."""
+        evaluated = [i for i, c in enumerate(self.compiled) if c.violation is not None]
+        groups = [evaluated[k:k + self._size] for k in range(0, len(evaluated), self._size)] or [[]]
+        return [(idx, self._aggregate(idx)) for idx in groups]
+
+    def _isolate_unaggregatable(self) -> None:
+        """Analyse each rule's aggregate alone (no job); failing rules become
+        errors (``on_error='ignore'``) or raise ``RuleError``."""
+        probe = self.df.groupBy(*self.group_by) if self.group_by else self.df.groupBy()
+        for i, c in enumerate(self.compiled):
+            if c.violation is None:
+                continue
+            try:
+                probe.agg(F.count_if(c.violation)).schema
+            except (AnalysisException, PySparkException) as e:
+                if self.on_error == "fail":
+                    raise RuleError(f"rule {c.rule.rule_name!r}: {_error_code(e)}") from e
+                self.compiled[i] = CompiledRule(c.rule, None, "error", _error_code(e))
+
     def _aggregate(self, idx: list[int]) -> DataFrame:
         aggs = [F.count(F.lit(1)).alias("total_rows")]
         aggs += [F.count_if(self.compiled[i].violation).alias(f"_v{i}") for i in idx]

@@ -143,3 +143,13 @@ def test_invalid_regex_is_a_rule_error(spark):
     assert statuses == [("error", "INVALID_PARAMETER_VALUE.PATTERN"), ("violated", None)]
     with pytest.raises(RuleError):
         FusedCheck(df, tr, "fail")
+
+
+def test_aggregate_and_window_expressions_are_rule_errors(spark):
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    tr = TableRules("t", (expression("agg", "sum(x) > 0"), expression("ok", "x < 2"), in_range("x", 0, 1)))
+    rows = {r["rule_name"]: r for r in FusedCheck(df, tr, "ignore").rule_results().collect()}
+    assert rows["agg"]["status"] == "error" and rows["agg"]["error"] == "NESTED_AGGREGATE_FUNCTION"
+    assert rows["ok"]["violations"] == 1 and rows["x"]["violations"] == 1
+    with pytest.raises(RuleError):
+        FusedCheck(df, tr, "fail")
