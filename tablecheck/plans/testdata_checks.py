@@ -1,7 +1,7 @@
 """Rule suites over the provided test tables, and the registered queries.
 
 Each suite pairs a Spark rule with the same check written in DuckDB SQL, so
-the oracle (``tablecheck.plans.oracles``) evaluates it independently.  The test
+the oracle (``tablecheck.plans.oracle_sql``) evaluates it independently.  The test
 tables hold no NULLs, so some suites inject them with ``nullif`` in a derived
 view of the table.
 
