@@ -122,11 +122,13 @@ def _check_pattern(df: DataFrame, pattern: str) -> str | None:
     return None
 
 
-def compile_rule(df: DataFrame, rule: Rule, on_error: str = "fail") -> CompiledRule:
+def compile_rule(df: DataFrame, rule: Rule, on_error: str = "fail",
+                 fields: Mapping[str, T.DataType] | None = None) -> CompiledRule:
     """Rule -> violation column, or a final status when it cannot be evaluated."""
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    fields = {f.name: f.dataType for f in df.schema.fields}
+    if fields is None:
+        fields = {f.name: f.dataType for f in df.schema.fields}
     vt = rule.validation_type
     if vt in (NOT_NULL, RANGE, REGEX):
         if rule.column not in fields:
@@ -165,16 +167,17 @@ def compile_rules(df: DataFrame, rules: Iterable[Rule], on_error: str = "fail")
     """Compile all rules; cross-column expressions are analysed together in
     one pass, and one by one only when that pass fails."""
     rules = list(rules)
+    fields = {f.name: f.dataType for f in df.schema.fields}  # once, not per rule
     exprs = [r.expression for r in rules if r.validation_type == CROSS_COLUMN and r.expression]
     if exprs:
         try:
             types = df.select(*[F.expr(e).alias(f"_e{i}") for i, e in enumerate(exprs)]).schema
             if all(isinstance(f.dataType, (T.BooleanType, T.NullType)) for f in types.fields):
                 return [_compile_checked(df, r) if r.validation_type == CROSS_COLUMN and r.expression
-                        else compile_rule(df, r, on_error) for r in rules]
+                        else compile_rule(df, r, on_error, fields) for r in rules]
         except (AnalysisException, PySparkException):
             pass
-    return [compile_rule(df, r, on_error) for r in rules]
+    return [compile_rule(df, r, on_error, fields) for r in rules]
 
 
 def _compile_checked(df: DataFrame, rule: Rule) -> CompiledRule:
