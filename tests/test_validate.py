@@ -222,3 +222,15 @@ def test_transform_helpers(spark):
     tr = LINEITEM.table_rules()
     assert sorted(df.transform(validations(tr)).collect()) == sorted(FusedCheck(df, tr).validation_results().collect())
     assert df.transform(rule_counts(tr)).count() == len(tr.rules)
+
+
+def test_windowed_rule_results_sum_to_whole_table(spark):
+    from tablecheck.plans.windows import windowed_rule_results
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    tr = TableRules("events", (in_range("value", 1, 200), not_null("event_id"),
+                               expression("e", "event_type <> 'error' OR value < 100")))
+    per_window = windowed_rule_results(ev, tr, "ts", "6 hours")
+    sums = {r["rule_name"]: r["v"] for r in
+            per_window.groupBy("rule_name").agg(F.sum("violations").alias("v")).collect()}
+    whole = {r["rule_name"]: r["violations"] for r in FusedCheck(ev, tr).rule_results().collect()}
+    assert sums == whole and "window_start" in per_window.columns
