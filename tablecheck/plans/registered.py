@@ -17,7 +17,7 @@ from ..operators import files as FC
 from ..operators import report as R
 from ..operators import schema as S
 from ..operators import tags as TG
-from ..operators.gate import TableSpec, stop_decision
+from ..operators.gate import TableSpec, _map_threads, stop_decision
 from ..operators.validate import FusedCheck, rollup_rule_results
 from ..rules import expression, in_range
 from ..session import scratch_path
@@ -161,8 +161,10 @@ def suite_results(spark, sf_dir):
 
 
 def _all_suites(spark, sf_dir):
-    """(rule results, validation results) of every suite, planned on driver threads."""
-    return validate_many([(suite_frame(spark, sf_dir, s), s.table_rules()) for s in ALL_SUITES])
+    """(rule results, validation results) of every suite; tables are resolved
+    and checks planned on driver threads."""
+    frames = _map_threads(lambda s: suite_frame(spark, sf_dir, s), ALL_SUITES, 8)
+    return validate_many([(f, s.table_rules()) for f, s in zip(frames, ALL_SUITES)])
 
 
 @register("multi_table_suite", O.validation_results_sql(list(ALL_SUITES)))
