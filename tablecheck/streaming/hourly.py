@@ -79,15 +79,18 @@ def windowed_stream(df: DataFrame, table_rules: TableRules, timestamp_column: st
 
 def run_to_table(stream: DataFrame, output_path: str, checkpoint: str, output_mode: str = "complete",
                  available_now: bool = True) -> None:
-    """Drive a streaming result into a Parquet table.
+    """Drive a streaming result into a Parquet table, idempotently.
 
-    complete: each batch holds the whole result, written with overwrite;
-    update/append: batches are appended.  Blocks until the available input is
-    processed (``availableNow``).
+    complete: each batch holds the whole result and overwrites the table;
+    update/append: each batch goes to its own ``batch_id`` partition (a batch
+    replayed after a failure replaces itself instead of adding duplicates).
+    Blocks until the available input is processed (``availableNow``).
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        mode = "overwrite" if output_mode == "complete" else "append"
-        batch.write.mode(mode).parquet(output_path)
+        if output_mode == "complete":
+            batch.write.mode("overwrite").parquet(output_path)
+        else:
+            write_batch(batch, output_path, batch_id)
 
     w = (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
          .foreachBatch(sink))
@@ -98,6 +101,14 @@ def run_to_table(stream: DataFrame, output_path: str, checkpoint: str, output_mo
         raise q.exception()
 
 
+def latest_windows(batches: DataFrame, keys=("window_start", "table_name", "validation_type")) -> DataFrame:
+    """The newest version of every window from per-batch update-mode output
+    (one group per window: bounded by the number of windows)."""
+    cols = [c for c in batches.columns if c != "batch_id"]
+    newest = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("batch_id")).alias("_row")
+    return batches.groupBy(*keys).agg(newest).select("_row.*")
+
+
 def stream_windowed_validation(spark: SparkSession, directory: str, schema: T.StructType, table_rules: TableRules,
                                timestamp_column: str, glob: str | None = None, duration: str = "1 hour",
                                watermark: str = "1 hour", output_mode: str = "complete",
@@ -108,7 +119,12 @@ def stream_windowed_validation(spark: SparkSession, directory: str, schema: T.St
     src = file_stream(spark, directory, schema, glob)
     run_to_table(windowed_stream(src, table_rules, timestamp_column, duration, watermark), output_path,
                  checkpoint, output_mode)
-    return spark.read.parquet(output_path)
+    if output_mode == "complete":
+        return spark.read.parquet(output_path)
+    batches = read_batches(spark, output_path)
+    if output_mode == "update":
+        return latest_windows(batches)
+    return batches.drop("batch_id")
 
 
 def stream_batch_suite(spark: SparkSession, directory: str, schema: T.StructType, table_rules: TableRules,

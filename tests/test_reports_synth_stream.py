@@ -152,3 +152,16 @@ def test_results_sink_partitions_and_trend_pruning(spark, tmp_path):
     plan = trend._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_date" in plan
     assert {r["run_ts"].strftime("%m-%d") for r in trend.collect()} == {"03-01", "03-02"}
+
+
+def test_update_mode_keeps_the_latest_window_versions(spark, tmp_path):
+    from tablecheck.plans.testdata_checks import EVENTS
+    from tablecheck.plans.windows import windowed_validation
+    from tablecheck.streaming.hourly import stream_windowed_validation
+    src = str(tmp_path / "ev")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev.repartition(3).write.parquet(src)
+    upd = stream_windowed_validation(spark, src, ev.schema, EVENTS.table_rules(), "ts", output_mode="update",
+                                     output_path=str(tmp_path / "o"), checkpoint=str(tmp_path / "c"))
+    batch = windowed_validation(ev, EVENTS.table_rules(), "ts")
+    assert upd.exceptAll(batch).count() == 0 and batch.exceptAll(upd).count() == 0
