@@ -12,13 +12,11 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     from tablecheck.session import local_test_session
-    from pyspark.sql import SparkSession
 
     ckpt = str(tmp_path_factory.mktemp("ckpt"))
     s = local_test_session("tablecheck-tests", cores="*", **{"spark.checkpoint.dir": ckpt})
     yield s
     s.stop()
-    SparkSession.builder  # noqa: B018 - keep import used
 
 
 @pytest.fixture(scope="session")
