@@ -6,6 +6,9 @@ row-count and file checks feed a gate that decides which tables get data
 checks.  Every result is an ordinary DataFrame.
 """
 
+__version__ = "0.1.0"
+
+from .checks import FileChecks, MetadataChecks
 from .operators.gate import TableSpec, evaluate_gates
 from .operators.validate import (FusedCheck, RuleError, Validator, compile_rules, rollup_rule_results,
                                  rule_counts, validations, verdict)
@@ -22,5 +25,5 @@ __all__ = [
     "FusedCheck", "RuleError", "Validator", "compile_rules", "rollup_rule_results", "verdict",
     "validations", "rule_counts",
     "TableSpec", "evaluate_gates", "run_suite", "validate_many", "run_registry", "annotate_results",
-    "Registry", "EXAMPLE_REGISTRY", "windowed_validation",
+    "Registry", "EXAMPLE_REGISTRY", "windowed_validation", "MetadataChecks", "FileChecks",
 ]
