@@ -63,9 +63,9 @@ def table_schema(spark: SparkSession, source: str, table_name: str | None = None
 
 
 def _canonical(type_string: str) -> str | None:
+    """Spark's simple string of a declared DDL type (``long`` -> ``bigint``)."""
     try:
-        from pyspark.sql.types import _parse_datatype_string
-        return _parse_datatype_string(type_string).simpleString()
+        return T.DataType.fromDDL(type_string).simpleString()
     except Exception:  # noqa: BLE001 - undeclarable type: never equal
         return None
 
