@@ -253,6 +253,13 @@ class FusedCheck:
             raise ValueError("a chunked check has one aggregate per chunk; see chunks")
         return self.chunks[0][1]
 
+    def cache(self) -> "FusedCheck":
+        """Cache the aggregate rows (k+1 counters per group), so that acting on
+        both ``rule_results()`` and ``validation_results()`` scans the table
+        once.  Lazy; a lost cached block is recomputed from lineage."""
+        self.chunks = [(idx, agg.cache()) for idx, agg in self.chunks]
+        return self
+
     def materialize(self) -> "FusedCheck":
         """Run the aggregation now and keep its one-row result locally.
 

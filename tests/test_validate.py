@@ -234,3 +234,13 @@ def test_windowed_rule_results_sum_to_whole_table(spark):
             per_window.groupBy("rule_name").agg(F.sum("violations").alias("v")).collect()}
     whole = {r["rule_name"]: r["violations"] for r in FusedCheck(ev, tr).rule_results().collect()}
     assert sums == whole and "window_start" in per_window.columns
+
+
+def test_cached_counts_serve_both_results(spark):
+    df = lineitem_with_nulls(spark, SF_SMALL)
+    chk = FusedCheck(df, LINEITEM.table_rules()).cache()
+    assert len(chk.rule_results().collect()) == len(LINEITEM.checks)
+    plan = _plan(chk.validation_results())
+    assert "InMemoryTableScan" in plan and "FileScan" not in plan.split("InMemoryRelation")[0]
+    for _, agg in chk.chunks:
+        agg.unpersist()
