@@ -26,6 +26,17 @@ RECOMMENDED_CONF = {
 }
 
 
+def configure(builder: "SparkSession.Builder", registry_settings=None, **extra: str) -> "SparkSession.Builder":
+    """Apply the recommended settings, a registry's ``spark_config`` and
+    ``extra`` (dots as ``__``, e.g. ``spark__sql__shuffle__partitions="400"``)
+    to a builder; the caller still creates and owns the session."""
+    conf = {**RECOMMENDED_CONF, **dict(registry_settings or {}),
+            **{k.replace("__", "."): str(v) for k, v in extra.items()}}
+    for k, v in conf.items():
+        builder = builder.config(k, v)
+    return builder
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 

@@ -50,3 +50,14 @@ def test_example_registry_with_name_only_schema(spark, tmp_path):
     # expected pooled rates at 5 % faults are small: not-null ~0.3 %, range ~1.25 %
     assert res[("transactions", "range")]["violation_percentage"] < 0.05
     assert run.validation_results.filter(F.col("total_rows") != 1000).filter("table_name='transactions'").count() == 0
+
+
+def test_configure_builder_applies_settings():
+    from pyspark.sql import SparkSession
+    from tablecheck.session import configure
+    b = configure(SparkSession.Builder(), Registry(EXAMPLE_REGISTRY).spark_config(),
+                  spark__sql__shuffle__partitions="400")
+    opts = b._options
+    assert opts["spark.sql.shuffle.partitions"] == "400"
+    assert opts["spark.sql.parquet.columnarReaderBatchSize"] == "4096"
+    assert opts["spark.sql.adaptive.enabled"] == "true"
