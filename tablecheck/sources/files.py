@@ -9,14 +9,14 @@ Two layouts of JSON documents are read:
 
 DataFrame file sources skip zero-length files, while a per-file check must
 count an empty file as an invalid document.  ``scan_json_files`` therefore
-adds the zero-length entries of the directory listing (a Hadoop
-``FileSystem`` listing, the same metadata Spark's file index holds) as rows
-with a NULL value.  Hidden names (``_x``, ``.x``) are excluded, as Spark does.
+adds them as rows with a NULL value: the file index's own listing minus the
+files that have content (``zero_length_files``), a distributed anti join with
+no per-file driver work.  Hidden names (``_x``, ``.x``) are excluded, as Spark
+does.
 """
 
 from __future__ import annotations
 
-import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,22 +58,25 @@ def directory_status(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(path, exists, is_dir)], "path string, exists boolean, is_directory boolean")
 
 
-def _zero_length_files(spark: SparkSession, directory: str, glob: str) -> list[tuple[str, str]]:
-    """Zero-length files of a directory (none without a JVM: Spark Connect)."""
-    handle = _fs(spark, directory)
-    if handle is None:
-        return []
-    fs, p = handle
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() or name.startswith((".", "_")) or not fnmatch.fnmatchcase(name, glob):
-            continue
-        if st.getLen() == 0:
-            out.append((st.getPath().toString(), name))
-    return out
+def _norm_path(c):
+    """``file:///x`` and ``file:/x`` name the same file; other schemes are kept."""
+    return F.regexp_replace(c, r"^file:(//)?(?=/)", "file:")
+
+
+def zero_length_files(spark: SparkSession, directory: str, glob: str = "*.json") -> DataFrame:
+    """``(file_path, file_name)`` of the zero-length ``glob`` files of a directory.
+
+    File scans skip empty files, but the file index lists them: its listing
+    (``inputFiles()``, one call) minus the ``binaryFile`` listing (content
+    pruned, so no file is opened) leaves the empty ones.  The difference is a
+    distributed anti join; nothing is done per file on the driver.
+    """
+    listed = spark.read.option("pathGlobFilter", glob).format("binaryFile").load(directory)
+    every = spark.createDataFrame([(p,) for p in listed.inputFiles()], "file_path string") \
+        .select(_norm_path(F.col("file_path")).alias("file_path"))
+    non_empty = listed.select(_norm_path(F.col("path")).alias("file_path"))
+    empty = every.join(non_empty, "file_path", "left_anti")
+    return empty.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"))
 
 
 def file_manifest(spark: SparkSession, directory: str, glob: str = "*.json") -> DataFrame:
@@ -104,17 +107,16 @@ def scan_json_files(spark: SparkSession, directory: str, glob: str = "*.json", m
         df = reader.text(directory)
     else:
         raise ValueError("mode must be 'document' or 'lines'")
-    out = df.select(F.col("_metadata.file_path").alias("file_path"),
+    out = df.select(_norm_path(F.col("_metadata.file_path")).alias("file_path"),
                     F.col("_metadata.file_name").alias("file_name"),
                     F.col("_metadata.file_size").alias("file_size"), F.col("value"))
     if mode == "lines":
         out = out.filter(F.length(F.trim("value")) > 0)
     if include_empty and mode == "document":
-        empties = _zero_length_files(spark, directory, glob)
-        if empties:
-            e = spark.createDataFrame([(p, n, 0, None) for p, n in empties],
-                                      "file_path string, file_name string, file_size bigint, value string")
-            out = out.unionByName(e)
+        empties = zero_length_files(spark, directory, glob).select(
+            "file_path", "file_name", F.lit(0).cast("bigint").alias("file_size"),
+            F.lit(None).cast("string").alias("value"))
+        out = out.unionByName(empties)
     return out
 
 
