@@ -108,3 +108,13 @@ def test_streaming_document_checks_see_each_file_once(spark, tmp_path):
         .withColumnRenamed("total_files", "total_rows").withColumnRenamed("violations", "total_violations")
     c = cumulative_results(history).first()
     assert (c["total_rows"], c["total_violations"]) == (3, 2)
+
+
+def test_zero_length_files_by_anti_join(spark, tmp_path):
+    d = str(tmp_path / "z")
+    os.makedirs(d)
+    for name, body in (("a.json", "{}"), ("e1.json", ""), ("e2.json", ""), ("_e3.json", ""), ("x.txt", "")):
+        _write(d, name, body)
+    z = FS.zero_length_files(spark, d, "*.json")
+    assert sorted(r["file_name"] for r in z.collect()) == ["e1.json", "e2.json"]
+    assert "LeftAnti" in z._jdf.queryExecution().executedPlan().toString()
