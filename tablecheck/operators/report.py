@@ -76,7 +76,7 @@ def alert_messages(results: DataFrame) -> DataFrame:
     failed = results.filter(~_passed()).select(
         "table_name", "validation_type", F.lit("alert").alias("kind"),
         F.format_string("DATA QUALITY ALERT: table %s failed %s - violation rate %.2f%% exceeds "
-                        "threshold %.2f%% (%s violations); pipeline stopped for this table",
+                        "threshold %.2f%% (%s violations); downstream loads stopped for this table",
                         F.col("table_name"), F.col("validation_type"),
                         F.col("violation_percentage") * 100.0, F.col("threshold") * 100.0,
                         F.format_number(F.col("total_violations"), 0)).alias("message"))

@@ -555,7 +555,7 @@ def validation_details(spark, sf_dir):
 
 @register("alert_messages",
           "SELECT table_name, validation_type, 'alert' AS kind, printf('DATA QUALITY ALERT: table %s failed %s - "
-          "violation rate %.2f%% exceeds threshold %.2f%% (%s violations); pipeline stopped for this table', "
+          "violation rate %.2f%% exceeds threshold %.2f%% (%s violations); downstream loads stopped for this table', "
           "table_name, validation_type, violation_percentage * 100.0, threshold * 100.0, "
           "format('{:,}', total_violations)) AS message "
           f"FROM ({ALL_VALIDATION_SQL}) WHERE NOT coalesce(passed, false) "
