@@ -64,9 +64,11 @@ def _load(spark: SparkSession, spec: TableSpec):
 
 def evaluate_gates(spark: SparkSession, specs: Sequence[TableSpec],
                    max_workers: int = 8) -> tuple[list[GateState], dict[str, DataFrame]]:
-    """Metadata checks of many tables with one schema-comparison job per
-    (strict, mode) group and one emptiness probe job for all tables that
-    ask for it.  Returns the states and the loaded DataFrames of open tables.
+    """Metadata checks of many tables: name-only expectations are compared on
+    the driver (set differences of metadata), typed ones in one
+    schema-comparison job per (strict, mode) group, and one emptiness probe
+    job covers all tables that ask for it.  Returns the states and the loaded
+    DataFrames of open tables.
 
     Tables are resolved (catalog lookup or footer read) on ``max_workers``
     driver threads: with thousands of tables the latency of these metadata
@@ -79,8 +81,19 @@ def evaluate_gates(spark: SparkSession, specs: Sequence[TableSpec],
     errors: dict[str, list[str]] = {}
     groups: dict[tuple[bool, str], list[TableSpec]] = {}
     for spec in specs:
-        if spec.table_name in frames and spec.expected_schema is not None:
+        if spec.table_name not in frames or spec.expected_schema is None:
+            continue
+        if isinstance(spec.expected_schema, Mapping):
             groups.setdefault((spec.strict, spec.mode), []).append(spec)
+            continue
+        # names only: set differences of metadata, no job (same order as below)
+        actual = set(frames[spec.table_name].columns)
+        expected = set(spec.expected_schema)
+        diffs = [("missing", c) for c in expected - actual]
+        if spec.strict:
+            diffs += [("extra", c) for c in actual - expected]
+        if diffs:
+            errors[spec.table_name] = [f"{k} {c}" for k, c in sorted(diffs)]
     for (strict, mode), group in groups.items():
         actual_rows, expected_rows = [], []
         for spec in group:
