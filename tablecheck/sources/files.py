@@ -71,11 +71,15 @@ def zero_length_files(spark: SparkSession, directory: str, glob: str = "*.json")
     pruned, so no file is opened) leaves the empty ones.  The difference is a
     distributed anti join; nothing is done per file on the driver.
     """
+    from urllib.parse import unquote
+
     listed = spark.read.option("pathGlobFilter", glob).format("binaryFile").load(directory)
-    every = spark.createDataFrame([(p,) for p in listed.inputFiles()], "file_path string") \
-        .select(_norm_path(F.col("file_path")).alias("file_path"))
-    non_empty = listed.select(_norm_path(F.col("path")).alias("file_path"))
-    empty = every.join(non_empty, "file_path", "left_anti")
+    # inputFiles() gives URIs (a space is %20), as _metadata does; the binaryFile
+    # path is decoded.  Match on the decoded form, report the URI form.
+    every = spark.createDataFrame([(p, unquote(p)) for p in listed.inputFiles()], "uri string, decoded string") \
+        .select(_norm_path(F.col("uri")).alias("file_path"), _norm_path(F.col("decoded")).alias("decoded"))
+    non_empty = listed.select(_norm_path(F.col("path")).alias("decoded"))
+    empty = every.join(non_empty, "decoded", "left_anti")
     return empty.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"))
 
 
