@@ -86,6 +86,9 @@ def zero_length_files(spark: SparkSession, directory: str, glob: str = "*.json")
 def file_manifest(spark: SparkSession, directory: str, glob: str = "*.json") -> DataFrame:
     """``(file_path, file_name, file_size, modification_time)`` of non-empty files.
 
+    Paths are ``binaryFile``'s (decoded, ``a b.json``); document scans use the
+    URI form of ``_metadata`` (``a%20b.json``).
+
     ``binaryFile`` without its ``content`` column lists files without reading
     them; Spark parallelises the listing of large directory trees.
     """
@@ -98,7 +101,8 @@ def file_manifest(spark: SparkSession, directory: str, glob: str = "*.json") ->
 
 def scan_json_files(spark: SparkSession, directory: str, glob: str = "*.json", mode: str = "document",
                     include_empty: bool = True) -> DataFrame:
-    """Documents of a directory: ``file_path, file_name, file_size, value``.
+    """Documents of a directory: ``file_path, file_name, file_size, value``
+    (paths and names in the URI form of Spark's ``_metadata`` columns).
 
     Zero-length files appear with a NULL ``value`` when ``include_empty``
     (document mode).  In lines mode a document is identified by its content
