@@ -318,7 +318,7 @@ class FusedCheck:
                 f"'status', {status}, 'error', {sql_literal(c.error)})")
 
     def _groups_sql(self) -> list[str]:
-        return [f"`{g}`" for g in self.group_names]
+        return ["`" + g.replace("`", "``") + "`" for g in self.group_names]
 
     def _chunk_rule_rows(self, agg: DataFrame, idx: list[int]) -> DataFrame:
         structs = ", ".join(self._rule_struct_sql(i) for i in idx)

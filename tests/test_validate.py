@@ -244,3 +244,10 @@ def test_cached_counts_serve_both_results(spark):
     assert "InMemoryTableScan" in plan and "FileScan" not in plan.split("InMemoryRelation")[0]
     for _, agg in chk.chunks:
         agg.unpersist()
+
+
+def test_group_names_with_backticks(spark):
+    df = spark.createDataFrame([(1, 5), (1, 50), (2, 7)], "g int, x int")
+    tr = TableRules("t", (in_range("x", 0, 10),))
+    out = FusedCheck(df, tr, group_by=[F.col("g").alias("we`ird")]).validation_results()
+    assert sorted((r["we`ird"], r["total_violations"]) for r in out.collect()) == [(1, 1), (2, 0)]
