@@ -454,6 +454,11 @@ class Validator:
     def validate_cross_column(self, df: DataFrame, rules: Sequence[Mapping], table_name: str) -> DataFrame:
         return self._one(df, table_name, {CROSS_COLUMN: list(rules)})
 
+    def validate_all(self, df: DataFrame, block: Mapping, table_name: str) -> DataFrame:
+        """Every family of a ``{"not_null": .., "range": .., "regex": ..,
+        "cross_column": ..}`` block in one scan (four calls would scan four times)."""
+        return self._one(df, table_name, block)
+
 
 def validations(table_rules: TableRules, threshold: float | None = None,
                 on_error: str = "fail") -> Callable[[DataFrame], DataFrame]:

@@ -153,3 +153,16 @@ def test_aggregate_and_window_expressions_are_rule_errors(spark):
     assert rows["ok"]["violations"] == 1 and rows["x"]["violations"] == 1
     with pytest.raises(RuleError):
         FusedCheck(df, tr, "fail")
+
+
+def test_validate_all_families_in_one_scan(spark):
+    df = spark.createDataFrame([("TXN0000000001", 5.0, "PENDING"), (None, -1.0, "UNKNOWN")],
+                               "id string, amount double, status string")
+    block = {"not_null": ["id"], "range": {"amount": {"min": 0.01}},
+             "regex": {"status": "^(COMPLETED|PENDING)$"},
+             "cross_column": [{"name": "pos", "expression": "amount > 0"}]}
+    out = Validator(0.10).validate_all(df, block, "t")
+    got = {r["validation_type"]: r["total_violations"] for r in out.collect()}
+    assert got == {"not_null": 1, "range": 1, "regex": 1, "cross_column": 1}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan ExistingRDD") == 1  # one scan for all four families
