@@ -41,7 +41,7 @@ def _seed(args) -> int:
 def _run(args) -> int:
     from .plans.registry import Registry
     from .plans.registry_run import run_registry
-    from .sources.sinks import write_results
+    from .sources.sinks import read_results, write_results
 
     registry = Registry.load(args.registry)
     if args.threshold is not None:
@@ -60,7 +60,7 @@ def _run(args) -> int:
             return 2
         # the interval start is the run's logical time: a retry lands in the same partition
         write_results(results, args.results, args.run_id, run_ts=interval[0] if interval else None)
-        results = spark.read.parquet(args.results).filter(f"run_id = '{args.run_id}'")
+        results = read_results(spark, args.results, args.run_id)
     rows = results.orderBy("table_name", "validation_type").collect()  # one row per table and family
     gates = run.suite.gate.collect() + run.file_gate.collect()
     failed = 0
