@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .lines import dedup_lines
+from .minhash import near_duplicates
+from .suffix import contamination_report, find_contamination
 from .tokens import count_tokens, public_path
 
 
@@ -14,6 +16,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return contamination_report(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+                                              F.col("longest.words").alias("longest_match"))
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped",
@@ -22,6 +34,8 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontaminate": op2_decontaminate,
+    "op6_near_dedup": op6_near_dedup,
     "op7_line_dedup": op7_line_dedup,
 }
 
