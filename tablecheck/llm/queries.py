@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .boosting import classify_quality
 from .common import read_table
+from .factorization import classify_toxicity
 from .lines import dedup_lines
 from .minhash import near_duplicates
 from .suffix import contamination_report, find_contamination
@@ -22,6 +24,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               F.col("longest.words").alias("longest_match"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -32,11 +38,17 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
+    "op3_quality": op3_quality,
     "op6_near_dedup": op6_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES = {
