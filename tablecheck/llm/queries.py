@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .boosting import classify_quality
 from .common import read_table
+from .divergence import judge
 from .factorization import classify_toxicity
 from .lines import dedup_lines
 from .minhash import near_duplicates
@@ -28,6 +29,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read_table(spark, sf_dir, "documents"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
+    "op4_quality_rules": op4_quality_rules,
     "op6_near_dedup": op6_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_toxicity": op9_toxicity,
