@@ -11,7 +11,10 @@ from .divergence import judge
 from .factorization import classify_toxicity
 from .lines import dedup_lines
 from .minhash import near_duplicates
+from .mixing import mix
+from .passages import dedup_passages
 from .suffix import contamination_report, find_contamination
+from .template import extract_text
 from .tokens import count_tokens, public_path
 
 
@@ -33,6 +36,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_passages(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_units", "n_removed", "removed", "kept_by",
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -43,18 +52,29 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
     "op4_quality_rules": op4_quality_rules,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_html_extract": op8_html_extract,
     "op9_toxicity": op9_toxicity,
+    "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLES = {
