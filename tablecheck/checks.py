@@ -34,15 +34,15 @@ class MetadataChecks:
         diffs = S.schema_check(self.spark, source, source, expected_schema, strict_mode, mode) \
             .orderBy("kind", "column_name").collect()  # one row per differing column
         errors: list[str] = []
-        for kind, label in (("missing", "Missing columns"), ("extra", "Extra columns")):
+        for kind, label in (("missing", "absent"), ("extra", "not expected")):
             cols = [d["column_name"] for d in diffs if d["kind"] == kind]
             if cols:
-                errors.append(f"{label}: {', '.join(cols)}")
+                errors.append(f"columns {label}: {', '.join(cols)}")
         for d in diffs:
             if d["kind"] == "type_mismatch":
-                errors.append(f"Column '{d['column_name']}': expected {d['expected_type']}, got {d['actual_type']}")
+                errors.append(f"type of {d['column_name']}: {d['actual_type']} instead of {d['expected_type']}")
             elif d["kind"] == "error":
-                errors.append(f"Error validating schema: {d['actual_type']}")
+                errors.append(f"schema not comparable: {d['actual_type']}")
         return not errors, errors
 
     def get_row_count(self, source: str, filter_condition: str | None = None) -> int | None:
@@ -65,7 +65,7 @@ class FileChecks:
         return bool(r["exists"] and r["is_directory"])
 
     def json_files(self, path: str, glob: str = "*.json", sample: int = 5) -> tuple[int, list[str]]:
-        """Number of non-empty ``glob`` files and the first ``sample`` names."""
+        """Number of ``glob`` files (empty ones too) and the first ``sample`` names."""
         m = FS.file_manifest(self.spark, path, glob)
         names = [r["file_name"] for r in m.orderBy("file_name").limit(sample).collect()]
         return m.count(), names

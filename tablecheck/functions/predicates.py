@@ -14,7 +14,7 @@ All of them are built-in expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from typing import Sequence
+import decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,13 +41,24 @@ def numeric_view(c: Column, dtype: T.DataType | None) -> Column:
     return c
 
 
-def range_violation(c: Column, lo: float | None, hi: float | None) -> Column | None:
+def bound_literal(value, dtype: T.DataType | None) -> Column:
+    """A bound in the column's own type: dates and timestamps are compared as such."""
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(value).cast(dtype)
+    return F.lit(value)
+
+
+def is_number(value) -> bool:
+    return isinstance(value, (int, float, decimal.Decimal)) and not isinstance(value, bool)
+
+
+def range_violation(c: Column, lo, hi, dtype: T.DataType | None = None) -> Column | None:
     """``c < lo OR c > hi``; one-sided when a bound is None; None without bounds."""
     parts = []
     if lo is not None:
-        parts.append(c < F.lit(lo))
+        parts.append(c < bound_literal(lo, dtype))
     if hi is not None:
-        parts.append(c > F.lit(hi))
+        parts.append(c > bound_literal(hi, dtype))
     if not parts:
         return None
     out = parts[0]
@@ -77,12 +88,27 @@ def bound_violation(c: Column, lo: float | None, hi: float | None) -> Column:
 def json_document_ok(doc: Column) -> Column:
     """TRUE when ``doc`` holds exactly one JSON value and nothing else.
 
-    ``try_parse_json`` alone accepts trailing text; wrapping the text in
-    ``[...]`` and asking for an array of length 1 rejects a second document,
-    trailing garbage and empty input.  Single quotes are rejected.
     """
-    one = F.json_array_length(F.concat(F.lit("["), doc, F.lit("]"))) == 1
-    return F.try_parse_json(doc).isNotNull() & F.coalesce(one, F.lit(False))
+    return json_parsed_ok(json_parsed(doc), doc)
+
+
+def json_parsed(doc: Column) -> Column:
+    """``doc`` parsed as one member ``d`` of an object, followed by an end mark.
+
+    A parser that stops after the first value accepts trailing text.  Here the
+    text has to end exactly where its member does: whatever closes the wrapper
+    early, adds a member or starts a second value leaves no end mark, or more
+    than two members.  The mark's value is the text's own hash, which no text
+    holds.  One parse serves validity and keys (``$.d``).
+    """
+    return F.try_parse_json(F.concat(F.lit('{"d":'), doc, F.lit('\n,"_end":"'), F.xxhash64(doc).cast("string"), F.lit('"}')))
+
+
+def json_parsed_ok(parsed: Column, doc: Column) -> Column:
+    """TRUE when :func:`json_parsed` of a document says that it is one strict JSON value."""
+    members = F.size(F.map_keys(F.try_variant_get(parsed, "$", "map<string,variant>")))
+    end = F.try_variant_get(parsed, "$._end", "string") == F.xxhash64(doc).cast("string")
+    return F.coalesce(end & (members == 2) & F.try_variant_get(parsed, "$.d", "variant").isNotNull(), F.lit(False))
 
 
 def json_is_object(doc: Column) -> Column:
@@ -92,26 +118,16 @@ def json_is_object(doc: Column) -> Column:
 
 def _key_path(key: str) -> str:
     if key.replace("_", "a").isalnum() and not key[:1].isdigit():
-        return f"$.{key}"
-    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+        return f"$.d.{key}"
+    return "$.d['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
 
 
 def json_key_present(parsed: Column, key: str) -> Column:
-    """Top-level ``key`` exists in the parsed variant; a JSON null value counts
+    """Top-level ``key`` exists in a document's :func:`json_parsed` variant; a JSON null value counts
     as present (it is a variant null, not a SQL NULL)."""
     return F.try_variant_get(parsed, _key_path(key), "variant").isNotNull()
 
 
-def json_missing_keys(doc: Column, required: Sequence[str]) -> Column:
-    """Required top-level keys absent from a JSON object, in required order.
-
-    A key whose value is null counts as present.  Non-object documents yield
-    NULL (callers treat that as invalid).
-    """
-    req = F.array(*[F.lit(k) for k in required]) if required else F.array().cast("array<string>")
-    return F.array_except(req, F.json_object_keys(doc))
-
-
 def extension_of(path: Column) -> Column:
     """Lower-cased file extension including the dot, '' when there is none.
 

@@ -18,19 +18,23 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import bound_violation, extension_of, json_document_ok, json_is_object, json_key_present
+from ..functions.predicates import (bound_violation, extension_of, json_is_object, json_key_present, json_parsed,
+                                    json_parsed_ok)
 
 FILE_CHECK_COLUMNS = ["table_name", "check_name", "total_files", "violations", "violation_percentage",
                       "threshold", "passed"]
 
 
+_PARSED = "_parsed_document"
+
+
 def _valid_object(v: Column) -> Column:
-    return F.coalesce(json_document_ok(v) & json_is_object(v), F.lit(False))
+    return F.coalesce(json_parsed_ok(F.col(_PARSED), v) & json_is_object(v), F.lit(False))
 
 
-def _all_present(v: Column, required: Sequence[str]) -> Column:
-    """Every required key present; keys are read from one parsed variant."""
-    parsed = F.try_parse_json(v)
+def _all_present(required: Sequence[str]) -> Column:
+    """Every required key present; keys are read from the parsed variant."""
+    parsed = F.col(_PARSED)
     out = F.lit(True)
     for k in required:
         out = out & json_key_present(parsed, k)
@@ -43,14 +47,15 @@ def document_status(df: DataFrame, value_col: str, required: Sequence[str]) -> D
     A document that is not an object has every key missing.
     """
     v = F.col(value_col)
+    df = df.withColumn(_PARSED, json_parsed(v))
     ok = _valid_object(v)
-    parsed = F.try_parse_json(v)
+    parsed = F.col(_PARSED)
     missing = F.array_compact(F.array(*[F.when(~F.coalesce(ok & json_key_present(parsed, k), F.lit(False)),
                                                F.lit(k)) for k in required])) \
         if required else F.array().cast("array<string>")
-    return (df.withColumn("valid_json", F.coalesce(json_document_ok(v), F.lit(False)))
+    return (df.withColumn("valid_json", json_parsed_ok(parsed, v))
               .withColumn("missing_keys", missing)
-              .withColumn("is_valid", ok & (F.size("missing_keys") == 0)))
+              .withColumn("is_valid", ok & (F.size("missing_keys") == 0)).drop(_PARSED))
 
 
 def _verdict(total: Column, bad: Column, threshold: float) -> list[Column]:
@@ -76,8 +81,9 @@ def required_keys_checks(df: DataFrame, value_col: str, key_sets: Mapping[str, S
     aggs = [F.count(F.lit(1)).alias("total_files")]
     names = list(key_sets)
     for i, n in enumerate(names):
-        aggs.append(F.count_if(~(ok & _all_present(v, key_sets[n]))).alias(f"_k{i}"))
-    agg = df.agg(*aggs)
+        aggs.append(F.count_if(~(ok & _all_present(key_sets[n]))).alias(f"_k{i}"))
+    # the parse is a projection of its own: the aggregate reads it once per key set
+    agg = df.select(value_col, json_parsed(v).alias(_PARSED)).agg(*aggs)
     structs = [F.struct(F.lit(n).alias("check_name"), F.col(f"_k{i}").alias("violations"))
                for i, n in enumerate(names)]
     rows = agg.select("total_files", F.inline(F.array(*structs)))
@@ -105,6 +111,15 @@ def bound_check(df: DataFrame, value: Column, lo: float | None, hi: float | None
                       "total_files", "violations", *_verdict(F.col("total_files"), F.col("violations"), threshold))
 
 
+def existence_check(manifest: DataFrame, table_name: str, check_name: str = "file_existence") -> DataFrame:
+    """One row that fails when there is no file at all."""
+    agg = manifest.agg(F.count(F.lit(1)).alias("total_files"))
+    none = (F.col("total_files") == 0)
+    return agg.select(F.lit(table_name).alias("table_name"), F.lit(check_name).alias("check_name"), "total_files",
+                      none.cast("bigint").alias("violations"), none.cast("double").alias("violation_percentage"),
+                      F.lit(0.0).alias("threshold"), (~none).alias("passed"))
+
+
 def extension_check(df: DataFrame, path: Column, allowed: Sequence[str], table_name: str,
                     check_name: str = "file_extension", threshold: float = 0.0) -> DataFrame:
     allowed_l = [a.lower() for a in allowed]
@@ -139,9 +154,9 @@ def validate_file_metadata(metadata_df: DataFrame, required_keys: Sequence[str],
     size_v = F.col("size_violations") if size_on else F.lit(0).cast("bigint")
     ext_v = F.col("extension_violations") if ext_on else F.lit(0).cast("bigint")
     errors = F.concat_ws("; ",
-                         F.lit(f"Missing metadata keys: {', '.join(missing)}" if missing else None),
-                         F.when(size_v > 0, F.format_string("%d files violate size constraints", size_v)),
-                         F.when(ext_v > 0, F.format_string("%d files violate extension constraints", ext_v)))
+                         F.lit(f"metadata lacks {', '.join(missing)}" if missing else None),
+                         F.when(size_v > 0, F.format_string("size out of bounds: %d", size_v)),
+                         F.when(ext_v > 0, F.format_string("extension not allowed: %d", ext_v)))
     return agg.select(
         "total_files", F.lit(",".join(missing)).alias("missing_keys"),
         size_v.alias("size_violations"), ext_v.alias("extension_violations"),

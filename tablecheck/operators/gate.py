@@ -15,6 +15,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ GATE_DDL = "table_name string, exists boolean, schema_valid boolean, schema_erro
 @dataclass(frozen=True)
 class TableSpec:
     table_name: str
-    source: str
+    source: str | None  # None: no location is known, the gate stays closed
     expected_schema: Mapping[str, str] | Sequence[str] | None = None
     strict: bool = True
     mode: str = "loose"
@@ -58,8 +60,17 @@ def _map_threads(fn, items, max_workers: int):
 
 
 def _load(spark: SparkSession, spec: TableSpec):
-    """The table's DataFrame, or None when it does not exist (one footer read)."""
-    return try_read_table(spark, spec.source, spec.fmt)
+    """``(DataFrame, reason)``: the table (one footer read), or why there is none.
+
+    Whatever keeps one table from being read closes its gate, not the run.
+    """
+    if not spec.source:
+        return None, "no location given"
+    try:
+        df = try_read_table(spark, spec.source, spec.fmt)
+    except (PySparkException, Py4JJavaError) as e:
+        return None, f"unreadable: {type(e).__name__}"
+    return df, None if df is not None else "table not found"
 
 
 def evaluate_gates(spark: SparkSession, specs: Sequence[TableSpec],
@@ -75,9 +86,12 @@ def evaluate_gates(spark: SparkSession, specs: Sequence[TableSpec],
     reads, not Spark work, bounds the run.
     """
     frames: dict[str, DataFrame] = {}
-    for spec, df in zip(specs, _map_threads(lambda sp: _load(spark, sp), specs, max_workers)):
+    absent: dict[str, str] = {}
+    for spec, (df, why) in zip(specs, _map_threads(lambda sp: _load(spark, sp), specs, max_workers)):
         if df is not None:
             frames[spec.table_name] = df
+        else:
+            absent[spec.table_name] = why
     errors: dict[str, list[str]] = {}
     groups: dict[tuple[bool, str], list[TableSpec]] = {}
     for spec in specs:
@@ -112,15 +126,14 @@ def evaluate_gates(spark: SparkSession, specs: Sequence[TableSpec],
     wants_rows = [s for s in specs if s.require_rows and s.table_name in frames]
     non_empty: set[str] = set()
     if wants_rows:
-        probe = None
-        for s in wants_rows:
-            p = frames[s.table_name].limit(1).select(F.lit(s.table_name).alias("t"))
-            probe = p if probe is None else probe.unionByName(p)
-        non_empty = {r["t"] for r in probe.collect()}
+        probes = [frames[s.table_name].limit(1).select(F.lit(s.table_name).alias("t")) for s in wants_rows]
+        while len(probes) > 1:  # a balanced union: its depth is the logarithm of the tables
+            probes = [a.unionByName(b) for a, b in zip(probes[::2], probes[1::2])] + (probes[-1:] if len(probes) % 2 else [])
+        non_empty = {r["t"] for r in probes[0].collect()}
     states = []
     for spec in specs:
         if spec.table_name not in frames:
-            states.append(GateState(spec.table_name, False, None, None, None, False, "table not found"))
+            states.append(GateState(spec.table_name, False, None, None, None, False, absent[spec.table_name]))
             continue
         errs = errors.get(spec.table_name)
         valid = not errs

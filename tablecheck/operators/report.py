@@ -75,8 +75,8 @@ def alert_messages(results: DataFrame) -> DataFrame:
     table whose results all passed."""
     failed = results.filter(~_passed()).select(
         "table_name", "validation_type", F.lit("alert").alias("kind"),
-        F.format_string("DATA QUALITY ALERT: table %s failed %s - violation rate %.2f%% exceeds "
-                        "threshold %.2f%% (%s violations); downstream loads stopped for this table",
+        F.format_string("%s: %s check failed, %.2f%% of the tests violated where %.2f%% are allowed "
+                        "(%s violations); loads that depend on it should wait",
                         F.col("table_name"), F.col("validation_type"),
                         F.col("violation_percentage") * 100.0, F.col("threshold") * 100.0,
                         F.format_number(F.col("total_violations"), 0)).alias("message"))
@@ -86,7 +86,7 @@ def alert_messages(results: DataFrame) -> DataFrame:
                       F.count(F.lit(1)).alias("validations")))
     passed = per_table.filter("all_passed").select(
         "table_name", F.lit(None).cast("string").alias("validation_type"), F.lit("passed").alias("kind"),
-        F.format_string("Data quality validation PASSED: table %s, %s rows, %d validations passed",
+        F.format_string("%s: nothing over its threshold, %s rows, %d checks",
                         F.col("table_name"), F.format_number(F.col("total_rows"), 0),
                         F.col("validations")).alias("message"))
     return failed.unionByName(passed)

@@ -20,7 +20,10 @@ Result schemas (fixed, everything else composes on them):
   with ``violation_percentage = total_violations / (total_rows *
   rules_configured)`` (0.0 when nothing is violated) and ``passed =
   violation_percentage <= threshold``.  Rules that cannot be evaluated stay in
-  the denominator, as configured rules.
+  the denominator, as configured rules.  A family with a rule in ``error``, or
+  whose table cannot be read, fails closed: NULL rate, ``passed = false``.
+  Only ``on_error='ignore'`` tolerates an error, and only a cross-column rule's
+  on a readable table.
 """
 
 from __future__ import annotations
@@ -122,6 +125,21 @@ def _check_pattern(df: DataFrame, pattern: str) -> str | None:
     return None
 
 
+def _range_error(dtype: T.DataType, bounds: tuple) -> str | None:
+    """Why bounds cannot be compared with a column of this type: numbers go with
+    numbers and numeric strings, text with strings, dates and timestamps."""
+    given = [b for b in bounds if b is not None]
+    text = isinstance(dtype, (T.StringType, T.VarcharType, T.CharType))
+    dated = isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    if isinstance(dtype, T.NullType) or not given and (text or dated or isinstance(dtype, T.NumericType)):
+        return None
+    if all(map(P.is_number, given)):
+        return None if text or isinstance(dtype, T.NumericType) else f"NOT_NUMERIC:{dtype.simpleString()}"
+    if any(map(P.is_number, given)) or not (text or dated):
+        return f"BOUND_TYPE:{dtype.simpleString()}"
+    return None
+
+
 def compile_rule(df: DataFrame, rule: Rule, on_error: str = "fail",
                  fields: Mapping[str, T.DataType] | None = None) -> CompiledRule:
     """Rule -> violation column, or a final status when it cannot be evaluated."""
@@ -138,12 +156,13 @@ def compile_rule(df: DataFrame, rule: Rule, on_error: str = "fail",
         if vt == NOT_NULL:
             return CompiledRule(rule, P.null_violation(c), "evaluate")
         if vt == RANGE:
-            if not isinstance(dtype, (T.NumericType, T.StringType, T.VarcharType, T.CharType, T.NullType)):
-                err = f"NOT_NUMERIC:{dtype.simpleString()}"
+            err = _range_error(dtype, (rule.min, rule.max))
+            if err is not None:
                 if on_error == "fail":
                     raise RuleError(f"range rule on {rule.column!r}: {err}")
                 return CompiledRule(rule, None, "error", err)
-            v = P.range_violation(P.numeric_view(c, dtype), rule.min, rule.max)
+            numeric = all(P.is_number(b) for b in (rule.min, rule.max) if b is not None)
+            v = P.range_violation(P.numeric_view(c, dtype) if numeric else c, rule.min, rule.max, dtype)
             return CompiledRule(rule, v, "evaluate" if v is not None else "no_predicate")
         err = _check_pattern(df, rule.pattern)
         if err is not None:
@@ -203,13 +222,19 @@ class FusedCheck:
     """
 
     def __init__(self, df: DataFrame, table_rules: TableRules, on_error: str = "fail",
-                 group_by: Sequence[Column] = (), max_rules_per_aggregate: int = MAX_RULES_PER_AGGREGATE):
+                 group_by: Sequence[Column] = (), max_rules_per_aggregate: int = MAX_RULES_PER_AGGREGATE,
+                 isolate: bool = False):
         self.df = df
         self.table_rules = table_rules
-        self.on_error = on_error
+        self.tolerated = tolerated_families(on_error)
+        # isolated checks turn errors into failing rows instead of raising them
+        self.on_error = "ignore" if isolate else on_error
+        if on_error not in ON_ERROR:
+            raise ValueError(f"on_error must be one of {ON_ERROR}")
         self.group_by = list(group_by)
-        self.compiled = compile_rules(df, table_rules.rules, on_error)
-        self._size = max(1, max_rules_per_aggregate)
+        self.compiled = compile_rules(df, table_rules.rules, self.on_error)
+        # a stream takes one aggregation only, whatever the number of rules
+        self._size = max(1, len(self.compiled) if df.isStreaming else max_rules_per_aggregate)
         try:
             self.chunks = self._build_chunks()
         except (AnalysisException, PySparkException):
@@ -248,10 +273,18 @@ class FusedCheck:
 
     @property
     def counts(self) -> DataFrame:
-        """The aggregate row(s) of a single-chunk check."""
-        if len(self.chunks) != 1:
-            raise ValueError("a chunked check has one aggregate per chunk; see chunks")
-        return self.chunks[0][1]
+        """All counters in one row (per group): the chunks' aggregates side by side."""
+        first, *rest = [agg for _, agg in self.chunks]
+        for agg in rest:
+            agg = agg.drop("total_rows")
+            if not self.group_names:
+                first = first.crossJoin(agg)  # one row each
+                continue
+            keys = [F.col(f"`{g}`").alias(f"_g{k}") for k, g in enumerate(self.group_names)]
+            other = agg.select(*keys, *[F.col(c) for c in agg.columns if c not in self.group_names])
+            same = [first[f"`{g}`"].eqNullSafe(other[f"_g{k}"]) for k, g in enumerate(self.group_names)]
+            first = first.join(other, same).drop(*[f"_g{k}" for k in range(len(keys))])
+        return first
 
     def cache(self) -> "FusedCheck":
         """Cache the aggregate rows (k+1 counters per group), so that acting on
@@ -266,7 +299,9 @@ class FusedCheck:
         With ``on_error='ignore'``, a runtime failure of the fused job (an ANSI
         cast, ``raise_error``, overflow) is isolated: the total and each rule
         are recounted alone, and the rules that fail get ``status='error'``
-        with the error class.  Without a failure this is one job per chunk.
+        with the error class.  If the rows themselves cannot be read,
+        ``total_rows`` is NULL, which fails every family.  Without a failure
+        this is one job per chunk.
         """
         if self.group_names:
             raise ValueError("materialize() is for ungrouped checks")
@@ -288,6 +323,7 @@ class FusedCheck:
                 values = {"total_rows": None}
                 self.compiled = [CompiledRule(c.rule, None, "error", code) if c.violation is not None else c
                                  for c in self.compiled]
+            failed = False
             for i, c in enumerate(self.compiled):
                 if c.violation is None:
                     continue
@@ -295,6 +331,14 @@ class FusedCheck:
                     values[f"_v{i}"] = self.df.agg(F.count_if(c.violation)).first()[0]
                 except job_errors as e:
                     self.compiled[i] = CompiledRule(c.rule, None, "error", _error_code(e))
+                    failed = True
+            if failed:
+                # a rule that raises is one thing, rows that cannot be read another:
+                # counting rows alone may need no more than file footers
+                try:
+                    self.df.write.format("noop").mode("overwrite").save()
+                except job_errors:
+                    values["total_rows"] = None
         idx = [i for i, c in enumerate(self.compiled) if c.violation is not None]
         cols = ["total_rows"] + [f"_v{i}" for i in idx]
         schema = T.StructType([T.StructField(c, T.LongType()) for c in cols])
@@ -350,11 +394,13 @@ class FusedCheck:
             by_family.setdefault(c.rule.validation_type, []).append(i)
         if not by_family:
             return self.df.sparkSession.createDataFrame([], VALIDATION_RESULT_SCHEMA)
-        rate = ("CASE WHEN total_violations > 0 THEN CAST(total_violations AS DOUBLE) / "
+        broken = sorted({c.rule.validation_type for c in self.compiled if c.status == "error"} - self.tolerated)
+        closed = "total_rows IS NULL" + "".join(f" OR validation_type = {sql_literal(b)}" for b in broken)
+        rate = (f"CASE WHEN {closed} THEN NULL WHEN total_violations > 0 THEN CAST(total_violations AS DOUBLE) / "
                 "CAST(total_rows * rules_configured AS DOUBLE) ELSE 0.0D END")
         final = [*self._groups_sql(), "table_name", "validation_type", "total_rows", "rules_configured",
                  "total_violations", f"{rate} AS violation_percentage", f"CAST({t!r} AS DOUBLE) AS threshold",
-                 f"({rate}) <= {t!r} AS passed"]
+                 f"coalesce(({rate}) <= {t!r}, false) AS passed"]
         if len(self.chunks) > 1:
             # per-family sums over the rule rows of all chunks (k rows, tiny)
             rows = self.rule_results()
@@ -367,7 +413,7 @@ class FusedCheck:
             f"named_struct('validation_type', {sql_literal(fam)}, 'rules_configured', {len(idx)}, "
             f"'total_violations', {' + '.join(self._violations_sql(i) for i in idx)})"
             for fam, idx in by_family.items())
-        base = self.counts.selectExpr(*self._groups_sql(),
+        base = self.chunks[0][1].selectExpr(*self._groups_sql(),
                                       f"{sql_literal(self.table_rules.table_name)} AS table_name",
                                       "total_rows", f"inline(array({structs}))")
         return base.selectExpr(*final)
@@ -387,19 +433,35 @@ def violation_rate(total_violations: Column, total_rows: Column, rules_configure
             .otherwise(F.lit(0.0)))
 
 
+def tolerated_families(on_error: str) -> set[str]:
+    """Families in which an erring rule does not fail the verdict."""
+    return {CROSS_COLUMN} if on_error == "ignore" else set()
+
+
 def verdict(df: DataFrame, threshold: float | Column = DEFAULT_THRESHOLD) -> DataFrame:
-    """Add ``violation_percentage``, ``threshold`` and ``passed`` (inclusive)."""
+    """Add ``violation_percentage``, ``threshold`` and ``passed`` (inclusive).
+
+    Rows with a positive ``errors`` count, if there is such a column, or
+    without ``total_rows`` have a NULL rate and fail.
+    """
     t = (threshold if isinstance(threshold, Column) else F.lit(float(threshold))).cast("double")
-    rate = violation_rate(F.col("total_violations"), F.col("total_rows"), F.col("rules_configured"))
+    closed = F.col("total_rows").isNull()
+    if "errors" in df.columns:
+        closed = closed | (F.col("errors") > 0)
+    rate = F.when(~closed, violation_rate(F.col("total_violations"), F.col("total_rows"), F.col("rules_configured")))
     keep = [c for c in df.columns if c not in ("violation_percentage", "threshold", "passed")]
     return df.select(*keep, rate.alias("violation_percentage"), t.alias("threshold"),
-                     (rate <= t).alias("passed"))
+                     F.coalesce(rate <= t, F.lit(False)).alias("passed"))
 
 
 def rollup_rule_results(rule_results: DataFrame,
-                        thresholds: float | Mapping[str, float] | DataFrame = DEFAULT_THRESHOLD) -> DataFrame:
+                        thresholds: float | Mapping[str, float] | DataFrame = DEFAULT_THRESHOLD,
+                        on_error: str = "fail") -> DataFrame:
     """Validation results from any rule-results DataFrame (e.g. many tables).
 
+    A family with an erring rule fails, unless ``on_error='ignore'`` tolerates
+    it (see the module's description).
+
     ``thresholds`` is one float, a ``{table_name: threshold}`` dict (looked up
     through a map literal, no join), or a DataFrame ``(table_name,
     threshold)`` joined with a size-checked broadcast.  Tables without a
@@ -407,10 +469,14 @@ def rollup_rule_results(rule_results: DataFrame,
     """
     from .joins import join_small, lookup
 
+    # rule rows from elsewhere may carry no status; those count as evaluated
+    erring = (F.col("status") == "error") & ~F.col("validation_type").isin(list(tolerated_families(on_error))) \
+        if "status" in rule_results.columns else F.lit(False)
     agg = (rule_results.groupBy("table_name", "validation_type")
            .agg(F.max("total_rows").alias("total_rows"),
                 F.count(F.lit(1)).cast("int").alias("rules_configured"),
-                F.sum("violations").cast("bigint").alias("total_violations")))
+                F.sum("violations").cast("bigint").alias("total_violations"),
+                F.count_if(erring).alias("errors")))
     if isinstance(thresholds, DataFrame):
         t = thresholds.select("table_name", F.col("threshold").alias("_t"))
         agg = join_small(agg, t, "table_name", "left")

@@ -252,11 +252,6 @@ def _in_list(names):
     return ", ".join(O.q(n) for n in names)
 
 
-def _exists(spark, sf_dir, name):
-    from ..sources.tables import table_exists
-    return table_exists(spark, f"{sf_dir}/{name}.parquet")
-
-
 EXISTS_PROBE = ("lineitem", "orders", "events", "no_such_table")
 
 
@@ -554,13 +549,13 @@ def validation_details(spark, sf_dir):
 
 
 @register("alert_messages",
-          "SELECT table_name, validation_type, 'alert' AS kind, printf('DATA QUALITY ALERT: table %s failed %s - "
-          "violation rate %.2f%% exceeds threshold %.2f%% (%s violations); downstream loads stopped for this table', "
+          "SELECT table_name, validation_type, 'alert' AS kind, printf('%s: %s check failed, "
+          "%.2f%% of the tests violated where %.2f%% are allowed (%s violations); loads that depend on it should wait', "
           "table_name, validation_type, violation_percentage * 100.0, threshold * 100.0, "
           "format('{:,}', total_violations)) AS message "
           f"FROM ({ALL_VALIDATION_SQL}) WHERE NOT coalesce(passed, false) "
-          "UNION ALL SELECT table_name, CAST(NULL AS VARCHAR), 'passed', printf('Data quality validation PASSED: "
-          "table %s, %s rows, %d validations passed', table_name, format('{:,}', max(total_rows)), count(*)) "
+          "UNION ALL SELECT table_name, CAST(NULL AS VARCHAR), 'passed', printf('%s: nothing over its threshold, "
+          "%s rows, %d checks', table_name, format('{:,}', max(total_rows)), count(*)) "
           f"FROM ({ALL_VALIDATION_SQL}) GROUP BY table_name HAVING bool_and(coalesce(passed, false))")
 def alert_messages(spark, sf_dir):
     return R.alert_messages(_all_results(spark, sf_dir))
@@ -626,7 +621,7 @@ def failed_records_count(spark, sf_dir):
 def _windowed_sql(suite: Suite, ts: str, unit: str, threshold: float) -> str:
     """Validation rows per window, DuckDB side (date_trunc buckets)."""
     ev = [(i, c) for i, c in enumerate(suite.checks) if c.duck is not None and c.status == "evaluate"]
-    counts = ", ".join(f"CAST(count_if({c.duck}) AS BIGINT) AS v{i}" for i, c in ev)
+    counts = ", ".join(f"CAST(coalesce(count_if({c.duck}), 0) AS BIGINT) AS v{i}" for i, c in ev)
     fams: dict[str, list[int]] = {}
     for i, c in enumerate(suite.checks):
         fams.setdefault(c.rule.validation_type, []).append(i)
@@ -739,9 +734,9 @@ PAGE_REQUIRED = ["page_id", "file_path", "file_size", "image_format"]
 
 @register("file_metadata_check",
           "SELECT total_files, 'image_format' AS missing_keys, size_violations, extension_violations, errors, "
-          "errors = '' AS passed FROM (SELECT *, concat_ws('; ', 'Missing metadata keys: image_format', "
-          "CASE WHEN size_violations > 0 THEN size_violations || ' files violate size constraints' END, "
-          "CASE WHEN extension_violations > 0 THEN extension_violations || ' files violate extension constraints' END"
+          "errors = '' AS passed FROM (SELECT *, concat_ws('; ', 'metadata lacks image_format', "
+          "CASE WHEN size_violations > 0 THEN 'size out of bounds: ' || size_violations END, "
+          "CASE WHEN extension_violations > 0 THEN 'extension not allowed: ' || extension_violations END"
           ") AS errors FROM (SELECT count(*) AS total_files, "
           f"CAST(count_if(strlen(html) < {PAGE_SIZE[0]} OR strlen(html) > {PAGE_SIZE[1]}) AS BIGINT) AS size_violations, "
           f"CAST(count_if({_DUCK_EXT} NOT IN ({_in_list(PAGE_EXT)})) AS BIGINT) AS extension_violations FROM pages))")
@@ -1066,14 +1061,14 @@ def cross_column_runtime_error(spark, sf_dir):
 
 
 @register("stream_hourly_validation_append",
-          f"SELECT * FROM ({_windowed_sql(EVENTS, 'ts', 'hour', 0.10)}) "
-          "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
+          _windowed_sql(EVENTS, "ts", "hour", 0.10))
 def stream_hourly_validation_append(spark, sf_dir):
     """Continuous form: append mode emits a window once the watermark passes it,
-    so state stays bounded; windows newer than the watermark wait for more data."""
-    schema = table(spark, sf_dir, "events").schema
-    return ST.stream_windowed_validation(spark, sf_dir, schema, EVENTS.table_rules(), "ts",
-                                         glob="events.parquet", output_mode="append")
+    so state stays bounded; the windows still open at the end are added as they stand."""
+    ev = table(spark, sf_dir, "events")
+    emitted = ST.stream_windowed_validation(spark, sf_dir, ev.schema, EVENTS.table_rules(), "ts",
+                                            glob="events.parquet", output_mode="append")
+    return ST.with_open_windows(emitted, ev, EVENTS.table_rules(), "ts")
 
 
 def _typed_diffs_sql(expected: dict) -> str:
@@ -1132,10 +1127,11 @@ def _rule_rows_sql():
             d = r.as_row(tr.table_name)
             num = lambda x: "CAST(NULL AS DOUBLE)" if x is None else f"CAST({x!r} AS DOUBLE)"
             rows.append(f"({O.q(d['table_name'])}, {O.q(d['validation_type'])}, {O.q(d['rule_name'])}, "
-                        f"{O.q(d['column'])}, {num(d['min'])}, {num(d['max'])}, {O.q(d['pattern'])}, "
+                        f"{O.q(d['column'])}, {num(d['min'])}, {num(d['max'])}, {O.q(d['min_text'])}, {O.q(d['max_text'])}, "
+                        f"{O.q(d['pattern'])}, "
                         f"{O.q(d['expression'])}, {O.q(d['description'])})")
     return ("(VALUES " + ", ".join(rows) + ") AS r(table_name, validation_type, rule_name, \"column\", "
-            "\"min\", \"max\", pattern, expression, description)")
+            "\"min\", \"max\", min_text, max_text, pattern, expression, description)")
 
 
 @register("rules_table",
@@ -1181,3 +1177,6 @@ def tables_table(spark, sf_dir):
 @register("tables_by_type", _tables_sql("WHERE t.table_type = 'structured'"))
 def tables_by_type(spark, sf_dir):
     return _tables_with_counts(spark, sf_dir)[1].filter("table_type = 'structured'")
+
+
+from . import registered_edges  # noqa: E402,F401 - registers its queries here

@@ -2,10 +2,15 @@
 
 Structured tables go through the gate (existence + expected schema), then the
 fused suite; ``incremental`` tables are cut to ``[start, end)`` on their
-``timestamp_column`` when an interval is given.  Unstructured JSON sets get a
-directory gate, a required-keys check (table threshold) and a size check on
-the file manifest (zero tolerance); other file sets get the file-metadata
-check over a caller-supplied metadata frame or the directory manifest.
+``timestamp_column`` when an interval is given.  Unstructured sets get a
+directory gate and, where the registry asks for it, an existence check (at
+least one file).  JSON sets get a required-keys check (table threshold) and a
+size check on the file manifest (zero tolerance); other file sets get the
+file-metadata check over a caller-supplied metadata frame or the manifest.
+
+A registered table without a location is not left out: its gate is closed and
+its rules are ``skipped``.  A location for an unregistered name is an error.
+``decisions`` applies the registry's stop policies.
 
 All results come back in the validation-results schema, so roll-ups,
 summaries and trends apply to both kinds.  File checks use
@@ -22,11 +27,11 @@ from pyspark.sql import functions as F
 
 from ..operators import files as FC
 from ..operators.joins import join_small
-from ..operators.gate import TableSpec
+from ..operators.gate import TableSpec, stop_decision
 from ..operators.validate import VALIDATION_RESULT_COLUMNS, VALIDATION_RESULT_SCHEMA
 from ..sources import files as FS
 from ..sources.tables import incremental_slice
-from .registry import Registry
+from .registry import Registry, UnknownTableError
 from .run import SuiteRun, _union, run_suite
 
 
@@ -35,6 +40,7 @@ class RegistryRun:
     suite: SuiteRun
     file_gate: DataFrame
     validation_results: DataFrame
+    decisions: DataFrame
 
 
 def file_results_as_validation(df: DataFrame) -> DataFrame:
@@ -57,12 +63,14 @@ def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str
     run with the same ``state_dir``.
     """
     metadata_frames = metadata_frames or {}
+    unknown = sorted(set(locations) - set(registry.get_all_tables()))
+    if unknown:
+        raise UnknownTableError(f"locations for unregistered tables: {', '.join(unknown)}")
     pairs, slices = [], dict(prepare or {})
-    for name in registry.get_structured_tables():
-        if name not in locations:
-            continue
+    for name, conf in registry.get_structured_tables().items():
         tr = registry.table_rules(name)
-        pairs.append((TableSpec(name, locations[name], tr.expected_schema, tr.strict_schema, mode), tr))
+        pairs.append((TableSpec(name, locations.get(name), tr.expected_schema, tr.strict_schema, mode,
+                                fmt=conf.get("format") or "parquet"), tr))
         if interval is not None and tr.incremental and tr.timestamp_column:
             base = slices.get(name)
 
@@ -76,11 +84,12 @@ def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str
 
     gate_rows, file_frames = [], []
     for name, conf in registry.get_unstructured_tables().items():
-        if name not in locations:
-            continue
         tr = registry.table_rules(name)
         v = conf.get("validations", {})
-        path = locations[name]
+        path = locations.get(name)
+        if path is None:
+            gate_rows.append((name, False, False, "no location given"))
+            continue
         status = FS.directory_status(spark, path).first()
         is_open = bool(status["exists"] and status["is_directory"])
         gate_rows.append((name, bool(status["exists"]), is_open,
@@ -89,24 +98,28 @@ def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str
             continue
         size = v.get("file_size", {})
         lo, hi = size.get("min_bytes"), size.get("max_bytes")
-        if conf.get("format") == "json":
+        is_json = conf.get("format") == "json"
+        glob = conf.get("glob", "*.json" if is_json else "*")
+        manifest = FS.file_manifest(spark, path, glob)
+        if v.get("file_existence", {}).get("enabled", False):
+            file_frames.append(FC.existence_check(manifest, name))
+        if is_json:
             layout = conf.get("layout", "document")
-            docs = FS.scan_json_files(spark, path, conf.get("glob", "*.json"), mode=layout)
             keys = v.get("metadata_keys", {}).get("required", [])
             if state_dir and tr.incremental:
                 from ..streaming.documents import check_new_documents
                 file_frames.append(check_new_documents(spark, path, {"required_keys": keys}, name,
-                                                       f"{state_dir}/{name}", conf.get("glob", "*.json"),
-                                                       layout, tr.threshold))
-                continue
-            file_frames.append(FC.required_keys_check(docs, "value", keys, name, "required_keys", tr.threshold))
-            if (lo is not None or hi is not None) and layout == "document":
-                # document layout: one row per file (zero-length files included)
-                file_frames.append(FC.bound_check(docs, F.col("file_size"), lo, hi, name, "file_size"))
+                                                       f"{state_dir}/{name}", glob, layout, tr.threshold))
+            else:
+                docs = FS.scan_json_files(spark, path, glob, mode=layout)
+                file_frames.append(FC.required_keys_check(docs, "value", keys, name, "required_keys", tr.threshold))
+            if lo is not None or hi is not None:
+                # sizes come from the listing, so every run checks all files, empty ones too
+                file_frames.append(FC.bound_check(manifest, F.col("file_size"), lo, hi, name, "file_size"))
         else:
             meta = metadata_frames.get(name)
             if meta is None:
-                meta = FS.file_manifest(spark, path, conf.get("glob", "*"))
+                meta = manifest
             allowed = v.get("file_extensions", {}).get("allowed")
             required = v.get("metadata_keys", {}).get("required", [])
             file_frames.append(_file_metadata_rows(meta, name, required, lo, hi, allowed))
@@ -114,7 +127,9 @@ def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str
     empty = spark.createDataFrame([], VALIDATION_RESULT_SCHEMA)
     files = [file_results_as_validation(f) for f in file_frames]
     results = _union([suite.validation_results, *files], empty).select(*VALIDATION_RESULT_COLUMNS)
-    return RegistryRun(suite, file_gate, results)
+    gates = suite.gate.select("table_name", "is_open").unionByName(file_gate.select("table_name", "is_open"))
+    policies = registry.tables_df(spark).select("table_name", "metadata_stop_on_failure", "data_stop_on_threshold")
+    return RegistryRun(suite, file_gate, results, stop_decision(results, gates, policies))
 
 
 def _file_metadata_rows(meta: DataFrame, name: str, required, lo, hi, allowed) -> DataFrame:

@@ -46,7 +46,7 @@ def validate_many(checks: Sequence[tuple[DataFrame, TableRules]], on_error: str
     and unioned: ``(rule_results, validation_results)`` as two lazy frames."""
     def build(pair):
         check = FusedCheck(pair[0], pair[1], on_error)
-        return check.rule_results(), check.validation_results()
+        return check.rule_results(), check.validation_results()  # lazy frames over one aggregate
 
     built = _map_threads(build, checks, max_workers)
     spark = checks[0][0].sparkSession if checks else None
@@ -66,9 +66,10 @@ def run_suite(spark: SparkSession, tables: Sequence[tuple[TableSpec, TableRules]
 
     By default the open tables' aggregates form one lazy plan (one job when
     the caller acts).  With ``isolate_tables=True`` each table's fused job runs
-    now, ``max_workers`` at a time, and a table whose job fails at runtime
-    gets ``status='error'`` rows instead of failing the run (``on_error`` is
-    then ``'ignore'`` for runtime errors).  Acting on both ``rule_results`` and
+    now, ``max_workers`` at a time, and a table whose rules cannot be analysed
+    or whose job fails gets ``status='error'`` rows and failing verdicts
+    instead of ending the run; ``on_error='ignore'`` tolerates cross-column
+    errors as everywhere.  Acting on both ``rule_results`` and
     ``validation_results`` of a lazy run scans each table twice; an isolated
     run keeps the counts, so both are then read from memory.
     """
@@ -91,7 +92,7 @@ def run_suite(spark: SparkSession, tables: Sequence[tuple[TableSpec, TableRules]
         df = frames[spec.table_name]
         if spec.table_name in prepare:
             df = prepare[spec.table_name](df)
-        check = FusedCheck(df, rules, "ignore" if isolate_tables else on_error)
+        check = FusedCheck(df, rules, on_error, isolate=isolate_tables)
         if isolate_tables:
             check.materialize()
         return check.rule_results(), check.validation_results()

@@ -34,6 +34,10 @@ DEFAULT_THRESHOLD = 0.10
 DEFAULT_RULE_NAME = "unnamed_rule"
 
 
+def _number(bound) -> float | None:
+    return float(bound) if isinstance(bound, (int, float)) else None
+
+
 @dataclass(frozen=True)
 class Rule:
     """One configured check.
@@ -57,8 +61,10 @@ class Rule:
             "validation_type": self.validation_type,
             "rule_name": self.rule_name,
             "column": self.column,
-            "min": None if self.min is None else float(self.min),
-            "max": None if self.max is None else float(self.max),
+            "min": _number(self.min),
+            "max": _number(self.max),
+            "min_text": None if _number(self.min) is not None else self.min,
+            "max_text": None if _number(self.max) is not None else self.max,
             "pattern": self.pattern,
             "expression": self.expression,
             "description": self.description,

@@ -10,9 +10,10 @@ Two layouts of JSON documents are read:
 DataFrame file sources skip zero-length files, while a per-file check must
 count an empty file as an invalid document.  ``scan_json_files`` therefore
 adds them as rows with a NULL value: the file index's own listing minus the
-files that have content (``zero_length_files``), a distributed anti join with
-no per-file driver work.  Hidden names (``_x``, ``.x``) are excluded, as Spark
-does.
+files that have content (``zero_length_files``).  The listing is the one that
+Spark's driver keeps for any scan of the folder; it stays in the JVM and is
+compared by an anti join.  Hidden names (``_x``, ``.x``) are excluded, as Spark
+does; ``hidden_file_count`` says how many there are.
 """
 
 from __future__ import annotations
@@ -68,23 +69,43 @@ def zero_length_files(spark: SparkSession, directory: str, glob: str = "*.json")
 
     File scans skip empty files, but the file index lists them: its listing
     (``inputFiles()``, one call) minus the ``binaryFile`` listing (content
-    pruned, so no file is opened) leaves the empty ones.  The difference is a
-    distributed anti join; nothing is done per file on the driver.
+    pruned, so no file is opened) leaves the empty ones.
     """
-    from urllib.parse import unquote
-
     listed = spark.read.option("pathGlobFilter", glob).format("binaryFile").load(directory)
     # inputFiles() gives URIs (a space is %20), as _metadata does; the binaryFile
     # path is decoded.  Match on the decoded form, report the URI form.
-    every = spark.createDataFrame([(p, unquote(p)) for p in listed.inputFiles()], "uri string, decoded string") \
-        .select(_norm_path(F.col("uri")).alias("file_path"), _norm_path(F.col("decoded")).alias("decoded"))
+    decoded = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
+    every = _listed_uris(spark, listed).select(_norm_path(F.col("uri")).alias("file_path"), _norm_path(decoded).alias("decoded"))
     non_empty = listed.select(_norm_path(F.col("path")).alias("decoded"))
     empty = every.join(non_empty, "decoded", "left_anti")
     return empty.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"))
 
 
+def _listed_uris(spark: SparkSession, listed: DataFrame) -> DataFrame:
+    """``uri`` of each listed file, without bringing the list to Python on a classic session."""
+    try:
+        jvm = spark.sparkContext._jvm
+        from pyspark.sql.classic.column import Column as JavaColumn
+    except Exception:  # noqa: BLE001 - Spark Connect: no JVM handle
+        return spark.createDataFrame([(p,) for p in listed.inputFiles()], "uri string")
+    uris = JavaColumn(jvm.org.apache.spark.sql.functions.lit(listed._jdf.inputFiles()))
+    return spark.range(1).select(F.explode(uris).alias("uri"))
+
+
+def hidden_file_count(spark: SparkSession, directory: str) -> int | None:
+    """Files of a folder whose names start with ``_`` or ``.`` (scans leave them out);
+    None where the file system cannot be asked."""
+    handle = _fs(spark, directory)
+    if handle is None:
+        return None
+    fs, _ = handle
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/[_.]*"))
+    return 0 if found is None else len(found)
+
+
 def file_manifest(spark: SparkSession, directory: str, glob: str = "*.json") -> DataFrame:
-    """``(file_path, file_name, file_size, modification_time)`` of non-empty files.
+    """``(file_path, file_name, file_size, modification_time)`` of all files, empty ones too
+    (size 0, no modification time).
 
     Paths are ``binaryFile``'s (decoded, ``a b.json``); document scans use the
     URI form of ``_metadata`` (``a%20b.json``).
@@ -95,8 +116,13 @@ def file_manifest(spark: SparkSession, directory: str, glob: str = "*.json") ->
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
           .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"),
                   F.col("modificationTime").alias("modification_time")))
-    return df.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
-                     "file_size", "modification_time")
+    found = df.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
+                      "file_size", "modification_time")
+    empty = zero_length_files(spark, directory, glob)
+    plain = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
+    return found.unionByName(empty.select(
+        plain.alias("file_path"), F.element_at(F.split(plain, "/"), -1).alias("file_name"),
+        F.lit(0).cast("bigint").alias("file_size"), F.lit(None).cast("timestamp").alias("modification_time")))
 
 
 def scan_json_files(spark: SparkSession, directory: str, glob: str = "*.json", mode: str = "document",

@@ -13,14 +13,18 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import re
+import uuid
 from typing import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.predicates import col as qcol
+from ..functions.time import utc_instant_as_ntz
+from ..session import scratch_path
 
 
 def is_path(source: str) -> bool:
@@ -52,9 +56,25 @@ def pruned_filtered_read(spark: SparkSession, source: str, columns: Sequence[str
     return df
 
 
+_OFFSET = re.compile(r"(?:[zZ]|[+-]\d\d(?::?\d\d)?)\s*$")
+
+
+def _has_offset(value) -> bool:
+    if isinstance(value, str):
+        return bool(re.search(r"\d:\d", value) and _OFFSET.search(value.split(":", 1)[1]))
+    return getattr(value, "tzinfo", None) is not None
+
+
 def _typed_literal(value, dtype: T.DataType) -> Column:
-    """A literal of the column's own type (no session-time-zone surprises)."""
+    """A literal of the column's own type (no session-time-zone surprises).
+
+    A bound with an offset names an instant.  Wall-clock columns
+    (``TIMESTAMP_NTZ``) hold UTC here as elsewhere, so it becomes the UTC wall
+    clock of that instant.
+    """
     if isinstance(dtype, T.TimestampNTZType):
+        if _has_offset(value):
+            return utc_instant_as_ntz(F.lit(value).cast("timestamp"))
         return F.lit(value).cast("timestamp_ntz")
     if isinstance(dtype, T.TimestampType):
         return F.lit(value).cast("timestamp")
@@ -70,31 +90,45 @@ def interval_filter(df: DataFrame, timestamp_column: str, start, end) -> Column:
     return (c >= _typed_literal(start, dtype)) & (c < _typed_literal(end, dtype))
 
 
-def partition_date_filter(df: DataFrame, partition_column: str, start, end) -> Column:
+def partition_date_filter(df: DataFrame, partition_column: str, start, end, timestamp_column: str | None = None,
+                          partition_zone: str | None = None) -> Column:
     """Dates covering ``[start, end)`` on a date-valued partition column.
 
     Redundant with the timestamp filter for the rows it keeps, but it lets the
     planner prune whole partitions (``PartitionFilters``) before listing files.
+    The dates follow from the same typed bounds as the row filter, in the zone
+    the partitions were written with (``partition_zone``; the session's by
+    default, UTC for wall-clock columns).  An end at midnight needs no next day.
     """
     p = qcol(partition_column)
     dtype = df.schema[partition_column].dataType
-    lo = F.to_date(F.lit(start).cast("timestamp_ntz"))
-    hi = F.to_date(F.lit(end).cast("timestamp_ntz"))
+    ts_type = df.schema[timestamp_column].dataType if timestamp_column else T.TimestampNTZType()
+
+    def wall(value) -> Column:
+        typed = _typed_literal(value, ts_type)
+        if isinstance(ts_type, T.TimestampType) and partition_zone:
+            return F.convert_timezone(F.lit("UTC"), F.lit(partition_zone), utc_instant_as_ntz(typed))
+        return typed.cast("timestamp_ntz")
+
+    lo = F.to_date(wall(start))
+    hi = F.to_date(wall(end) - F.expr("INTERVAL '0.000001' SECOND"))
     if not isinstance(dtype, T.DateType):
         lo, hi = lo.cast(dtype), hi.cast(dtype)
     return (p >= lo) & (p <= hi)
 
 
 def incremental_slice(df: DataFrame, timestamp_column: str, start, end,
-                      columns: Sequence[str] | None = None, partition_column: str | None = None) -> DataFrame:
+                      columns: Sequence[str] | None = None, partition_column: str | None = None,
+                      partition_zone: str | None = None) -> DataFrame:
     """Rows of one interval ``[start, end)``; the time column need not be kept.
 
     ``partition_column`` names a date partition column of the table (values
-    ``yyyy-MM-dd``) so that partitions outside the interval are not read.
+    ``yyyy-MM-dd``) so that partitions outside the interval are not read;
+    ``partition_zone`` is the zone of its dates.
     """
     cond = interval_filter(df, timestamp_column, start, end)
     if partition_column:
-        cond = partition_date_filter(df, partition_column, start, end) & cond
+        cond = partition_date_filter(df, partition_column, start, end, timestamp_column, partition_zone) & cond
     out = df.filter(cond)
     if columns:
         out = out.select(*[qcol(c) for c in columns])
@@ -153,6 +187,17 @@ def _namespace(name: str) -> str | None:
 V2_FORMATS = ("iceberg", "delta")
 
 
+def _reads_target(spark: SparkSession, df: DataFrame, target: str, fmt: str) -> bool:
+    """Whether ``df``'s plan reads files of the table or path ``target``."""
+    old = try_read_table(spark, target, fmt)
+    if old is None:
+        return False
+    try:
+        return bool(set(df.inputFiles()) & set(old.inputFiles()))
+    except PySparkException:
+        return True  # cannot be told: take the safe way
+
+
 def create_table(spark: SparkSession, target: str, df: DataFrame,
                  partition_cols: Sequence[str] | None = None, fmt: str = "parquet",
                  location: str | None = None, namespace_location: str | None = None) -> None:
@@ -177,6 +222,13 @@ def create_table(spark: SparkSession, target: str, df: DataFrame,
     w = df.write.format(fmt).mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
+    if _reads_target(spark, df, target, fmt):
+        # the rows come from the table that is replaced: write them aside first
+        aside = scratch_path(spark, f"replace_{uuid.uuid4().hex[:8]}")
+        df.write.format("parquet").save(aside)
+        w = spark.read.schema(df.schema).parquet(aside).write.format(fmt).mode("overwrite")
+        if partition_cols:
+            w = w.partitionBy(*partition_cols)
     if is_path(target):
         w.save(target)
         return

@@ -7,19 +7,22 @@ every hourly run.  Results are written per ``batch_id`` (idempotent on
 replay); ``report.cumulative_results`` turns them into the verdict over all
 documents so far.
 
-Zero-length files produce no row in a file stream, so they are not counted
-here (the batch ``scan_json_files`` adds them from a listing).
+Zero-length files produce no row in a file stream: ``stream_required_keys``
+does not see them.  ``check_new_documents`` adds them from the listing, with a
+record of those it has counted before.
 """
 
 from __future__ import annotations
 
 from typing import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.files import required_keys_checks
 from ..session import scratch_path
+from ..sources.files import zero_length_files
 from .hourly import read_batches, write_batch
 
 
@@ -53,35 +56,64 @@ def stream_required_keys(spark: SparkSession, directory: str, key_sets: Mapping[
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    stored = _stored(spark, results_path)
+    if stored is None:  # an empty folder: no batch ran
+        empty = required_keys_checks(spark.createDataFrame([], "value string"), "value", key_sets, table_name, threshold)
+        return empty.withColumn("batch_id", F.lit(0).cast("bigint")).filter(F.lit(False))
     return read_batches(spark, results_path)
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A state table, or None before its first write; other errors propagate."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+            return None
+        raise
+
+
 def check_new_documents(spark: SparkSession, directory: str, key_sets: Mapping[str, Sequence[str]],
                         table_name: str, state_dir: str, glob: str = "*.json", mode: str = "document",
                         threshold: float = 0.10) -> DataFrame:
     """Checks over the files that arrived since the previous call with the same
     ``state_dir`` (one row per key set; zero files when nothing arrived).
 
-    The stream's checkpoint and per-batch results live under ``state_dir``;
-    the batches this call commits are summed into one verdict.
+    The stream's checkpoint and per-batch results live under ``state_dir``.
+    What is new is what no finished call has reported: ``reported`` holds the
+    last batch of each finished call, so a batch whose run died after writing
+    its result but before the stream's commit is replayed and reported by the
+    next call.  A call that dies later still is reported again, never lost.
+
+    In document mode a zero-length file is an invalid document; those counted
+    by a finished call are listed in ``empty_files``.
     """
     from ..operators.files import _verdict
     from ..operators.joins import join_small
 
     results_path, checkpoint = f"{state_dir}/results", f"{state_dir}/checkpoint"
-    try:
-        before = spark.read.parquet(results_path).agg(F.max("batch_id")).first()[0]
-    except Exception:  # noqa: BLE001 - first run: no results yet
-        before = None
+    reported_path, empty_path = f"{state_dir}/reported", f"{state_dir}/empty_files"
+    reported = _stored(spark, reported_path)
+    before = -1 if reported is None else reported.agg(F.max("batch_id")).first()[0]
     res = stream_required_keys(spark, directory, key_sets, table_name, glob, mode, threshold,
                                results_path, checkpoint)
-    new = res if before is None else res.filter(F.col("batch_id") > F.lit(before))
+    new = res.filter(F.col("batch_id") > F.lit(before))
     names = spark.createDataFrame([(n,) for n in key_sets], "check_name string")
     sums = (new.groupBy("check_name").agg(F.sum("total_files").cast("bigint").alias("total_files"),
                                           F.sum("violations").cast("bigint").alias("violations")))
+    empty_now = zero_length_files(spark, directory, glob).select("file_path")
+    counted = _stored(spark, empty_path)
+    empty_new = empty_now if counted is None else empty_now.join(counted, "file_path", "left_anti")
+    n_empty = empty_new.count() if mode == "document" else 0
+    last = res.agg(F.max("batch_id")).first()[0]
     # one row per configured key set on both sides: a size-checked broadcast
     rows = join_small(names, sums, "check_name", "left", rows=len(key_sets)).select(
-        "check_name", F.coalesce("total_files", F.lit(0)).cast("bigint").alias("total_files"),
-        F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+        "check_name", (F.coalesce("total_files", F.lit(0)) + n_empty).cast("bigint").alias("total_files"),
+        (F.coalesce("violations", F.lit(0)) + n_empty).cast("bigint").alias("violations"))
+    rows = spark.createDataFrame(rows.collect(), rows.schema)  # a row per key set, before the marks below move
+    if n_empty:
+        empty_new.write.mode("append").parquet(empty_path)
+    if last is not None and last > before:
+        spark.createDataFrame([(last,)], "batch_id bigint").coalesce(1).write.mode("append").parquet(reported_path)
     return rows.select(F.lit(table_name).alias("table_name"), "check_name", "total_files", "violations",
                        *_verdict(F.col("total_files"), F.col("violations"), threshold))

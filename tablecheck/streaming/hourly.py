@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..functions.predicates import col as qcol
 from ..functions.time import ntz_as_utc_instant, utc_instant_as_ntz
 from ..operators.validate import FusedCheck
+from ..plans.windows import windowed_validation
 from ..rules import TableRules
 from ..session import scratch_path
 
@@ -112,11 +113,16 @@ def latest_windows(batches: DataFrame, keys=("window_start", "table_name", "vali
 def stream_windowed_validation(spark: SparkSession, directory: str, schema: T.StructType, table_rules: TableRules,
                                timestamp_column: str, glob: str | None = None, duration: str = "1 hour",
                                watermark: str = "1 hour", output_mode: str = "complete",
-                               output_path: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Run the windowed validation as a stream over ``directory``; return the result table."""
+                               output_path: str | None = None, checkpoint: str | None = None,
+                               max_files_per_trigger: int | None = None) -> DataFrame:
+    """Run the windowed validation as a stream over ``directory``; return the result table.
+
+    Append mode holds back the windows that the watermark has not passed; with
+    :func:`with_open_windows` they are added as they stand.
+    """
     output_path = output_path or scratch_path(spark, "stream_windows_out")
     checkpoint = checkpoint or scratch_path(spark, "stream_windows_ckpt")
-    src = file_stream(spark, directory, schema, glob)
+    src = file_stream(spark, directory, schema, glob, max_files_per_trigger=max_files_per_trigger)
     run_to_table(windowed_stream(src, table_rules, timestamp_column, duration, watermark), output_path,
                  checkpoint, output_mode)
     if output_mode == "complete":
@@ -127,6 +133,18 @@ def stream_windowed_validation(spark: SparkSession, directory: str, schema: T.St
     return batches.drop("batch_id")
 
 
+def with_open_windows(emitted: DataFrame, source: DataFrame, table_rules: TableRules, timestamp_column: str,
+                      duration: str = "1 hour") -> DataFrame:
+    """Append-mode windows plus those still open, validated over the rows from the newest emitted end on.
+
+    The filter reaches the scan, so only the tail of ``source`` is read; rows
+    without a timestamp, which no stream window holds, come with it.
+    """
+    newest = emitted.agg(F.max("window_end")).first()[0]
+    tail = source if newest is None else source.filter((qcol(timestamp_column) >= F.lit(newest)) | qcol(timestamp_column).isNull())
+    return emitted.unionByName(windowed_validation(tail, table_rules, timestamp_column, duration))
+
+
 def stream_batch_suite(spark: SparkSession, directory: str, schema: T.StructType, table_rules: TableRules,
                        glob: str | None = None, results_path: str | None = None, checkpoint: str | None = None,
                        max_files_per_trigger: int | None = None,

@@ -13,13 +13,11 @@ def test_example_registry_on_seeded_data(spark, tmp_path):
     paths = SY.seed_tables(spark, root, "initial")
     SY.seed_tables(spark, root, "append", batch=1)
     images = spark.createDataFrame(
-        [("p1", "s3://x/a.jpg", "2024-01-01", "jpg", "a.jpg", 2048),
-         ("p2", "s3://x/b.gif", "2024-01-01", "gif", "b.gif", 10)],
-        "product_id string, image_url string, upload_time string, image_format string, file_path string, "
-        "file_size bigint")
-    locations = {**paths, "product_images": str(tmp_path)}
+        [("a.pdf", 2048), ("b.gif", 10)], "file_path string, file_size bigint")
+    (tmp_path / "a.pdf").write_text("x")
+    locations = {**paths, "receipt_scans": str(tmp_path)}
     reg = Registry(EXAMPLE_REGISTRY)
-    run = run_registry(spark, reg, locations, metadata_frames={"product_images": images})
+    run = run_registry(spark, reg, locations, metadata_frames={"receipt_scans": images})
     res = {(r["table_name"], r["validation_type"]): r for r in run.validation_results.collect()}
     # the seeded tables are inferred as double/bigint, which loose matching rejects for
     # decimal(10,2)/integer: the gate closes and their rules are skipped
@@ -29,12 +27,12 @@ def test_example_registry_on_seeded_data(spark, tmp_path):
     logs = res[("event_logs", "required_keys")]
     assert logs["total_rows"] == 110 and 0 < logs["total_violations"] < 20 and logs["passed"]
     assert res[("event_logs", "file_size")]["total_violations"] == 0
-    assert res[("product_images", "file_extension")]["total_violations"] == 1
-    assert res[("product_images", "file_size")]["total_violations"] == 1
-    assert res[("product_images", "metadata_keys")]["total_violations"] == 0
+    assert res[("receipt_scans", "file_extension")]["total_violations"] == 1
+    assert res[("receipt_scans", "file_size")]["total_violations"] == 1
+    assert res[("receipt_scans", "metadata_keys")]["total_violations"] == 0
     ann = annotate_results(run.validation_results, reg.tables_df(spark), {"env": "ci"}).first()
-    assert ann["tags"] == {"env": "ci"} and ann["namespace"] == "datalake.raw"
-    assert R.results_rollup(run.validation_results).first()["total_validations"] == 5
+    assert ann["tags"] == {"env": "ci"} and ann["namespace"].startswith("shop.")
+    assert R.results_rollup(run.validation_results).first()["total_validations"] == 7
 
 
 def test_example_registry_with_name_only_schema(spark, tmp_path):

@@ -32,7 +32,7 @@ def test_rollups(spark):
     v = {x["validation_type"]: x for x in R.validation_summary(_results(spark)).collect()}
     assert v["regex"]["violations_per_row_pct"] == pytest.approx(50.0) and v["regex"]["severity"] == "critical"
     msgs = R.alert_messages(_results(spark)).collect()
-    assert any("exceeds threshold 10.00%" in m["message"] for m in msgs)
+    assert any("10.00% are allowed" in m["message"] for m in msgs)
 
 
 def test_trend(spark):
