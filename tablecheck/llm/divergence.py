@@ -118,7 +118,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
 def distance(counts: str, total: str, reference: list[float]) -> Column:
     """Jensen-Shannon distance of a histogram column from fixed shares; 1 for an empty histogram."""
     def term(n: Column, q: Column) -> Column:
-        p = n / F.col(total)
+        p = F.try_divide(n, F.col(total))
         return (F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
                 + F.when(q > 0, q * F.log2(2 * q / (p + q))).otherwise(0.0))
 
@@ -150,7 +150,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_d
     """``id``, base counts, ``class_distance``, ``word_distance``, ``base_failed`` and ``kept`` for each row."""
     rows = language_distances(base_counts(docs, id_col, text_col))
     failed = (F.col("n_words") < MIN_BASE_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    bound = max_distance * (1 + GUARD_WORDS / F.col("n_words"))
+    bound = max_distance * (1 + GUARD_WORDS / F.greatest(F.col("n_words"), F.lit(1)))
     near = (F.col("n_words") < MIN_WORDS) | ((F.col("class_distance") + F.col("word_distance")) / 2 <= bound)
     return rows.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        failed.alias("base_failed"), (~failed & near).alias("kept"), "class_distance", "word_distance")

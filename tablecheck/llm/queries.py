@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .boosting import classify_quality
 from .common import read_table
+from . import divergence as D
 from .divergence import judge
 from .factorization import classify_toxicity
 from .lines import dedup_lines
@@ -33,7 +34,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(read_table(spark, sf_dir, "documents"))
+    judged = judge(read_table(spark, sf_dir, "documents"))
+    return judged.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +79,72 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
 }
 
+# Word lists, item windows with their place, every document window that equals one; a document word is hit
+# if a window covers it, and consecutive windows of one item make one verbatim match.
+_OP2_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (SELECT item, least(10, len(w)) AS k, w, unnest(range(1, CAST(len(w) - least(10, len(w)) + 2 AS BIGINT))) AS q FROM i WHERE len(w) > 0),
+win AS (SELECT item, k, q, array_to_string(w[q:q + k - 1], ' ') AS g FROM iw),
+ks AS (SELECT DISTINCT k FROM win),
+dw AS (SELECT doc_id, k, w, unnest(range(1, CAST(len(w) - k + 2 AS BIGINT))) AS p FROM d, ks WHERE len(w) >= k),
+m AS (SELECT dw.doc_id, dw.p, dw.k, win.item, win.q FROM dw JOIN win ON win.k = dw.k AND win.g = array_to_string(dw.w[dw.p:dw.p + dw.k - 1], ' ')),
+hit AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS x FROM m) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY 1),
+run AS (SELECT doc_id, k, p - row_number() OVER (PARTITION BY doc_id, k, item, q - p ORDER BY p) AS island, item, q - p AS diagonal FROM m),
+best AS (SELECT doc_id, max(n) AS longest_match FROM (SELECT doc_id, count(*) + k - 1 AS n FROM run GROUP BY doc_id, k, item, diagonal, island) GROUP BY 1)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated, longest_match
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+
+def _js_sql(column: str, references: list[list[float]]) -> str:
+    """The least Jensen-Shannon distance of a list of shares from the references."""
+    def one(reference):
+        terms = []
+        for k, q in enumerate(reference, 1):
+            terms.append(f"CASE WHEN {column}[{k}] > 0 THEN {column}[{k}] * log2(2 * {column}[{k}] / ({column}[{k}] + {q!r})) ELSE 0 END")
+            if q:
+                terms.append(f"{q!r} * log2(2 * {q!r} / ({column}[{k}] + {q!r}))")
+        return f"sqrt(greatest(({' + '.join(terms)}) / 2, 0))"
+    return f"least({', '.join(one(r) for r in references)})"
+
+
+def _op4_sql() -> str:
+    words = D._WORD_NAMES
+    without = lambda p: f"length(text) - length(regexp_replace(text, '{p}', '', 'g'))"
+    punctuation = "[!\"''()+,./:;=?@\\\\\\[\\]^_`{}~-]"
+    counts = ", ".join(f"len(list_filter(w, lambda x: lower(x) = '{v}'))" for v in words)
+    class_js = _js_sql("cp", [D._class_reference(n) for n in D.CHARACTER_CLASSES])
+    word_js = _js_sql("wp", [D._word_reference(n) for n in D.COMMON_WORDS])
+    white = "[\\x20\\x09-\\x0D]"
+    return f"""
+WITH b AS (SELECT doc_id, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '{white}+'), lambda x: x <> '') AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^{white[1:]}')) AS fl FROM documents),
+g AS (SELECT doc_id, p, array_to_string(w[p:p + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM b WHERE len(w) >= 3)),
+r AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS x FROM
+  (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1) GROUP BY 1),
+c AS (SELECT b.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(text) AS n,
+  len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(fl) - len(list_distinct(fl)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+  {without('[A-Z]')} AS up, {without('[^\\x00-\\x7F]')} AS oth, {without('[0-9]')} AS dig, {without(punctuation)} AS pun,
+  [{counts}] AS cw FROM b LEFT JOIN r USING (doc_id)),
+s AS (SELECT *, list_transform([n - up - oth - dig - (n - word_chars) - n_symbols - pun, up, oth, dig, n - word_chars, n_symbols, pun],
+    lambda x: x / CAST(n AS DOUBLE)) AS cp,
+  list_transform(list_append(cw, n_words - list_sum(cw)), lambda x: x / CAST(n_words AS DOUBLE)) AS wp FROM c),
+j AS (SELECT *, CASE WHEN n > 0 THEN {class_js} ELSE 1.0 END AS class_distance,
+  CASE WHEN n_words > 0 THEN {word_js} ELSE 1.0 END AS word_distance,
+  n_words < {D.MIN_BASE_WORDS} OR 100 * n_repeat_words > {D.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (n_words < {D.MIN_WORDS} OR (class_distance + word_distance) / 2 <= {D.MAX_DISTANCE} * (1 + {D.GUARD_WORDS} / CAST(n_words AS DOUBLE))) AS kept,
+  round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM j"""
+
+
 ORACLES = {
+    "op4_quality_rules": _op4_sql(),
+    "op2_decontaminate": _OP2_SQL,
     "op7_line_dedup": """
 WITH lines AS (
   SELECT doc_id, t.pos, t.line,
