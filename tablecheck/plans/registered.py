@@ -763,34 +763,23 @@ def event_documents(spark, sf_dir) -> DataFrame:
         F.when(ok, F.from_json("props", "k bigint")).alias("payload"))
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def _event_json_dir(spark, sf_dir):
-    d = scratch_path(spark, "event_logs")
-    FS.write_json_documents(event_documents(spark, sf_dir), d)
-    return d
+    """The event documents as JSON Lines, written once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        d = scratch_path(spark, "event_logs")
+        FS.write_json_documents(event_documents(spark, sf_dir), d)
+        _WRITTEN[key] = d
+    return _WRITTEN[key]
 
 
 def _event_docs(spark, sf_dir):
     return FS.scan_json_files(spark, _event_json_dir(spark, sf_dir), "*.json", mode="lines")
 
 
-@register("json_dir_exists")
-def json_dir_exists(spark, sf_dir):
-    return FS.directory_status(spark, _event_json_dir(spark, sf_dir)).drop("path")
-
-
-@register("json_file_count")
-def json_file_count(spark, sf_dir):
-    m = FS.file_manifest(spark, _event_json_dir(spark, sf_dir), "*.json")
-    first = m.orderBy("file_name").limit(5).agg(F.array_join(F.array_sort(F.collect_list("file_name")), ",")
-                                                 .alias("sample"))
-    return first.select(m.select(F.count(F.lit(1))).scalar().alias("json_files"), "sample")
-
-
-@register("file_manifest")
-def file_manifest(spark, sf_dir):
-    return FS.file_manifest(spark, _event_json_dir(spark, sf_dir), "*.json").drop("modification_time", "file_path")
-
-
 @register("json_dir_scan",
           "SELECT event_id, true AS valid_json, CASE WHEN event_type = 'error' THEN "
           f"{O.q(','.join(EVENT_DOC_KEYS[1:]))} ELSE '' END AS missing_keys, "
@@ -885,41 +874,6 @@ def results_sink(spark, sf_dir):
 SYNTH_AS_OF = "2024-02-01 00:00:00"
 
 
-@register("synth_transactions")
-def synth_transactions(spark, sf_dir):
-    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
-    return SY.generate_transactions(spark, ids=ids, as_of=SYNTH_AS_OF, with_fault_kind=True)
-
-
-@register("synth_user_profiles")
-def synth_user_profiles(spark, sf_dir):
-    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    return SY.generate_users(spark, ids=ids, as_of=SYNTH_AS_OF, with_fault_kind=True)
-
-
-@register("synth_event_logs")
-def synth_event_logs(spark, sf_dir):
-    """Generate one log document per event id, write JSON Lines, read back, check keys."""
-    ids = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
-    d = scratch_path(spark, "synth_event_logs")
-    FS.write_json_documents(SY.generate_event_logs(spark, ids=ids, as_of=SYNTH_AS_OF), d)
-    docs = FS.scan_json_files(spark, d, "*.json", mode="lines")
-    keys = EXAMPLE_REGISTRY["tables"]["event_logs"]["validations"]["metadata_keys"]["required"]
-    return FC.required_keys_check(docs, "value", keys, "event_logs")
-
-
-@register("synth_suite")
-def synth_suite(spark, sf_dir):
-    """The example registry's rules on generated transactions and users: the
-    fault rates found equal the injected ones."""
-    reg = Registry(EXAMPLE_REGISTRY)
-    # generated relative to now: the registry rules compare with current_timestamp()
-    txn = SY.generate_transactions(spark, ids=table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
-    usr = SY.generate_users(spark, ids=table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")))
-    return union_all([FusedCheck(txn, reg.table_rules("transactions")).validation_results(),
-                      FusedCheck(usr, reg.table_rules("user_profiles")).validation_results()])
-
-
 # -- T1..T4: streaming -----------------------------------------------------------------
 
 

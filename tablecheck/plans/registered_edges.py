@@ -12,16 +12,18 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import files as FC
 from ..operators.gate import TableSpec, stop_decision
 from ..operators.validate import FusedCheck
 from ..rules import in_range
 from ..session import scratch_path
 from ..sources import files as FS
+from ..sources import synth as SY
 from ..sources.tables import append_table, create_table, default_interval, incremental_slice
 from ..streaming import hourly as ST
 from . import oracle_sql as O
 from .registered import LINEITEM_PLAIN, _windowed_sql, register
-from .registry import Registry
+from .registry import EXAMPLE_REGISTRY, Registry
 from .registry_run import run_registry
 from .run import run_suite
 from .testdata_checks import CUSTOMER, EVENTS, Check, Suite, table, union_all
@@ -179,6 +181,103 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "file_is_folder": F.lit(file["is_directory"]), "other_exists": F.lit(other["exists"])})
 
 
+@register("json_dir_exists",
+          "SELECT * FROM (VALUES ('input', true, true), ('none', false, false)) AS t(place, \"exists\", is_directory)")
+def json_dir_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directory status of the input folder, and of one that is not there."""
+    places = {"input": sf_dir, "none": f"{sf_dir}/no_such_folder"}
+    return union_all([FS.directory_status(spark, p).select(F.lit(n).alias("place"), "exists", "is_directory") for n, p in places.items()])
+
+
+@register("json_file_count", "SELECT count(*) + 1 AS json_files FROM supplier")
+def json_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FS.file_manifest(spark, _supplier_files(spark, sf_dir), "*.json").agg(F.count(F.lit(1)).alias("json_files"))
+
+
+@register("file_manifest",
+          "SELECT file_size, count(*) AS files FROM (SELECT CAST(strlen('{\"s_suppkey\":' || s_suppkey || ',\"n_bytes\":' || strlen(s_name) "
+          "|| '}') + 1 AS BIGINT) AS file_size FROM supplier UNION ALL SELECT 0) GROUP BY 1")
+def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by size, the empty one included."""
+    return FS.file_manifest(spark, _supplier_files(spark, sf_dir), "*.json").groupBy("file_size").agg(F.count(F.lit(1)).alias("files"))
+
+
+# -- generated data: faults found against faults injected --------------------------------
+
+AS_OF = "2024-03-01 00:00:00"
+TXN_FOUND = {"null": "user_id IS NULL", "range": "amount < 0.01", "regex_id": "NOT transaction_id RLIKE '^TXN[0-9]{10}$'",
+             "regex_status": "status = 'UNKNOWN'", "future": f"transaction_timestamp > timestamp'{AS_OF}'"}
+USER_FOUND = {"null": "email IS NULL", "range_age": "age > 120", "range_balance": "account_balance < 0",
+              "regex_id": "NOT user_id RLIKE '^USR[0-9]{8}$'", "regex_email": "email = 'not-email'"}
+
+
+def _fault_rows(df: DataFrame, found: dict[str, str]) -> DataFrame:
+    """Per fault kind: rows, whether the rule finds what was injected, whether faults are 5 % give or take."""
+    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count("fault_kind").alias("faulty"),
+                    *[F.count_if(F.col("fault_kind") == k).alias(f"i_{k}") for k in found],
+                    *[F.count_if(F.expr(e)).alias(f"f_{k}") for k, e in found.items()])
+    rows = F.array(*[F.struct(F.lit(k).alias("fault_kind"), (F.col(f"i_{k}") == F.col(f"f_{k}")).alias("equal")) for k in found])
+    rate = F.col("faulty") / F.col("total")
+    return counts.select("total", rate.between(0.02, 0.08).alias("rate_ok"), F.inline(rows)).select("fault_kind", "total", "equal", "rate_ok")
+
+
+def _fault_sql(found: dict[str, str], source: str) -> str:
+    kinds = ", ".join(f"('{k}')" for k in found)
+    return f"SELECT fault_kind, (SELECT count(*) FROM {source}) AS total, true AS equal, true AS rate_ok FROM (VALUES {kinds}) AS k(fault_kind)"
+
+
+@register("synth_transactions", _fault_sql(TXN_FOUND, "orders"))
+def synth_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return _fault_rows(SY.generate_transactions(spark, ids=ids, as_of=AS_OF, with_fault_kind=True), TXN_FOUND)
+
+
+@register("synth_user_profiles", _fault_sql(USER_FOUND, "customer"))
+def synth_user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    return _fault_rows(SY.generate_users(spark, ids=ids, as_of=AS_OF, with_fault_kind=True), USER_FOUND)
+
+
+@register("synth_event_logs", "SELECT 'event_logs' AS table_name, count(*) AS total_files, true AS rate_ok, true AS passed FROM events")
+def synth_event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log document per event id, written as JSON Lines, read back and checked."""
+    ids = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    path = scratch_path(spark, "synth_event_logs")
+    FS.write_json_documents(SY.generate_event_logs(spark, ids=ids, as_of=AS_OF), path)
+    keys = EXAMPLE_REGISTRY["tables"]["event_logs"]["validations"]["metadata_keys"]["required"]
+    r = FC.required_keys_check(FS.scan_json_files(spark, path, "*.json", mode="lines"), "value", keys, "event_logs")
+    return r.select("table_name", "total_files", F.col("violation_percentage").between(0.02, 0.08).alias("rate_ok"), "passed")
+
+
+#: Fault kinds that each rule family of the example registry finds.
+FAMILY_FAULTS = {"transactions": {"not_null": ["null"], "range": ["range"], "regex": ["regex_id", "regex_status"], "cross_column": ["future"]},
+                 "user_profiles": {"not_null": ["null"], "range": ["range_age", "range_balance"], "regex": ["regex_id", "regex_email"],
+                                   "cross_column": []}}
+
+
+@register("synth_suite",
+          " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{f}' AS validation_type, count(*) AS total_rows, true AS found_as_injected, "
+                             f"true AS passed FROM {src}" for t, src in (("transactions", "orders"), ("user_profiles", "customer"))
+                             for f in FAMILY_FAULTS[t]))
+def synth_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The example registry's rules on generated tables find exactly the injected faults."""
+    reg = Registry(EXAMPLE_REGISTRY)
+    # generated relative to now: the registry's rules compare with the current time
+    tables = {"transactions": SY.generate_transactions(spark, ids=table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")),
+                                                       with_fault_kind=True),
+              "user_profiles": SY.generate_users(spark, ids=table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")),
+                                                 with_fault_kind=True)}
+    parts = []
+    for name, df in tables.items():
+        results = FusedCheck(df.drop("fault_kind"), reg.table_rules(name)).validation_results()
+        families = FAMILY_FAULTS[name]
+        injected = df.agg(*[F.count_if(F.col("fault_kind").isin(kinds)).alias(f) for f, kinds in families.items()])
+        rows = injected.select(F.inline(F.array(*[F.struct(F.lit(f).alias("validation_type"), F.col(f).alias("injected")) for f in families])))
+        parts.append(results.join(rows, "validation_type").select(
+            "table_name", "validation_type", "total_rows", (F.col("total_violations") == F.col("injected")).alias("found_as_injected"), "passed"))
+    return union_all(parts)
+
+
 # -- time ----------------------------------------------------------------------------
 
 OFFSET_SLICE = ("2024-01-15T09:00:00+09:00", "2024-01-16T09:00:00+09:00")
@@ -249,8 +348,6 @@ def global_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
           "SELECT 'append', count(*), count(*) FROM customer")
 def seed_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An initial load over the orders' ids, then an appended batch over the customers'."""
-    from ..sources import synth as SY
-
     path = scratch_path(spark, "seeded")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))

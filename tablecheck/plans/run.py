@@ -9,6 +9,7 @@ rows and are never scanned.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,29 @@ SKIPPED_DDL = ("table_name string, validation_type string, rule_name string, sta
 
 @dataclass
 class SuiteRun:
+    """A gated run; each result frame is planned when it is first asked for."""
+
     gate: DataFrame
-    rule_results: DataFrame
-    validation_results: DataFrame
+    checks: list[FusedCheck]
     skipped: DataFrame
     states: list[GateState]
+    max_workers: int = 8
+
+    @cached_property
+    def rule_results(self) -> DataFrame:
+        spark = self.skipped.sparkSession
+        rows = _map_threads(lambda c: c.rule_results(), self.checks, self.max_workers)
+        skipped = self.skipped.select(
+            "table_name", "validation_type", "rule_name",
+            F.lit(None).cast("bigint").alias("total_rows"), F.lit(None).cast("bigint").alias("violations"),
+            "status", F.col("reason").alias("error"))
+        return _union(rows, spark.createDataFrame([], RULE_RESULT_SCHEMA)).unionByName(skipped)
+
+    @cached_property
+    def validation_results(self) -> DataFrame:
+        spark = self.skipped.sparkSession
+        rows = _map_threads(lambda c: c.validation_results(), self.checks, self.max_workers)
+        return _union(rows, spark.createDataFrame([], VALIDATION_RESULT_SCHEMA))
 
 
 def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
@@ -95,22 +114,7 @@ def run_suite(spark: SparkSession, tables: Sequence[tuple[TableSpec, TableRules]
         check = FusedCheck(df, rules, on_error, isolate=isolate_tables)
         if isolate_tables:
             check.materialize()
-        return check.rule_results(), check.validation_results()
-
-    built = _map_threads(build, open_pairs, max_workers)
-    rule_frames = [r for r, _ in built]
-    val_frames = [v for _, v in built]
-    skipped = spark.createDataFrame(skipped_rows, SKIPPED_DDL)
-    skipped_as_results = skipped.select(
-        "table_name", "validation_type", "rule_name",
-        F.lit(None).cast("bigint").alias("total_rows"), F.lit(None).cast("bigint").alias("violations"),
-        "status", F.col("reason").alias("error"))
-    empty_rules = spark.createDataFrame([], RULE_RESULT_SCHEMA)
-    empty_vals = spark.createDataFrame([], VALIDATION_RESULT_SCHEMA)
-    return SuiteRun(
-        gate=gate_frame(spark, states),
-        rule_results=_union(rule_frames, empty_rules).unionByName(skipped_as_results),
-        validation_results=_union(val_frames, empty_vals),
-        skipped=skipped,
-        states=states,
-    )
+        return check
+
+    checks = _map_threads(build, open_pairs, max_workers)
+    return SuiteRun(gate_frame(spark, states), checks, spark.createDataFrame(skipped_rows, SKIPPED_DDL), states, max_workers)
