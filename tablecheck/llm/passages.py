@@ -1,7 +1,8 @@
-"""Substring dedup by hashing lines, cut at sentence ends.
+"""Substring dedup by hashing lines, cut at punctuation.
 
-Units are the sentences of each line, short ones joined with the next up to
-``UNIT_WORDS`` words: a passage that was pasted into a longer line or paragraph
+Units are the parts of each line between sentence ends, commas, colons and
+semicolons, short ones joined with the next up to ``UNIT_WORDS`` words: a passage
+that was pasted into a longer line or paragraph, or begins within a sentence,
 still gives whole units.  A unit is normalised (lower case,
 words only), hashed, and grouped over all documents; its earliest occurrence
 (least id, then first place) stays.  Later occurrences are removed where they
@@ -34,7 +35,7 @@ from .lines import NO_ID
 
 MIN_WORDS = 20
 UNIT_WORDS = 4
-_UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)\s*|\n\s*|\Z)")
+_UNIT = re.compile(r"[^\n]*?(?:[.!?,;:]+(?=\s)\s*|\n\s*|\Z)")
 _WORD = re.compile(r"\w+")
 
 
