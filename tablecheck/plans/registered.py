@@ -1074,16 +1074,19 @@ def _reg_structured_sources(sf_dir):
 
 
 def _rule_rows_sql():
-    reg = Registry(TESTDATA_REGISTRY)
+    """The registry document's rules as literals, read from the document itself."""
+    def row(table_name, family, name, column=None, lo=None, hi=None, pattern=None, expr=None, description=""):
+        number = lambda x: "CAST(NULL AS DOUBLE)" if x is None else f"CAST({x!r} AS DOUBLE)"
+        return (f"({O.q(table_name)}, {O.q(family)}, {O.q(name)}, {O.q(column)}, {number(lo)}, {number(hi)}, {O.q(None)}, {O.q(None)}, "
+                f"{O.q(pattern)}, {O.q(expr)}, {O.q(description)})")
+
     rows = []
-    for tr in reg.all_table_rules():
-        for r in tr.rules:
-            d = r.as_row(tr.table_name)
-            num = lambda x: "CAST(NULL AS DOUBLE)" if x is None else f"CAST({x!r} AS DOUBLE)"
-            rows.append(f"({O.q(d['table_name'])}, {O.q(d['validation_type'])}, {O.q(d['rule_name'])}, "
-                        f"{O.q(d['column'])}, {num(d['min'])}, {num(d['max'])}, {O.q(d['min_text'])}, {O.q(d['max_text'])}, "
-                        f"{O.q(d['pattern'])}, "
-                        f"{O.q(d['expression'])}, {O.q(d['description'])})")
+    for name, conf in TESTDATA_REGISTRY["tables"].items():
+        v = conf["validations"]
+        rows += [row(name, "not_null", c, c) for c in v.get("not_null", {}).get("columns", [])]
+        rows += [row(name, "range", c, c, b.get("min"), b.get("max")) for c, b in v.get("range", {}).items()]
+        rows += [row(name, "regex", c, c, pattern=p) for c, p in v.get("regex", {}).items()]
+        rows += [row(name, "cross_column", r["name"], expr=r["expression"], description=r["description"]) for r in v.get("cross_column", [])]
     return ("(VALUES " + ", ".join(rows) + ") AS r(table_name, validation_type, rule_name, \"column\", "
             "\"min\", \"max\", min_text, max_text, pattern, expression, description)")
 
