@@ -73,18 +73,6 @@ def statistics(text: bytes | None) -> list[float]:
     ]
 
 
-def with_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id`` and the statistics of each row, as an array."""
-    schema = pa.schema([("id", pa.int64()), ("x", pa.list_(pa.float64()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield batch_of(schema, b.column(0), [statistics(t) for t in column(b, "text")])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "id long, x array<double>")
-
-
 @dataclass
 class Trees:
     """All trees in arrays of (tree, node); node k's children are 2k+1 and 2k+2."""

@@ -46,7 +46,6 @@ MIN_PAGES, MIN_CLASS = 3, 3
 
 # HTML element names by behaviour.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-RAW = set("script style".split())
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
             "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot "
             "th thead title tr ul".split())
