@@ -166,15 +166,17 @@ def gate_from_checks(checks: DataFrame) -> DataFrame:
                                                    F.col("check_name")))).alias("failed_checks")))
 
 
-def stop_decision(validation_results: DataFrame, gate: DataFrame, policies: DataFrame) -> DataFrame:
+def stop_decision(validation_results: DataFrame, gate: DataFrame, policies: DataFrame,
+                  rows: int | None = None) -> DataFrame:
     """Per table: ``stop`` when a failure hits a stop policy, else ``warn``/``continue``.
 
-    ``policies``: ``(table_name, metadata_stop_on_failure, data_stop_on_threshold)``.
+    ``policies``: ``(table_name, metadata_stop_on_failure, data_stop_on_threshold)``;
+    ``rows``: the number of gate rows, if known.
     """
     data = (validation_results.groupBy("table_name")
             .agg(F.bool_and("passed").alias("data_passed")))
     # policies and gate are configuration-sized: size-checked broadcast
-    j = (join_small(policies, gate.select("table_name", "is_open"), "table_name", "left")
+    j = (join_small(policies, gate.select("table_name", "is_open"), "table_name", "left", rows)
          .join(data, "table_name", "left"))
     meta_ok = F.coalesce(F.col("is_open"), F.lit(False))
     data_ok = F.coalesce(F.col("data_passed"), F.lit(True))

@@ -2,9 +2,10 @@
 
 Frames built on the driver (``createDataFrame`` of configuration rows) carry no
 size statistics, so the planner cannot prove them small and plans a
-sort-merge join.  ``join_small`` broadcasts such a frame only after checking
-its row count (given by the caller when known, counted otherwise) against a
-bound, and falls back to an ordinary shuffle join beyond it.
+sort-merge join.  ``join_small`` broadcasts such a frame when its caller knows
+its row count and the bytes that follow from it are under a bound; otherwise
+the join is planned by Spark from its own statistics.  Nothing is counted while
+a plan is built.
 """
 
 from __future__ import annotations
@@ -14,15 +15,22 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed bound: at most this many configuration rows are broadcast.
-BROADCAST_MAX_ROWS = 100_000
+# Fixed bound: at most this many bytes of configuration rows are broadcast.
+BROADCAST_MAX_BYTES = 16 << 20
+#: Bytes reckoned for a value without a fixed width (names, messages, expressions).
+TEXT_BYTES = 200
+
+
+def reckoned_bytes(df: DataFrame, rows: int) -> int:
+    """An estimate on the high side of a configuration frame's size."""
+    fixed = {"boolean": 1, "int": 4, "bigint": 8, "double": 8, "date": 4, "timestamp": 8}
+    return rows * sum(fixed.get(t, TEXT_BYTES) + 8 for _, t in df.dtypes)
 
 
 def join_small(left: DataFrame, right: DataFrame, on, how: str = "left", rows: int | None = None,
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``left.join(right)`` with ``right`` broadcast when it has at most ``max_rows`` rows."""
-    n = rows if rows is not None else right.count()
-    if n <= max_rows:
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``left.join(right)``, with ``right`` broadcast when its known ``rows`` stay under ``max_bytes``."""
+    if rows is not None and reckoned_bytes(right, rows) <= max_bytes:
         right = F.broadcast(right)
     return left.join(right, on, how)
 

@@ -127,9 +127,10 @@ def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str
     empty = spark.createDataFrame([], VALIDATION_RESULT_SCHEMA)
     files = [file_results_as_validation(f) for f in file_frames]
     results = _union([suite.validation_results, *files], empty).select(*VALIDATION_RESULT_COLUMNS)
+    n_tables = len(registry.get_all_tables())
     gates = suite.gate.select("table_name", "is_open").unionByName(file_gate.select("table_name", "is_open"))
     policies = registry.tables_df(spark).select("table_name", "metadata_stop_on_failure", "data_stop_on_threshold")
-    return RegistryRun(suite, file_gate, results, stop_decision(results, gates, policies))
+    return RegistryRun(suite, file_gate, results, stop_decision(results, gates, policies, rows=n_tables))
 
 
 def _file_metadata_rows(meta: DataFrame, name: str, required, lo, hi, allowed) -> DataFrame:

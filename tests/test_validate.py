@@ -149,8 +149,9 @@ def test_thresholds_by_dict_and_by_frame(spark):
     frame = spark.createDataFrame([("a", 0.5)], "table_name string, threshold double")
     by_frame = {r["table_name"]: r["passed"] for r in rollup_rule_results(rr, frame).collect()}
     assert by_frame == by_dict
-    assert "BroadcastHashJoin" in _plan(join_small(rr, frame, "table_name"))
-    assert "BroadcastHashJoin" not in _plan(join_small(rr, frame, "table_name", max_rows=0))
+    assert "BroadcastHashJoin" in _plan(join_small(rr, frame, "table_name", rows=1))
+    assert "BroadcastHashJoin" not in _plan(join_small(rr, frame, "table_name", rows=10**9))
+    assert "BroadcastHashJoin" not in _plan(join_small(rr, frame, "table_name"))
 
 
 def test_per_rule_sample_limits_before_the_shuffle(spark):
