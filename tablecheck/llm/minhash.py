@@ -12,8 +12,9 @@
    near the others.  Pairs are confirmed on the full sets and linked.
 5. Buckets that still hold several components get further rounds: the next
    most central node of the largest component against the nodes outside it,
-   and that of the other nodes against all that are not its own.  It ends when
-   a round adds no link.  No bucket, partner or candidate is capped.
+   and that of the other nodes against all that are not its own.  Links of a
+   round join components by their labels.  It ends when a round adds no link.
+   No bucket, partner or candidate is capped.
 
 A pair at similarity s meets in a bucket with probability
 1 - (1 - s^rows)^bands: 0.999995 at 0.75 with 32 bands of 4.
@@ -170,38 +171,36 @@ def _alike(a: Column, b: Column, percent: int) -> Column:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (``a, b``) whose full sets are similar enough."""
+    """The rows of ``pairs`` (``a, b`` and more) whose full sets are similar enough."""
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    return both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select(*pairs.columns)
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """``node, component`` (the least node reachable) of an edge list ``a, b``, by alternating large and small stars.
+    """``node, component`` (the least node reachable) of an edge list ``a, b``.
 
-    Every step is an aggregate and a join on the node; the edge list is written
-    to the checkpoint folder after each round.
+    Each step lets every node hand the least node it knows to its neighbours
+    and to itself, one aggregate and one join on the node, until all edges lead
+    to the least node of their component.  The edge list is written to the
+    checkpoint folder after each step.
     """
-    edges = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .filter("u <> v").distinct(), name)
-    print_of = F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
-    before = edges.agg(print_of).first()[0]
-    while True:
+    edges = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), name)
+    while not _are_stars(edges):
         both = edges.union(edges.select("v", "u").toDF("u", "v"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")),
-                                                                F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")) \
-            .select("e.*").filter("u <> v").distinct()
-        edges = materialise(small, name)
-        after = edges.agg(print_of).first()[0]
-        if after == before:
-            break
-        before = after
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")) \
-        .union(edges.select("v", "v").distinct())
+        handed = both.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m"))
+        edges = materialise(handed.filter("u <> v").distinct(), name)
+    return edges.toDF("node", "component").union(edges.select("v", "v").distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Every node on the larger end of an edge has that one edge, and its smaller end is on no larger end."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("large"), F.lit(0).alias("small")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("x").agg(F.sum("large").alias("large"), F.max("small").alias("small"))
+    return seen.filter("large > 1 OR large = 1 AND small = 1").isEmpty()
 
 
 def _star_pairs(seen: DataFrame, used: DataFrame | None, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -217,8 +216,11 @@ def _star_pairs(seen: DataFrame, used: DataFrame | None, percent: int) -> tuple[
         centres = free.groupBy("bucket", (F.col("component") == F.col("largest")).alias("inside")).agg(F.max(who).alias("c"))
     centres = materialise(centres.select("bucket", "c"), "star_centres")
     pairs = mixed.join(centres, "bucket").filter((F.col("component") != F.col("c.component")) & _alike(F.col("n"), F.col("c.n"), percent))
-    return (centres.select("bucket", F.col("c.node").alias("node")),
-            pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
+    first = F.col("node") < F.col("c.node")
+    ends = [F.when(first, x).otherwise(y).alias(name) for x, y, name in (
+        (F.col("node"), F.col("c.node"), "a"), (F.col("c.node"), F.col("node"), "b"),
+        (F.col("component"), F.col("c.component"), "of_a"), (F.col("c.component"), F.col("component"), "of_b"))]
+    return centres.select("bucket", F.col("c.node").alias("node")), pairs.select(*ends).distinct()
 
 
 def link_nodes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
@@ -231,7 +233,7 @@ def link_nodes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     buckets = buckets.select("bucket", "node")
     sets = materialise(node_sets(docs, classes.join(state.select("node"), "node", "left_semi").select("node", "id"),
                                  id_col, text_col, size), "node_sets")
-    used = checked = links = None
+    used = checked = None
     while True:
         centres, pairs = _star_pairs(buckets.join(state, "node"), used, percent)
         if checked is not None:
@@ -240,15 +242,15 @@ def link_nodes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
         found = materialise(confirmed(pairs, sets, percent), "star_links")
         first = used is None
         used = centres if first else used.union(centres)
-        checked = pairs if first else checked.union(pairs)
-        links = found if first else links.union(found)
+        checked = pairs.select("a", "b") if first else checked.union(pairs.select("a", "b"))
         if found.isEmpty():
             if not first:
                 return state.select("node", "component")
             continue
-        grouped = components(links)
-        state = materialise(state.drop("component").join(grouped, "node", "left")
-                            .withColumn("component", F.coalesce("component", "node")), "nodes")
+        # links of this round join the components of the former: only their labels are grouped
+        grouped = components(found.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).toDF("component", "joined")
+        state = materialise(state.join(grouped, "component", "left")
+                            .select("node", "n", "score", F.coalesce("joined", "component").alias("component")), "nodes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS,
