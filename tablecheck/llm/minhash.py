@@ -13,8 +13,11 @@
 5. Buckets that still hold several components get further rounds: the next
    most central node of the largest component against the nodes outside it,
    and that of the other nodes against all that are not its own.  Links of a
-   round join components by their labels.  It ends when a round adds no link.
-   No bucket, partner or candidate is capped.
+   round join components by their labels.  They end when a round adds no link.
+6. Exact finish: two nodes that share a bucket, are not in one component and
+   were never centre there are still open.  All links among such nodes come
+   from one join on the shingles each of them has to share with a partner (the
+   rarest ones, `_prefix_pairs`).  No bucket, partner or candidate is capped.
 
 A pair at similarity s meets in a bucket with probability
 1 - (1 - s^rows)^bands: 0.999995 at 0.75 with 32 bands of 4.
@@ -223,6 +226,46 @@ def _star_pairs(seen: DataFrame, used: DataFrame | None, percent: int) -> tuple[
     return centres.select("bucket", F.col("c.node").alias("node")), pairs.select(*ends).distinct()
 
 
+def _open_nodes(seen: DataFrame, used: DataFrame) -> DataFrame:
+    """``node, n, component`` of the nodes that share a bucket with an unchecked node of another component.
+
+    A centre met every other component of its bucket, so only nodes that were no centre there are open.
+    """
+    free = seen.join(used, ["bucket", "node"], "left_anti")
+    mixed = free.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    return free.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "n", "component").distinct()
+
+
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``nodes`` in different components among which are all that are similar enough.
+
+    Shingles are ordered by the number of nodes that hold them, rarest first.
+    What two sets share lies at or after their first common shingle in both
+    orders: it has to leave room for the whole overlap that the similarity
+    needs.  Shingles of a single node take up room and are never joined.
+    """
+    held = materialise(sets.join(nodes, "node"), "open_sets")
+    each = held.select("node", F.explode("shingles").alias("shingle"))
+    count = each.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1")
+    common = each.join(count, "shingle").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("common"))
+    placed = nodes.join(common, "node").select("node", "n", "component", F.posexplode("common").alias("k", "c"), F.size("common").alias("m"))
+    # room: shingles of the node from this one on
+    first = placed.withColumn("room", F.col("m") - F.col("k")).filter(100 * F.col("room") >= percent * F.col("n"))
+    first = materialise(first.select("node", "n", "component", "room", F.col("c.shingle").alias("shingle")), "open_prefixes")
+    a, b = (first.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "component", "room")]) for side in "ab")
+    fits = (100 + percent) * F.least("room_a", "room_b") >= percent * (F.col("n_a") + F.col("n_b"))
+    pairs = a.join(b, "shingle").filter((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & fits)
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"),
+                        F.col("component_a").alias("of_a"), F.col("component_b").alias("of_b")).distinct()
+
+
+def _joined(state: DataFrame, found: DataFrame) -> DataFrame:
+    """``state`` with the components that the links ``found`` join: only the labels are grouped."""
+    grouped = components(found.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).toDF("component", "joined")
+    return materialise(state.join(grouped, "component", "left")
+                       .select("node", "n", "score", F.coalesce("joined", "component").alias("component")), "nodes")
+
+
 def link_nodes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """``node, component`` of the classes that share a bucket with another class."""
     placed = classes.select("node", "n", F.explode("bands").alias("bucket"))
@@ -243,14 +286,17 @@ def link_nodes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
         first = used is None
         used = centres if first else used.union(centres)
         checked = pairs.select("a", "b") if first else checked.union(pairs.select("a", "b"))
-        if found.isEmpty():
-            if not first:
-                return state.select("node", "component")
-            continue
-        # links of this round join the components of the former: only their labels are grouped
-        grouped = components(found.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).toDF("component", "joined")
-        state = materialise(state.join(grouped, "component", "left")
-                            .select("node", "n", "score", F.coalesce("joined", "component").alias("component")), "nodes")
+        if not found.isEmpty():
+            state = _joined(state, found)
+        elif not first:
+            break
+    nodes = materialise(_open_nodes(buckets.join(state, "node"), used), "open_nodes")
+    if not nodes.isEmpty():
+        pairs = _prefix_pairs(nodes, sets, percent).join(checked, ["a", "b"], "left_anti")
+        found = materialise(confirmed(materialise(pairs, "open_pairs"), sets, percent), "open_links")
+        if not found.isEmpty():
+            state = _joined(state, found)
+    return state.select("node", "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS,

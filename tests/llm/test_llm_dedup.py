@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import random
 import re
 
 import pytest
@@ -99,6 +100,27 @@ def test_near_duplicates_drop(spark):
     assert sorted(r[0] for r in out.filter("doc_id IS NOT NULL").collect()) == sorted({r[0] for r in brute_near(rows) if r[3] and r[0] is not None})
 
 
+def family_rows(n=80, words=600):
+    """Texts of one template, far from each other, and a pair that lacks the same parts: alike, but never central."""
+    rng = random.Random(3)
+    edits = [rng.sample(range(10, words - 10, 5), 12) for _ in range(n)]
+    edits += [[20 + 35 * j for j in range(16)]] * 2
+    rows = []
+    for k, places in enumerate(edits):
+        text = [f"t{i}" for i in range(words)]
+        for place in places:
+            text[place] = f"own{k}x{place}"
+        rows.append((k, " ".join(text), "en", "s", 1, 1, "c", "s", "n"))
+    return rows
+
+
+def test_near_duplicates_in_a_template_family(spark):
+    rows = family_rows()
+    want = brute_near(rows)
+    assert [r[0] for r in want if r[2] != r[0]] == [81]
+    assert sorted_rows(minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3))) == want
+
+
 def test_near_duplicates_empty(spark):
     assert minhash.near_duplicates(empty(spark)).count() == 0
 
