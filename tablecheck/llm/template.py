@@ -65,20 +65,27 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: One attribute after the other: a name, then its value, so that no name is found inside a value or another name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: Their ids are anchors made from a title: inside main text a single word of them marks nothing.
+TITLED = set("h1 h2 h3 h4 h5 h6 section article".split())
 _NAME_WORD = re.compile(r"[a-z0-9]+")
 
 
-def _marks(attrs: str) -> tuple[str, bool]:
+def _marks(attrs: str, tag: str = "", main: bool = False) -> tuple[str, bool]:
     """The class and id of an element as a path part, and whether they mark it as idle."""
     names, idle = [], False
     for m in _ATTRIBUTE.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if key == "hidden":
             idle = True
-        else:
+        elif key in ("class", "id", "role"):
             names.append(value)
-            idle = idle or bool(IDLE_WORDS.intersection(_NAME_WORD.findall(value)))
+            words = [w for w in _NAME_WORD.findall(value) if not w.isdigit()]
+            if key == "id" and tag in TITLED and (main or tag == "article"):
+                idle = idle or tag in ("section", "article") and bool(words) and IDLE_WORDS.issuperset(words)
+            else:
+                idle = idle or bool(IDLE_WORDS.intersection(words))
     return ".".join(names), idle
 
 
@@ -139,7 +146,7 @@ def tokenise(page: str) -> list[Token]:
                 if name in ("div", "ul", "ol", "table", "article", "section", "main", "body", "td", "dl", "nav"):
                     break
             top = stack[-1]
-        names, marked = _marks(m["attrs"]) if m["attrs"].strip() else ("", False)
+        names, marked = _marks(m["attrs"], tag, top.main) if m["attrs"].strip() else ("", False)
         path = f"{top.path}/{tag}.{names}" if names else f"{top.path}/{tag}"
         if tag in ("html", "body", "main"):
             marked = False

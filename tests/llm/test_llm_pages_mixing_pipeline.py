@@ -31,6 +31,19 @@ def test_article_without_its_surroundings(spark):
     assert got[3] == "Tiétle & more\nOne bold word.\nTwo3 <3\na\nb"
 
 
+@pytest.mark.parametrize("attrs", ["style='overflow:hidden'", 'aria-hidden="false"', 'title="the hidden city"', 'data-id="share-42"',
+                                   "data-class=nav", "data-note='x class=menu'"])
+def test_only_exact_attribute_names_count(attrs):
+    none = template.read_template(None)
+    assert template.main_text(f"<article {attrs}><p {attrs}>Body</p></article>", none) == "Body"
+    assert template.main_text("<article><p HIDDEN>a</p><p class=share>b</p><p id='nav'>c</p><p>d</p></article>", none) == "d"
+
+
+def test_ids_of_titles_inside_main_text_stay():
+    page = "<article><h2 id='related-work'>Related work</h2><section id='social-policy'>Policy</section><section id=comments-2>No</section></article>"
+    assert template.main_text(page, template.read_template(None)) == "Related work\nPolicy"
+
+
 def test_template_text_goes_where_there_is_no_article(spark):
     rows = [(i, "http://plain.example/p", page(i, f"<div id=top><span>Welcome to the site</span></div><div id=c><p>Body {i} text</p></div>"),
              None, None, None) for i in range(6)]
