@@ -5,19 +5,22 @@
    vector, its count on each page.  Vectors are compared by sums over pages of
    a hash of page and count; such sums combine map-side, so no host, however
    large, is gathered anywhere.
-2. Tokens of one host with equal vectors form an equivalence class.  Classes of
-   ``MIN_CLASS`` tokens on half of the host's pages (``MIN_PAGES`` at least)
-   make the host's template.  A template is at most twice as large as the
-   host's average page, since each of its tokens is on half of them.
+2. The pages of a host with main text (in an article or main element) and
+   those without are two layouts.  Tokens of one layout with equal vectors form
+   an equivalence class.  Classes of ``MIN_CLASS`` tokens on half of the
+   layout's pages (``MIN_PAGES`` at least) make its template.  A template is at
+   most twice as large as the layout's average page, since each of its tokens
+   is on half of them.
 3. On each page a class is valid if its tokens come in the template's order, as
    often as they repeat, and nested if each of its occurrences lies within one
    slot of every larger valid class.
 4. What is left between the tokens of valid classes are the slots.  Text of
    slots in elements that are not content by name, role or class (menus,
    forms, adverts, reader comments and the like) goes; if the page has an
-   article or main element, only text inside counts, and there repeated text
-   stays, since a passage that many articles share is still the article's.
-   Elsewhere template text goes too.
+   article or main element, only text inside counts.  There a div or section
+   of which all text is template text goes; other repeated text stays, since a
+   title, paragraph or list that many articles share is still the article's,
+   and so does a main text without any slot.  Elsewhere template text goes too.
 
 Character references are decoded, white space in a block is one space, blocks
 are joined by a line feed, and nothing else is dropped.
@@ -43,6 +46,8 @@ from pyspark.sql import functions as F
 from .common import batch_of, column, materialise
 
 MIN_PAGES, MIN_CLASS = 3, 3
+#: So many of the innermost elements around a text are looked at.
+MAX_BOXES = 16
 
 # HTML element names by behaviour.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -97,6 +102,7 @@ class Token:
     space: bool = False  # a line break
     idle: bool = False
     main: bool = False
+    boxes: tuple[int, ...] = ()  # of a text node, the div and section elements around it inside main text
 
 
 @dataclass(slots=True)
@@ -105,6 +111,7 @@ class _Open:
     path: str
     idle: bool
     main: bool
+    boxes: tuple[int, ...] = ()
 
 
 def tokenise(page: str) -> list[Token]:
@@ -124,7 +131,7 @@ def tokenise(page: str) -> list[Token]:
                     out[-1].text += text
                     out[-1].key += piece.strip()
                 else:
-                    out.append(Token(f"{top.path}|{piece.strip()}", text, False, False, top.idle, top.main))
+                    out.append(Token(f"{top.path}|{piece.strip()}", text, False, False, top.idle, top.main, top.boxes))
             continue
         tag = tag.lower()
         block = tag in BLOCK
@@ -154,12 +161,18 @@ def tokenise(page: str) -> list[Token]:
         main = top.main or tag in ("article", "main") and not idle
         out.append(Token(path, None, block, tag == "br"))
         if tag not in VOID and not m["attrs"].endswith("/"):
-            stack.append(_Open(tag, path, idle, main))
+            boxes = (*top.boxes[-MAX_BOXES + 1:], len(out)) if top.main and tag in ("div", "section") else top.boxes
+            stack.append(_Open(tag, path, idle, main, boxes))
     return out
 
 
-def _hash(key: str) -> int:
-    return xxhash.xxh64_intdigest(key.encode("utf-8", "replace")) >> 1
+def _hash(key: str, main: bool = False) -> int:
+    """A token of one of the two layouts of a host."""
+    return xxhash.xxh64_intdigest(key.encode("utf-8", "replace"), seed=int(main)) >> 2 << 1 | main
+
+
+def _has_main(tokens: list[Token]) -> bool:
+    return any(t.main for t in tokens)
 
 
 @dataclass(slots=True)
@@ -187,6 +200,8 @@ _STATS = pa.schema([("host", pa.string()), ("token", pa.int64()), ("pages", pa.i
                     ("print_a", pa.int64()), ("print_b", pa.int64()), ("place", pa.int64())])
 #: The token that stands for the page itself: its count is the host's number of pages.
 PAGE_TOKEN = -1
+#: The same for the pages with main text.
+MAIN_TOKEN = -2
 
 
 def token_vectors(pages: DataFrame) -> DataFrame:
@@ -196,12 +211,13 @@ def token_vectors(pages: DataFrame) -> DataFrame:
         for b in batches:
             seen: dict[tuple[str, int], _Seen] = {}
             for host, key, page in zip(column(b, "host"), column(b, "key"), column(b, "html")):
-                seen.setdefault((host, PAGE_TOKEN), _Seen()).pages += 1
                 counts: dict[int, list[int]] = {}
                 tokens = tokenise(page) if page else []
+                main = _has_main(tokens)
+                seen.setdefault((host, MAIN_TOKEN if main else PAGE_TOKEN), _Seen()).pages += 1
                 for at, t in enumerate(tokens):
                     if t.text is None or not t.text.isspace():
-                        own = counts.setdefault(_hash(t.key), [0, at])
+                        own = counts.setdefault(_hash(t.key, main), [0, at])
                         own[0] += 1
                 for token, (n, at) in counts.items():
                     mark = xxhash.xxh64_intdigest(f"{key} {n}")
@@ -221,10 +237,12 @@ def token_vectors(pages: DataFrame) -> DataFrame:
 def deduce_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS) -> DataFrame:
     """``host, classes``: per host its equivalence classes, each a list of tokens in page order."""
     vectors = materialise(token_vectors(pages).filter((F.col("pages") >= min_pages)), "token_vectors")
-    hosts = vectors.filter(F.col("token") == PAGE_TOKEN).select("host", F.col("pages").alias("host_pages"))
-    common = vectors.filter(F.col("token") != PAGE_TOKEN).join(hosts, "host").filter(2 * F.col("pages") >= F.col("host_pages"))
+    # the last bit of a token is its layout
+    hosts = vectors.filter("token < 0").select("host", (F.col("token") == MAIN_TOKEN).cast("long").alias("main"), F.col("pages").alias("host_pages"))
+    common = vectors.filter("token >= 0").withColumn("main", F.col("token").bitwiseAND(F.lit(1).cast("long"))) \
+        .join(hosts, ["host", "main"]).filter(2 * F.col("pages") >= F.col("host_pages"))
     rank = F.struct((F.col("place") / F.col("pages")).alias("place"), "token")
-    classes = common.groupBy("host", "pages", "total", "print_a", "print_b").agg(F.array_sort(F.collect_list(rank)).alias("tokens")) \
+    classes = common.groupBy("host", "main", "pages", "total", "print_a", "print_b").agg(F.array_sort(F.collect_list(rank)).alias("tokens")) \
         .filter(F.size("tokens") >= min_class)
     return classes.groupBy("host").agg(F.array_sort(F.collect_list(F.struct(
         (-F.col("pages")).alias("order"), F.col("tokens.token").alias("tokens")))).alias("classes")) \
@@ -272,13 +290,19 @@ def main_text(page: str | None, template: Template) -> str:
     if not page:
         return ""
     tokens = tokenise(page)
-    fixed = valid_positions([_hash(t.key) for t in tokens], template) if template.sizes else set()
-    has_main = any(t.main for t in tokens)
+    has_main = _has_main(tokens)
+    fixed = valid_positions([_hash(t.key, has_main) for t in tokens], template) if template.sizes else set()
+    # elements of the main text that hold text of this page's own; none at all: the whole main text repeats and stays
+    slots = [t for at, t in enumerate(tokens) if t.main and not t.idle and at not in fixed and not t.text.isspace()]
+    live = {k for t in slots for k in t.boxes}
     blocks, own = [], []
     for at, t in enumerate(tokens):
         if t.text is not None:
-            slot = at not in fixed or t.main
-            if slot and not t.idle and (t.main or not has_main):
+            if t.main:
+                slot = at not in fixed or not slots or not t.boxes or t.boxes[-1] in live
+            else:
+                slot = at not in fixed and not has_main
+            if slot and not t.idle:
                 own.append(t.text)
         elif t.block:
             blocks.append("".join(own))

@@ -51,6 +51,17 @@ def test_template_text_goes_where_there_is_no_article(spark):
     assert got == {i: f"Body {i} text" for i in range(6)}
 
 
+def test_template_boxes_inside_articles_go(spark):
+    box = "<div class=x1><p>Tell your friends about us</p><div>Every <b>week</b></div></div>"
+    rows = [(i, f"http://n.example/{i}", page(i, f"<article><h1>T</h1><div class=body><p>Own {i}</p><p>Always</p>{box}</div></article>"),
+             None, None, None) for i in range(4)]
+    rows += [(10 + i, "http://n.example/list", page(i, f"<div><p>List</p><p>No {i}</p></div>"), None, None, None) for i in range(20)]
+    rows += [(40 + i, "http://same.example/", page(i, "<article><div><p>All the same</p></div></article>"), None, None, None) for i in range(4)]
+    got = texts(spark, rows)
+    assert {i: got[i] for i in range(4)} == {i: f"T\nOwn {i}\nAlways" for i in range(4)}
+    assert {got[10 + i] for i in range(20)} == {f"No {i}" for i in range(20)} and got[41] == "All the same"
+
+
 def test_awkward_pages(spark):
     rows = [(0, None, None, None, None, None), (1, "", "", None, None, None), (2, "u", "plain words", None, None, None),
             (3, "http://x/", "<article>un<closed", None, None, None), (4, "http://x/", "<p>a < b &amp; c", None, None, None),
