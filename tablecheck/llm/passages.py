@@ -1,10 +1,13 @@
 """Substring dedup by hashing lines, cut at punctuation.
 
-Units are the parts of each line between sentence ends, commas, colons and
-semicolons, short ones joined with the next up to ``UNIT_WORDS`` words: a passage
-that was pasted into a longer line or paragraph, or begins within a sentence,
-still gives whole units.  A unit is normalised (lower case,
-words only), hashed, and grouped over all documents; its earliest occurrence
+Units end at content-defined places: a cut between two words depends only on
+the ``REACH`` words to either side of it.  Each gap between words ranks by its
+punctuation (sentence end, then comma, colon or semicolon, then none) and by a
+hash of the words beside it; a gap that ranks above all others within reach is
+a cut, and so is each line end.  Two copies of a passage thus have the same
+cuts wherever they begin or end, with or without punctuation, but for about a
+unit at each edge, which stays.  A unit is normalised (lower case, words only),
+hashed, and grouped over all documents; its earliest occurrence
 (least id, then first place) stays.  Later occurrences are removed where they
 stand in an unbroken run of ``min_words`` words or more; single short sentences
 that many texts share by chance stay.  What is kept keeps its offsets in the
@@ -25,6 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,25 +36,45 @@ from pyspark.sql import functions as F
 
 from .common import column
 from .lines import NO_ID
+from .minhash import _WORDS, _mix
 
 MIN_WORDS = 20
-UNIT_WORDS = 4
-_UNIT = re.compile(r"[^\n]*?(?:[.!?,;:]+(?=\s)\s*|\n\s*|\Z)")
+#: Words from one cut to the next, line ends aside, are more than this.
+REACH = 3
+_LINE_END, _STOP, _PAUSE = 3, 2, 1
+_MARKS = ((re.compile(r"\n"), _LINE_END), (re.compile(r"[.!?][.!?,;:]*\s"), _STOP), (re.compile(r"[,;:]+\s"), _PAUSE))
 _WORD = re.compile(r"\w+")
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def units(text: str) -> Iterator[tuple[int, int, int, int | None]]:
     """``start, stop, words, digest`` of each unit; they cover the text.  A unit without words has no digest."""
-    low = text.lower()
-    if len(low) != len(text):  # a few letters change length in lower case
-        low = text
-    start, words = 0, []
-    for m in _UNIT.finditer(low):
-        words += _WORD.findall(m[0])
-        stop = m.end()
-        if start < stop and (len(words) >= UNIT_WORDS or stop == len(low) or "\n" in m[0]):
-            yield start, stop, len(words), xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "replace")) - 2**63 if words else None
-            start, words = stop, []
+    spans = [m.span() for m in _WORD.finditer(text)]
+    words = [text[a:z].lower().encode("utf-8", "replace") for a, z in spans]
+    n = len(words)
+    if not n:
+        if text:
+            yield 0, len(text), 0, None
+        return
+    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
+    # rank of the gap before each word and of the text's end: punctuation, then a hash of the words beside it
+    rank = np.full(n + 2 * REACH + 1, 0, np.uint64)
+    own = rank[REACH:REACH + n + 1]
+    own[1:n] = _mix(h[:-1] * _ODD + h[1:]) >> np.uint64(2)
+    own[0] = own[n] = _LINE_END << 62
+    for k in range(1, n):
+        gap = text[spans[k - 1][1]:spans[k][0]]
+        if gap != " ":
+            mark = next((rank for pattern, rank in _MARKS if pattern.search(gap)), 0)
+            own[k] += np.uint64(mark << 62)
+    before = np.maximum.reduce([rank[k:k + n + 1] for k in range(REACH)])
+    after = np.maximum.reduce([rank[k:k + n + 1] for k in range(REACH + 1, 2 * REACH + 1)])
+    cuts = np.flatnonzero((own > before) & (own >= after) | (own >= np.uint64(_LINE_END << 62)))
+    first = start = 0
+    for k in cuts[1:].tolist():
+        stop = spans[k][0] if k < n else len(text)
+        yield start, stop, k - first, xxhash.xxh64_intdigest(b" ".join(words[first:k])) - 2**63
+        first, start = k, stop
 
 
 def cut(text: str, elsewhere: dict[int, int], min_words: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]], int, int, set[int]]:

@@ -180,6 +180,26 @@ def test_a_pasted_passage_goes_and_offsets_fit(spark):
     assert source[span["start"]:span["stop"]].strip() == passage
 
 
+def shared_windows(texts, size=51):
+    """Word windows of the last text that an earlier one holds, by brute force."""
+    lists = [[w.lower() for w in re.findall(r"\w+", t)] for t in texts]
+    windows = [{tuple(w[i:i + size]) for i in range(len(w) - size + 1)} for w in lists]
+    return len(windows[-1] & set().union(*windows[:-1]))
+
+
+@pytest.mark.parametrize("passage", [
+    " ".join(f"word{i}" + "," * (i in (17, 35)) for i in range(54)), " ".join(f"word{i}" for i in range(54)),
+    ", ".join(" ".join(f"w{i}x{j}" for j in range(2 + i % 2)) for i in range(24))])
+@pytest.mark.parametrize("before", ["", "one", "one, two three", "İ"])
+def test_passages_within_sentences_and_lists_go(passage, before):
+    first, second = f"We begin here {passage} and go on there.", f"Another text {before} {passage.upper()} ends otherwise now."
+    held = {u[3]: 1 for u in passages.units(first)}
+    kept, removed, *_ = passages.cut(second, held, passages.MIN_WORDS)
+    left = "".join(second[a:b] for a, b in kept)
+    assert removed and shared_windows([first, second]) and not shared_windows([first, left])
+    assert left.startswith(f"Another text {before}") and left.endswith("ends otherwise now.")
+
+
 def test_units_cover_the_text():
     for r in awkward_rows():
         spans = [(u[0], u[1]) for u in passages.units(r[1] or "")]
