@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.llm.boosting import fit_quality, score_quality
 from tablecheck.llm.common import materialise, read_table
-from tablecheck.llm.lines import MIN_CHARS, dedup_lines
+from tablecheck.llm.lines import dedup_lines
 from tablecheck.llm.minhash import drop_near_duplicates
 from tablecheck.llm.mixing import mix
 from tablecheck.llm.suffix import remove_contaminated
@@ -33,13 +33,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of at least 10 characters that two documents share stay in the smallest id only.
 
-    A document that loses lines and keeps none of that length was a copy; its
-    scraps go with it.
+    A document that loses lines and keeps nothing but white space goes.
     """
     out = dedup_lines(docs)
-    left = F.exists(F.split("text", "\n"), lambda line: F.length(F.trim(line)) >= MIN_CHARS)
-    scraps = (F.col("n_dropped") > 0) & ~left
-    return out.filter(~F.coalesce(scraps, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return out.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -162,6 +162,13 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
     assert out.count() and set(docs.columns) <= set(out.columns)
 
 
+def test_pipeline_keeps_short_lines_beside_a_shared_one(spark):
+    docs = spark.createDataFrame([(1, "All rights reserved here\nroses\nare red", 1), (2, "All rights reserved here\nx = 1\ny = 2", 1),
+                                  (3, "All rights reserved here\n \t", 1), (4, " ", 1)], "doc_id long, text string, n_chars long")
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
+    assert out == {1: "All rights reserved here\nroses\nare red", 2: "x = 1\ny = 2", 4: " "}
+
+
 def test_pipeline_stages_take_awkward_rows(spark):
     base = ["doc_id", "text", "lang", "source", "n_chars", "id", "score", "words", "n_lines"]
     for docs in (awkward(spark).select(*base), empty(spark).select(*base)):
