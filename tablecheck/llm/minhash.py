@@ -299,6 +299,15 @@ def link_nodes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     return state.select("node", "component")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' ``id, n, node`` and, for each node, its ``component`` (a node) and least ``id``."""
+    signs = materialise(signed(docs, id_col, text_col, bands, rows, size), "signatures")
+    classes = signs.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    linked = link_nodes(docs, classes, id_col, text_col, size, percent)
+    own = signs.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"))
+    return signs, own.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS,
                     size: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
     """``id, n_shingles, component_id, kept`` for each row of ``docs``.
@@ -306,11 +315,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the least id reachable over links (similarity of
     ``percent`` or more on full shingle sets), ``kept`` marks the row's own.
     """
-    signs = materialise(signed(docs, id_col, text_col, bands, rows, size), "signatures")
-    classes = signs.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    linked = link_nodes(docs, classes, id_col, text_col, size, percent)
-    own = signs.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"))
-    grouped = own.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    signs, grouped = _grouped(docs, id_col, text_col, bands, rows, size, percent)
     least = grouped.groupBy("component").agg(F.min("id").alias("component_id"))
     named = grouped.join(least, "component").select("node", "component_id")
     rows_out = signs.select("id", "n", "node").join(named, "node", "left")
@@ -319,8 +324,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                            F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates, all columns."""
-    kept = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("_kept_id")).distinct()
-    stay = docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
-    return stay.dropDuplicates([id_col])
+def with_node(docs: DataFrame, text_col: str, size: int) -> DataFrame:
+    """``row, node``: each row of ``docs`` as a struct and the digest of its set (null without words)."""
+    flat = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = (shingles(t, size) for t in column(b, "text"))
+            nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary())], names=["row", "node"])
+
+    return flat.mapInArrow(run, f"row {flat.schema['row'].dataType.simpleString()}, node binary")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS,
+                         size: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates and every row without words, all columns.
+
+    The row of the least id stays (null last; of several texts under that id,
+    the one of the least set digest).
+    """
+    _, grouped = _grouped(docs, id_col, text_col, bands, rows, size, percent)
+    stays = grouped.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node")).alias("stays")) \
+        .select(F.col("stays.id").alias("_id"), F.col("stays.node").alias("_node"))
+    rows_in = with_node(docs, text_col, size).withColumn("id", F.col(f"row.`{id_col}`").cast("long"))
+    same = (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id"))
+    kept = rows_in.filter("node IS NOT NULL").join(stays, same, "left_semi").dropDuplicates(["node"])
+    out = kept.unionByName(rows_in.filter("node IS NULL"))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

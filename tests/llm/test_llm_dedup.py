@@ -100,6 +100,20 @@ def test_near_duplicates_drop(spark):
     assert sorted(r[0] for r in out.filter("doc_id IS NOT NULL").collect()) == sorted({r[0] for r in brute_near(rows) if r[3] and r[0] is not None})
 
 
+def test_near_duplicates_drop_keeps_one_text_of_each_group(spark):
+    def text(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(1, text("a")), (2, text("a") + " more"), (2, text("b")), (None, text("c")), (None, text("d")), (None, text("c") + " more"),
+            (None, text("a")), (3, text("e")), (3, text("e").upper()), (4, None), (4, " "), (None, ""), (5, ""), (5, "")]
+    out = minhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sum(not (r["text"] or "").strip() for r in out) == 5
+    kept = [(r["doc_id"], r["text"].lower()) for r in out if (r["text"] or "").strip()]
+    c = {(None, text("c")), (None, text("c") + " more")} & set(kept)
+    assert len(c) == 1 and sorted(set(kept) - c, key=repr) == sorted([(1, text("a")), (2, text("b")), (None, text("d")), (3, text("e"))], key=repr)
+    assert len(kept) == 5
+
+
 def family_rows(n=80, words=600):
     """Texts of one template, far from each other, and a pair that lacks the same parts: alike, but never central."""
     rng = random.Random(3)
