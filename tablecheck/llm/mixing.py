@@ -1,5 +1,8 @@
 """Mixing sources to target weights by temperature, realised as budgeted block permutations.
 
+Tokens are white-space words here: a text without spaces counts as one, so
+sources in such scripts or encodings get almost no natural share.
+
 1. Token counts per source give its natural share p.  The weights are p^a,
    normalised; a in [0, 1] is the inverse temperature (1: natural, 0: uniform).
 2. The exponent is found by narrowing its interval (``SECTIONS``-fold bisection,
