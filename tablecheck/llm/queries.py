@@ -14,6 +14,7 @@ from .lines import dedup_lines
 from .minhash import near_duplicates
 from .mixing import mix
 from .passages import dedup_passages
+from .prefixbpe import decode_bpe, encode_bpe
 from .suffix import contamination_report, find_contamination
 from .template import extract_text
 from .tokens import count_tokens, public_path
@@ -66,6 +67,14 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_path("word_bpe_49k.json")
+    coded = decode_bpe(encode_bpe(read_table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
@@ -77,6 +86,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,
+    "op11_bpe_codec": op11_bpe_codec,
 }
 
 # Word lists, item windows with their place, every document window that equals one; a document word is hit
