@@ -15,6 +15,7 @@ from .minhash import near_duplicates
 from .mixing import mix
 from .passages import dedup_passages
 from .prefixbpe import decode_bpe, encode_bpe
+from .prefixtrie import prefix_trie
 from .suffix import contamination_report, find_contamination
 from .template import extract_text
 from .tokens import count_tokens, public_path
@@ -75,6 +76,10 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations")).drop("x", "y")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
@@ -87,6 +92,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,
     "op11_bpe_codec": op11_bpe_codec,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 # Word lists, item windows with their place, every document window that equals one; a document word is hit
@@ -152,7 +158,33 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM j"""
 
 
+# Rebuilt turn lists as digests, one row per conversation and prefix, nodes by prefix; the ancestors of a node are the
+# prefixes of its least member.  CRC-32 is spelled out over the bytes of the decimal id.
+_OP12_SQL = """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, list({'m': md5(role) || md5(text), 'b': octet_length(encode(text))} ORDER BY pos) AS own FROM t GROUP BY 1),
+h AS (SELECT conv_id, own, conv_id - conv_id % 5 AS g, xor(4294967295, list_reduce(list_concat([4294967295],
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+  lambda crc, c: list_reduce(list_concat([xor(crc, c)], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))) % 9 AS h FROM s),
+r AS (SELECT h.conv_id, list_concat(coalesce(list_slice(s.own, 1, h.h), []), list_slice(h.own, h.h + 1, len(h.own))) AS turns
+  FROM h LEFT JOIN s ON s.conv_id = h.g),
+e AS (SELECT conv_id, turns, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS d FROM r),
+p AS (SELECT conv_id, n, d, coalesce(turns[d].b, 0) AS b,
+  md5(array_to_string(list_transform(list_slice(turns, 1, d), lambda x: x.m), ',')) AS k,
+  CASE WHEN d > 0 THEN md5(array_to_string(list_transform(list_slice(turns, 1, d - 1), lambda x: x.m), ',')) END AS pk FROM e),
+nodes AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(pk) AS pk, any_value(b) AS b,
+  string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = n) AS ends FROM p GROUP BY k, d),
+kids AS (SELECT pk AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+sub AS (SELECT p.k, sum(CASE WHEN kids.k IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((m.n_convs - 1) * m.b) AS saved_tokens
+  FROM nodes m JOIN p ON p.conv_id = m.conv_id AND p.d <= m.d LEFT JOIN kids ON kids.k = m.k GROUP BY 1)
+SELECT m.conv_id, m.d AS depth, u.conv_id AS parent_conv_id, m.n_convs, coalesce(n_children, 0) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM nodes m JOIN sub ON sub.k = m.k LEFT JOIN kids ON kids.k = m.k LEFT JOIN nodes u ON u.k = m.pk"""
+
 ORACLES = {
+    "op12_prefix_trie": _OP12_SQL,
     "op4_quality_rules": _op4_sql(),
     "op2_decontaminate": _OP2_SQL,
     "op7_line_dedup": """
