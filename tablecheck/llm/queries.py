@@ -11,6 +11,7 @@ from . import divergence as D
 from .divergence import judge
 from .factorization import classify_toxicity
 from .lines import dedup_lines
+from .maskrank import search
 from .minhash import near_duplicates
 from .mixing import mix
 from .passages import dedup_passages
@@ -80,6 +81,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read_table(spark, sf_dir, "conversations")).drop("x", "y")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
@@ -93,6 +98,7 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
     "op11_bpe_codec": op11_bpe_codec,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 # Word lists, item windows with their place, every document window that equals one; a document word is hit
@@ -183,7 +189,25 @@ SELECT m.conv_id, m.d AS depth, u.conv_id AS parent_conv_id, m.n_convs, coalesce
   CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
 FROM nodes m JOIN sub ON sub.k = m.k LEFT JOIN kids ON kids.k = m.k LEFT JOIN nodes u ON u.k = m.pk"""
 
+# Term lists, counts by term, weights, every matching document scored; integers throughout but for the logarithm.
+_OP13_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+q AS (SELECT item, item_id, term, count(*) AS r FROM (SELECT item, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+dn AS (SELECT row_number() OVER () AS doc, doc_id, len(w) AS n, w FROM d WHERE len(w) > 0),
+t AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM dn),
+p AS (SELECT doc, doc_id, n, term, count(*) AS tf FROM (SELECT doc, doc_id, n, unnest(w) AS term FROM dn) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+c AS (SELECT doc, doc_id, p.term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+  * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // total))) AS part FROM p JOIN f USING (term), t),
+s AS (SELECT item, item_id, doc, doc_id, CAST(sum(r * part) AS BIGINT) AS score FROM q JOIN c USING (term) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10"""
+
 ORACLES = {
+    "op13_lexical_search": _OP13_SQL,
     "op12_prefix_trie": _OP12_SQL,
     "op4_quality_rules": _op4_sql(),
     "op2_decontaminate": _OP2_SQL,
