@@ -5,9 +5,12 @@ The plan for a table with k rules is a single scan feeding one
 are computed map-side (k+1 longs per task), a single-partition exchange merges
 them, and the one-row result is unpivoted into rule rows and validation rows.
 Only the columns the rules name are read (Catalyst prunes the scan), and no
-Python runs per row.  Suites above ``MAX_RULES_PER_AGGREGATE`` rules use one
-such aggregate per chunk of rules, so generated code stays small enough for
-the JIT.
+Python runs per row.  In suites above ``MAX_RULES_PER_AGGREGATE`` rules the
+range rules of a column become one *histogram*: a row's place among the sorted
+bounds says which of the rules it violates, so a column costs one binary search
+in its bounds, whatever their number, and all such columns share one scan.  Other
+rules use one aggregate per chunk of rules, so generated code stays small
+enough for the JIT.
 
 Result schemas (fixed, everything else composes on them):
 
@@ -208,6 +211,71 @@ def _compile_checked(df: DataFrame, rule: Rule) -> CompiledRule:
 # 100 rules 3.1 s on 600k rows); beyond this many evaluated rules the suite is
 # split into several aggregates, each reading only the columns its rules use.
 MAX_RULES_PER_AGGREGATE = 48
+# A column's bounds on one side become a histogram from this many rules on.
+MIN_HISTOGRAM_RULES = 8
+# Types whose comparison with a bound is a comparison of doubles.
+_AS_DOUBLE = (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)
+
+
+@dataclass(frozen=True)
+class BoundList:
+    """The bounds of one column on one side (``min`` or ``max``), ascending, each with its rule's index."""
+
+    column: str
+    side: str
+    bounds: tuple[float, ...]
+    rules: tuple[int, ...]
+
+    @property
+    def steps(self) -> int:
+        return len(self.bounds).bit_length()
+
+    def step(self, k: int, place: Column, value: Column) -> Column:
+        """One step of a binary search: ``place`` moves on by 2^k if the bound there is still passed.
+
+        After the steps from the highest ``k`` to 0 it is the number of bounds
+        below the value (``max``: these are violated) or not above it (``min``:
+        these are not).  NaN, which follows all numbers, fills the list up.
+        """
+        filled = [f"{b!r}D" for b in self.bounds] + ["double('NaN')"] * (2 ** self.steps - 1 - len(self.bounds))
+        bound = F.get(F.expr(f"array({', '.join(filled)})"), place + (2 ** k - 1))
+        passed = bound < value if self.side == "max" else bound <= value
+        moved = F.when(passed, place + 2 ** k).otherwise(place)
+        return F.least(moved, F.lit(len(self.bounds))) if k == 0 else moved
+
+    def counts(self, key: int) -> Column:
+        """Violations of each bound, from the histogram ``_places`` of ``key, place, n``."""
+        def violated(j):
+            hit = lambda e: (e["place"] > j) if self.side == "max" else (e["place"] <= j)
+            return F.aggregate("_places", F.lit(0).cast("long"),
+                               lambda n, e: n + F.when((e["key"] == key) & hit(e), e["n"]).otherwise(0))
+        return F.transform(F.sequence(F.lit(0), F.lit(len(self.bounds) - 1)), violated)
+
+
+def bound_lists(compiled: Sequence[CompiledRule], fields: Mapping[str, T.DataType]) -> list[BoundList]:
+    """The bounds of range rules that can be counted by histogram; a two-sided rule is in two lists."""
+    found: dict[tuple[str, str], list[tuple[float, int]]] = {}
+    for i, c in enumerate(compiled):
+        r = c.rule
+        if c.violation is None or r.validation_type != RANGE:
+            continue
+        given = [b for b in (r.min, r.max) if b is not None]
+        dtype = fields[r.column]
+        plain = all(type(b) in (int, float) and b == b and abs(b) < 2**53 for b in given)
+        exact = isinstance(dtype, _AS_DOUBLE) or isinstance(dtype, T.LongType) and all(type(b) is float for b in given)
+        if not plain or not exact or len(given) == 2 and r.min > r.max:
+            continue
+        for side, bound in (("min", r.min), ("max", r.max)):
+            if bound is not None:
+                found.setdefault((r.column, side), []).append((float(bound), i))
+    lists = []
+    for (column, side), pairs in found.items():
+        pairs.sort()
+        lists.append(BoundList(column, side, tuple(b for b, _ in pairs), tuple(i for _, i in pairs)))
+    # a rule is counted here only if all its lists are long enough
+    short = {i for x in lists if len(x.rules) < MIN_HISTOGRAM_RULES for i in x.rules}
+    kept = [[(b, i) for b, i in zip(x.bounds, x.rules) if i not in short] for x in lists]
+    return [BoundList(x.column, x.side, tuple(b for b, _ in k), tuple(i for _, i in k)) for x, k in zip(lists, kept) if k]
 
 
 class FusedCheck:
@@ -217,8 +285,9 @@ class FusedCheck:
     one-row aggregate; ``rule_results()`` and ``validation_results()`` are
     projections of it, so asking for both in one plan (``unionByName`` or a
     join) still scans the table once per action.  Suites with more than
-    ``max_rules_per_aggregate`` evaluated rules use one aggregate per chunk
-    of rules (one scan per chunk).
+    ``max_rules_per_aggregate`` evaluated rules count the bounds of a column by
+    histogram (one scan for all columns) and use one aggregate per chunk of the
+    other rules (one scan per chunk).
     """
 
     def __init__(self, df: DataFrame, table_rules: TableRules, on_error: str = "fail",
@@ -249,8 +318,38 @@ class FusedCheck:
         group per hourly window): the partial aggregate is map-side, so a hot
         group costs one row per task."""
         evaluated = [i for i, c in enumerate(self.compiled) if c.violation is not None]
-        groups = [evaluated[k:k + self._size] for k in range(0, len(evaluated), self._size)] or [[]]
-        return [(idx, self._aggregate(idx)) for idx in groups]
+        lists = []
+        if len(evaluated) > self._size and not self.df.isStreaming:
+            lists = bound_lists(self.compiled, {f.name: f.dataType for f in self.df.schema.fields})
+        placed = sorted({i for x in lists for i in x.rules})
+        rest = [i for i in evaluated if i not in set(placed)]
+        groups = [rest[k:k + self._size] for k in range(0, len(rest), self._size)]
+        out = [(idx, self._aggregate(idx)) for idx in (groups if groups or lists else [[]])]
+        return [*out, (placed, self._histogram(lists, placed))] if lists else out
+
+    def _histogram(self, lists: list[BoundList], placed: list[int]) -> DataFrame:
+        """``total_rows`` and ``_placed``, the violations of the rules ``placed`` in their order, in one scan.
+
+        A row gives one key and place per list, and a key for itself; places
+        combine map-side to no more groups than there are bounds.
+        """
+        keyed = self.df.groupBy(*self.group_by).agg(F.count(F.lit(1))).columns[:len(self.group_by)] if self.group_by else []
+        named = [f"_g{k}" for k in range(len(keyed))]
+        rows = self.df.select(*[g.alias(n) for g, n in zip(self.group_by, named)],
+                              *[P.col(x.column).cast("double").alias(f"_x{k}") for k, x in enumerate(lists)],
+                              *[F.lit(0).alias(f"_p{k}") for k in range(len(lists))])
+        for n in reversed(range(max(x.steps for x in lists))):
+            rows = rows.withColumns({f"_p{k}": x.step(n, F.col(f"_p{k}"), F.col(f"_x{k}")) for k, x in enumerate(lists) if n < x.steps})
+        entry = lambda key, place: F.struct(F.lit(key).alias("key"), place.alias("place"))
+        entries = F.array(entry(-1, F.lit(0)), *[entry(k, F.when(F.col(f"_x{k}").isNotNull(), F.col(f"_p{k}"))) for k in range(len(lists))])
+        places = rows.select(*named, F.explode(entries).alias("e"))
+        seen = places.filter("e.place IS NOT NULL").groupBy(*named, "e.key", "e.place").agg(F.count(F.lit(1)).alias("n"))
+        whole = seen.groupBy(*named).agg(F.collect_list(F.struct("key", "place", "n")).alias("_places"))  # bounded by the rules
+        total = F.aggregate("_places", F.lit(0).cast("long"), lambda n, e: n + F.when(e["key"] == -1, e["n"]).otherwise(0))
+        counted = whole.select(*named, total.alias("total_rows"), *[x.counts(k).alias(f"_c{k}") for k, x in enumerate(lists)])
+        at = {i: [f"_c{k}[{x.rules.index(i)}]" for k, x in enumerate(lists) if i in x.rules] for i in placed}
+        sums = F.expr("array(" + ", ".join(" + ".join(at[i]) for i in placed) + ")")
+        return counted.select(*[F.col(n).alias(g) for n, g in zip(named, keyed)], "total_rows", sums.alias("_placed"))
 
     def _isolate_unaggregatable(self) -> None:
         """Analyse each rule's aggregate alone (no job); failing rules become
@@ -274,7 +373,9 @@ class FusedCheck:
     @property
     def counts(self) -> DataFrame:
         """All counters in one row (per group): the chunks' aggregates side by side."""
-        first, *rest = [agg for _, agg in self.chunks]
+        first, *rest = [agg if "_placed" not in agg.columns else agg.selectExpr(
+            *[f"`{c}`" for c in agg.columns if c != "_placed"], *[f"_placed[{k}] AS _v{i}" for k, i in enumerate(idx)])
+            for idx, agg in self.chunks]
         for agg in rest:
             agg = agg.drop("total_rows")
             if not self.group_names:
@@ -296,10 +397,12 @@ class FusedCheck:
     def materialize(self) -> "FusedCheck":
         """Run the aggregation now and keep its one-row result locally.
 
-        With ``on_error='ignore'``, a runtime failure of the fused job (an ANSI
-        cast, ``raise_error``, overflow) is isolated: the total and each rule
-        are recounted alone, and the rules that fail get ``status='error'``
-        with the error class.  If the rows themselves cannot be read,
+        With ``on_error='ignore'``, a runtime failure of a fused job (an ANSI
+        cast, ``raise_error``, overflow) is isolated by group testing: the
+        rules of a failing aggregate are halved and each half counted again in
+        one aggregate, down to the rules that fail alone.  These get
+        ``status='error'`` with the error class: f failing rules among n cost
+        about 2 f log2(n) jobs.  If the rows themselves cannot be read,
         ``total_rows`` is NULL, which fails every family.  Without a failure
         this is one job per chunk.
         """
@@ -308,43 +411,64 @@ class FusedCheck:
         spark = self.df.sparkSession
         # errors PySpark does not classify arrive as raw Py4JJavaError
         job_errors = (PySparkException, Py4JJavaError)
-        try:
-            values: dict = {}
-            for _, agg in self.chunks:
-                values.update(agg.first().asDict())
-        except job_errors:
-            if self.on_error != "ignore":
-                raise
+        values: dict = {}
+        broken: dict[int, str] = {}
+        for idx, agg in self.chunks:
             try:
-                values = {"total_rows": self.df.agg(F.count(F.lit(1))).first()[0]}
+                row = agg.first().asDict()
+                if "_placed" in row:
+                    row |= {f"_v{i}": n for i, n in zip(idx, row.pop("_placed"))}
+                values.update(row)
             except job_errors as e:
-                # the table itself cannot be read: every rule is an error
-                code = _error_code(e)
-                values = {"total_rows": None}
-                self.compiled = [CompiledRule(c.rule, None, "error", code) if c.violation is not None else c
-                                 for c in self.compiled]
-            failed = False
-            for i, c in enumerate(self.compiled):
-                if c.violation is None:
-                    continue
-                try:
-                    values[f"_v{i}"] = self.df.agg(F.count_if(c.violation)).first()[0]
-                except job_errors as e:
-                    self.compiled[i] = CompiledRule(c.rule, None, "error", _error_code(e))
-                    failed = True
-            if failed:
-                # a rule that raises is one thing, rows that cannot be read another:
-                # counting rows alone may need no more than file footers
-                try:
-                    self.df.write.format("noop").mode("overwrite").save()
-                except job_errors:
-                    values["total_rows"] = None
+                if self.on_error != "ignore":
+                    raise
+                if not broken:
+                    try:
+                        values["total_rows"] = self.df.agg(F.count(F.lit(1))).first()[0]
+                    except job_errors as unreadable:
+                        # the table itself cannot be read: every rule is an error
+                        code = _error_code(unreadable)
+                        values = {"total_rows": None}
+                        self.compiled = [CompiledRule(c.rule, None, "error", code) if c.violation is not None else c
+                                         for c in self.compiled]
+                        break
+                found, failing = self._halved(idx, e, job_errors)
+                values.update(found)
+                broken.update(failing)
+        for i, code in broken.items():
+            self.compiled[i] = CompiledRule(self.compiled[i].rule, None, "error", code)
+        if broken:
+            # a rule that raises is one thing, rows that cannot be read another:
+            # counting rows alone may need no more than file footers
+            try:
+                self.df.write.format("noop").mode("overwrite").save()
+            except job_errors:
+                values["total_rows"] = None
         idx = [i for i, c in enumerate(self.compiled) if c.violation is not None]
         cols = ["total_rows"] + [f"_v{i}" for i in idx]
         schema = T.StructType([T.StructField(c, T.LongType()) for c in cols])
         self.chunks = [(idx, spark.createDataFrame([tuple(values[c] for c in cols)], schema))]
         return self
 
+    def _halved(self, idx: list[int], error: Exception, job_errors: tuple) -> tuple[dict, dict[int, str]]:
+        """Counters of the rules of ``idx``, whose common aggregate failed with ``error``, and the rules that fail alone."""
+        if len(idx) <= 1:
+            return {}, {i: _error_code(error) for i in idx}
+        counters: dict = {}
+        broken: dict[int, str] = {}
+        halves = [idx[:len(idx) // 2], idx[len(idx) // 2:]]
+        for half in halves:
+            parts = [half[k:k + MAX_RULES_PER_AGGREGATE] for k in range(0, len(half), MAX_RULES_PER_AGGREGATE)]
+            for part in parts:
+                try:
+                    row = self._aggregate(part).first().asDict()
+                    counters.update({k: n for k, n in row.items() if k != "total_rows"})
+                except job_errors as e:
+                    found, failing = self._halved(part, e, job_errors)
+                    counters.update(found)
+                    broken.update(failing)
+        return counters, broken
+
     # -- helpers -----------------------------------------------------------
     # The result projections are written as one SQL expression each: built from
     # Column objects they cost one JVM round trip per node (about 5x slower to
@@ -365,6 +489,14 @@ class FusedCheck:
         return ["`" + g.replace("`", "``") + "`" for g in self.group_names]
 
     def _chunk_rule_rows(self, agg: DataFrame, idx: list[int]) -> DataFrame:
+        if "_placed" in agg.columns:
+            name = lambda values: f"array({', '.join(map(sql_literal, values))})[_at]"
+            rules = [self.compiled[i].rule for i in idx]
+            return agg.selectExpr(*self._groups_sql(), "total_rows", "posexplode(_placed) AS (_at, violations)").selectExpr(
+                *self._groups_sql(), f"{sql_literal(self.table_rules.table_name)} AS table_name",
+                f"{name(r.validation_type for r in rules)} AS validation_type", f"{name(r.rule_name for r in rules)} AS rule_name",
+                "total_rows", "violations", "CASE WHEN violations > 0 THEN 'violated' ELSE 'ok' END AS status",
+                "CAST(NULL AS STRING) AS error")
         structs = ", ".join(self._rule_struct_sql(i) for i in idx)
         return (agg.selectExpr(*self._groups_sql(), f"{sql_literal(self.table_rules.table_name)} AS table_name",
                                "total_rows", f"inline(array({structs}))")
@@ -375,12 +507,14 @@ class FusedCheck:
         """One row per configured rule (configured order within one aggregate)."""
         if not self.compiled:
             return self.df.sparkSession.createDataFrame([], RULE_RESULT_SCHEMA)
-        if len(self.chunks) == 1:
+        if len(self.chunks) == 1 and "_placed" not in self.chunks[0][1].columns:
             return self._chunk_rule_rows(self.chunks[0][1], list(range(len(self.compiled))))
         # rules that need no count ride with the first chunk
         other = [i for i, c in enumerate(self.compiled) if c.violation is None]
-        frames = [self._chunk_rule_rows(agg, (other if n == 0 else []) + idx)
+        frames = [self._chunk_rule_rows(agg, (other if n == 0 and "_placed" not in agg.columns else []) + idx)
                   for n, (idx, agg) in enumerate(self.chunks)]
+        if other and "_placed" in self.chunks[0][1].columns:  # all evaluated rules are in the histogram
+            frames.append(self._chunk_rule_rows(self.chunks[0][1].drop("_placed"), other))
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)
@@ -401,7 +535,7 @@ class FusedCheck:
         final = [*self._groups_sql(), "table_name", "validation_type", "total_rows", "rules_configured",
                  "total_violations", f"{rate} AS violation_percentage", f"CAST({t!r} AS DOUBLE) AS threshold",
                  f"coalesce(({rate}) <= {t!r}, false) AS passed"]
-        if len(self.chunks) > 1:
+        if len(self.chunks) > 1 or "_placed" in self.chunks[0][1].columns:
             # per-family sums over the rule rows of all chunks (k rows, tiny)
             rows = self.rule_results()
             keys = [*self.group_names, "table_name", "validation_type"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import files as FC
 from ..operators.gate import TableSpec, stop_decision
 from ..operators.validate import FusedCheck
-from ..rules import in_range
+from ..rules import expression, in_range
 from ..session import scratch_path
 from ..sources import files as FS
 from ..sources import synth as SY
@@ -76,6 +76,22 @@ def wide_suite_500(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FusedCheck(table(spark, sf_dir, "lineitem"), WIDE_500.table_rules()).validation_results()
 
 
+#: 500 expressions, of which two fail while running.
+HALVED_500 = Suite("lineitem", tuple(
+    Check(expression(f"r{k}", "CASE WHEN l_linenumber > 0 THEN raise_error('no') ELSE true END" if k in (130, 407)
+                     else f"l_orderkey % 500 <> {k}"),
+          "false" if k in (130, 407) else f"l_orderkey % 500 = {k}") for k in range(500)))
+
+
+@register("runtime_errors_among_500", "WITH r AS (" + O.rule_results_sql([HALVED_500]) + ") SELECT * REPLACE ("
+          "CASE WHEN rule_name IN ('r130', 'r407') THEN 'error' ELSE status END AS status, "
+          "CASE WHEN rule_name IN ('r130', 'r407') THEN 'USER_RAISED_EXCEPTION' END AS error) FROM r")
+def runtime_errors_among_500(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that fail while running are found by halving the rules of the failed aggregate."""
+    check = FusedCheck(table(spark, sf_dir, "lineitem"), HALVED_500.table_rules(), on_error="ignore")
+    return check.materialize().rule_results()
+
+
 def _event_files(spark: SparkSession, sf_dir: str, n: int = 4) -> str:
     """The events table as ``n`` files in time order."""
     path = scratch_path(spark, "event_files")

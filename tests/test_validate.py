@@ -174,7 +174,7 @@ def test_wide_suites_are_chunked_and_equal(spark):
                        + (not_null("l_returnflag"), not_null("nope")) + LINEITEM.table_rules().rules)
     one = FusedCheck(df, rules, max_rules_per_aggregate=1000)
     many = FusedCheck(df, rules, max_rules_per_aggregate=7)
-    assert len(one.chunks) == 1 and len(many.chunks) == 6
+    assert len(one.chunks) == 1 and len(many.chunks) == 4  # the bounds share a histogram
     key = lambda r: (r["validation_type"], r["rule_name"], r["violations"], r["status"])
     assert sorted(map(key, one.rule_results().collect())) == sorted(map(key, many.rule_results().collect()))
     assert sorted(one.validation_results().collect()) == sorted(many.validation_results().collect())
@@ -252,3 +252,46 @@ def test_group_names_with_backticks(spark):
     tr = TableRules("t", (in_range("x", 0, 10),))
     out = FusedCheck(df, tr, group_by=[F.col("g").alias("we`ird")]).validation_results()
     assert sorted((r["we`ird"], r["total_violations"]) for r in out.collect()) == [(1, 1), (2, 0)]
+
+
+def test_wide_suites_count_by_histogram_in_one_scan(spark):
+    """Same counts as one aggregate, for NaN, NULL, equal bounds, both sides, groups and rules of other kinds."""
+    import random
+
+    rng = random.Random(3)
+    values = [None, float("nan"), float("inf"), -0.0, 0.0, 1.0, 2.5, -3.0, 100.0]
+    rows = [(rng.choice("ab"), rng.choice(values), rng.randrange(-5, 6), rng.choice([None, "x", "yy"])) for _ in range(400)] + [("c", None, 0, None)]
+    df = spark.createDataFrame(rows, "g string, d double, i int, s string").repartition(3)
+    rules = [in_range("d", max=float(rng.choice([-3, 0, 1, 2.5, 3, 100]))) for _ in range(30)]
+    rules += [in_range("d", min=rng.choice([-3, 0.0, 1, 2.5])) for _ in range(20)]
+    rules += [in_range("i", min=k - 4, max=k) for k in range(12)] + [in_range("i", min=3, max=1)]
+    rules += [not_null("d"), matches("s", "^x$"), in_range("absent", min=1), expression("e", "i > -9")]
+    table_rules = TableRules("t", tuple(rules))
+    for group_by in ((), (F.col("g"),)):
+        whole = FusedCheck(df, table_rules, group_by=group_by, max_rules_per_aggregate=1000)
+        wide = FusedCheck(df, table_rules, group_by=group_by)
+        assert len(whole.chunks) == 1 and len(wide.chunks) == 2 and len(wide.chunks[1][0]) == 62
+        same = lambda a, b: sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+        assert same(wide.rule_results(), whole.rule_results())
+        assert same(wide.validation_results(), whole.validation_results())
+    assert same(FusedCheck(df, table_rules).materialize().rule_results(), FusedCheck(df, table_rules, max_rules_per_aggregate=1000).rule_results())
+    empty = FusedCheck(df.limit(0), table_rules)
+    assert {(r.total_rows, r.violations) for r in empty.rule_results().collect()} == {(0, 0)}
+    only = FusedCheck(df, TableRules("t", tuple(in_range("d", max=float(k)) for k in range(60))))
+    assert only.validation_results()._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
+def test_failing_rules_are_found_by_halving(spark):
+    """Two failing rules among 500: jobs in the order of log2, not one per rule."""
+    df = spark.range(50).withColumn("v", F.col("id").cast("double"))
+    rules = [expression(f"r{k}", f"id < {k}") for k in range(500)]
+    for k in (77, 401):
+        rules[k] = expression(f"r{k}", f"CASE WHEN id = 7 THEN raise_error('no') ELSE id > {k} END")
+    check = FusedCheck(df, TableRules("t", tuple(rules)), on_error="ignore")
+    seen = []
+    aggregate = check._aggregate
+    check._aggregate = lambda idx: seen.append(len(idx)) or aggregate(idx)
+    rows = check.materialize().rule_results().collect()
+    assert sorted(r.rule_name for r in rows if r.status == "error") == ["r401", "r77"]
+    assert all(r.violations == max(0, 50 - int(r.rule_name[1:])) for r in rows if r.status != "error")
+    assert len(seen) <= 2 * 2 * 9
