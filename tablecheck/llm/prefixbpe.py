@@ -33,25 +33,83 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PIECES = 300_000
-BATCH_PIECES = 64
+MAX_PIECES = 500_000
+BATCH_PIECES = 1024
 MAX_PIECE_BYTES = 64
-MAX_PAIRS = 2_000_000
+MAX_PAIRS = 1_000_000
+MAX_STEPS = 1_000_000
 SLICE_ROWS = 256
-MAX_WORDS = 300_000
+MAX_WORDS = 400_000
 _NEVER = 1 << 62
+# The splitting rule of the word-end vocabularies, and what it comes to in lower-case ASCII.
+_WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+")
 _OTHER_SPACE = re.compile("[^\\S ]|\u180e")
 _END = 0x1000  # added to the last letter of a word
 
 
+def _byte_letters() -> list[str]:
+    """The printable letter of each byte in byte-level vocabularies: its own, or the next free one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
+
+
+class _Steps(dict):
+    """The automaton's moves, as ``state << 13 | symbol``: to the longest vocabulary prefix that ends here; a bounded cache."""
+
+    def __init__(self, edges: dict[int, int], fall: list[int]):
+        super().__init__()
+        self.edges, self.fall = edges, fall
+
+    def __missing__(self, key: int) -> int:
+        if len(self) >= MAX_STEPS:
+            self.clear()
+        state, symbol = key >> 13, key & 8191
+        while state and (state << 13 | symbol) not in self.edges:
+            state = self.fall[state]
+        state = self[key] = self.edges.get(state << 13 | symbol, 0)
+        return state
+
+
+def _automaton(tokens: dict[str, int]) -> tuple[_Steps, list[tuple]]:
+    """Moves, and for each state the ``(token, length)`` that end there, longest first."""
+    edges: dict[int, int] = {}
+    own: list[tuple] = [()]
+    parent = [(0, 0)]
+    for name, token in tokens.items():
+        state = 0
+        for symbol in map(ord, name):
+            after = edges.get(state << 13 | symbol)
+            if after is None:
+                after = edges[state << 13 | symbol] = len(own)
+                own.append(())
+                parent.append((state, symbol))
+            state = after
+        own[state] = ((token, len(name)),)
+    depth = [0] * len(own)
+    for k in range(1, len(own)):
+        depth[k] = depth[parent[k][0]] + 1
+    fall, ends = [0] * len(own), list(own)
+    for k in sorted(range(1, len(own)), key=depth.__getitem__):
+        state, symbol = parent[k]
+        while state:
+            state = fall[state]
+            if (state << 13 | symbol) in edges:
+                fall[k] = edges[state << 13 | symbol]
+                break
+        ends[k] = own[k] + ends[fall[k]] if own[k] else ends[fall[k]]
+    return _Steps(edges, fall), ends
+
+
 class _Pairs(dict):
     """Whether two tokens, as ``a << 32 | b``, may be neighbours; a bounded cache."""
 
@@ -101,6 +159,9 @@ class Vocabulary:
         if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError(f"{path}: only added tokens that match literally")
         self.tokenizer = Tokenizer.from_file(path)
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        rules = [n.get("pattern") for n in spec["pre_tokenizer"].get("pretokenizers", [])]
+        self._lower_words = kinds == ["NFC", "Replace", "Lowercase"] and rules == [{"Regex": _WORD_RULE}, None]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         longest_first = sorted(self.special, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
@@ -124,8 +185,9 @@ class Vocabulary:
         self.names = [""] * self.size
         for name, k in {**ids, **self.special}.items():
             self.names[k] = name
+        self._letters = {chr(b): pre for b, pre in enumerate(_byte_letters())}
         self.pairs, self.words = _Pairs(self), _Words(self)
-        self.automaton = ahocorasick.Automaton()
+        tokens: dict[str, int] = {}
         for name, k in sorted(ids.items(), key=lambda x: parts.get(x[1], (0, 0, -1))[2]):
             symbols = self._symbols(name)
             self.length[k] = len(symbols)
@@ -140,8 +202,8 @@ class Vocabulary:
                 self.left[k] = self.right[k] = ((k, _NEVER),)
             else:
                 continue
-            self.automaton.add_word(symbols, (k, len(symbols)))
-        self.automaton.make_automaton()
+            tokens[symbols] = k
+        self.steps, self.ends = _automaton(tokens)
 
     def _symbols(self, name: str) -> str:
         """A token's name as a string of symbols."""
@@ -165,14 +227,20 @@ class Vocabulary:
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one word, given in byte letters: the last token of every prefix, then back from the end."""
-        symbols = word[:-1] + chr(ord(word[-1]) + _END) if self.suffix else word
+        symbols = [*map(ord, word)]
+        if self.suffix:
+            symbols[-1] += _END
         last = [-1] * (len(symbols) + 1)
         back = [0] * (len(symbols) + 1)
-        pairs = self.pairs
-        for at, (token, length) in self.automaton.iter(symbols):
-            start = at + 1 - length
-            if not start or last[start] >= 0 and pairs[last[start] << 32 | token]:
-                last[at + 1], back[at + 1] = token, start
+        steps, ends, pairs = self.steps, self.ends, self.pairs
+        state = 0
+        for at, symbol in enumerate(symbols, 1):
+            state = steps[state << 13 | symbol]
+            for token, length in ends[state]:
+                start = at - length
+                if not start or last[start] >= 0 and pairs[last[start] << 32 | token]:
+                    last[at], back[at] = token, start
+                    break
         out = []
         at = len(symbols)
         while at:
@@ -196,10 +264,29 @@ class Vocabulary:
         return out
 
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of texts without ASCII white space: worked on side by side, one space between them."""
-        texts = [p.decode("utf-8", "replace") for p in pieces]
+        """Ids of texts without ASCII white space."""
+        if not self._lower_words:
+            return self._side_by_side([p.decode("utf-8", "replace") for p in pieces])
+        out: list = [None] * len(pieces)
+        for k, p in enumerate(pieces):
+            if p.isascii():
+                ids: list[int] = []
+                text = p.decode()
+                if self._special and self._special.search(text):
+                    ids = self.encode_text(text)
+                else:
+                    for word in _ASCII_WORDS.findall(text.lower()):
+                        ids += self.words[word if word.isprintable() else "".join(map(self._letters.__getitem__, word))]
+                out[k] = ids
+        others = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(others, self._side_by_side([pieces[k].decode("utf-8", "replace") for k in others])):
+            out[k] = ids
+        return out
+
+    def _side_by_side(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts without ASCII white space, with one space between them for one pass of the library."""
         joined = " ".join(texts)
-        if _OTHER_SPACE.search(joined) or self._special and self._special.search(joined):
+        if not texts or _OTHER_SPACE.search(joined) or self._special and self._special.search(joined):
             return [self.encode_text(t) for t in texts]
         normal = self._normal(joined)
         starts = np.cumsum([0] + [len(t) + 1 for t in normal.split(" ")])
@@ -237,10 +324,10 @@ class Pieces(dict):
         if len(self) >= MAX_PIECES or len(self.ids) >= 20 * MAX_PIECES:
             self.reset()
         split = [t.split() if t else [] for t in texts]
-        new = [p for p in {p for pieces in split for p in pieces} if p not in self]
+        new = list(set().union(*split).difference(self))
         for k in range(0, len(new), BATCH_PIECES):
             self.learn(new[k:k + BATCH_PIECES])
-        places = np.fromiter((self[p] for pieces in split for p in pieces), np.int64)
+        places = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64)
         starts, ids = np.array(self.starts), np.array(self.ids)
         lengths = starts[places + 1] - starts[places]
         ends = np.cumsum(lengths)

@@ -31,6 +31,7 @@ def test_fuzzed_texts_equal_the_library(known, library, monkeypatch):
     monkeypatch.setattr(B, "MAX_PIECES", 50)  # the caches are emptied on the way
     monkeypatch.setattr(B, "MAX_WORDS", 20)
     monkeypatch.setattr(B, "MAX_PAIRS", 30)
+    monkeypatch.setattr(B, "MAX_STEPS", 40)
     for k in range(0, len(texts), 5):
         offsets, flat = known.encode([t.encode() for t in texts[k:k + 5]])
         for t, a, z in zip(texts[k:k + 5], offsets, offsets[1:]):
@@ -44,13 +45,15 @@ def test_every_prefix_has_one_last_token(known, library):
         ids = vocabulary.encode_word(word[:n])
         assert ids == library.encode(word[:n], add_special_tokens=False).ids
         # of the tokens that end the word, one may follow what stands before it
-        symbols = vocabulary._symbols(word[:n] + "</w>")
+        state = 0
+        for symbol in vocabulary._symbols(word[:n] + "</w>"):
+            state = vocabulary.steps[state << 13 | ord(symbol)]
         fits = []
-        for at, (token, length) in vocabulary.automaton.iter(symbols):
-            if at == len(symbols) - 1:
-                before = [] if length == n else _inner(vocabulary, word[:n - length])
-                if not before or vocabulary.pairs[before[-1] << 32 | token]:
-                    fits.append(token)
+        for token, length in vocabulary.ends[state]:
+            assert vocabulary.names[token] == word[n - length:n] + "</w>"
+            before = [] if length == n else _inner(vocabulary, word[:n - length])
+            if not before or vocabulary.pairs[before[-1] << 32 | token]:
+                fits.append(token)
         assert fits == ids[-1:]
 
 
