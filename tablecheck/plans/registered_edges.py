@@ -8,6 +8,7 @@ expected rows independently of the code under test.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import files as FC
 from ..operators.gate import TableSpec, stop_decision
 from ..operators.validate import FusedCheck
-from ..rules import expression, in_range
+from ..rules import TableRules, expression, in_range, not_null
 from ..session import scratch_path
 from ..sources import files as FS
 from ..sources import synth as SY
@@ -24,6 +25,7 @@ from ..streaming import hourly as ST
 from . import oracle_sql as O
 from .registered import LINEITEM_PLAIN, _windowed_sql, register
 from .registry import EXAMPLE_REGISTRY, Registry
+from .publish import publish_table
 from .registry_run import run_registry
 from .run import run_suite
 from .testdata_checks import CUSTOMER, EVENTS, Check, Suite, table, union_all
@@ -114,6 +116,31 @@ def stream_several_files_update(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          watermark="60 days")
 
 
+# -- write, audit, publish ------------------------------------------------------------
+
+@register("publish_audited", """
+WITH o AS (SELECT count(*) AS n, count_if(o_orderstatus = 'F') AS f, count_if(o_orderstatus = 'F' AND o_orderkey % 3 = 0) AS bad FROM orders),
+s AS (SELECT 1 AS step, n AS total_rows, 0 AS total_violations, true AS passed, n AS rows_shown FROM o
+  UNION ALL SELECT 2, f, bad, false, n FROM o UNION ALL SELECT 3, f, 0, true, f FROM o)
+SELECT step, CAST(total_rows AS BIGINT) AS total_rows, CAST(total_violations AS BIGINT) AS total_violations, passed,
+  passed AS published, CAST(rows_shown AS BIGINT) AS rows_shown FROM s""")
+def publish_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions of a table, of which the second fails its rule; what a reader sees after each."""
+    name, versions = f"publish_{uuid.uuid4().hex[:10]}", scratch_path(spark, "publish")
+    orders = table(spark, sf_dir, "orders")
+    filled = orders.filter("o_orderstatus = 'F'")
+    holed = filled.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")))
+    rules = TableRules("orders", (not_null("o_custkey"),))
+    steps = []
+    for k, version in enumerate((orders, holed, filled), 1):
+        verdict = publish_table(spark, name, version, rules, versions).verdicts()
+        shown = spark.read.parquet(spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"])
+        steps.append(verdict.crossJoin(shown.agg(F.count("*").alias("rows_shown"))).select(  # one row each
+            F.lit(k).alias("step"), "total_rows", "total_violations", "passed", "published", "rows_shown"))
+    spark.sql(f"DROP TABLE {name}")
+    return union_all(steps)
+
+
 # -- strict JSON --------------------------------------------------------------------
 
 @register("strict_json_documents",
