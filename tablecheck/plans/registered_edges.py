@@ -23,6 +23,7 @@ from ..sources import synth as SY
 from ..sources.tables import append_table, create_table, default_interval, incremental_slice
 from ..streaming import hourly as ST
 from . import oracle_sql as O
+from .classes import validate_paths
 from .registered import LINEITEM_PLAIN, _windowed_sql, register
 from .registry import EXAMPLE_REGISTRY, Registry
 from .publish import publish_table
@@ -116,6 +117,25 @@ def stream_several_files_update(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          watermark="60 days")
 
 
+# -- many tables in one plan -----------------------------------------------------------
+
+@register("tables_by_class", """
+WITH o AS (SELECT 'orders_' || CAST(o_custkey % 40 AS VARCHAR) AS table_name, count(*) AS n, count_if(o_orderdate IS NULL) AS holes,
+  count_if(o_totalprice < 1000 OR o_totalprice > 200000) AS far, count_if(o_orderkey % 7 = 0) AS sevens FROM orders GROUP BY 1),
+r AS (SELECT table_name, n, unnest([{'t': 'not_null', 'v': holes}, {'t': 'range', 'v': far}, {'t': 'cross_column', 'v': sevens}], recursive := true) FROM o)
+SELECT table_name, t AS validation_type, CAST(n AS BIGINT) AS total_rows, 1 AS rules_configured, CAST(v AS BIGINT) AS total_violations,
+  v / CAST(n AS DOUBLE) AS violation_percentage, CAST(0.1 AS DOUBLE) AS threshold, v / CAST(n AS DOUBLE) <= 0.1 AS passed FROM r""")
+def tables_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty tables of one schema and one set of rules, in one scan."""
+    root = scratch_path(spark, "table_class")
+    orders = table(spark, sf_dir, "orders")
+    orders.withColumn("k", F.col("o_custkey") % 40).repartition("k").write.partitionBy("k").parquet(root)
+    held = [r["k"] for r in orders.select((F.col("o_custkey") % 40).alias("k")).distinct().collect()]  # forty at most
+    rules = (not_null("o_orderdate"), in_range("o_totalprice", min=1000.0, max=200000.0), expression("sevens", "o_orderkey % 7 <> 0"))
+    return validate_paths(spark, [(f"{root}/k={k}", TableRules(f"orders_{k}", rules)) for k in held],
+                          schemas={f"{root}/k={k}": orders.schema for k in held})[1]
+
+
 # -- write, audit, publish ------------------------------------------------------------
 
 @register("publish_audited", """
