@@ -183,37 +183,59 @@ _ARROW = pa.schema([
 ])
 
 
+def _searched(texts: list[bytes | None], blocks: list, shard_bytes: int):
+    """Per shard of ``texts``: where it starts and stops, and per text its words, spans, items and longest match.
+
+    ``blocks``: broadcast Suffixes, one of which is held at a time.
+    """
+    start = 0
+    while start < len(texts):
+        stop, held = start, 0
+        while stop < len(texts) and (stop == start or held + len(texts[stop] or b"") <= shard_bytes):
+            held += len(texts[stop] or b"")
+            stop += 1
+        n = stop - start
+        counts, spans, items, longest = [0] * n, [[] for _ in range(n)], [set() for _ in range(n)], [(0, 0, "")] * n
+        for block in blocks:
+            suffixes = block.value if len(blocks) == 1 else block.load_from_path(block._path)
+            counts, own_spans, own_items, own_longest = search_shard(texts[start:stop], suffixes)
+            for k in range(n):
+                spans[k] += own_spans[k]
+                items[k] |= {suffixes.names[i] for i in own_items[k]}
+                words, at, i = own_longest[k]
+                if words > longest[k][0]:
+                    longest[k] = (words, at, suffixes.names[i])
+        yield start, stop, counts, spans, items, longest
+        start = stop
+
+
 def _search(docs: DataFrame, blocks: list, shard_bytes: int) -> DataFrame:
-    """Rows of ``_RESULT`` from a pass over ``docs`` (``id``, ``text`` as bytes); ``blocks``: broadcast Suffixes."""
+    """Rows of ``_RESULT`` from a pass over ``docs`` (``id``, ``text`` as bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, texts = column(b, "id"), column(b, "text")
-            start = 0
-            while start < len(ids):
-                stop, held = start, 0
-                while stop < len(ids) and (stop == start or held + len(texts[stop] or b"") <= shard_bytes):
-                    held += len(texts[stop] or b"")
-                    stop += 1
-                n = stop - start
-                counts, spans, items, longest = [0] * n, [[] for _ in range(n)], [set() for _ in range(n)], [(0, 0, "")] * n
-                for block in blocks:
-                    suffixes = block.value if len(blocks) == 1 else block.load_from_path(block._path)
-                    counts, own_spans, own_items, own_longest = search_shard(texts[start:stop], suffixes)
-                    for k in range(n):
-                        spans[k] += own_spans[k]
-                        items[k] |= {suffixes.names[i] for i in own_items[k]}
-                        words, at, i = own_longest[k]
-                        if words > longest[k][0]:
-                            longest[k] = (words, at, suffixes.names[i])
+            ids = column(b, "id")
+            for start, stop, counts, spans, items, longest in _searched(column(b, "text"), blocks, shard_bytes):
                 yield batch_of(_ARROW, ids[start:stop], counts,
                                [[{"start": s, "stop": e} for s, e in _merge(x)] for x in spans], [sorted(x) for x in items],
                                [{"words": w, "start": s, "item": i} if w else None for w, s, i in longest])
-                start = stop
 
     return docs.mapInArrow(run, _RESULT)
 
 
+def _suffix_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int) -> list:
+    """The items as broadcast Suffixes, in blocks of about ``block_bytes``."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("binary").alias("text")) \
+        .filter("item IS NOT NULL AND octet_length(text) > 0")
+    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
+    n_blocks = int(total // block_bytes) + 1
+    context, blocks = benchmark.sparkSession.sparkContext, []
+    for k in range(n_blocks):
+        block = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k)
+        blocks.append(context.broadcast(Suffixes([tuple(r) for r in block.collect()], window)))
+    return blocks
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                        block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -223,14 +245,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     more, ``items`` the ids (as strings, sorted) whose windows occur, ``longest``
     the longest verbatim match with its place.
     """
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("binary").alias("text")) \
-        .filter("item IS NOT NULL AND octet_length(text) > 0")
-    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
-    n_blocks = int(total // block_bytes) + 1
-    context, blocks = docs.sparkSession.sparkContext, []
-    for k in range(n_blocks):
-        block = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k)
-        blocks.append(context.broadcast(Suffixes([tuple(r) for r in block.collect()], window)))
+    blocks = _suffix_blocks(benchmark, item_col, item_text_col, window, block_bytes)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     return _search(rows, blocks, shard_bytes).withColumnRenamed("id", id_col)
 
@@ -242,10 +257,17 @@ def contamination_report(found: DataFrame) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        window: int = WINDOW, **options) -> DataFrame:
-    """The documents without a hit, all columns; rows that share an id go if any of them is hit."""
-    found = find_contamination(docs, benchmark, id_col, text_col, window=window, **options)
-    hit = found.filter(F.size("items") > 0).select(id_col).distinct()
-    same = docs[id_col].eqNullSafe(hit[id_col])
-    return docs.join(hit, same, "left_anti")
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                        item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+                        shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The rows without a hit, all columns, in one pass: each row is judged by its own text, whatever its id."""
+    blocks = _suffix_blocks(benchmark, item_col, item_text_col, window, block_bytes)
+    flat = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            clean = [not i for _, _, _, _, items, _ in _searched(column(b, "text"), blocks, shard_bytes) for i in items]
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(clean, pa.bool_()))], names=["row"])
+
+    kept = flat.mapInArrow(run, f"row {flat.schema['row'].dataType.simpleString()}")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -47,8 +47,16 @@ def test_decontamination(spark):
         got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in found.collect()), key=repr)
         assert got == brute_hits(rows, items)
     clean = suffix.remove_contaminated(awkward(spark), bench)
-    hit = {r[0] for r in brute_hits(rows, items) if r[2]}
-    assert sorted(map(repr, (r["doc_id"] for r in clean.collect()))) == sorted(repr(r[0]) for r in rows if r[0] not in hit)
+    kept = [r for r in rows if not brute_hits([r], items)[0][2]]
+    assert len(kept) < len(rows) and sorted(map(repr, map(tuple, clean.collect()))) == sorted(map(repr, kept))
+
+
+def test_rows_without_id_are_judged_by_their_own_text(spark):
+    passage = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(None, f"text {i} of its own", i) for i in range(30)] + [(None, f"so {passage} so", 99), (7, passage, 98), (7, "clean", 97)],
+                                 "doc_id long, text string, row long")
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    assert sorted(r["row"] for r in suffix.remove_contaminated(docs, bench).collect()) == [*range(30), 97]
 
 
 def test_decontamination_empty(spark):
