@@ -10,7 +10,13 @@ A huge document is encoded in overlapping chunks.  Each chunk yields boundary
 offsets with running token counts; two neighbours are spliced at an offset
 that both hold, away from the end of the first (where its scan may have been
 cut).  From such an offset on, both scans are the scan of the whole text.  If
-there is none, the overlap doubles, at the limit back to the last splice.
+there is none, the overlap doubles, at the limit back to the last splice.  A
+scan that goes back there takes a chunk four times as long, so a text without any
+boundary is read a bounded number of times over, whatever its length.
+
+Cutting is right only for a tokenizer that splits as above: byte level with its
+own splitting rule, no normaliser, added strings shorter than the margin.  Any
+other file's texts are encoded whole.
 
 Defined cases: a null or empty text has 0 tokens; every input row gives one
 row, repeated rows included; other columns are ignored.
@@ -18,6 +24,7 @@ row, repeated rows included; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -57,9 +64,23 @@ class UnitCounts(dict):
         return n
 
 
+def splits_at_spaces(tokenizer) -> bool:
+    """Whether the module's cuts hold for ``tokenizer``: read from its definition."""
+    spec = json.loads(tokenizer.to_str())
+    split = spec.get("pre_tokenizer") or {}
+    added = spec.get("added_tokens") or []
+    return (spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+            and not split.get("add_prefix_space")
+            and all(len(t["content"]) < END_MARGIN and " " not in t["content"] and not t["lstrip"] and not t["rstrip"]
+                    and not t["single_word"] for t in added))
+
+
 class Encoder:
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+        # a file may ask for truncation or padding; counts are those of the whole text
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        self.tokenizer, self.cuts = tokenizer, splits_at_spaces(tokenizer)
         self.after_space, self.bare = UnitCounts(tokenizer), UnitCounts(tokenizer, "")
 
     def units(self, text: str) -> list[str]:
@@ -88,12 +109,10 @@ class Encoder:
         for unit in self.units(text):
             if len(unit) > MAX_UNIT_CHARS:
                 enc = self.tokenizer.encode(unit, add_special_tokens=False)
-                last = None
-                for i, (word, (start, _)) in enumerate(zip(enc.word_ids, enc.offsets)):
-                    if word is None or word != last:
-                        at.append(pos + start)
-                        before.append(n + i)
-                    last = word
+                words = np.array([-1 if w is None else w for w in enc.word_ids], np.int64)
+                firsts = np.flatnonzero((words < 0) | (words != np.concatenate(([-2], words[:-1])))).tolist()
+                at += [pos + enc.token_to_chars(i)[0] for i in firsts]
+                before += [n + i for i in firsts]
                 n += len(enc)
             else:
                 at.append(pos)
@@ -104,21 +123,25 @@ class Encoder:
 
     def spliced(self, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
         """Token count of a long text from overlapping chunks."""
-        start, end, total = 0, min(chunk, len(text)), 0
+        start, end, total, step = 0, min(chunk, len(text)), 0, chunk
         at, before = self.boundaries(text[:end])
         while end < len(text):
-            width = overlap
+            # an overlap can align only if it holds a boundary of the scan so far
+            held = at[(at > start) & (at <= end - END_MARGIN)]
+            width = max(overlap, end - int(held[-1])) if held.size else end - start
             while True:
                 new_start = max(start, end - width)
-                new_end = min(len(text), end + chunk)
+                if new_start == start:
+                    step *= 4
+                new_end = min(len(text), end + step)
                 new_at, new_before = self.boundaries(text[new_start:new_end])
                 new_at = new_at + new_start
                 if new_start == start:  # reaches the last splice: this scan replaces the former one
                     at, before = new_at, new_before
                     break
-                common, i, j = np.intersect1d(at[(at > start) & (at <= end - END_MARGIN)], new_at, return_indices=True)
+                common = np.intersect1d(held, new_at)
                 if common.size:
-                    p = common[-1]
+                    p, step = common[-1], chunk
                     total += int(before[np.searchsorted(at, p)] - before[0])
                     k = int(np.searchsorted(new_at, p))
                     at, before, start = new_at[k:], new_before[k:], int(p)
@@ -130,6 +153,8 @@ class Encoder:
     def tokens(self, text: str | None, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
         if not text:
             return 0
+        if not self.cuts:
+            return len(self.tokenizer.encode(text, add_special_tokens=False))
         return self.count(text) if len(text) <= chunk else self.spliced(text, chunk, overlap)
 
 

@@ -34,6 +34,25 @@ def test_overlap_widens_when_nothing_aligns(enc):
     assert enc.spliced(text, 100, 10) == whole(enc, text)
 
 
+def test_a_text_without_boundaries_is_read_a_bounded_number_of_times(enc, monkeypatch):
+    read = []
+    scan = T.Encoder.boundaries
+    monkeypatch.setattr(T.Encoder, "boundaries", lambda self, t: read.append(len(t)) or scan(self, t))
+    for text in ["ab" * 100_000, "one two " * 2_000 + "x" * 150_000 + " three" * 5_000, "=" * 90_000 + " é" * 9_000]:
+        read.clear()
+        assert enc.spliced(text, 1_000, 50) == whole(enc, text)
+        assert sum(read) < 6 * len(text)
+
+
+def test_a_tokenizer_that_splits_otherwise_encodes_whole():
+    import public_tokenizers
+
+    other = T.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for text in ["a  b c1234 " * 30, "x" * 300 + "\n\n y", "Été  naïve <|endoftext|> z"]:
+        n = len(other.tokenizer.encode(text, add_special_tokens=False))
+        assert other.tokens(text, 40, 8) == n
+
+
 def test_awkward_rows(spark, enc):
     got = sorted_rows(T.count_tokens(awkward(spark), T.public_path("byte_bpe_50k.json")))
     want = sorted(((r[0], len((r[1] or "").encode()), whole(enc, r[1]), whole(enc, r[1]) > 512) for r in awkward_rows()), key=repr)
