@@ -40,6 +40,16 @@ def test_line_dedup(spark, min_docs):
     assert "words" in out.columns and out.columns.count("n_lines") == 1
 
 
+def test_line_dedup_null_and_repeated_ids(spark):
+    """A third of the ids null, a third the same: lists stay those of one text."""
+    rows = [((None, 7, i)[i % 3], "\n".join([f"line of group {i % 10} here", f"line of row {i} alone", "a line that all hold"]))
+            for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = lines.dedup_lines(docs)
+    assert sorted_rows(out.select("doc_id", "text", "n_lines", "n_dropped")) == brute_lines(rows)
+    assert lines.shared_lines(docs).selectExpr("max(size(digests))").first()[0] <= 3
+
+
 def test_line_dedup_empty(spark):
     assert lines.dedup_lines(empty(spark)).count() == 0
 
