@@ -1137,3 +1137,4 @@ def tables_by_type(spark, sf_dir):
 
 
 from . import registered_edges  # noqa: E402,F401 - registers its queries here
+from . import registered_history  # noqa: E402,F401 - registers its queries here

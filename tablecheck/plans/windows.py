@@ -12,7 +12,9 @@ table size, and a window holding most of the rows costs no more.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +32,7 @@ def stand_in_type(dtype: T.DataType) -> str:
 
 
 def windowed_check(df: DataFrame, table_rules: TableRules, timestamp_column: str,
-                   duration: str = "1 hour", on_error: str = "fail") -> FusedCheck:
+                   duration: str = "1 hour", on_error: str = "fail", keys: Sequence[Column] = ()) -> FusedCheck:
     # F.window() drops rows without a timestamp: they are given a stand-in and its window is made NULL
     dtype = df.schema[timestamp_column].dataType
     ts = qcol(timestamp_column)
@@ -38,7 +40,7 @@ def windowed_check(df: DataFrame, table_rules: TableRules, timestamp_column: str
     timed = df.withColumn(NO_TIME_COLUMN, F.coalesce(ts.cast(stand_in_type(dtype)), stand_in)) \
         .withColumn(WINDOW_COLUMN, F.window(NO_TIME_COLUMN, duration))
     w = F.when(ts.isNotNull(), F.col(WINDOW_COLUMN))
-    return FusedCheck(timed, table_rules, on_error, group_by=[w.alias("window")])
+    return FusedCheck(timed, table_rules, on_error, group_by=[w.alias("window"), *keys])
 
 
 def _flatten(df: DataFrame) -> DataFrame:
@@ -47,9 +49,9 @@ def _flatten(df: DataFrame) -> DataFrame:
 
 
 def windowed_validation(df: DataFrame, table_rules: TableRules, timestamp_column: str,
-                        duration: str = "1 hour", on_error: str = "fail") -> DataFrame:
-    """Validation results per window: ``window_start, window_end`` + the usual columns."""
-    return _flatten(windowed_check(df, table_rules, timestamp_column, duration, on_error).validation_results())
+                        duration: str = "1 hour", on_error: str = "fail", keys: Sequence[Column] = ()) -> DataFrame:
+    """Validation results per window (and ``keys``): ``window_start, window_end`` + the usual columns."""
+    return _flatten(windowed_check(df, table_rules, timestamp_column, duration, on_error, keys).validation_results())
 
 
 def windowed_rule_results(df: DataFrame, table_rules: TableRules, timestamp_column: str,
