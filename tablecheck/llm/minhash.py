@@ -13,11 +13,14 @@
 5. Buckets that still hold several components get further rounds: the next
    most central node of the largest component against the nodes outside it,
    and that of the other nodes against all that are not its own.  Links of a
-   round join components by their labels.  They end when a round adds no link.
+   round join components by their labels.  They end when a round adds no link,
+   at the latest after ``STAR_ROUNDS``: what they leave is left to step 6.
 6. Exact finish: two nodes that share a bucket, are not in one component and
-   were never centre there are still open.  All links among such nodes come
-   from one join on the shingles each of them has to share with a partner (the
-   rarest ones, `_prefix_pairs`).  No bucket, partner or candidate is capped.
+   were never centre there are still open.  The nodes of such a bucket are dealt
+   into blocks of about ``HOLDERS`` nodes, every two blocks that may hold nodes
+   of different components meet once, and the task where they meet counts what
+   their full sets share and gives the links alone: no list of pairs is written
+   and no task holds more than two blocks.  No bucket, partner or candidate is capped.
 
 A pair at similarity s meets in a bucket with probability
 1 - (1 - s^rows)^bands: 0.999995 at 0.75 with 32 bands of 4.
@@ -48,6 +51,10 @@ BANDS, ROWS = 32, 4
 SHINGLE = 5
 #: Similarity in percent.
 THRESHOLD = 75
+#: Rounds of star edges before the exact finish.
+STAR_ROUNDS = 3
+#: Nodes and shingles of a block in the exact finish, and the shingles counted at a time.
+HOLDERS, HELD_SHINGLES, COLUMNS = 500, 2_000_000, 2048
 _NONE = np.uint64(2**64 - 1)
 MAX_MEMO = 500_000
 
@@ -226,37 +233,100 @@ def _star_pairs(seen: DataFrame, used: DataFrame | None, percent: int) -> tuple[
     return centres.select("bucket", F.col("c.node").alias("node")), pairs.select(*ends).distinct()
 
 
-def _open_nodes(seen: DataFrame, used: DataFrame) -> DataFrame:
-    """``node, n, component`` of the nodes that share a bucket with an unchecked node of another component.
+def _open_rows(seen: DataFrame, used: DataFrame) -> DataFrame:
+    """The rows of ``seen`` whose node shares the bucket with an unchecked node of another component.
 
     A centre met every other component of its bucket, so only nodes that were no centre there are open.
     """
     free = seen.join(used, ["bucket", "node"], "left_anti")
     mixed = free.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    return free.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "n", "component").distinct()
+    return free.join(mixed.select("bucket"), "bucket", "left_semi").select("bucket", "node", "n", "component")
 
 
-def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of ``nodes`` in different components among which are all that are similar enough.
+def _dealt(rows: DataFrame, percent: int, holders: int) -> DataFrame:
+    """``bucket, node, n, component`` of open buckets, once for each ``meeting`` (``kind, low, high``) of two blocks, with its ``side``.
 
-    Shingles are ordered by the number of nodes that hold them, rarest first.
-    What two sets share lies at or after their first common shingle in both
-    orders: it has to leave room for the whole overlap that the similarity
-    needs.  Shingles of a single node take up room and are never joined.
+    The largest component of a bucket has blocks of its own, which meet the
+    blocks of the rest only (kind 1); blocks of the rest meet each other and
+    themselves (kind 0).  Nodes of the largest component too small or too large
+    for any of the rest stay out.
     """
-    held = materialise(sets.join(nodes, "node"), "open_sets")
-    each = held.select("node", F.explode("shingles").alias("shingle"))
-    count = each.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1")
-    common = each.join(count, "shingle").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("common"))
-    placed = nodes.join(common, "node").select("node", "n", "component", F.posexplode("common").alias("k", "c"), F.size("common").alias("m"))
-    # room: shingles of the node from this one on
-    first = placed.withColumn("room", F.col("m") - F.col("k")).filter(100 * F.col("room") >= percent * F.col("n"))
-    first = materialise(first.select("node", "n", "component", "room", F.col("c.shingle").alias("shingle")), "open_prefixes")
-    a, b = (first.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "component", "room")]) for side in "ab")
-    fits = (100 + percent) * F.least("room_a", "room_b") >= percent * (F.col("n_a") + F.col("n_b"))
-    pairs = a.join(b, "shingle").filter((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & fits)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"),
-                        F.col("component_a").alias("of_a"), F.col("component_b").alias("of_b")).distinct()
+    per = rows.groupBy("bucket", "component").agg(F.count("*").alias("held"), F.sum("n").alias("of_n"),
+                                                  F.min("n").alias("least"), F.max("n").alias("most"))
+    largest = per.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"))
+    inside = F.col("component") == F.col("largest")
+
+    def of(how, c, where):
+        return how(F.when(where, F.col(c)))
+
+    def parts(where):
+        blocks = F.greatest(of(F.sum, "held", where) / holders, of(F.sum, "of_n", where) / HELD_SHINGLES)
+        return F.ceil(blocks).cast("int")
+
+    sizes = per.join(largest, "bucket").groupBy("bucket").agg(
+        F.first("largest").alias("largest"), parts(inside).alias("m"), parts(~inside).alias("r"),
+        of(F.min, "least", ~inside).alias("least"), of(F.max, "most", ~inside).alias("most"))
+    near = (100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n"))
+    dealt = rows.join(sizes, "bucket").withColumn("inside", inside).filter(~F.col("inside") | near)
+    block = F.pmod(F.xxhash64("node"), F.when(F.col("inside"), F.col("m")).otherwise(F.col("r"))).cast("int")
+    dealt = dealt.withColumn("block", block)
+    b, rest, main = F.col("block"), F.sequence(F.lit(0), F.col("r") - 1), F.sequence(F.lit(0), F.col("m") - 1)
+
+    def meeting(kind, low, high, side):
+        return F.struct(F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"), side.cast("int").alias("side"))
+
+    with_rest = F.transform(rest, lambda o: meeting(0, F.least(b, o), F.greatest(b, o), b > o))
+    with_main = F.transform(main, lambda o: meeting(1, b, o, F.lit(0)))
+    from_main = F.transform(rest, lambda o: meeting(1, o, b, F.lit(1)))
+    each = F.explode(F.when(F.col("inside"), from_main).otherwise(F.concat(with_rest, with_main))).alias("meeting")
+    return dealt.select("bucket", "node", "n", "component", each).select(
+        "bucket", "meeting.kind", "meeting.low", "meeting.high", "meeting.side", "node", "n", "component")
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two sets have in common, by products of 0/1 matrices of ``COLUMNS`` shingles at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    spots = []
+    for sets in (left, right):
+        row, flat = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets)
+        at = np.minimum(np.searchsorted(both, flat), max(len(both) - 1, 0))
+        own = both[at] == flat if len(both) else np.zeros(len(flat), bool)
+        order = np.argsort(at[own], kind="stable")
+        spots.append((row[own][order], at[own][order]))
+    for first in range(0, len(both), COLUMNS):
+        sides = []
+        for sets, (row, at) in zip((left, right), spots):
+            start, stop = np.searchsorted(at, (first, first + COLUMNS))
+            ones = np.zeros((len(sets), COLUMNS), np.float32)
+            ones[row[start:stop], at[start:stop] - first] = 1
+            sides.append(ones)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _open_links(rows: DataFrame, sets: DataFrame, percent: int, holders: int) -> DataFrame:
+    """``a, b, of_a, of_b``: the links between the components of each open bucket, found where two blocks meet."""
+    schema = pa.schema([(c, pa.binary()) for c in ("a", "b", "of_a", "of_b")])
+
+    def run(met: pa.Table) -> pa.Table:
+        side = np.array(met.column("side"))
+        alone = met.column("kind")[0].as_py() == 0 and met.column("low")[0] == met.column("high")[0]
+        left = np.flatnonzero(side == 0)
+        right = left if alone else np.flatnonzero(side == 1)
+        if not len(left) or not len(right):
+            return schema.empty_table()
+        full = [s.values.to_numpy() for s in met.column("shingles")]
+        n, nodes, of = np.array(met.column("n")), met.column("node").to_pylist(), met.column("component").to_pylist()
+        label = np.unique(np.array(of, object), return_inverse=True)[1]
+        both = _shared([full[k] for k in left], [full[k] for k in right])
+        union = n[left][:, None] + n[right][None, :] - both
+        linked = (100 * both >= percent * union) & (label[left][:, None] != label[right][None, :])
+        ends = [sorted(((nodes[left[i]], of[left[i]]), (nodes[right[j]], of[right[j]]))) for i, j in zip(*np.nonzero(linked))]
+        return pa.Table.from_arrays([pa.array([e[x][y] for e in ends], pa.binary()) for y in (0, 1) for x in (0, 1)], schema=schema)
+
+    met = _dealt(rows, percent, holders).join(sets, "node")
+    return met.groupBy("bucket", "kind", "low", "high").applyInArrow(run, "a binary, b binary, of_a binary, of_b binary").distinct()
 
 
 def _joined(state: DataFrame, found: DataFrame) -> DataFrame:
@@ -277,7 +347,7 @@ def link_nodes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     sets = materialise(node_sets(docs, classes.join(state.select("node"), "node", "left_semi").select("node", "id"),
                                  id_col, text_col, size), "node_sets")
     used = checked = None
-    while True:
+    for _ in range(STAR_ROUNDS):
         centres, pairs = _star_pairs(buckets.join(state, "node"), used, percent)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
@@ -290,10 +360,9 @@ def link_nodes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
             state = _joined(state, found)
         elif not first:
             break
-    nodes = materialise(_open_nodes(buckets.join(state, "node"), used), "open_nodes")
-    if not nodes.isEmpty():
-        pairs = _prefix_pairs(nodes, sets, percent).join(checked, ["a", "b"], "left_anti")
-        found = materialise(confirmed(materialise(pairs, "open_pairs"), sets, percent), "open_links")
+    rows = materialise(_open_rows(buckets.join(state, "node"), used), "open_rows")
+    if not rows.isEmpty():
+        found = materialise(_open_links(rows, sets, percent, HOLDERS), "open_links")
         if not found.isEmpty():
             state = _joined(state, found)
     return state.select("node", "component")

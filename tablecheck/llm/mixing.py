@@ -1,7 +1,8 @@
 """Mixing sources to target weights by temperature, realised as budgeted block permutations.
 
-Tokens are white-space words here: a text without spaces counts as one, so
-sources in such scripts or encodings get almost no natural share.
+Tokens are white-space words unless ``count_col`` names a column of counts (of
+``tokens.count_tokens``, say): a text without spaces counts as one word, so
+sources in such scripts or encodings get almost no natural share without it.
 
 1. Token counts per source give its natural share p.  The weights are p^a,
    normalised; a in [0, 1] is the inverse temperature (1: natural, 0: uniform).
@@ -18,7 +19,8 @@ sources in such scripts or encodings get almost no natural share.
 Prefix sums run over a source's blocks (at most ``MAX_BLOCKS``) and over the
 documents of one block, never over a source's documents.
 
-Defined cases: a null text has no tokens; a null source is a source of its own;
+Texts are read twice: once for their counts, which are written, once to be
+drawn.  Defined cases: a null text has no tokens, a null or negative count is 0; a null source is a source of its own;
 sources without tokens get no weight and their documents are not drawn; an
 empty table gives an empty result; repeated rows are drawn each for itself.
 """
@@ -29,6 +31,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from .common import materialise
 
@@ -37,6 +40,10 @@ BLOCK_TOKENS, MAX_BLOCKS = 50_000, 100_000
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
+def _unhashable(kind: DataType) -> bool:
+    return any(name in kind.simpleString() for name in ("map<", "variant"))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(_WORDS)).cast("long"), F.lit(0).cast("long"))
 
@@ -105,20 +112,22 @@ def target_weights(shares: DataFrame, exponent: float, budget: float) -> DataFra
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         target_entropy: float | None = 0.95, max_epochs: float | None = 4.0, budget: int | None = None, seed: int = 17,
-        block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+        block_tokens: int = BLOCK_TOKENS, count_col: str | None = None) -> DataFrame:
     """The drawn rows of ``docs`` with ``n_tokens, weight, epoch, block, block_order, doc_order`` added.
 
     Sorting by epoch, block_order, doc_order gives the training order.  Without
     ``budget`` as many tokens are drawn as the table holds.  Columns of the
     added names are replaced.
     """
+    count = word_count(F.col(f"`{text_col}`")) if count_col is None else \
+        F.greatest(F.coalesce(F.col(f"`{count_col}`").cast("long"), F.lit(0)), F.lit(0))
     added = ["n_tokens", "weight", "epoch", "block", "block_order", "doc_order"]
     names = [c for c in docs.columns if c not in added]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), count.alias("n_tokens"))
     rows = rows.withColumn("source", F.coalesce(F.concat(F.lit("="), F.col(f"row.`{source_col}`").cast("string")), F.lit("null"))) \
-        .withColumn("mark", F.xxhash64(F.lit(seed), F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`"))) \
-        .withColumn("n_tokens", word_count(F.col(f"row.`{text_col}`")))
-    per = materialise(source_shares(rows.select("source", "n_tokens")), "mix_sources")
+        .withColumn("mark", F.xxhash64(F.lit(seed), F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`")))
+    counted = materialise(rows.select("source", "mark", "n_tokens"), "mix_counts")
+    per = materialise(source_shares(counted), "mix_sources")
     total = per.agg(F.max("all_tokens")).first()[0] or 0
     budget = total if budget is None else budget
     exponent = solve_exponent(per, target_entropy, max_epochs, budget / total) if total else 1.0
@@ -127,7 +136,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plan = materialise(plan, "mix_plan")
 
     block = F.pmod(F.xxhash64(F.lit(seed + 1), "mark"), F.col("n_blocks")).cast("int")
-    sized = rows.select("source", "mark", "n_tokens").join(plan, "source").withColumn("block", block) \
+    sized = counted.join(plan, "source").withColumn("block", block) \
         .groupBy("source", "block").agg(F.sum("n_tokens").alias("held"), F.first("weight").alias("weight"),
                                          F.first("source_budget").alias("source_budget"), F.first("tokens").alias("tokens"))
     full = F.floor(F.col("source_budget") / F.col("tokens")).cast("int")
@@ -144,7 +153,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .join(dealt, ["source", "block"])
     # only the block where a budget ends is cut by documents
     cut = placed.filter("room > 0")
-    inside = Window.partitionBy("source", "block").orderBy(F.xxhash64(F.lit(seed + 3), "mark"), "mark") \
+    # rows equal in id and text are told apart by their other columns, so a retried task cuts the same ones
+    other = [F.col(f"row.`{f.name}`") for f in docs.schema if f.name in names and not _unhashable(f.dataType)]
+    inside = Window.partitionBy("source", "block").orderBy(F.xxhash64(F.lit(seed + 3), "mark"), "mark", F.xxhash64(F.lit(seed), *other)) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = cut.withColumn("more", (F.sum("n_tokens").over(inside) <= F.col("room")).cast("int"))
     whole = placed.filter("room <= 0").withColumn("more", (F.col("room") == -1).cast("int"))

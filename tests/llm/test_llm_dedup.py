@@ -139,13 +139,52 @@ def family_rows(n=80, words=600):
     return rows
 
 
-def test_near_duplicates_in_a_template_family(spark):
+@pytest.mark.parametrize("holders,rounds", [(1000, 3), (7, 3), (7, 1)])
+def test_near_duplicates_in_a_template_family(spark, monkeypatch, holders, rounds):
+    monkeypatch.setattr(minhash, "HOLDERS", holders)
+    monkeypatch.setattr(minhash, "STAR_ROUNDS", rounds)
     rows = family_rows()
     want = brute_near(rows)
     assert [r[0] for r in want if r[2] != r[0]] == [81]
     assert sorted_rows(minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3))) == want
 
 
+@pytest.mark.parametrize("rounds", [1, 2])
+def test_few_star_rounds_lose_no_link(spark, monkeypatch, rounds):
+    monkeypatch.setattr(minhash, "STAR_ROUNDS", rounds)
+    rows = near_rows()
+    assert sorted_rows(minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute_near(rows)
+
+
+def test_blocks_of_an_open_bucket_meet_once_and_are_bounded(spark):
+    holders = 20
+    rows = [(bucket, f"{bucket}-{k}".encode(), 100 + k % 5, b"main" if k < main else f"c{k // 3}".encode())
+            for bucket, n, main in ((1, 130, 90), (2, 2, 1), (3, 90, 0)) for k in range(n)]
+    rows.append((1, b"small", 20, b"main"))  # too small for any of the rest
+    dealt = minhash._dealt(spark.createDataFrame(rows, "bucket long, node binary, n long, component binary"), 75, holders).collect()
+    groups = collections.defaultdict(list)
+    for r in dealt:
+        groups[(r["bucket"], r["kind"], r["low"], r["high"])].append(r)
+    met = collections.Counter()
+    for (bucket, kind, low, high), held in groups.items():
+        assert max(collections.Counter(r["side"] for r in held).values()) <= 2 * holders  # dealt by hash: about ``holders``
+        for i, a in enumerate(held):
+            for b in held[:i]:
+                if a["component"] != b["component"] and (a["side"] != b["side"] or kind == 0 and low == high):
+                    met[tuple(sorted((bytes(a["node"]), bytes(b["node"]))))] += 1
+    want = {tuple(sorted((a[1], b[1]))) for a in rows for b in rows if a[0] == b[0] and a[3] != b[3] and b"small" not in (a[1], b[1])}
+    assert set(met) == want and set(met.values()) == {1}
+
+
+def test_shared_shingles_are_counted_exactly(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 7)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(-60, 60, k)) for k in (1, 5, 40, 90, 90)] + [np.array([10**15])]
+    want = [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets]
+    assert minhash._shared(sets, sets[2:]).tolist() == want
+    assert minhash._shared(sets[-1:], sets[:1]).tolist() == [[0]]
+
+
 def test_near_duplicates_empty(spark):
     assert minhash.near_duplicates(empty(spark)).count() == 0
 

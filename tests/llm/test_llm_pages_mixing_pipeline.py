@@ -1,5 +1,6 @@
 import collections
 import html
+import random
 import re
 
 import pytest
@@ -147,6 +148,46 @@ def test_mix_keeps_budgets_and_permutes(spark, budget):
         mixing.mix(docs.repartition(7), budget=budget, block_tokens=200).select("doc_id", "epoch", "block", "doc_order"))
 
 
+def brute_draw(rows, weights, budget):
+    """``source: (full epochs, tokens left)`` and what one more epoch may draw at most."""
+    held = collections.Counter()
+    for source, n in rows:
+        held[source] += n
+    return {s: divmod(int(w * budget), held[s]) for s, w in weights.items()}
+
+
+def test_mix_takes_a_count_column(spark):
+    rng = random.Random(8)
+    rows = [(i, "x" * 40, f"s{i % 3}" if i % 7 else None, rng.randint(0, 30) * (1 + 9 * (i % 3 == 0))) for i in range(400)]
+    rows += [(900, "y", "s0", None), (901, "y", "s1", -5), (902, None, "only", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_tokens long").repartition(4)
+    got = mixing.mix(docs, target_entropy=None, max_epochs=None, budget=9_000, block_tokens=100, count_col="n_tokens").collect()
+    counts = {r[0]: max(r[3] or 0, 0) for r in rows}
+    held = collections.Counter()
+    for r in rows:
+        held[r[2]] += counts[r[0]]
+    total = sum(held.values())
+    assert {r["source"] for r in got} == {s for s, n in held.items() if n}
+    drawn, times = collections.Counter(), collections.Counter()
+    for r in got:
+        assert r["n_tokens"] == counts[r["doc_id"]] and abs(r["weight"] - held[r["source"]] / total) < 1e-12
+        drawn[r["source"]] += r["n_tokens"]
+        times[r["doc_id"]] += 1
+    plan = brute_draw([(r[2], counts[r[0]]) for r in rows], {r["source"]: r["weight"] for r in got}, 9_000)
+    for i, text, source, _ in rows:
+        if source in plan:
+            assert plan[source][0] <= times[i] <= plan[source][0] + 1
+    for s, (full, left) in plan.items():
+        assert 0 <= full * held[s] + left - drawn[s] <= 310
+
+
+def test_mix_tells_rows_apart_by_their_other_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s", k, {"k": k}) for k in range(40)],
+                                 "doc_id long, text string, source string, extra int, m map<string,int>")
+    a, b = (mixing.mix(docs.repartition(n), budget=60).select("extra").collect() for n in (2, 9))
+    assert len(a) == 20 and sorted(a) == sorted(b)
+
+
 def test_mix_empty(spark):
     assert mixing.mix(empty(spark)).count() == 0
 
