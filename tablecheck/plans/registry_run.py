@@ -20,6 +20,7 @@ summaries and trends apply to both kinds.  File checks use
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 from typing import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,9 +101,10 @@ def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str
         lo, hi = size.get("min_bytes"), size.get("max_bytes")
         is_json = conf.get("format") == "json"
         glob = conf.get("glob", "*.json" if is_json else "*")
-        manifest = FS.file_manifest(spark, path, glob)
+        # taken when a check first asks for it, then shared
+        manifest = cache(lambda path=path, glob=glob: FS.stored_manifest(spark, path, glob))
         if v.get("file_existence", {}).get("enabled", False):
-            file_frames.append(FC.existence_check(manifest, name))
+            file_frames.append(FC.existence_check(manifest(), name))
         if is_json:
             layout = conf.get("layout", "document")
             keys = v.get("metadata_keys", {}).get("required", [])
@@ -111,15 +113,16 @@ def run_registry(spark: SparkSession, registry: Registry, locations: Mapping[str
                 file_frames.append(check_new_documents(spark, path, {"required_keys": keys}, name,
                                                        f"{state_dir}/{name}", glob, layout, tr.threshold))
             else:
-                docs = FS.scan_json_files(spark, path, glob, mode=layout)
+                docs = FS.scan_json_files(spark, path, glob, mode=layout,
+                                          manifest=manifest() if layout == "document" else None)
                 file_frames.append(FC.required_keys_check(docs, "value", keys, name, "required_keys", tr.threshold))
             if lo is not None or hi is not None:
                 # sizes come from the listing, so every run checks all files, empty ones too
-                file_frames.append(FC.bound_check(manifest, F.col("file_size"), lo, hi, name, "file_size"))
+                file_frames.append(FC.bound_check(manifest(), F.col("file_size"), lo, hi, name, "file_size"))
         else:
             meta = metadata_frames.get(name)
             if meta is None:
-                meta = manifest
+                meta = manifest().drop("file_uri")
             allowed = v.get("file_extensions", {}).get("allowed")
             required = v.get("metadata_keys", {}).get("required", [])
             file_frames.append(_file_metadata_rows(meta, name, required, lo, hi, allowed))

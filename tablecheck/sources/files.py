@@ -11,9 +11,11 @@ DataFrame file sources skip zero-length files, while a per-file check must
 count an empty file as an invalid document.  ``scan_json_files`` therefore
 adds them as rows with a NULL value: the file index's own listing minus the
 files that have content (``zero_length_files``).  The listing is the one that
-Spark's driver keeps for any scan of the folder; it stays in the JVM and is
-compared by an anti join.  Hidden names (``_x``, ``.x``) are excluded, as Spark
-does; ``hidden_file_count`` says how many there are.
+Spark's driver keeps for any scan of the folder; its names go from the JVM to
+the scratch folder, never into a plan, and are compared by a sort-merge join
+(files hold few bytes, so their size says nothing of how many names a broadcast
+would bring to the driver).  Hidden names (``_x``, ``.x``) are excluded, as
+Spark does; ``hidden_file_count`` says how many there are.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 FILE_COLUMNS = ["file_path", "file_name", "file_size", "value"]
 
 
@@ -64,6 +68,16 @@ def _norm_path(c):
     return F.regexp_replace(c, r"^file:(//)?(?=/)", "file:")
 
 
+def _listed(spark: SparkSession, directory: str, glob: str) -> tuple[DataFrame, DataFrame]:
+    """The files with content as ``binaryFile`` gives them, and ``(file_uri, decoded)`` of all files:
+    one listing for both."""
+    listed = spark.read.option("pathGlobFilter", glob).format("binaryFile").load(directory)
+    # inputFiles() gives URIs (a space is %20), as _metadata does; the binaryFile
+    # path is decoded.  Match on the decoded form, report the URI form.
+    decoded = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
+    return listed, _listed_uris(spark, listed).select(_norm_path(F.col("uri")).alias("file_uri"), _norm_path(decoded).alias("decoded"))
+
+
 def zero_length_files(spark: SparkSession, directory: str, glob: str = "*.json") -> DataFrame:
     """``(file_path, file_name)`` of the zero-length ``glob`` files of a directory.
 
@@ -71,25 +85,30 @@ def zero_length_files(spark: SparkSession, directory: str, glob: str = "*.json")
     (``inputFiles()``, one call) minus the ``binaryFile`` listing (content
     pruned, so no file is opened) leaves the empty ones.
     """
-    listed = spark.read.option("pathGlobFilter", glob).format("binaryFile").load(directory)
-    # inputFiles() gives URIs (a space is %20), as _metadata does; the binaryFile
-    # path is decoded.  Match on the decoded form, report the URI form.
-    decoded = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
-    every = _listed_uris(spark, listed).select(_norm_path(F.col("uri")).alias("file_path"), _norm_path(decoded).alias("decoded"))
+    listed, every = _listed(spark, directory, glob)
     non_empty = listed.select(_norm_path(F.col("path")).alias("decoded"))
-    empty = every.join(non_empty, "decoded", "left_anti")
-    return empty.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"))
+    empty = every.join(non_empty.hint("merge"), "decoded", "left_anti")
+    return empty.select(F.col("file_uri").alias("file_path"), F.element_at(F.split("file_uri", "/"), -1).alias("file_name"))
 
 
 def _listed_uris(spark: SparkSession, listed: DataFrame) -> DataFrame:
-    """``uri`` of each listed file, without bringing the list to Python on a classic session."""
+    """``uri`` of each listed file, stored once: on a classic session the list
+    is not brought to Python, and no plan holds it."""
     try:
         jvm = spark.sparkContext._jvm
-        from pyspark.sql.classic.column import Column as JavaColumn
     except Exception:  # noqa: BLE001 - Spark Connect: no JVM handle
-        return spark.createDataFrame([(p,) for p in listed.inputFiles()], "uri string")
-    uris = JavaColumn(jvm.org.apache.spark.sql.functions.lit(listed._jdf.inputFiles()))
-    return spark.range(1).select(F.explode(uris).alias("uri"))
+        uris = spark.createDataFrame([(p,) for p in listed.inputFiles()], "uri string")
+    else:
+        names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(listed._jdf.inputFiles())
+        uris = DataFrame(spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark).toDF("uri")
+    return stored(spark, uris, "listed_files")
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def hidden_file_count(spark: SparkSession, directory: str) -> int | None:
@@ -113,26 +132,34 @@ def file_manifest(spark: SparkSession, directory: str, glob: str = "*.json") ->
     ``binaryFile`` without its ``content`` column lists files without reading
     them; Spark parallelises the listing of large directory trees.
     """
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-          .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"),
-                  F.col("modificationTime").alias("modification_time")))
-    found = df.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
-                      "file_size", "modification_time")
-    empty = zero_length_files(spark, directory, glob)
-    plain = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
-    return found.unionByName(empty.select(
-        plain.alias("file_path"), F.element_at(F.split(plain, "/"), -1).alias("file_name"),
-        F.lit(0).cast("bigint").alias("file_size"), F.lit(None).cast("timestamp").alias("modification_time")))
+    return _manifest(spark, directory, glob).drop("file_uri")
+
+
+def stored_manifest(spark: SparkSession, directory: str, glob: str = "*.json") -> DataFrame:
+    """``file_manifest`` and ``file_uri`` (the form of document scans), taken once for all
+    checks of a folder: the driver keeps no listing for them."""
+    return stored(spark, _manifest(spark, directory, glob), "file_manifest")
+
+
+def _manifest(spark: SparkSession, directory: str, glob: str) -> DataFrame:
+    listed, every = _listed(spark, directory, glob)
+    found = listed.select(_norm_path(F.col("path")).alias("decoded"), "path", "length", "modificationTime")
+    path = F.coalesce("path", "decoded")
+    return every.join(found.hint("merge"), "decoded", "left").select(
+        path.alias("file_path"), F.element_at(F.split(path, "/"), -1).alias("file_name"),
+        F.coalesce("length", F.lit(0).cast("bigint")).alias("file_size"),
+        F.col("modificationTime").alias("modification_time"), "file_uri")
 
 
 def scan_json_files(spark: SparkSession, directory: str, glob: str = "*.json", mode: str = "document",
-                    include_empty: bool = True) -> DataFrame:
+                    include_empty: bool = True, manifest: DataFrame | None = None) -> DataFrame:
     """Documents of a directory: ``file_path, file_name, file_size, value``
     (paths and names in the URI form of Spark's ``_metadata`` columns).
 
     Zero-length files appear with a NULL ``value`` when ``include_empty``
-    (document mode).  In lines mode a document is identified by its content
-    (the text source exposes no line numbers), blank lines are skipped.
+    (document mode); they come from ``manifest`` (of ``stored_manifest``) if given.
+    In lines mode a document is identified by its content (the text source
+    exposes no line numbers), blank lines are skipped.
     """
     reader = spark.read.option("pathGlobFilter", glob)
     if mode == "document":
@@ -147,7 +174,12 @@ def scan_json_files(spark: SparkSession, directory: str, glob: str = "*.json", m
     if mode == "lines":
         out = out.filter(F.length(F.trim("value")) > 0)
     if include_empty and mode == "document":
-        empties = zero_length_files(spark, directory, glob).select(
+        if manifest is None:
+            empty = zero_length_files(spark, directory, glob)
+        else:
+            empty = manifest.filter("file_size = 0").select(
+                F.col("file_uri").alias("file_path"), F.element_at(F.split("file_uri", "/"), -1).alias("file_name"))
+        empties = empty.select(
             "file_path", "file_name", F.lit(0).cast("bigint").alias("file_size"),
             F.lit(None).cast("string").alias("value"))
         out = out.unionByName(empties)

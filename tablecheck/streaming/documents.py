@@ -22,9 +22,15 @@ from pyspark.sql import functions as F
 
 from ..operators.files import required_keys_checks
 from ..session import scratch_path
-from ..sources.files import zero_length_files
+from ..sources.files import stored, zero_length_files
 from .hourly import read_batches, write_batch
 
+#: Files of one micro-batch of ``check_new_documents``: what the driver holds of a batch does not grow with the folder.
+FILES_PER_BATCH = 20_000
+#: A batch's files are looked up by so many tasks (Spark's default is 10,000, mostly one per file).
+LISTING_TASKS = 200
+_LISTING_CONF = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def stream_required_keys(spark: SparkSession, directory: str, key_sets: Mapping[str, Sequence[str]],
                          table_name: str, glob: str = "*.json", mode: str = "document",
@@ -52,8 +58,13 @@ def stream_required_keys(spark: SparkSession, directory: str, key_sets: Mapping[
         write_batch(required_keys_checks(batch, "value", key_sets, table_name, threshold), results_path, batch_id)
 
     w = docs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
-    q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
-    q.awaitTermination()
+    before = spark.conf.get(_LISTING_CONF)
+    spark.conf.set(_LISTING_CONF, min(int(before), LISTING_TASKS))
+    try:
+        q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set(_LISTING_CONF, before)
     if q.exception() is not None:
         raise q.exception()
     stored = _stored(spark, results_path)
@@ -75,9 +86,10 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 def check_new_documents(spark: SparkSession, directory: str, key_sets: Mapping[str, Sequence[str]],
                         table_name: str, state_dir: str, glob: str = "*.json", mode: str = "document",
-                        threshold: float = 0.10) -> DataFrame:
+                        threshold: float = 0.10, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Checks over the files that arrived since the previous call with the same
-    ``state_dir`` (one row per key set; zero files when nothing arrived).
+    ``state_dir`` (one row per key set; zero files when nothing arrived), all of
+    them, in micro-batches of ``files_per_batch`` files.
 
     The stream's checkpoint and per-batch results live under ``state_dir``.
     What is new is what no finished call has reported: ``reported`` holds the
@@ -96,15 +108,17 @@ def check_new_documents(spark: SparkSession, directory: str, key_sets: Mapping[s
     reported = _stored(spark, reported_path)
     before = -1 if reported is None else reported.agg(F.max("batch_id")).first()[0]
     res = stream_required_keys(spark, directory, key_sets, table_name, glob, mode, threshold,
-                               results_path, checkpoint)
+                               results_path, checkpoint, files_per_batch)
     new = res.filter(F.col("batch_id") > F.lit(before))
     names = spark.createDataFrame([(n,) for n in key_sets], "check_name string")
     sums = (new.groupBy("check_name").agg(F.sum("total_files").cast("bigint").alias("total_files"),
                                           F.sum("violations").cast("bigint").alias("violations")))
-    empty_now = zero_length_files(spark, directory, glob).select("file_path")
-    counted = _stored(spark, empty_path)
-    empty_new = empty_now if counted is None else empty_now.join(counted, "file_path", "left_anti")
-    n_empty = empty_new.count() if mode == "document" else 0
+    n_empty = 0
+    if mode == "document":
+        empty_now = zero_length_files(spark, directory, glob).select("file_path")
+        counted = _stored(spark, empty_path)
+        empty_new = stored(spark, empty_now if counted is None else empty_now.join(counted, "file_path", "left_anti"), "empty_files")
+        n_empty = empty_new.count()
     last = res.agg(F.max("batch_id")).first()[0]
     # one row per configured key set on both sides: a size-checked broadcast
     rows = join_small(names, sums, "check_name", "left", rows=len(key_sets)).select(

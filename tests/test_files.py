@@ -120,3 +120,35 @@ def test_zero_length_files_by_anti_join(spark, tmp_path):
     # names in the URI form Spark's _metadata columns use
     assert sorted(r["file_name"] for r in z.collect()) == ["e%202.json", "e1.json"]
     assert "LeftAnti" in z._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_plan_holds_the_names_of_a_folder(spark, tmp_path):
+    d = str(tmp_path / "many")
+    os.makedirs(d)
+    for k in range(40):
+        _write(d, f"name_{k} x.json", "" if k % 4 == 0 else '{"k":1}')
+    manifest = FS.stored_manifest(spark, d)
+    for df in (FS.file_manifest(spark, d), FS.zero_length_files(spark, d), FS.scan_json_files(spark, d),
+               FS.scan_json_files(spark, d, manifest=manifest)):
+        plan = df._jdf.queryExecution().toString()
+        assert "name_" not in plan and "Broadcast" not in plan  # neither as a literal nor collected
+    assert sorted((r["file_name"], r["file_size"]) for r in manifest.collect()) == \
+        sorted((f"name_{k} x.json", 0 if k % 4 == 0 else 7) for k in range(40))
+    assert sorted(map(tuple, FS.scan_json_files(spark, d, manifest=manifest).collect()), key=str) == \
+        sorted(map(tuple, FS.scan_json_files(spark, d).collect()), key=str)
+
+
+def test_new_documents_are_checked_in_batches(spark, tmp_path):
+    from tablecheck.streaming.documents import _LISTING_CONF, check_new_documents
+    d, state = str(tmp_path / "docs"), str(tmp_path / "state")
+    os.makedirs(d)
+    for k in range(5):
+        _write(d, f"{k}.json", '{"k":1}' if k else "{}")
+    _write(d, "empty.json", "")
+    before = spark.conf.get(_LISTING_CONF)
+    r = [check_new_documents(spark, d, {"keys": ["k"]}, "logs", state, files_per_batch=2).first() for _ in range(2)]
+    assert [(x["total_files"], x["violations"]) for x in r] == [(6, 2), (0, 0)]
+    assert spark.read.parquet(f"{state}/results").select("batch_id").distinct().count() == 3
+    _write(d, "new.json", "{}")
+    x = check_new_documents(spark, d, {"keys": ["k"]}, "logs", state, files_per_batch=2).first()
+    assert (x["total_files"], x["violations"]) == (1, 1) and spark.conf.get(_LISTING_CONF) == before
