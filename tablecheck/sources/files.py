@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+#: Files that one task writes in the file-per-document layout (a file costs milliseconds, whatever it holds).
+FILES_PER_TASK = 500
+
 FILE_COLUMNS = ["file_path", "file_name", "file_size", "value"]
 
 
@@ -192,8 +195,13 @@ def write_json_documents(df: DataFrame, directory: str, one_per_file: bool = Fal
 
     NULL fields are left out of a document (the JSON writer's default).
     ``one_per_file`` uses ``maxRecordsPerFile=1`` for the file-per-document
-    layout; otherwise JSON Lines, one file per partition.
+    layout, in tasks of about ``FILES_PER_TASK`` files (a small table is one
+    partition, however many files it becomes); otherwise JSON Lines, one file
+    per partition.
     """
+    if one_per_file:
+        tasks = -(-df.count() // FILES_PER_TASK)
+        df = df.repartition(tasks) if tasks > 1 else df
     w = df.write.mode(mode)
     if one_per_file:
         w = w.option("maxRecordsPerFile", 1)

@@ -122,6 +122,17 @@ def test_zero_length_files_by_anti_join(spark, tmp_path):
     assert "LeftAnti" in z._jdf.queryExecution().executedPlan().toString()
 
 
+def test_one_file_per_document_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(FS, "FILES_PER_TASK", 10, raising=False)
+    d = str(tmp_path / "docs")
+    FS.write_json_documents(spark.range(0, 35, 1, 1), d, one_per_file=True)
+    names = [n for n in os.listdir(d) if n.startswith("part-")]
+    assert len(names) == 35 and len({n.split("-")[1] for n in names}) == 4  # a table of one partition
+    assert sorted(r["id"] for r in spark.read.json(d).collect()) == list(range(35))
+    FS.write_json_documents(spark.range(0), str(tmp_path / "none"), one_per_file=True)
+    assert not [n for n in os.listdir(tmp_path / "none") if n.startswith("part-") and os.path.getsize(tmp_path / "none" / n)]
+
+
 def test_no_plan_holds_the_names_of_a_folder(spark, tmp_path):
     d = str(tmp_path / "many")
     os.makedirs(d)
