@@ -18,7 +18,14 @@ Symbols are the bytes of a word, written as the vocabulary's letters; the last
 one is a symbol of its own where the vocabulary marks word ends.  What turns text into words
 (normaliser, splitting, special strings) is taken from the tokenizer file by
 its library; it never looks across white space, so a text is taken a
-white-space piece at a time and repeated pieces are worked out once a worker.
+white-space piece at a time and repeated pieces are worked out once a worker,
+as long as its caches hold them.
+
+An executor runs an encoding and a decoding worker for each core, and each
+may later serve the other.  So what a worker keeps is bounded: the automaton, one
+(left part, right part, rank) for each token, and small caches that start
+anew when full.  Rows are taken a slice of bounded size at a time, and what
+Arrow no longer uses goes back after each batch.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text;
 every input row gives one row, repeated rows and null ids included; very long
@@ -33,7 +40,6 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +47,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PIECES = 500_000
+MAX_PIECES = 250_000
+PIECE_BYTES = 64  # times MAX_PIECES: what the cached pieces and their ids may take
 BATCH_PIECES = 1024
 MAX_PIECE_BYTES = 64
-MAX_PAIRS = 1_000_000
-MAX_STEPS = 1_000_000
-SLICE_ROWS = 256
-MAX_WORDS = 400_000
+MAX_PAIRS = 200_000
+MAX_STEPS = 100_000
+SLICE_BYTES = 1 << 22
+SLICE_IDS = 1 << 18
+MAX_WORDS = 50_000
 _NEVER = 1 << 62
 # The splitting rule of the word-end vocabularies, and what it comes to in lower-case ASCII.
 _WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -66,7 +74,7 @@ def _byte_letters() -> list[str]:
 class _Steps(dict):
     """The automaton's moves, as ``state << 13 | symbol``: to the longest vocabulary prefix that ends here; a bounded cache."""
 
-    def __init__(self, edges: dict[int, int], fall: list[int]):
+    def __init__(self, edges: dict[int, int], fall: array.array):
         super().__init__()
         self.edges, self.fall = edges, fall
 
@@ -84,7 +92,7 @@ def _automaton(tokens: dict[str, int]) -> tuple[_Steps, list[tuple]]:
     """Moves, and for each state the ``(token, length)`` that end there, longest first."""
     edges: dict[int, int] = {}
     own: list[tuple] = [()]
-    parent = [(0, 0)]
+    parent, letter = array.array("i", [0]), array.array("i", [0])
     for name, token in tokens.items():
         state = 0
         for symbol in map(ord, name):
@@ -92,15 +100,16 @@ def _automaton(tokens: dict[str, int]) -> tuple[_Steps, list[tuple]]:
             if after is None:
                 after = edges[state << 13 | symbol] = len(own)
                 own.append(())
-                parent.append((state, symbol))
+                parent.append(state)
+                letter.append(symbol)
             state = after
         own[state] = ((token, len(name)),)
-    depth = [0] * len(own)
+    depth = array.array("i", bytes(4 * len(own)))
     for k in range(1, len(own)):
-        depth[k] = depth[parent[k][0]] + 1
-    fall, ends = [0] * len(own), list(own)
+        depth[k] = depth[parent[k]] + 1
+    fall, ends = array.array("i", bytes(4 * len(own))), list(own)
     for k in sorted(range(1, len(own)), key=depth.__getitem__):
-        state, symbol = parent[k]
+        state, symbol = parent[k], letter[k]
         while state:
             state = fall[state]
             if (state << 13 | symbol) in edges:
@@ -140,6 +149,31 @@ class _Words(dict):
         return ids
 
 
+def _definition(path: str) -> dict:
+    """The tokenizer file, if it is of the kind worked out here."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model = spec["model"]
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    steps = json.dumps([spec["pre_tokenizer"], spec["normalizer"]])
+    if model["type"] != "BPE" or not plain or "ByteLevel" not in steps or '"add_prefix_space": true' in steps or spec["post_processor"]:
+        raise ValueError(f"{path}: not a plain byte-level BPE tokenizer")
+    if spec["decoder"] is not None:
+        raise ValueError(f"{path}: only tokenizers without a decoder, whose tokens are joined by a space")
+    if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
+        raise ValueError(f"{path}: only added tokens that match literally")
+    return spec
+
+
+def _names(spec: dict) -> list[str]:
+    """The token of each id; an id between others that no token has is empty."""
+    ids = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+    names = [""] * (max(ids.values()) + 1)
+    for name, k in ids.items():
+        names[k] = name
+    return names
+
+
 class Vocabulary:
     """Tokens, merge trees and the automaton of a byte-level BPE tokenizer file."""
 
@@ -147,18 +181,10 @@ class Vocabulary:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = _definition(path)
         model = spec["model"]
-        plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
-        steps = json.dumps([spec["pre_tokenizer"], spec["normalizer"]])
-        if model["type"] != "BPE" or not plain or "ByteLevel" not in steps or '"add_prefix_space": true' in steps or spec["post_processor"]:
-            raise ValueError(f"{path}: not a plain byte-level BPE tokenizer")
-        if spec["decoder"] is not None:
-            raise ValueError(f"{path}: only tokenizers without a decoder, whose tokens are joined by a space")
-        if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
-            raise ValueError(f"{path}: only added tokens that match literally")
-        self.tokenizer = Tokenizer.from_file(path)
+        # the library only normalises and splits here, so it needs no tokens
+        self.tokenizer = Tokenizer.from_str(json.dumps({**spec, "added_tokens": [], "model": {**model, "vocab": {}, "merges": []}}))
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         rules = [n.get("pattern") for n in spec["pre_tokenizer"].get("pretokenizers", [])]
         self._lower_words = kinds == ["NFC", "Replace", "Lowercase"] and rules == [{"Regex": _WORD_RULE}, None]
@@ -177,31 +203,23 @@ class Vocabulary:
             if whole in parts or any(len(self._symbols(t)) > 1 and ids[t] not in parts for t in (a, b)):
                 raise ValueError(f"{path}: a merge comes before those of its parts")
             parts[whole] = (ids[a], ids[b], r)
-        self.size = max([*ids.values(), *self.special.values()]) + 1
-        # the parts of a token that touch its left or right end, each with the rank that uses it up
-        self.left: list = [()] * self.size
-        self.right: list = [()] * self.size
-        self.length = np.zeros(self.size, np.int64)
-        self.names = [""] * self.size
-        for name, k in {**ids, **self.special}.items():
-            self.names[k] = name
+        self.names = _names(spec)
+        # what each token was made of, and the rank that used those parts up; a single symbol has no parts
+        self.left, self.right, self.made_at = (array.array("i", [-1]) * len(self.names) for _ in range(3))
+        real = bytearray(len(self.names))
         self._letters = {chr(b): pre for b, pre in enumerate(_byte_letters())}
         self.pairs, self.words = _Pairs(self), _Words(self)
         tokens: dict[str, int] = {}
         for name, k in sorted(ids.items(), key=lambda x: parts.get(x[1], (0, 0, -1))[2]):
             symbols = self._symbols(name)
-            self.length[k] = len(symbols)
             if k in parts:
                 a, b, r = parts[k]
-                self.left[k] = ((k, _NEVER), (a, r), *self.left[a][1:])
-                self.right[k] = ((k, _NEVER), (b, r), *self.right[b][1:])
-                if not (self.left[a] and self.left[b] and self.apart(a, b, r)):
-                    self.left[k] = self.right[k] = ()  # never the result of merging its own symbols
-                    continue
-            elif len(symbols) == 1:
-                self.left[k] = self.right[k] = ((k, _NEVER),)
-            else:
+                if not (real[a] and real[b] and self.apart(a, b, r)):
+                    continue  # never the result of merging its own symbols
+                self.left[k], self.right[k], self.made_at[k] = a, b, r
+            elif len(symbols) != 1:
                 continue
+            real[k] = 1
             tokens[symbols] = k
         self.steps, self.ends = _automaton(tokens)
 
@@ -217,12 +235,16 @@ class Vocabulary:
 
         Of equal ranks the leftmost merge comes first.
         """
-        rank = self.rank
-        for x, x_until in self.right[a]:
-            for y, y_until in self.left[b]:
+        rank, left, right, made_at = self.rank, self.left, self.right, self.made_at
+        x, x_until = a, _NEVER
+        while x >= 0:
+            y, y_until = b, _NEVER
+            while y >= 0:
                 r = rank.get((x, y))
                 if r is not None and r < until and r < x_until and r <= y_until:
                     return False
+                y, y_until = left[y], made_at[y]
+            x, x_until = right[x], made_at[x]
         return True
 
     def encode_word(self, word: str) -> list[int]:
@@ -300,45 +322,58 @@ class Vocabulary:
         return out
 
 
-class Pieces(dict):
-    """Place of each white-space piece in a flat table of ids; a bounded cache."""
+class Pieces:
+    """Ids of the white-space pieces seen so far, as Arrow arrays; a bounded cache that keeps what came up again."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.vocabulary = vocabulary
         self.reset()
 
     def reset(self) -> None:
-        self.clear()
-        self.ids = array.array("i")
-        self.starts = array.array("q", [0])
-
-    def learn(self, new: list[bytes]) -> None:
-        for ids, piece in zip(self.vocabulary.encode_pieces(new), new):
-            self.ids.extend(ids)
-            self[piece] = len(self.starts) - 1
-            self.starts.append(len(self.ids))
-
-    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Offsets and flat ids of a list of texts."""
-        if len(self) >= MAX_PIECES or len(self.ids) >= 20 * MAX_PIECES:
+        self.known = pa.array([], pa.large_string())
+        self.coded = pa.array([], pa.list_(pa.int32()))
+        self.again = np.zeros(0, bool)
+
+    def _fills(self, share: float) -> bool:
+        return len(self.known) >= share * MAX_PIECES or self.known.nbytes + self.coded.nbytes >= share * PIECE_BYTES * MAX_PIECES
+
+    def shrink(self) -> None:
+        """Only the pieces found in more than one slice stay, or none if these are many."""
+        keep = pa.array(self.again)
+        self.known, self.coded = self.known.filter(keep), self.coded.filter(keep)
+        self.again = np.zeros(len(self.known), bool)
+        if self._fills(0.5):
             self.reset()
-        split = [t.split() if t else [] for t in texts]
-        new = list(set().union(*split).difference(self))
+
+    def learn(self, new: pa.Array) -> None:
+        ids, ends = array.array("i"), array.array("i", [0])
         for k in range(0, len(new), BATCH_PIECES):
-            self.learn(new[k:k + BATCH_PIECES])
-        places = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64)
-        starts, ids = np.array(self.starts), np.array(self.ids)
-        lengths = starts[places + 1] - starts[places]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = ids[np.arange(total) + np.repeat(starts[places] - (ends - lengths), lengths)]
-        per_text = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum([len(p) for p in split], out=per_text[1:])
-        return np.concatenate([[0], ends])[per_text], flat
+            for found in self.vocabulary.encode_pieces(new.slice(k, BATCH_PIECES).cast(pa.large_binary()).to_pylist()):
+                ids.extend(found)
+                ends.append(len(ids))
+        coded = pa.ListArray.from_arrays(pa.array(np.asarray(ends)), pa.array(np.asarray(ids)))
+        self.known, self.coded = pa.concat_arrays([self.known, new]), pa.concat_arrays([self.coded, coded])
+        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+
+    def encode(self, texts: pa.Array | list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and flat ids of a list of texts, given as bytes."""
+        if self._fills(1):
+            self.shrink()
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+        # white space at either end of a text makes an empty piece, which has no ids
+        split = pc.ascii_split_whitespace(texts.fill_null(b"").cast(pa.large_string(), safe=False))
+        found = split.flatten().dictionary_encode()
+        at = np.array(pc.index_in(found.dictionary, value_set=self.known).fill_null(-1))
+        is_new = at < 0
+        self.again[at[~is_new]] = True
+        at[is_new] = np.arange(len(self.known), len(self.known) + is_new.sum())
+        self.learn(found.dictionary.filter(pa.array(is_new)))
+        coded = self.coded.take(pa.array(at[found.indices.to_numpy()]))
+        return coded.offsets.to_numpy()[split.offsets.to_numpy()], coded.flatten().to_numpy()
 
 
 _PIECES: dict[str, Pieces] = {}
+_NAMES: dict[str, pa.Array] = {}
 
 
 def pieces(path: str) -> Pieces:
@@ -348,6 +383,24 @@ def pieces(path: str) -> Pieces:
     return _PIECES[path]
 
 
+def names(path: str) -> pa.Array:
+    """The tokens of a tokenizer file by id, loaded once per process; decoding needs nothing else."""
+    if path not in _NAMES:
+        _NAMES[path] = pa.array(_names(_definition(path)), pa.large_string())
+    return _NAMES[path]
+
+
+def _slices(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows that come to ``most`` in size, or have one row."""
+    ends = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def _found(tokenizer: str | Callable[[], str]) -> str:
     return tokenizer if isinstance(tokenizer, str) else tokenizer()
 
@@ -359,11 +412,11 @@ def encode_bpe(docs: DataFrame, tokenizer: str | Callable[[], str], id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(_found(tokenizer))
         for whole in batches:
-            for start in range(0, whole.num_rows, SLICE_ROWS):
-                b = whole.slice(start, SLICE_ROWS)
-                offsets, flat = known.encode(b.column(1).to_pylist())
+            for b in _slices(whole, pc.binary_length(whole.column(1)), SLICE_BYTES):
+                offsets, flat = known.encode(b.column(1))
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["id", "ids"])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     return rows.mapInArrow(run, f"id {id_type.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
@@ -377,16 +430,16 @@ def decode_bpe(encoded: DataFrame, tokenizer: str | Callable[[], str], id_col: s
     id_type = encoded.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = pa.array(pieces(_found(tokenizer)).vocabulary.names, pa.large_string())
+        tokens = names(_found(tokenizer))
         for whole in batches:
-            for start in range(0, whole.num_rows, SLICE_ROWS):
-                b = whole.slice(start, SLICE_ROWS)
+            for b in _slices(whole, pc.list_value_length(whole.column(1)), SLICE_IDS):
                 ids = b.column(1)
                 flat = ids.flatten()
                 lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
-                text = pc.binary_join(pa.LargeListArray.from_arrays(offsets, names.take(flat)), pa.scalar(" ", pa.large_string()))
+                text = pc.binary_join(pa.LargeListArray.from_arrays(offsets, tokens.take(flat)), pa.scalar(" ", pa.large_string()))
                 yield pa.RecordBatch.from_arrays([b.column(0), ids, text.cast(pa.string())], names=["id", "ids", "text"])
+            pa.default_memory_pool().release_unused()
 
     rows = encoded.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{ids_col}`"), F.array().cast("array<int>")).alias("ids"))
     return rows.mapInArrow(run, f"id {id_type.simpleString()}, ids array<int>, text string").withColumnRenamed("id", id_col)

@@ -1,5 +1,9 @@
 import hashlib
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from tokenizers import Tokenizer
@@ -100,3 +104,60 @@ def test_query_equals_the_library(spark, library):
     for d in docs:
         ids = library.encode(d.text or "", add_special_tokens=False).ids
         assert got[d.doc_id] == (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+
+
+_GROWTH = """
+import random, re
+from tablecheck.llm import prefixbpe as B
+from tablecheck.llm.tokens import public_path
+
+def mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"Pss_Anon:\\s+([0-9]+)", f.read())[1]) / 1024
+
+before, rng = mb(), random.Random(1)
+known = B.pieces(public_path("word_bpe_49k.json")())
+print(mb() - before)
+for _ in range(60):
+    known.encode([" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 9))) for _ in range(200)).encode() for _ in range(50)])
+print(mb() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory is read from Linux")
+def test_a_worker_stays_small(tmp_path):
+    script = tmp_path / "growth.py"
+    script.write_text(_GROWTH)
+    out = subprocess.run([sys.executable, str(script)], env={**os.environ, "PYTHONPATH": str(Path(__file__).parents[2])},
+                         capture_output=True, text=True, check=True)
+    loaded, full = map(float, out.stdout.split())
+    assert loaded < 80 and full < 200
+
+
+def test_decoding_needs_only_the_names(known):
+    assert B.names(PATH()).to_pylist() == known.vocabulary.names
+    with pytest.raises(ValueError):
+        B.names(public_path("byte_bpe_50k.json")())
+
+
+def test_cache_is_bounded_by_bytes_and_keeps_what_comes_again(known, library, monkeypatch):
+    monkeypatch.setattr(B, "MAX_PIECES", 100)
+    rng = random.Random(2)
+    cache = B.Pieces(known.vocabulary)
+    for k in range(40):
+        texts = ["the cat of rome", " ".join(f"w{k}x{j}" for j in range(30)), None, " \t"]
+        offsets, flat = cache.encode([t and t.encode() for t in texts])
+        for t, a, z in zip(texts, offsets, offsets[1:]):
+            assert flat[a:z].tolist() == library.encode(t or "", add_special_tokens=False).ids
+        assert {"the", "cat", "of", "rome"} <= set(cache.known.to_pylist()) and len(cache.known) < 100 + 40
+    for _ in range(20):
+        text = "".join(rng.choices("abcdef", k=5000))
+        assert cache.encode([text.encode()])[1].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(cache.known) <= 100 and cache.known.nbytes + cache.coded.nbytes < 100 * B.PIECE_BYTES + 20_000
+
+
+def test_slices_are_bounded_and_whole():
+    batch = B.pa.RecordBatch.from_pydict({"text": [b"ab", None, b"", b"x" * 50, b"cd", b"efg", b"h"]})
+    runs = [b.column(0).to_pylist() for b in B._slices(batch, B.pc.binary_length(batch.column(0)), 6)]
+    assert runs == [[b"ab", None, b""], [b"x" * 50], [b"cd", b"efg", b"h"]]
+    assert list(B._slices(batch.slice(0, 0), B.pc.binary_length(batch.slice(0, 0).column(0)), 6)) == []
