@@ -814,12 +814,12 @@ PAGE_DOC_KEYS = ["page_id", "url", "n_bytes"]
 
 
 def _page_docs_dir(spark, sf_dir):
-    """One JSON file per page; pages served over plain http lose their url key."""
+    """One JSON file per page, over sub-folders; pages served over plain http lose their url key."""
     p = table(spark, sf_dir, "pages")
     docs = p.select("page_id", F.when(~F.col("url").startswith("http://"), F.col("url")).alias("url"),
                     F.octet_length("html").alias("n_bytes"))
     d = scratch_path(spark, "page_docs")
-    FS.write_json_documents(docs, d, one_per_file=True)
+    FS.write_json_documents(docs, d, one_per_file=True, folders=True)
     return d
 
 
@@ -828,7 +828,7 @@ def _page_docs_dir(spark, sf_dir):
           f"{_duck_rate('total_files', 'violations', 0.10)} FROM (SELECT count(*) AS total_files, "
           "CAST(count_if(starts_with(url, 'http://')) AS BIGINT) AS violations FROM pages)")
 def json_file_documents(spark, sf_dir):
-    docs = FS.scan_json_files(spark, _page_docs_dir(spark, sf_dir), "*.json", mode="document")
+    docs = FS.scan_json_files(spark, _page_docs_dir(spark, sf_dir), "*.json", mode="document", recursive=True)
     return FC.required_keys_check(docs, "value", PAGE_DOC_KEYS, "page_docs")
 
 

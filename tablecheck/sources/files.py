@@ -16,10 +16,19 @@ the scratch folder, never into a plan, and are compared by a sort-merge join
 (files hold few bytes, so their size says nothing of how many names a broadcast
 would bring to the driver).  Hidden names (``_x``, ``.x``) are excluded, as
 Spark does; ``hidden_file_count`` says how many there are.
+
+The driver holds the listing of a folder as long as a plan reads it, some KB a
+file.  A directory of very many documents is therefore a tree of folders
+(``write_json_documents(..., folders=True)``), and ``scan_json_files(...,
+recursive=True)`` lists it some folders at a time: their documents and names go
+to the scratch folder before the next ones are listed, so the driver holds no
+more of a large tree than of a small one.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from typing import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +37,14 @@ from ..session import scratch_path
 
 #: Files that one task writes in the file-per-document layout (a file costs milliseconds, whatever it holds).
 FILES_PER_TASK = 500
+#: Files of a sub-folder that ``write_json_documents`` makes, and of a tree that are listed at once.
+FILES_PER_FOLDER = 20_000
+_FOLDER_COLUMN = "document_folder"
+#: While a tree is read: small files are packed by what opening one costs (32 KB, a millisecond; by Spark's 4 MB a task
+#: has a few files, and the driver keeps a record of each task), no listing outlives its plan in Spark's cache, and paths
+#: are looked up by so many tasks (Spark's default is 10,000, mostly one per file).
+_TREE_CONF = {"spark.sql.files.openCostInBytes": "32768", "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
+              "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200"}
 
 FILE_COLUMNS = ["file_path", "file_name", "file_size", "value"]
 
@@ -95,16 +112,18 @@ def zero_length_files(spark: SparkSession, directory: str, glob: str = "*.json")
 
 
 def _listed_uris(spark: SparkSession, listed: DataFrame) -> DataFrame:
-    """``uri`` of each listed file, stored once: on a classic session the list
-    is not brought to Python, and no plan holds it."""
+    """``uri`` of each listed file, stored once: no plan holds the list."""
+    return stored(spark, _uris(spark, listed), "listed_files")
+
+
+def _uris(spark: SparkSession, listed: DataFrame) -> DataFrame:
+    """``uri`` of each listed file; on a classic session the list is not brought to Python."""
     try:
         jvm = spark.sparkContext._jvm
     except Exception:  # noqa: BLE001 - Spark Connect: no JVM handle
-        uris = spark.createDataFrame([(p,) for p in listed.inputFiles()], "uri string")
-    else:
-        names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(listed._jdf.inputFiles())
-        uris = DataFrame(spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark).toDF("uri")
-    return stored(spark, uris, "listed_files")
+        return spark.createDataFrame([(p,) for p in listed.inputFiles()], "uri string")
+    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(listed._jdf.inputFiles())
+    return DataFrame(spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark).toDF("uri")
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -154,31 +173,103 @@ def _manifest(spark: SparkSession, directory: str, glob: str) -> DataFrame:
         F.col("modificationTime").alias("modification_time"), "file_uri")
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings are ``values`` meanwhile."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark leaves out of a listing."""
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _tree_parts(spark: SparkSession, directory: str) -> Iterator[tuple[list[str], bool]]:
+    """Files and sub-folders of a directory, so many at once that they hold at most
+    ``FILES_PER_FOLDER`` files or are one sub-folder (a plan over the directory lists
+    all below it), and True: these are no patterns.  Without a JVM (Spark Connect),
+    the whole at once."""
+    handle = _fs(spark, directory)
+    paths, files = [], 0
+    if handle is not None and handle[0].exists(handle[1]):
+        fs, p = handle
+        found = fs.listStatusIterator(p)
+        while found.hasNext():
+            status = found.next()
+            path = status.getPath()
+            if _hidden(path.getName()):
+                continue
+            more = fs.getContentSummary(path).getFileCount() if status.isDirectory() else 1
+            if paths and files + more > FILES_PER_FOLDER:
+                yield paths, True
+                paths, files = [], 0
+            paths.append(path.toString())
+            files += more
+    yield (paths, True) if paths else ([directory], False)
+
+
+def _file_columns(df: DataFrame) -> DataFrame:
+    """A text scan's ``FILE_COLUMNS``."""
+    return df.select(_norm_path(F.col("_metadata.file_path")).alias("file_path"),
+                     F.col("_metadata.file_name").alias("file_name"),
+                     F.col("_metadata.file_size").alias("file_size"), F.col("value"))
+
+
+def _tree_documents(spark: SparkSession, directory: str, glob: str) -> tuple[DataFrame, DataFrame]:
+    """The documents of a tree's files with content, and ``(file_path, file_name)`` of
+    the zero-length ones: both stored part by part, each part listed once."""
+    docs_path, uris_path = scratch_path(spark, "documents"), scratch_path(spark, "listed_files")
+    reader = spark.read.option("pathGlobFilter", glob).option("wholetext", True).option("recursiveFileLookup", True)
+    with _settings(spark, _TREE_CONF):
+        for paths, listed in _tree_parts(spark, directory):
+            df = reader.option("__globPaths__", not listed).text(paths)
+            uris, docs = _uris(spark, df), _file_columns(df)
+            uris.select(_norm_path(F.col("uri")).alias("file_path")).write.mode("append").parquet(uris_path)
+            docs.write.mode("append").parquet(docs_path)
+    docs = spark.read.schema(docs.schema).parquet(docs_path)
+    every = spark.read.schema("file_path string").parquet(uris_path)
+    empty = every.join(docs.select("file_path").hint("merge"), "file_path", "left_anti")
+    return docs, empty.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"))
+
+
 def scan_json_files(spark: SparkSession, directory: str, glob: str = "*.json", mode: str = "document",
-                    include_empty: bool = True, manifest: DataFrame | None = None) -> DataFrame:
+                    include_empty: bool = True, manifest: DataFrame | None = None,
+                    recursive: bool = False) -> DataFrame:
     """Documents of a directory: ``file_path, file_name, file_size, value``
     (paths and names in the URI form of Spark's ``_metadata`` columns).
 
+    Sub-folders are read when ``recursive``; in document mode the tree is then
+    read at once, some folders at a time, into the scratch folder, and what is
+    returned reads that.
+
     Zero-length files appear with a NULL ``value`` when ``include_empty``
     (document mode); they come from ``manifest`` (of ``stored_manifest``) if given.
     In lines mode a document is identified by its content (the text source
     exposes no line numbers), blank lines are skipped.
     """
-    reader = spark.read.option("pathGlobFilter", glob)
-    if mode == "document":
-        df = reader.option("wholetext", True).text(directory)
-    elif mode == "lines":
-        df = reader.text(directory)
-    else:
+    if mode not in ("document", "lines"):
         raise ValueError("mode must be 'document' or 'lines'")
-    out = df.select(_norm_path(F.col("_metadata.file_path")).alias("file_path"),
-                    F.col("_metadata.file_name").alias("file_name"),
-                    F.col("_metadata.file_size").alias("file_size"), F.col("value"))
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
+    empty = None
     if mode == "lines":
-        out = out.filter(F.length(F.trim("value")) > 0)
+        out = _file_columns(reader.text(directory)).filter(F.length(F.trim("value")) > 0)
+    elif recursive:
+        out, empty = _tree_documents(spark, directory, glob)
+    else:
+        out = _file_columns(reader.option("wholetext", True).text(directory))
     if include_empty and mode == "document":
         if manifest is None:
-            empty = zero_length_files(spark, directory, glob)
+            empty = zero_length_files(spark, directory, glob) if empty is None else empty
         else:
             empty = manifest.filter("file_size = 0").select(
                 F.col("file_uri").alias("file_path"), F.element_at(F.split("file_uri", "/"), -1).alias("file_name"))
@@ -190,19 +281,29 @@ def scan_json_files(spark: SparkSession, directory: str, glob: str = "*.json", m
 
 
 def write_json_documents(df: DataFrame, directory: str, one_per_file: bool = False,
-                         mode: str = "overwrite") -> None:
+                         mode: str = "overwrite", folders: bool = False) -> None:
     """Write each row as one JSON document in ``*.json`` files.
 
     NULL fields are left out of a document (the JSON writer's default).
     ``one_per_file`` uses ``maxRecordsPerFile=1`` for the file-per-document
     layout, in tasks of about ``FILES_PER_TASK`` files (a small table is one
     partition, however many files it becomes); otherwise JSON Lines, one file
-    per partition.
+    per partition.  ``folders`` deals one file per document out over sub-folders
+    of about ``FILES_PER_FOLDER`` files, a task's files into one of them.
     """
+    if folders and not one_per_file:
+        raise ValueError("folders needs one_per_file")
+    if folders and _FOLDER_COLUMN in [c.lower() for c in df.columns]:
+        raise ValueError(f"{_FOLDER_COLUMN} names the folders, it cannot be a key of the documents")
     if one_per_file:
         tasks = -(-df.count() // FILES_PER_TASK)
         df = df.repartition(tasks) if tasks > 1 else df
+    if folders:
+        tasks_per_folder = max(1, FILES_PER_FOLDER // FILES_PER_TASK)
+        df = df.withColumn(_FOLDER_COLUMN, F.floor(F.spark_partition_id() / tasks_per_folder))
     w = df.write.mode(mode)
     if one_per_file:
         w = w.option("maxRecordsPerFile", 1)
+    if folders:
+        w = w.partitionBy(_FOLDER_COLUMN)
     w.json(directory)

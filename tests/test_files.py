@@ -163,3 +163,70 @@ def test_new_documents_are_checked_in_batches(spark, tmp_path):
     _write(d, "new.json", "{}")
     x = check_new_documents(spark, d, {"keys": ["k"]}, "logs", state, files_per_batch=2).first()
     assert (x["total_files"], x["violations"]) == (1, 1) and spark.conf.get(_LISTING_CONF) == before
+
+
+def test_a_tree_is_listed_some_folders_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(FS, "FILES_PER_TASK", 10)
+    monkeypatch.setattr(FS, "FILES_PER_FOLDER", 20, raising=False)
+    d = str(tmp_path / "tree")
+    ids = spark.range(0, 95, 1, 1).select("id", F.when(F.col("id") % 5 > 0, F.lit("x")).alias("k"))
+    FS.write_json_documents(ids, d, one_per_file=True, folders=True)
+    folders = sorted(n for n in os.listdir(d) if os.path.isdir(os.path.join(d, n)))
+    assert len(folders) == 5
+    assert max(sum(n.endswith(".json") for n in os.listdir(os.path.join(d, f))) for f in folders) <= 20
+    _write(os.path.join(d, folders[0]), "empty 1.json", "")
+    _write(os.path.join(d, folders[0]), "note.txt", "{}")
+    os.makedirs(os.path.join(d, "a[1] %20", "sub"))
+    _write(os.path.join(d, "a[1] %20", "sub"), "deep {x}.json", '{"id":95,"k":"y"}')
+    _write(os.path.join(d, "a[1] %20"), "_hidden.json", "{}")
+    os.makedirs(os.path.join(d, "_left"))
+    _write(os.path.join(d, "_left"), "out.json", "{}")
+    _write(d, "top.json", '{"id":96}')
+    _write(d, "top_empty.json", "")
+    seen = []
+    uris = FS._uris
+    monkeypatch.setattr(FS, "_uris", lambda s, df: (seen.append(len(df.inputFiles())), uris(s, df))[1])
+    opened = spark.conf.get("spark.sql.files.openCostInBytes")
+    docs = FS.scan_json_files(spark, d, "*.json", recursive=True)
+    assert sum(seen) == 99 and max(seen) <= 21  # each file in one listing, no listing of them all
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == opened
+    plan = docs._jdf.queryExecution().toString()
+    assert "FileScan text" not in plan and "binaryFile" not in plan and "empty" not in plan  # it holds no listing
+    rows = docs.collect()
+    assert sorted(spark.read.json(spark.sparkContext.parallelize([r["value"] for r in rows if r["value"]], 1))
+                  .toPandas()["id"]) == list(range(97))
+    assert sorted((r["file_name"], r["file_size"]) for r in rows if r["value"] is None) == \
+        [("empty%201.json", 0), ("top_empty.json", 0)]
+    assert all(r["file_path"].endswith("/" + r["file_name"]) for r in rows) and len({r["file_path"] for r in rows}) == 99
+    check = FC.required_keys_check(docs, "value", ["id", "k"], "t").first()
+    assert (check["total_files"], check["violations"]) == (99, 19 + 1 + 2)
+    assert FS.scan_json_files(spark, d, "*.json", include_empty=False, recursive=True).count() == 97
+    monkeypatch.setattr(FS, "_fs", lambda *_: None)  # as on Spark Connect: the whole tree at once
+    assert sorted(map(tuple, FS.scan_json_files(spark, d, "*.json", recursive=True).collect()), key=str) == \
+        sorted(map(tuple, rows), key=str)
+
+
+def test_a_tree_without_documents(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+    import pytest
+    d = str(tmp_path / "none")
+    FS.write_json_documents(spark.range(0), d, one_per_file=True, folders=True)
+    assert FS.scan_json_files(spark, d, recursive=True).count() == 0
+    with pytest.raises(AnalysisException):
+        FS.scan_json_files(spark, d + "/missing", recursive=True)
+    with pytest.raises(ValueError):
+        FS.write_json_documents(spark.range(1).withColumn("Document_Folder", F.lit(1)), d, one_per_file=True, folders=True)
+
+
+def test_page_documents_are_read_some_folders_at_a_time(spark, tmp_path, monkeypatch):
+    from tablecheck.plans.registered import json_file_documents
+    monkeypatch.setattr(FS, "FILES_PER_TASK", 10)
+    monkeypatch.setattr(FS, "FILES_PER_FOLDER", 20, raising=False)
+    pages = spark.range(0, 130, 1, 1).select(
+        F.col("id").alias("page_id"), F.concat(F.when(F.col("id") % 13 == 0, "http://").otherwise("https://"),
+                                               F.lit("h/"), "id").alias("url"), F.lit("<p>x</p>").alias("html"))
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    out = json_file_documents(spark, str(tmp_path))
+    assert "FileScan text" not in out._jdf.queryExecution().toString()  # the driver keeps no listing of the documents
+    r = out.first()
+    assert (r["total_files"], r["violations"], r["passed"]) == (130, 10, True)
