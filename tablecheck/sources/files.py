@@ -27,6 +27,7 @@ more of a large tree than of a small one.
 
 from __future__ import annotations
 
+import gc
 from contextlib import contextmanager
 from typing import Iterator
 
@@ -230,13 +231,19 @@ def _tree_documents(spark: SparkSession, directory: str, glob: str) -> tuple[Dat
     the zero-length ones: both stored part by part, each part listed once."""
     docs_path, uris_path = scratch_path(spark, "documents"), scratch_path(spark, "listed_files")
     reader = spark.read.option("pathGlobFilter", glob).option("wholetext", True).option("recursiveFileLookup", True)
+
+    def store(paths: list[str], listed: bool) -> None:
+        df = reader.option("__globPaths__", not listed).text(paths)
+        uris = _uris(spark, df).select(_norm_path(F.col("uri")).alias("file_path"))
+        uris.write.mode("append").parquet(uris_path)
+        _file_columns(df).write.mode("append").parquet(docs_path)
+
     with _settings(spark, _TREE_CONF):
         for paths, listed in _tree_parts(spark, directory):
-            df = reader.option("__globPaths__", not listed).text(paths)
-            uris, docs = _uris(spark, df), _file_columns(df)
-            uris.select(_norm_path(F.col("uri")).alias("file_path")).write.mode("append").parquet(uris_path)
-            docs.write.mode("append").parquet(docs_path)
-    docs = spark.read.schema(docs.schema).parquet(docs_path)
+            store(paths, listed)
+            # Python's handles of Java objects refer to themselves: until they are collected, the JVM keeps the listing
+            gc.collect()
+    docs = spark.read.schema("file_path string, file_name string, file_size bigint, value string").parquet(docs_path)
     every = spark.read.schema("file_path string").parquet(uris_path)
     empty = every.join(docs.select("file_path").hint("merge"), "file_path", "left_anti")
     return docs, empty.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"))

@@ -206,6 +206,30 @@ def test_a_tree_is_listed_some_folders_at_a_time(spark, tmp_path, monkeypatch):
         sorted(map(tuple, rows), key=str)
 
 
+def test_the_driver_drops_a_part_before_it_lists_the_next(spark, tmp_path, monkeypatch):
+    import gc
+    import weakref
+    d = str(tmp_path / "tree")
+    for k in range(6):
+        os.makedirs(os.path.join(d, f"{k}"))
+        _write(os.path.join(d, f"{k}"), "a.json", "{}")
+    monkeypatch.setattr(FS, "FILES_PER_FOLDER", 1, raising=False)
+    listings, alive = [], []
+    uris = FS._uris
+
+    def watched(s, df):
+        alive.append(sum(x() is not None for x in listings))
+        listings.append(weakref.ref(df._jdf))
+        return uris(s, df)
+    monkeypatch.setattr(FS, "_uris", watched)
+    gc.disable()  # what is dropped is dropped by the scan
+    try:
+        assert FS.scan_json_files(spark, d, recursive=True).count() == 6
+    finally:
+        gc.enable()
+    assert alive == [0] * 6
+
+
 def test_a_tree_without_documents(spark, tmp_path):
     from pyspark.errors import AnalysisException
     import pytest
